@@ -1,5 +1,9 @@
 """OTLP any-values: attribute lookup, text coercion and conversion to JSON.
 
+The functions take the any-value as SQL text, usually a column name, because
+they are long and Spark parses one text far faster than it builds the same
+expression call by call.
+
 Scalars, flat arrays and flat key/value lists, which is nearly all log data,
 are handled by Spark expressions.  Only values nested deeper need recursion,
 which Spark expressions cannot express; those rows, and no others, hand their
@@ -15,76 +19,82 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-def attr(attributes: Column, key: str) -> Column:
+
+def attr(attributes: str, key: str) -> Column:
     """Any-value of the first attribute called ``key``; NULL if there is none."""
     return F.get(F.filter(attributes, lambda a: a["key"] == key), F.lit(0))["value"]
 
 
-def double_text(d: Column) -> Column:
+def _double_text(d: str) -> str:
+    # 38 digits hold 21 before the point and 17 behind, or 24 leading zeros and digits.
+    return f"""CASE
+        WHEN isnan({d}) THEN 'NaN'
+        WHEN {d} = double('inf') THEN '+Inf'
+        WHEN {d} = double('-inf') THEN '-Inf'
+        WHEN {d} = 0 THEN regexp_replace(string({d}), '[.]0$', '')
+        WHEN abs({d}) >= 1 AND abs({d}) < 1e21
+          THEN regexp_replace(string(try_cast(string({d}) AS decimal(38,17))), '[.]?0+$', '')
+        WHEN abs({d}) < 1 AND abs({d}) >= 1e-6
+          THEN regexp_replace(string(try_cast(string({d}) AS decimal(38,24))), '[.]?0+$', '')
+        ELSE regexp_replace(regexp_replace(string({d}), '([.]0)?E-', 'e-'), '([.]0)?E', 'e+')
+      END"""
+
+
+def double_text(d: str) -> Column:
     """JSON number text of a double: shortest digits, no '.0', exponents only below
     1e-6 and from 1e21 on; NaN and the infinities print as NaN, +Inf and -Inf."""
-    text = d.cast("string")
-    size = F.abs(d)
-    digits = F.when(size >= 1, text.try_cast("decimal(38,17)").cast("string")).otherwise(
-        text.try_cast("decimal(38,24)").cast("string")
-    )
-    exponent = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E-", "e-"), r"(\.0)?E", "e+")
-    return (
-        F.when(F.isnan(d), F.lit("NaN"))
-        .when(size == float("inf"), F.when(d > 0, F.lit("+Inf")).otherwise(F.lit("-Inf")))
-        .when(size == 0, F.regexp_replace(text, r"\.0$", ""))
-        .when((size >= 1e-6) & (size < 1e21), F.regexp_replace(digits, r"\.?0+$", ""))
-        .otherwise(exponent)
-    )
+    return F.expr(_double_text(d))
 
 
-def _null() -> Column:
-    return F.parse_json(F.lit("null"))
+def _scalar_text(v: str) -> str:
+    # Bytes are base64 text in OTLP/JSON, and just so in JSON.
+    return (
+        f"coalesce({v}.stringValue, string({v}.boolValue), {v}.intValue, "
+        f"{_double_text(f'{v}.doubleValue')}, {v}.bytesValue)"
+    )
 
 
-def _scalar_text(v: Column) -> Column:
-    return F.coalesce(
-        v["stringValue"],
-        v["boolValue"].cast("string"),
-        v["intValue"],
-        double_text(v["doubleValue"]),
-        v["bytesValue"],  # base64 text in OTLP/JSON, and just so in JSON
+def _scalar_json(v: str) -> str:
+    """Variant of a scalar; NULL for anything else and for NaN and infinities."""
+    return (
+        f"coalesce(CAST({v}.stringValue AS variant), CAST({v}.boolValue AS variant), "
+        f"CAST(try_cast({v}.intValue AS bigint) AS variant), "
+        f"try_parse_json({_double_text(f'{v}.doubleValue')}), CAST({v}.bytesValue AS variant))"
     )
 
 
-def _not_finite(d: Column) -> Column:
-    """True for a double without a JSON form."""
-    return F.coalesce(F.isnan(d) | (F.abs(d) == float("inf")), F.lit(False))
+def _is_container(v: str) -> str:
+    return f"({v}.arrayValue IS NOT NULL OR {v}.kvlistValue IS NOT NULL)"
 
 
-def _scalar_json(v: Column) -> Column:
-    """Variant of a scalar any-value; NULL for anything else and for NaN and infinities."""
-    return F.coalesce(
-        v["stringValue"].cast("variant"),
-        v["boolValue"].cast("variant"),
-        v["intValue"].try_cast("bigint").cast("variant"),
-        F.try_parse_json(double_text(v["doubleValue"])),
-        v["bytesValue"].cast("variant"),
-    )
+def _is_deep(v: str) -> str:
+    """True for containers that hold containers, numbers without a JSON form or a key twice."""
 
+    def not_flat(e):
+        d = f"{e}.doubleValue"
+        return f"coalesce({_is_container(e)} OR isnan({d}) OR abs({d}) = double('inf'), false)"
 
-def _is_container(v: Column) -> Column:
-    return v["arrayValue"].isNotNull() | v["kvlistValue"].isNotNull()
+    entries = f"{v}.kvlistValue.values"
+    return f"""coalesce(
+        exists({v}.arrayValue.values, e -> {not_flat("e")}),
+        exists({entries}, e -> {not_flat("e.value")}) OR size(array_distinct({entries}.key)) < size({entries}),
+        false)"""
 
 
-def _is_deep(v: Column) -> Column:
-    """True for containers that hold containers, numbers without a JSON form or a key twice."""
-    def not_flat(e):
-        return _is_container(e) | _not_finite(e["doubleValue"])
+def _flat_json(v: str) -> str:
+    """Variant of a flat container; NULL for anything else."""
 
-    entries = v["kvlistValue"]["values"]
-    keys = F.transform(entries, lambda e: e["key"])
-    return F.coalesce(
-        F.exists(v["arrayValue"]["values"], not_flat),
-        F.exists(entries, lambda e: F.coalesce(not_flat(e["value"]), F.lit(False)))
-        | (F.size(F.array_distinct(keys)) < F.size(keys)),
-        F.lit(False),
-    )
+    def element(e):
+        return f"coalesce({_scalar_json(e)}, parse_json('null'))"
+
+    entry = f"named_struct('key', coalesce(e.key, ''), 'value', {element('e.value')})"
+    return f"""CASE
+        WHEN {_is_deep(v)} THEN NULL
+        WHEN {v}.arrayValue IS NOT NULL THEN coalesce(
+          to_variant_object(transform({v}.arrayValue.values, e -> {element("e")})), parse_json('[]'))
+        WHEN {v}.kvlistValue IS NOT NULL THEN coalesce(
+          to_variant_object(map_from_entries(transform({v}.kvlistValue.values, e -> {entry}))), parse_json('{{}}'))
+      END"""
 
 
 def _decoder():
@@ -123,45 +133,32 @@ def _decoder():
 decode_any_value = _decoder()
 
 
-def _container_json(v: Column) -> Column:
-    """Variant of an array or key/value list; NULL if it has no JSON form."""
-    def element(e):
-        return F.coalesce(_scalar_json(e), _null())
-
-    array = F.transform(v["arrayValue"]["values"], element)
-    entries = F.transform(
-        v["kvlistValue"]["values"],
-        lambda e: F.struct(F.coalesce(e["key"], F.lit("")).alias("key"), element(e["value"]).alias("value")),
-    )
-    deep = decode_any_value(F.when(_is_container(v) & _is_deep(v), F.to_json(v)))
-    return (
-        F.when(deep.isNotNull(), F.try_parse_json(deep))
-        .when(_is_deep(v), F.lit(None))
-        .when(v["arrayValue"].isNotNull(), F.coalesce(F.to_variant_object(array), F.parse_json(F.lit("[]"))))
-        .otherwise(F.coalesce(F.to_variant_object(F.map_from_entries(entries)), F.parse_json(F.lit("{}"))))
-    )
+def _deep_json(v: str) -> Column:
+    """JSON text of a container that is not flat; NULL for anything else."""
+    return decode_any_value(F.expr(f"CASE WHEN {_is_container(v)} AND {_is_deep(v)} THEN to_json({v}) END"))
 
 
-def any_as_string(v: Column) -> Column:
+def any_as_string(v: str) -> Column:
     """Text of an any-value: scalars printed, containers as JSON, '' for an empty value;
     NULL stays NULL, so a missing attribute can be told from an empty one."""
     return F.coalesce(
-        _scalar_text(v),
-        F.when(_is_container(v), F.to_json(_container_json(v))),
-        F.when(v.isNotNull(), F.lit("")),
+        F.expr(f"coalesce({_scalar_text(v)}, to_json({_flat_json(v)}))"),
+        _deep_json(v),
+        F.expr(f"CASE WHEN {v} IS NOT NULL THEN '' END"),
     )
 
 
-def body_value(v: Column) -> Column:
+def body_value(v: str) -> Column:
     """JSON value of a record body.
 
     Text stays a JSON string even if it holds JSON; an empty or missing body is
     JSON null, not NULL; a body without a JSON form becomes ``{"raw": text}``.
     """
-    raw = F.to_variant_object(F.struct(F.coalesce(_scalar_text(v), F.lit("")).alias("raw")))
+    raw = f"to_variant_object(named_struct('raw', coalesce({_scalar_text(v)}, '')))"
     return F.coalesce(
-        _scalar_json(v),
-        F.when(_is_container(v), _container_json(v)),
-        F.when(_is_container(v) | _scalar_text(v).isNotNull(), raw),
-        _null(),
+        F.expr(f"coalesce({_scalar_json(v)}, {_flat_json(v)})"),
+        F.try_parse_json(_deep_json(v)),
+        F.expr(
+            f"CASE WHEN {_is_container(v)} OR {_scalar_text(v)} IS NOT NULL THEN {raw} ELSE parse_json('null') END"
+        ),
     )

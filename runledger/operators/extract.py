@@ -33,15 +33,15 @@ def extract_rows(flat: DataFrame, now: Column | None = None) -> DataFrame:
     # Attributes are looked up in a step of their own, so that each is looked up once.
     found = flat.select(
         *keep,
-        attr(F.col("record.attributes"), RUN_ID_KEY).alias("_run"),
-        attr(F.col("record.attributes"), PHASE_KEY).alias("_phase"),
-        attr(F.col("record.attributes"), EVENT_KEY).alias("_event"),
+        attr("record.attributes", RUN_ID_KEY).alias("_run"),
+        attr("record.attributes", PHASE_KEY).alias("_phase"),
+        attr("record.attributes", EVENT_KEY).alias("_event"),
         resolve_time(F.col("record.timeUnixNano"), F.col("record.observedTimeUnixNano"), now).alias("timestamp"),
         F.col("record.body").alias("_body"),
     )
 
     def text(column):
-        return F.coalesce(any_as_string(F.col(column)), F.lit(""))
+        return F.coalesce(any_as_string(column), F.lit(""))
 
     return found.select(
         *keep,
@@ -49,7 +49,7 @@ def extract_rows(flat: DataFrame, now: Column | None = None) -> DataFrame:
         text("_phase").alias("phase"),
         "timestamp",
         text("_event").alias("event"),
-        body_value(F.col("_body")).alias("body"),
+        body_value("_body").alias("body"),
     )
 
 

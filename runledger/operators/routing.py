@@ -21,14 +21,14 @@ class Route:
     pipelines: tuple
 
 
-def text_attr(attributes: Column, key: str) -> Column:
+def text_attr(attributes: Column | str, key: str) -> Column:
     """A text attribute; NULL if it is missing or no text, as a number never equals a text."""
     return attr(attributes, key)["stringValue"]
 
 
 def resource_attr(key: str) -> Column:
     """A text attribute of the resource of a flattened row."""
-    return text_attr(F.col("resource.attributes"), key)
+    return text_attr("resource.attributes", key)
 
 
 def merge_sources(*sources: DataFrame) -> DataFrame:

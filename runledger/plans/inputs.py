@@ -8,15 +8,13 @@ session and scale below the shared folder.
 from __future__ import annotations
 
 import uuid
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from runledger.functions import epoch_micros
 from runledger.operators.extract import extract_rows, keep_identified
-from runledger.schema import ANY_VALUE, ATTRIBUTES, EVENT_KEY, LOG_RECORD, PHASE_KEY, RESOURCE, RUN_ID_KEY, SCOPE
+from runledger.schema import ANY_VALUE, ATTRIBUTES, ELEMENT, EVENT_KEY, LOG_RECORD, PHASE_KEY, RESOURCE, RUN_ID_KEY, SCOPE
 from runledger.session import scratch_path
 from runledger.sources.otlp import to_otlp_envelopes
 from runledger.sources.table import append_logs, ensure_table, scan_logs
@@ -32,18 +30,6 @@ SERVICES = ["audit-service", "other"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-@cache
-def _any_type() -> StructType:
-    return StructType.fromDDL(f"v {ANY_VALUE}")["v"].dataType
-
-
-def _one_of(fields: StructType, kind: str, value: Column) -> Column:
-    """A struct of which one field is set."""
-    return F.struct(
-        *[value.alias(f.name) if f.name == kind else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-    )
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -52,104 +38,100 @@ def now() -> Column:
     return F.timestamp_micros(F.lit(NOW_MICROS))
 
 
-def value_of(kind: str, value: Column) -> Column:
-    """An OTLP any-value of the given kind; NULL for a NULL."""
-    return F.when(value.isNotNull(), _one_of(_any_type(), kind, value).cast(ANY_VALUE))
+# An any-value has one field per kind, in this order.
+KINDS = ["stringValue", "boolValue", "intValue", "doubleValue", "bytesValue", "arrayValue", "kvlistValue"]
+
 
+def _struct(kind: str, value: str) -> str:
+    return f"named_struct({', '.join(f"'{k}', {value if k == kind else 'NULL'}" for k in KINDS)})"
 
-def string_value(text: Column) -> Column:
+
+def value_of(kind: str, value: str) -> Column:
+    """An OTLP any-value of the given kind from SQL text; NULL for a NULL."""
+    return F.expr(f"CASE WHEN {value} IS NOT NULL THEN CAST({_struct(kind, value)} AS {ANY_VALUE}) END")
+
+
+def string_value(text: str) -> Column:
     return value_of("stringValue", text)
 
 
-def int_value(number: Column) -> Column:
-    return value_of("intValue", number.cast("string"))
+def int_value(number: str) -> Column:
+    return value_of("intValue", f"string({number})")
 
 
-def array_value(values: Column) -> Column:
-    return value_of("arrayValue", F.struct(values.alias("values")))
+def array_value(*elements: tuple[str, str]) -> Column:
+    """An array of ``(kind, value)`` elements."""
+    listed = ", ".join(element(kind, value) for kind, value in elements)
+    return value_of("arrayValue", f"named_struct('values', array({listed}))")
 
 
-def element(kind: str, value: Column) -> Column:
-    """An any-value as an element of an array or list."""
-    return _one_of(_any_type()["arrayValue"].dataType["values"].dataType.elementType, kind, value)
+def kvlist_value(entries: str) -> Column:
+    """A key/value list; ``entries`` is SQL text of an array of :func:`entry`."""
+    return value_of("kvlistValue", f"named_struct('values', {entries})")
 
 
-def entry(key: Column, value: Column) -> Column:
-    return F.struct(key.alias("key"), value.alias("value"))
+def element(kind: str, value: str) -> str:
+    """SQL text of an element of an array or list."""
+    return f"CAST({_struct(kind, value)} AS {ELEMENT})"
 
 
-def kvlist_value(entries: Column) -> Column:
-    return value_of("kvlistValue", F.struct(entries.alias("values")))
+def entry(key: str, value: str) -> str:
+    return f"named_struct('key', {key}, 'value', {value})"
 
 
-def attributes(**named: Column) -> Column:
-    """Attributes from any-values, without the missing ones."""
-    listed = F.array(*[entry(F.lit(key), value) for key, value in named.items()])
-    return F.filter(listed, lambda a: a["value"].isNotNull()).cast(ATTRIBUTES)
+def attributes(named: dict[str, str]) -> str:
+    """SQL text of attributes, each text from SQL text, without the missing ones."""
+    listed = ", ".join(f"CASE WHEN {text} IS NOT NULL THEN {entry(f"'{key}'", _struct('stringValue', text))} END" for key, text in named.items())
+    return f"CAST(filter(array({listed}), a -> a IS NOT NULL) AS {ATTRIBUTES})"
 
 
-def log_record(time_nanos: Column, observed_nanos: Column, body: Column, attrs: Column) -> Column:
-    fields = {"timeUnixNano": time_nanos.cast("string"), "observedTimeUnixNano": observed_nanos.cast("string")}
-    fields |= {"severityNumber": F.lit(9), "severityText": F.lit("INFO"), "body": body, "attributes": attrs}
-    fields |= {"traceId": F.lit(None).cast("string"), "spanId": F.lit(None).cast("string")}
-    return F.struct(*[c.alias(k) for k, c in fields.items()]).cast(LOG_RECORD)
+def log_record(time_nanos: str, observed_nanos: str, body: str, attrs: str) -> Column:
+    """A log record from SQL text; ``body`` is a column."""
+    return F.expr(f"""CAST(named_struct(
+        'timeUnixNano', string({time_nanos}), 'observedTimeUnixNano', string({observed_nanos}),
+        'severityNumber', 9, 'severityText', 'INFO', 'body', {body}, 'attributes', {attrs},
+        'traceId', NULL, 'spanId', NULL) AS {LOG_RECORD})""")
 
 
 def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with the fields of a log record, some of them missing."""
-    n, micros = F.col("event_id"), epoch_micros(F.col("ts"))
-    run = F.concat(F.lit("run-"), F.col("user_id"))
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").withColumn("micros", epoch_micros(F.col("ts")))
+    return events.selectExpr(
         "*",
-        F.when(n % 17 == 0, F.lit("")).when(n % 19 == 0, F.lit(None)).otherwise(run).alias("uid"),
-        F.when(kind.isin("view", "click"), F.lit("planning"))
-        .when(kind.isin("purchase", "signup"), F.lit("execution"))
-        .alias("phase_name"),
-        F.when(n % 5 == 0, F.lit(0)).otherwise(micros * 1000).alias("time_nanos"),
-        F.when(n % 55 == 0, F.lit(0)).otherwise((micros + 1000000) * 1000).alias("observed_nanos"),
-        F.when(F.col("user_id") % 3 == 0, F.lit(SERVICES[0]))
-        .when(F.col("user_id") % 3 == 1, F.lit(SERVICES[1]))
-        .alias("service"),
+        "CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 19 <> 0 THEN concat('run-', user_id) END AS uid",
+        "CASE WHEN event_type IN ('view', 'click') THEN 'planning' "
+        "WHEN event_type IN ('purchase', 'signup') THEN 'execution' END AS phase_name",
+        "CASE WHEN event_id % 5 = 0 THEN 0 ELSE micros * 1000 END AS time_nanos",
+        "CASE WHEN event_id % 55 = 0 THEN 0 ELSE (micros + 1000000) * 1000 END AS observed_nanos",
+        f"CASE user_id % 3 WHEN 0 THEN '{SERVICES[0]}' WHEN 1 THEN '{SERVICES[1]}' END AS service",
     )
 
 
 def props_value() -> Column:
     """``props`` as an OTLP key/value list."""
-    entries = F.map_entries(F.from_json("props", "map<string,string>"))
-    return kvlist_value(F.transform(entries, lambda e: entry(e["key"], element("intValue", e["value"]))))
+    each = entry("e.key", element("intValue", "e.value"))
+    return kvlist_value(f"transform(map_entries(from_json(props, 'map<string,string>')), e -> {each})")
 
 
 def place_in(values: list[str], column: str) -> Column:
     """Position of a value in a list; behind the list if it is missing or not in it."""
-    found = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
-    return F.coalesce(F.nullif(found, F.lit(0).cast("bigint")) - 1, F.lit(len(values))).cast("int")
+    cases = " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(values))
+    return F.expr(f"CASE {column} {cases} ELSE {len(values)} END")
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as flattened log records: ``envelope, event_id, ri, resource, si, scope, li, record``."""
-    attrs = attributes(
-        **{
-            RUN_ID_KEY: string_value(F.col("uid")),
-            PHASE_KEY: string_value(F.col("phase_name")),
-            EVENT_KEY: string_value(F.col("event_type")),
-        }
-    )
-    scope = F.struct(
-        F.col("event_type").alias("name"),
-        F.lit(None).cast("string").alias("version"),
-        F.lit(None).cast(ATTRIBUTES).alias("attributes"),
-    )
-    service = attributes(**{"service.name": string_value(F.col("service"))})
-    return event_fields(spark, sf_dir).select(
-        F.call_function("div", F.col("event_id"), F.lit(ENVELOPE_SIZE)).alias("envelope"),
+    attrs = attributes({RUN_ID_KEY: "uid", PHASE_KEY: "phase_name", EVENT_KEY: "event_type"})
+    service = attributes({"service.name": "service"})
+    return event_fields(spark, sf_dir).withColumn("body", props_value()).select(
+        F.expr(f"event_id div {ENVELOPE_SIZE}").alias("envelope"),
         "event_id",
         place_in(SERVICES, "service").alias("ri"),
-        F.struct(service.alias("attributes")).cast(RESOURCE).alias("resource"),
+        F.expr(f"CAST(named_struct('attributes', {service}) AS {RESOURCE})").alias("resource"),
         place_in(EVENT_TYPES, "event_type").alias("si"),
-        scope.cast(SCOPE).alias("scope"),
+        F.expr(f"CAST(named_struct('name', event_type, 'version', NULL, 'attributes', NULL) AS {SCOPE})").alias("scope"),
         F.col("event_id").alias("li"),
-        log_record(F.col("time_nanos"), F.col("observed_nanos"), props_value(), attrs).alias("record"),
+        log_record("time_nanos", "observed_nanos", "body", attrs).alias("record"),
     )
 
 
@@ -165,16 +147,10 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of ``conversations`` as log rows without ids: text bodies, a turn every 1.5 seconds."""
-    attrs = attributes(
-        **{
-            RUN_ID_KEY: string_value(F.concat(F.lit("conv-"), F.col("conv_id"))),
-            PHASE_KEY: string_value(F.col("role")),
-            EVENT_KEY: string_value(F.lit("chat.turn")),
-        }
-    )
-    nanos = (F.lit(NOW_MICROS) + F.col("turn") * 1500000) * 1000
-    record = log_record(nanos, F.lit(0), string_value(F.col("text")), attrs)
-    return extract_rows(table(spark, sf_dir, "conversations").select("conv_id", "turn", record.alias("record")))
+    attrs = attributes({RUN_ID_KEY: "concat('conv-', conv_id)", PHASE_KEY: "role", EVENT_KEY: "'chat.turn'"})
+    record = log_record(f"({NOW_MICROS} + turn * 1500000) * 1000", "0", "body", attrs)
+    turns = table(spark, sf_dir, "conversations").withColumn("body", string_value("text"))
+    return extract_rows(turns.select("conv_id", "turn", record.alias("record")))
 
 
 _built: dict = {}
@@ -197,11 +173,10 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log table made of ``events``."""
-    rows = keep_identified(event_rows(spark, sf_dir))
-    return _once(spark, sf_dir, "events", lambda t: append_logs(rows, t))
+    return _once(spark, sf_dir, "events", lambda t: append_logs(keep_identified(event_rows(spark, sf_dir)), t))
 
 
 def turn_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log table made of ``conversations``, with ids in the order of conversation and turn."""
-    rows = turn_rows(spark, sf_dir)
-    return _once(spark, sf_dir, "turns", lambda t: append_logs(rows, t, order_cols=["conv_id", "turn"]))
+    order = ["conv_id", "turn"]
+    return _once(spark, sf_dir, "turns", lambda t: append_logs(turn_rows(spark, sf_dir), t, order_cols=order))

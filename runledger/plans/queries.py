@@ -66,22 +66,17 @@ def skipped_inserted(spark, sf_dir):
 
 def _any_values() -> Column:
     """One of six kinds per event: text, bool, int, double, array, nested list."""
-    pair = F.array(inputs.element("intValue", F.col("user_id").cast("string")), inputs.element("stringValue", F.col("event_type")))
-    inner = F.to_variant_object(
-        F.struct(F.array(F.to_variant_object(F.struct(F.col("user_id").cast("string").alias("intValue")))).alias("values"))
-    )
-    nested = F.array(
-        inputs.entry(F.lit("list"), inputs.element("arrayValue", inner)),
-        inputs.entry(F.lit("click"), inputs.element("boolValue", F.col("event_type") == "click")),
-    )
+    inner = "to_variant_object(named_struct('values', array(to_variant_object(named_struct('intValue', string(user_id))))))"
+    listed = inputs.entry("'list'", inputs.element("arrayValue", inner))
+    clicked = inputs.entry("'click'", inputs.element("boolValue", "event_type = 'click'"))
     kind = F.col("event_id") % 6
     return (
-        F.when(kind == 0, inputs.string_value(F.col("event_type")))
-        .when(kind == 1, inputs.value_of("boolValue", F.col("value") > 50))
-        .when(kind == 2, inputs.int_value(F.col("user_id")))
-        .when(kind == 3, inputs.value_of("doubleValue", F.col("value")))
-        .when(kind == 4, inputs.array_value(pair))
-        .otherwise(inputs.kvlist_value(nested))
+        F.when(kind == 0, inputs.string_value("event_type"))
+        .when(kind == 1, inputs.value_of("boolValue", "value > 50"))
+        .when(kind == 2, inputs.int_value("user_id"))
+        .when(kind == 3, inputs.value_of("doubleValue", "value"))
+        .when(kind == 4, inputs.array_value(("intValue", "string(user_id)"), ("stringValue", "event_type")))
+        .otherwise(inputs.kvlist_value(f"array({listed}, {clicked})"))
     )
 
 
@@ -89,26 +84,26 @@ def _any_values() -> Column:
 def any_value_decode(spark, sf_dir):
     values = inputs.table(spark, sf_dir, "events").select("event_id", _any_values().alias("v"))
     return values.select(
-        "event_id", json_text(body_value(F.col("v"))).alias("body"), any_as_string(F.col("v")).alias("text")
+        "event_id", json_text(body_value("v")).alias("body"), any_as_string("v").alias("text")
     )
 
 
 @query
 def body_json(spark, sf_dir):
     values = inputs.table(spark, sf_dir, "events").select("event_id", inputs.props_value().alias("v"))
-    return values.select("event_id", json_text(body_value(F.col("v"))).alias("body"))
+    return values.select("event_id", json_text(body_value("v")).alias("body"))
 
 
 @query
 def body_string_json(spark, sf_dir):
-    values = inputs.table(spark, sf_dir, "conversations").select("conv_id", "turn", inputs.string_value(F.col("text")).alias("v"))
-    return values.select("conv_id", "turn", json_text(body_value(F.col("v"))).alias("body"))
+    values = inputs.table(spark, sf_dir, "conversations").select("conv_id", "turn", inputs.string_value("text").alias("v"))
+    return values.select("conv_id", "turn", json_text(body_value("v")).alias("body"))
 
 
 @query
 def document_bodies(spark, sf_dir):
-    body = body_value(inputs.string_value(F.col("text")))
-    documents = inputs.table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
+    values = inputs.table(spark, sf_dir, "documents").select("doc_id", inputs.string_value("text").alias("v"))
+    documents = values.select("doc_id", body_value("v").alias("body"))
     return documents.select("doc_id", json_text(F.col("body")).alias("body"), body_text(F.col("body")).alias("text"))
 
 
@@ -517,7 +512,7 @@ def insert_duration(spark, sf_dir):
 def _span_envelopes(spark, sf_dir) -> DataFrame:
     """``events`` as spans, one envelope per record batch and service."""
     fields = inputs.event_fields(spark, sf_dir)
-    resource = F.struct(inputs.attributes(**{"service.name": inputs.string_value(F.col("service"))}).alias("attributes"))
+    resource = F.expr(f"named_struct('attributes', {inputs.attributes({'service.name': 'service'})})")
     span = F.struct(
         F.hex("event_id").alias("spanId"),
         F.col("event_type").alias("name"),
@@ -541,7 +536,7 @@ def trace_forward(spark, sf_dir):
     return (
         scan_otlp_traces(spark, onward)
         .select(F.explode("resourceSpans").alias("r"))
-        .select(routing.text_attr(F.col("r.resource.attributes"), "service.name").alias("service"), F.explode(spans).alias("s"))
+        .select(routing.text_attr("r.resource.attributes", "service.name").alias("service"), F.explode(spans).alias("s"))
         .select("service", F.col("s.spanId").alias("span_id"), F.col("s.name").alias("name"))
     )
 

@@ -10,10 +10,10 @@ cannot hold.
 
 # 64-bit integers are strings in OTLP/JSON.
 _SCALARS = "stringValue:string,boolValue:boolean,intValue:string,doubleValue:double,bytesValue:string"
-_ELEMENT = f"struct<{_SCALARS},arrayValue:variant,kvlistValue:variant>"
+ELEMENT = f"struct<{_SCALARS},arrayValue:variant,kvlistValue:variant>"
 ANY_VALUE = (
-    f"struct<{_SCALARS},arrayValue:struct<values:array<{_ELEMENT}>>,"
-    f"kvlistValue:struct<values:array<struct<key:string,value:{_ELEMENT}>>>>"
+    f"struct<{_SCALARS},arrayValue:struct<values:array<{ELEMENT}>>,"
+    f"kvlistValue:struct<values:array<struct<key:string,value:{ELEMENT}>>>>"
 )
 ATTRIBUTES = f"array<struct<key:string,value:{ANY_VALUE}>>"
 

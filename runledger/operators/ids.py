@@ -63,24 +63,31 @@ def assign_ids(df: DataFrame, order_cols: list, start: int = 0, partitions: int
     )
 
 
-def assign_arrival_ids(batch: DataFrame, start: int = 0) -> DataFrame:
+def arrival_blocks(batch: DataFrame) -> DataFrame:
+    """``batch`` by the file blocks its rows came from: the rows in each, the rows before
+    it, and where its first row stands in its task.  One row per block."""
+    blocks = batch.withColumn("_place", _task_position()).groupBy(*ARRIVAL_COLUMNS)
+    sizes = blocks.agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    order = W.orderBy(*ARRIVAL_COLUMNS).rowsBetween(W.unboundedPreceding, -1)
+    return sizes.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+
+
+def assign_arrival_ids(batch: DataFrame, blocks: DataFrame, start: int = 0) -> DataFrame:
     """Add ``id`` to rows as they come from a file scan: ``start + 1 …`` without gaps, in
     order of file time, file path, and place in the file.
 
     Rows of a file block are read in order by one task, so the place in the
-    task less that of the block's first row is the place in the block, and the
-    sizes of the blocks before give the rest.  Rows are neither sorted nor
-    shuffled; only one count per block is.  ``batch`` must be the batch of a
-    streaming query (its blocks are fixed) and should be persisted.
+    task less that of the block's first row is the place in the block; the rows
+    in the blocks before give the rest.  Rows are neither sorted nor shuffled
+    if ``blocks`` (see :func:`arrival_blocks`) is broadcast.  ``batch`` must be
+    the persisted batch of a streaming query, whose blocks are fixed.
     """
-    placed = batch.withColumn("_place", _task_position())
-    blocks = placed.groupBy(*ARRIVAL_COLUMNS).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
-    order = W.orderBy(*ARRIVAL_COLUMNS).rowsBetween(W.unboundedPreceding, -1)
-    offsets = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0))).drop("_n")
-    found = F.coalesce(F.col("_before"), F.raise_error(F.lit("file block changed while ids were assigned")))
+    found = F.coalesce(F.col("_before"), F.raise_error(F.lit("a file block changed while ids were assigned")))
     keep = [c for c in batch.columns if c not in ARRIVAL_COLUMNS]
-    return placed.join(offsets, ARRIVAL_COLUMNS, "left").select(
-        *keep, (F.lit(start) + found + F.col("_place") - F.col("_first") + 1).cast("bigint").alias("id")
+    return (
+        batch.withColumn("_place", _task_position())
+        .join(blocks, ARRIVAL_COLUMNS, "left")
+        .select(*keep, (F.lit(start) + found + F.col("_place") - F.col("_first") + 1).cast("bigint").alias("id"))
     )
 
 

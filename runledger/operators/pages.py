@@ -15,6 +15,7 @@ from runledger.operators.extract import select_columns
 from runledger.operators.filters import after_id, for_phase, for_run
 from runledger.operators.ids import SLICE_WIDTH, positions
 from runledger.operators.rules import clamp_limit, parse_after, require_run_id
+from runledger.session import write_through
 
 
 @dataclass(frozen=True)
@@ -81,13 +82,14 @@ def page_bounds(
 ) -> DataFrame:
     """Where the page of every run begins and ends: ``agentic_run_id, after, next_after,
     records, has_more``.  Reads run and id only.  Without ``cursors`` (``agentic_run_id,
-    after``, one row per run) all runs start at 0."""
+    after``, one row per run) all runs start at 0; runs without a cursor are left out."""
     limit = clamp_limit(limit)
     narrow = for_phase(logs, phase).select("agentic_run_id", "id")
     if cursors is None:
         narrow = narrow.withColumn("after", F.lit(0).cast("bigint"))
     else:
-        narrow = narrow.join(cursors.select("agentic_run_id", "after"), "agentic_run_id")
+        written = write_through(cursors.select("agentic_run_id", "after"), "cursors")
+        narrow = narrow.join(written, "agentic_run_id")
     numbered = positions(narrow.filter("id > after"), slice_width).filter(F.col("position") <= limit + 1)
     on_page = F.col("position") <= limit
     return numbered.groupBy("agentic_run_id", "after").agg(
@@ -102,11 +104,13 @@ def pages_for_runs(
 ) -> DataFrame:
     """The page of every run at once: records with their run and its ``has_more``.
 
-    The bounds, one short row per run, meet the rows in an ordinary join:
-    broadcast while they are small, else by run with skewed runs split by
-    adaptive execution (the join splits only the side of the rows).
+    The bounds, one short row per run, are worked out and written first.  So
+    Spark knows their size when it plans the join with the wide rows: it
+    broadcasts them and leaves the rows where they are, or, beyond
+    ``spark.sql.autoBroadcastJoinThreshold``, joins by run, where adaptive
+    execution splits the rows of a hot run (its other side is a single row).
     """
-    bounds = page_bounds(logs, limit, cursors, phase, slice_width)
+    bounds = write_through(page_bounds(logs, limit, cursors, phase, slice_width), "bounds")
     rows = for_phase(logs, phase).select("agentic_run_id", "id", "phase", "timestamp", "event", "body")
     return (
         rows.join(bounds, "agentic_run_id")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.operators.filters import bucket_of
-from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, assign_arrival_ids, assign_ids, first_id
+from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, arrival_blocks, assign_arrival_ids, assign_ids, first_id
 from runledger.operators.rules import check_identifier, require_run_id
 from runledger.schema import DEFAULT_SCHEMA, DEFAULT_TABLE, TABLE_COLUMNS, TABLE_DDL
 from runledger.session import setting
@@ -87,6 +87,10 @@ def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols:
     _lay_out(rows, bucket_count(spark, table)).write.insertInto(table)
 
 
+# At most this many file blocks, at some 200 bytes each, are sent to every executor.
+_BROADCAST_BLOCKS = 100_000
+
+
 def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool = True) -> int:
     """Append one micro-batch of extracted rows once, and return the number of rows.
 
@@ -94,31 +98,43 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
     is skipped; if only some are, something else went wrong and this fails
     rather than guess.  Looking for the batch reads the footers of the table,
     so a writer that knows the batch is new can turn the check off.
+
+    Rows without ids need the file columns of a scan, and get ids in the order
+    of arrival within the range of the batch.
     """
     # The session of the batch: another one could see a stale list of files.
     spark = df.sparkSession
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = None
     try:
-        n = kept.count()
-        if n == 0:
-            return 0
-        if n >= BATCH_SPAN:
-            raise ValueError(f"micro-batch {batch_id} has {n} rows, more than its range of ids")
-        if check_replay:
-            there = scan_logs(spark, table).filter(F.col("batch_id") == batch_id).count()
-            if there == n:
-                return n
-            if there:
-                raise RuntimeError(f"micro-batch {batch_id} has {n} rows but {there} are in {table}")
-        if "id" in kept.columns:
+        # A micro-batch is written by an ordinary query; streams turn this off for their own.
+        with setting(spark, "spark.sql.adaptive.enabled", "true"):
+            if "id" in kept.columns:
+                n = kept.count()
+            elif set(ARRIVAL_COLUMNS) <= set(kept.columns):
+                blocks = arrival_blocks(kept).persist(StorageLevel.MEMORY_AND_DISK)
+                n_blocks, n = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+            else:
+                raise ValueError("a batch needs ids or the file columns of scan_otlp_logs")
+            if n == 0:
+                return 0
+            if n >= BATCH_SPAN:
+                raise ValueError(f"micro-batch {batch_id} has {n} rows, more than its range of ids")
+            if check_replay:
+                there = scan_logs(spark, table).filter(F.col("batch_id") == batch_id).count()
+                if there == n:
+                    return n
+                if there:
+                    raise RuntimeError(f"micro-batch {batch_id} has {n} rows but {there} are in {table}")
             rows = kept
-        elif set(ARRIVAL_COLUMNS) <= set(kept.columns):
-            rows = assign_arrival_ids(kept, first_id(batch_id))
-        else:
-            raise ValueError("a batch needs ids or the file columns of scan_otlp_logs")
-        append_logs(rows, table, batch_id)
-        return n
+            if blocks is not None:
+                small = n_blocks <= _BROADCAST_BLOCKS
+                rows = assign_arrival_ids(kept, F.broadcast(blocks) if small else blocks, first_id(batch_id))
+            append_logs(rows, table, batch_id)
+            return n
     finally:
+        if blocks is not None:
+            blocks.unpersist()
         kept.unpersist()
 
 
@@ -133,13 +149,13 @@ def delete_run(spark: SparkSession, table: str, run_id: str) -> int:
     bucket = spark.range(1).select(bucket_of(F.lit(run_id), buckets)).first()[0]
     in_bucket = logs.filter(F.col("bucket") == bucket)
     mine = F.col("agentic_run_id") == F.lit(run_id)
-    # Two narrow scans instead of one: the first is skipped down to the run by
-    # row-group statistics, and the second is needed only if there is a run.
+    # The first count is skipped down to the run by row-group statistics; the second
+    # reads one narrow column, and only if there is a run.
     deleted = in_bucket.filter(mine).count()
     if deleted == 0:
         return 0
     survivors = in_bucket.filter(~mine)
-    if survivors.isEmpty():
+    if survivors.count() == 0:
         # Overwriting a partition with no rows must name the partition; dynamic
         # overwrite would leave it as it is.
         columns = ", ".join(c for c in TABLE_COLUMNS if c != "bucket")

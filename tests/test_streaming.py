@@ -1,0 +1,238 @@
+import json
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import envelope, new_table, record, write_envelopes
+from runledger.operators.counts import histogram
+from runledger.operators.ids import BATCH_SPAN
+from runledger.operators.pages import get_page
+from runledger.operators.extract import flatten_logs
+from runledger.plans.inputs import now
+from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
+from runledger.sources.table import append_batch, scan_logs
+from runledger.streaming.ingest import drain, forward, start_ingest, start_routed, start_traces
+from runledger.streaming.metrics import IngestMetrics, insert_durations, progress_metrics, read_metrics
+from runledger.streaming.retry import with_retry
+
+
+def batch(first, n, run="r"):
+    return envelope(*[record(run, "p", f"e{i}", f"body {i}", observed=10**18 + i * 1000) for i in range(first, first + n)])
+
+
+def ingest(spark, tmp_path, name, **options):
+    checkpoint = str(tmp_path / options.pop("checkpoint", "checkpoint"))
+    q = start_ingest(spark, str(tmp_path / "in"), name, checkpoint, None, now(), **options)
+    q.awaitTermination()
+    return q
+
+
+def events(spark, name):
+    return [r["event"] for r in scan_logs(spark, name).orderBy("id").collect()]
+
+
+def test_ids_follow_arrival(spark, tmp_path):
+    """Files in order of their time, lines and records in order within a file."""
+    for i in range(4):
+        write_envelopes(tmp_path / "in", batch(i * 20, 10), batch(i * 20 + 10, 10))
+        time.sleep(0.02)
+    name = new_table(spark, 4)
+    ingest(spark, tmp_path, name, maxFilesPerTrigger=2)
+    assert events(spark, name) == [f"e{i}" for i in range(80)]
+    found = scan_logs(spark, name).groupBy("batch_id").agg(F.min("id"), F.max("id")).orderBy("batch_id").collect()
+    assert [tuple(r) for r in found] == [(0, 1, 40), (1, BATCH_SPAN + 1, BATCH_SPAN + 40)]
+
+
+def test_blocks_of_a_large_file(spark, tmp_path):
+    """A file that many tasks read still counts through, also with skipped records in between."""
+    lines = [envelope(record("r" if i % 3 else None, event=f"e{i}", body="x" * 500)) for i in range(600)]
+    write_envelopes(tmp_path / "in", *lines)
+    name = new_table(spark, 4)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    try:
+        ingest(spark, tmp_path, name)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    kept = [i for i in range(600) if i % 3]
+    rows = scan_logs(spark, name).orderBy("id").collect()
+    assert [r["event"] for r in rows] == [f"e{i}" for i in kept]
+    assert [r["id"] for r in rows] == list(range(1, len(kept) + 1))
+
+
+def test_restart_goes_on(spark, tmp_path):
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 30))
+    ingest(spark, tmp_path, name)
+    write_envelopes(tmp_path / "in", batch(30, 20))
+    ingest(spark, tmp_path, name)
+    ingest(spark, tmp_path, name)
+    assert events(spark, name) == [f"e{i}" for i in range(50)]
+
+
+def test_crash_between_write_and_checkpoint(spark, tmp_path):
+    """The batch was written, but the stream did not get to note it."""
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 30))
+
+    def write_then_fail(df, batch_id):
+        append_batch(df, batch_id, name)
+        raise RuntimeError("power cut")
+
+    with pytest.raises(Exception, match="power cut"):
+        ingest(spark, tmp_path, name, retry=lambda append: write_then_fail)
+    assert len(events(spark, name)) == 30
+    ingest(spark, tmp_path, name)
+    write_envelopes(tmp_path / "in", batch(30, 5))
+    ingest(spark, tmp_path, name)
+    assert events(spark, name) == [f"e{i}" for i in range(35)]
+
+
+def test_replay_with_a_second_checkpoint(spark, tmp_path):
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 10))
+    ingest(spark, tmp_path, name)
+    first = scan_logs(spark, name).select("id", "event").collect()
+    ingest(spark, tmp_path, name, checkpoint="another")
+    assert sorted(scan_logs(spark, name).select("id", "event").collect()) == sorted(first)
+
+
+def test_late_and_out_of_order_records_are_kept(spark, tmp_path):
+    name = new_table(spark, 4)
+    times = [5 * 10**18, 10**9, 10**18, 0]
+    for t in times:
+        write_envelopes(tmp_path / "in", envelope(record("r", time=t)))
+    ingest(spark, tmp_path, name, maxFilesPerTrigger=1)
+    assert scan_logs(spark, name).count() == len(times)
+
+
+def test_drain_finishes_what_has_arrived(spark, tmp_path):
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 50))
+    q = start_ingest(spark, str(tmp_path / "in"), name, str(tmp_path / "c"), "200 milliseconds")
+    drain(q)
+    assert not q.isActive and scan_logs(spark, name).count() == 50
+
+
+def test_concurrent_clients_share_a_prefix(spark, tmp_path):
+    from runledger.operators.counts import count_prefix
+
+    for client in range(5):
+        write_envelopes(tmp_path / "in", batch(0, 20, run=f"e2e-{client}"))
+    name = new_table(spark, 4)
+    ingest(spark, tmp_path, name)
+    assert count_prefix(scan_logs(spark, name), "e2e-").first()[0] == 100
+
+
+def test_a_thousand_records_page_by_page(spark, tmp_path):
+    write_envelopes(tmp_path / "in", batch(0, 1000))
+    name = new_table(spark, 4)
+    ingest(spark, tmp_path, name)
+    page = get_page(scan_logs(spark, name), "r", limit=100).read()
+    assert len(page.records) == 100 and page.has_more
+
+
+def test_counters_and_durations(spark, tmp_path):
+    write_envelopes(tmp_path / "in", batch(0, 7), envelope(record(None, event="lost")))
+    write_envelopes(tmp_path / "in", envelope(record("")))
+    write_envelopes(tmp_path / "in", envelope())
+    listener = IngestMetrics(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(listener)
+    try:
+        q = ingest(spark, tmp_path, new_table(spark, 4), maxFilesPerTrigger=1)
+        deadline = time.time() + 30
+        while not (tmp_path / "metrics" / "_SUCCESS").exists() and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    for metrics in (progress_metrics(spark, q.recentProgress), read_metrics(spark, str(tmp_path / "metrics"))):
+        rows = sorted(tuple(r)[1:4] for r in metrics.collect())
+        assert rows == [(1, 0, 1), (8, 7, 1)]  # the batch without records has none
+        assert histogram(insert_durations(metrics), "insert_seconds").first()["count"] == 1
+
+
+def test_routed_stream(spark, tmp_path):
+    for i in range(3):
+        write_envelopes(tmp_path / "in", envelope(record(f"a{i}"), service="x"), envelope(record(f"b{i}")))
+    out = {"x": [], "rest": []}
+
+    def branches(batch):
+        rows = flatten_logs(batch).withColumn("run", F.col("record.attributes")[0]["value"]["stringValue"])
+        return {"x": rows.filter("run LIKE 'a%'"), "rest": rows.filter("run LIKE 'b%'")}
+
+    sinks = {k: (lambda rows, batch_id, k=k: out[k].extend((batch_id, r["run"]) for r in rows.collect())) for k in out}
+    stream = scan_otlp_logs(spark, str(tmp_path / "in"), True, maxFilesPerTrigger=1)
+    start_routed(stream, branches, sinks, str(tmp_path / "c"), None).awaitTermination()
+    assert sorted(r for _, r in out["x"]) == ["a0", "a1", "a2"] and {b for b, _ in out["rest"]} == {0, 1, 2}
+
+
+SPANS = {
+    "resourceSpans": [
+        {
+            "resource": {"attributes": [{"key": "service.name", "value": {"stringValue": "s"}}]},
+            "scopeSpans": [{"scope": {"name": "n"}, "spans": [{"traceId": "0a", "name": "x", "kind": 1, "links": []}]}],
+        }
+    ]
+}
+
+
+def test_traces_are_forwarded_whole(spark, tmp_path):
+    write_envelopes(tmp_path / "in", SPANS, SPANS)
+    start_traces(spark, str(tmp_path / "in"), str(tmp_path / "c"), str(tmp_path / "out"), None).awaitTermination()
+    lines = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert lines == [SPANS, SPANS]
+    assert scan_otlp_traces(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_traces_are_dropped(spark, tmp_path):
+    write_envelopes(tmp_path / "in", SPANS)
+    q = start_traces(spark, str(tmp_path / "in"), str(tmp_path / "c"), None, None)
+    q.awaitTermination()
+    assert q.exception() is None and sum(p["numInputRows"] for p in q.recentProgress) == 1
+
+
+def test_logs_are_forwarded(spark, tmp_path):
+    write_envelopes(tmp_path / "in", batch(0, 3))
+    stream = scan_otlp_logs(spark, str(tmp_path / "in"), True)
+    forward(stream, str(tmp_path / "out"), str(tmp_path / "c"), None).awaitTermination()
+    assert flatten_logs(scan_otlp_logs(spark, str(tmp_path / "out"))).count() == 3
+
+
+def test_a_failing_write_stops_the_query(spark, tmp_path):
+    write_envelopes(tmp_path / "in", batch(0, 3))
+    with pytest.raises(Exception, match="no_such_table"):
+        ingest(spark, tmp_path, "no_such_table", retry=lambda f: with_retry(f, sleep=lambda s: None, max_elapsed=0))
+
+
+class Clock:
+    def __init__(self):
+        self.now, self.pauses = 0.0, []
+
+    def sleep(self, seconds):
+        self.pauses.append(seconds)
+        self.now += seconds
+
+
+def test_retry_until_it_works():
+    clock, calls = Clock(), []
+
+    def flaky(x):
+        calls.append(x)
+        if len(calls) < 4:
+            raise OSError("not yet")
+        return "done"
+
+    assert with_retry(flaky, sleep=clock.sleep, clock=lambda: clock.now)(7) == "done"
+    assert calls == [7] * 4 and 0.5 <= clock.pauses[0] <= 1.5
+
+
+def test_retry_gives_up():
+    clock = Clock()
+
+    def broken():
+        raise OSError("never")
+
+    with pytest.raises(OSError):
+        with_retry(broken, sleep=clock.sleep, clock=lambda: clock.now)()
+    assert 200 < clock.now <= 300 and max(clock.pauses) <= 45

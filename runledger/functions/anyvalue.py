@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-def attr(attributes: str, key: str) -> Column:
+def attr(attributes: Column | str, key: str) -> Column:
     """Any-value of the first attribute called ``key``; NULL if there is none."""
-    return F.get(F.filter(attributes, lambda a: a["key"] == key), F.lit(0))["value"]
+    listed = F.col(attributes) if isinstance(attributes, str) else attributes
+    # Position 0 is "not found", and there is nothing at index -1.
+    return F.get(listed, F.array_position(listed["key"], key) - 1)["value"]
 
 
 def _double_text(d: str) -> str:

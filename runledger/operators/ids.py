@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from runledger.session import write_through
 
 # Ids are unique, so at most this many rows of a run share a slice.
-SLICE_WIDTH = 1 << 20
+SLICE_WIDTH = 1 << 18
 
 # Ids set aside for one micro-batch, see first_id().
 BATCH_SPAN = 1 << 32

@@ -90,7 +90,8 @@ def log_record(time_nanos: str, observed_nanos: str, body: str, attrs: str) -> C
     return F.expr(f"""CAST(named_struct(
         'timeUnixNano', string({time_nanos}), 'observedTimeUnixNano', string({observed_nanos}),
         'severityNumber', 9, 'severityText', 'INFO', 'body', {body}, 'attributes', {attrs},
-        'traceId', NULL, 'spanId', NULL) AS {LOG_RECORD})""")
+        'droppedAttributesCount', NULL, 'flags', NULL, 'traceId', NULL, 'spanId', NULL, 'eventName', NULL)
+        AS {LOG_RECORD})""")
 
 
 def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,9 +128,12 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"event_id div {ENVELOPE_SIZE}").alias("envelope"),
         "event_id",
         place_in(SERVICES, "service").alias("ri"),
-        F.expr(f"CAST(named_struct('attributes', {service}) AS {RESOURCE})").alias("resource"),
+        F.expr(f"CAST(named_struct('attributes', {service}, 'droppedAttributesCount', NULL) AS {RESOURCE})").alias("resource"),
         place_in(EVENT_TYPES, "event_type").alias("si"),
-        F.expr(f"CAST(named_struct('name', event_type, 'version', NULL, 'attributes', NULL) AS {SCOPE})").alias("scope"),
+        F.expr(
+            f"CAST(named_struct('name', event_type, 'version', NULL, 'attributes', NULL, "
+            f"'droppedAttributesCount', NULL) AS {SCOPE})"
+        ).alias("scope"),
         F.col("event_id").alias("li"),
         log_record("time_nanos", "observed_nanos", "body", attrs).alias("record"),
     )

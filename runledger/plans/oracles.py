@@ -95,7 +95,7 @@ def _kinds(text: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "extracted_rows": f"{LOGS} SELECT id, agentic_run_id, {ROW} FROM logs",
+    "extract_rows": f"{LOGS} SELECT id, agentic_run_id, {ROW} FROM logs",
     "event_time": f"WITH {RAW} SELECT id, {_time('ts_us')} AS time FROM raw",
     "skipped_inserted": f"""WITH {RAW} SELECT count(*) AS records, count(*) FILTER (agentic_run_id <> '') AS inserted,
         count(*) FILTER (agentic_run_id = '') AS skipped FROM raw""",
@@ -103,48 +103,48 @@ ORACLES: dict[str, str] = {
         {_kinds("event_type")} AS text FROM events""",
     "body_json": "SELECT event_id, CAST(json(props) AS VARCHAR) AS body FROM events",
     "body_string_json": "SELECT conv_id, turn, CAST(to_json(text) AS VARCHAR) AS body FROM conversations",
-    "document_bodies": "SELECT doc_id, CAST(to_json(text) AS VARCHAR) AS body, text FROM documents",
-    "body_display": f"WITH {RAW} SELECT id, body AS text FROM raw",
-    "turn_display": f"WITH {TURNS} SELECT agentic_run_id, id, text FROM turns",
-    "event_rfc3339": f"SELECT event_id, {_time('epoch_us(ts)')} AS time FROM events",
+    "document_body_text": "SELECT doc_id, CAST(to_json(text) AS VARCHAR) AS body, text FROM documents",
+    "event_body_text": f"WITH {RAW} SELECT id, body AS text FROM raw",
+    "body_text": f"WITH {TURNS} SELECT agentic_run_id, id, text FROM turns",
+    "rfc3339": f"SELECT event_id, {_time('epoch_us(ts)')} AS time FROM events",
     "page_first": _page("id > 0", 10),
     "page_next": f"""{RANKED} SELECT id, {ROW} FROM ranked
         WHERE agentic_run_id = '{RUN}' AND rn BETWEEN 11 AND 20""",
     "page_phase": _page("phase = 'execution'", 5),
     "page_capped": _page("id > 0", 1000),
-    "page_summary": f"""{RANKED} SELECT '{RUN}' AS agentic_run_id, count(*) AS records, max(n) > 10 AS has_more,
+    "next_cursor": f"""{RANKED} SELECT '{RUN}' AS agentic_run_id, count(*) AS records, max(n) > 10 AS has_more,
         max(id) AS next_after FROM ranked WHERE agentic_run_id = '{RUN}' AND rn <= 10""",
-    "pages_all_runs": f"{RANKED} SELECT agentic_run_id, id, n > 10 AS has_more, {ROW} FROM ranked WHERE rn <= 10",
-    "pages_from_cursors": f"""{LOGS}, cursors AS (
+    "pages_for_runs": f"{RANKED} SELECT agentic_run_id, id, n > 10 AS has_more, {ROW} FROM ranked WHERE rn <= 10",
+    "pages_for_cursors": f"""{LOGS}, cursors AS (
           SELECT agentic_run_id AS run, min(id) AS after FROM logs WHERE phase = '' GROUP BY 1),
         ranked AS (
           SELECT logs.*, row_number() OVER (PARTITION BY agentic_run_id ORDER BY id) AS rn,
             count(*) OVER (PARTITION BY agentic_run_id) AS n
           FROM logs JOIN cursors ON agentic_run_id = run WHERE id > after AND phase = 'planning')
         SELECT agentic_run_id, id, n > 5 AS has_more, {ROW} FROM ranked WHERE rn <= 5""",
-    "next_cursors": f"""{RANKED} SELECT agentic_run_id, count(*) AS records, max(n) > 10 AS has_more,
+    "page_bounds": f"""{RANKED} SELECT agentic_run_id, count(*) AS records, max(n) > 10 AS has_more,
         max(id) AS next_after FROM ranked WHERE rn <= 10 GROUP BY 1""",
     "page_walk": f"{RANKED} SELECT agentic_run_id, id, (rn - 1) // 10 AS page FROM ranked",
     "page_walk_sliced": f"{RANKED} SELECT agentic_run_id, id, (rn - 1) // 10 AS page FROM ranked",
-    "run_count": f"{LOGS} SELECT count(*) AS n FROM logs WHERE agentic_run_id = '{RUN}'",
-    "run_counts": f"{LOGS} SELECT agentic_run_id, count(*) AS n FROM logs GROUP BY 1",
-    "prefix_count": f"{LOGS} SELECT count(*) AS n FROM logs WHERE agentic_run_id LIKE '{PREFIX}%'",
-    "assigned_ids": "SELECT event_id, row_number() OVER (ORDER BY event_type, ts, event_id) AS id FROM events",
-    "assigned_order_ids": """SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id
+    "count_run": f"{LOGS} SELECT count(*) AS n FROM logs WHERE agentic_run_id = '{RUN}'",
+    "count_by_run": f"{LOGS} SELECT agentic_run_id, count(*) AS n FROM logs GROUP BY 1",
+    "count_prefix": f"{LOGS} SELECT count(*) AS n FROM logs WHERE agentic_run_id LIKE '{PREFIX}%'",
+    "assign_ids": "SELECT event_id, row_number() OVER (ORDER BY event_type, ts, event_id) AS id FROM events",
+    "assign_order_ids": """SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id
         FROM orders""",
-    "batch_sizes": "SELECT event_id // 100 AS batch, count(*) AS records FROM events GROUP BY 1",
+    "batch_counts": "SELECT event_id // 100 AS batch, count(*) AS records FROM events GROUP BY 1",
     "batch_slots": f"""WITH {RAW} SELECT ts_us // 1000000 * 1000000 AS slot_us, count(*) AS records
         FROM raw GROUP BY 1""",
-    "slot_histogram": _histogram(
+    "batch_histogram": _histogram(
         f"WITH {RAW}, vals AS (SELECT count(*) AS v0 FROM raw GROUP BY ts_us // 3600000000)", "v0", "CAST(sum(v0) AS DOUBLE)"
     ),
     "value_histogram": _histogram("WITH vals AS (SELECT value AS v0 FROM events)", "v0", "round(sum(v0), 2)"),
-    "route_sizes": f"""{ROUTED}
+    "route_counts": f"""{ROUTED}
         SELECT 'store' AS pipeline, count(*) AS records FROM routed WHERE route IS NOT NULL
         UNION ALL SELECT 'alerts', count(*) FROM routed WHERE route = 1
         UNION ALL SELECT 'unmatched', count(*) FROM routed WHERE route IS NULL""",
     "route_matched": f"{ROUTED} SELECT event_id FROM routed WHERE route IS NOT NULL",
-    "route_unmatched": f"{ROUTED} SELECT event_id FROM routed WHERE route IS NULL",
+    "route_default": f"{ROUTED} SELECT event_id FROM routed WHERE route IS NULL",
     "fan_out": f"""{ROUTED}
         SELECT 'store' AS pipeline, id FROM routed WHERE route IS NOT NULL AND agentic_run_id <> ''
         UNION ALL SELECT 'alerts', id FROM routed WHERE route = 1""",
@@ -160,7 +160,7 @@ ORACLES: dict[str, str] = {
     "otlp_files": _FULL,
     "envelope_routing": f"""{PLACED} SELECT CASE WHEN place = 0 THEN 'store' ELSE 'unmatched' END AS pipeline,
         envelope, count(*) AS records FROM placed GROUP BY 1, 2""",
-    "record_stream": f"{LOGS} SELECT {RECORD} AS value FROM logs",
+    "records_json": f"{LOGS} SELECT {RECORD} AS value FROM logs",
     "json_page": f"""{LOGS}, page AS (
           SELECT *, row_number() OVER (ORDER BY id) AS rn, count(*) OVER () AS n FROM logs
           WHERE agentic_run_id = '{RUN}' AND phase = 'planning')
@@ -190,13 +190,13 @@ ORACLES: dict[str, str] = {
     "purge_survivors": f"""{NOISY} SELECT agentic_run_id, id FROM logs
         WHERE agentic_run_id NOT IN (SELECT agentic_run_id FROM listed)""",
     "purge_counts": f"{NOISY} {DELETED}",
-    "delete_results": f"""{NOISY}, deleted AS ({DELETED})
+    "delete_result": f"""{NOISY}, deleted AS ({DELETED})
         SELECT '{{"deleted":' || deleted || ',"agentic_run_id":"' || agentic_run_id || '"}}' AS value FROM deleted""",
-    "deleted_run": f"""{LOGS} SELECT agentic_run_id, id,
+    "delete_run": f"""{LOGS} SELECT agentic_run_id, id,
         (SELECT count(*) FROM logs WHERE agentic_run_id = '{RUN}') AS deleted
         FROM logs WHERE agentic_run_id <> '{RUN}'""",
     "replayed_batch": f"{LOGS} SELECT agentic_run_id, id, CAST(7 AS BIGINT) AS batch_id, {ROW} FROM logs",
-    "after_cursor": f"{LOGS} SELECT id, phase, event FROM logs WHERE agentic_run_id = '{RUN}' AND id > 500",
+    "after_id": f"{LOGS} SELECT id, phase, event FROM logs WHERE agentic_run_id = '{RUN}' AND id > 500",
     "stream_ingest": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
     "stream_ids": f"""{LOGS} SELECT count(*) AS records, count(DISTINCT id) AS ids, true AS dense, true AS in_range
         FROM logs""",

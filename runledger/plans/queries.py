@@ -30,9 +30,12 @@ PREFIX = "run-1"
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(fn):
-    REGISTRY[fn.__name__] = fn
-    return fn
+def query(name: str):
+    def register(fn):
+        REGISTRY[name] = fn
+        return fn
+
+    return register
 
 
 def shown(rows: DataFrame, *extra: str) -> DataFrame:
@@ -49,17 +52,17 @@ def shown(rows: DataFrame, *extra: str) -> DataFrame:
 # --- extraction ---
 
 
-@query
+@query("extract_rows")
 def extracted_rows(spark, sf_dir):
     return shown(keep_identified(inputs.event_rows(spark, sf_dir)), "id", "agentic_run_id")
 
 
-@query
+@query("event_time")
 def event_time(spark, sf_dir):
     return inputs.event_rows(spark, sf_dir).select("id", rfc3339(F.col("timestamp")).alias("time"))
 
 
-@query
+@query("skipped_inserted")
 def skipped_inserted(spark, sf_dir):
     return ingest_stats(inputs.event_rows(spark, sf_dir))
 
@@ -80,7 +83,7 @@ def _any_values() -> Column:
     )
 
 
-@query
+@query("any_value_decode")
 def any_value_decode(spark, sf_dir):
     values = inputs.table(spark, sf_dir, "events").select("event_id", _any_values().alias("v"))
     return values.select(
@@ -88,36 +91,36 @@ def any_value_decode(spark, sf_dir):
     )
 
 
-@query
+@query("body_json")
 def body_json(spark, sf_dir):
     values = inputs.table(spark, sf_dir, "events").select("event_id", inputs.props_value().alias("v"))
     return values.select("event_id", json_text(body_value("v")).alias("body"))
 
 
-@query
+@query("body_string_json")
 def body_string_json(spark, sf_dir):
     values = inputs.table(spark, sf_dir, "conversations").select("conv_id", "turn", inputs.string_value("text").alias("v"))
     return values.select("conv_id", "turn", json_text(body_value("v")).alias("body"))
 
 
-@query
+@query("document_body_text")
 def document_bodies(spark, sf_dir):
     values = inputs.table(spark, sf_dir, "documents").select("doc_id", inputs.string_value("text").alias("v"))
     documents = values.select("doc_id", body_value("v").alias("body"))
     return documents.select("doc_id", json_text(F.col("body")).alias("body"), body_text(F.col("body")).alias("text"))
 
 
-@query
+@query("event_body_text")
 def body_display(spark, sf_dir):
     return inputs.event_rows(spark, sf_dir).select("id", body_text(F.col("body")).alias("text"))
 
 
-@query
+@query("body_text")
 def turn_display(spark, sf_dir):
     return inputs.turn_logs(spark, sf_dir).select("agentic_run_id", "id", body_text(F.col("body")).alias("text"))
 
 
-@query
+@query("rfc3339")
 def event_rfc3339(spark, sf_dir):
     ts = F.timestamp_micros(inputs.epoch_micros(F.col("ts")))
     return inputs.table(spark, sf_dir, "events").select("event_id", rfc3339(ts).alias("time"))
@@ -126,39 +129,39 @@ def event_rfc3339(spark, sf_dir):
 # --- pages ---
 
 
-@query
+@query("page_first")
 def page_first(spark, sf_dir):
     return shown(pages.get_page(inputs.event_logs(spark, sf_dir), RUN, limit=10).rows, "id")
 
 
-@query
+@query("page_next")
 def page_next(spark, sf_dir):
     logs = inputs.event_logs(spark, sf_dir)
     first = pages.get_page(logs, RUN, limit=10).read()
     return shown(pages.get_page(logs, RUN, limit=10, after=first.next_after).rows, "id")
 
 
-@query
+@query("page_phase")
 def page_phase(spark, sf_dir):
     return shown(pages.get_page(inputs.event_logs(spark, sf_dir), RUN, phase="execution", limit=5).rows, "id")
 
 
-@query
+@query("page_capped")
 def page_capped(spark, sf_dir):
     return shown(pages.get_page(inputs.event_logs(spark, sf_dir), RUN, limit=9999).rows, "id")
 
 
-@query
+@query("next_cursor")
 def page_summary(spark, sf_dir):
     return pages.get_page(inputs.event_logs(spark, sf_dir), RUN, limit=10).summary
 
 
-@query
+@query("pages_for_runs")
 def pages_all_runs(spark, sf_dir):
     return shown(pages.pages_for_runs(inputs.event_logs(spark, sf_dir), 10), "agentic_run_id", "id", "has_more")
 
 
-@query
+@query("pages_for_cursors")
 def pages_from_cursors(spark, sf_dir):
     """Each run from behind its last error on, errors having no phase, in one phase."""
     logs = inputs.event_logs(spark, sf_dir)
@@ -167,18 +170,18 @@ def pages_from_cursors(spark, sf_dir):
     return shown(found, "agentic_run_id", "id", "has_more")
 
 
-@query
+@query("page_bounds")
 def next_cursors(spark, sf_dir):
     bounds = pages.page_bounds(inputs.event_logs(spark, sf_dir), 10)
     return bounds.select("agentic_run_id", "records", "has_more", "next_after")
 
 
-@query
+@query("page_walk")
 def page_walk(spark, sf_dir):
     return pages.paginate(inputs.event_logs(spark, sf_dir), 10).select("agentic_run_id", "id", "page")
 
 
-@query
+@query("page_walk_sliced")
 def page_walk_sliced(spark, sf_dir):
     """The same with slices of 512 ids, so that every run spans many."""
     return pages.paginate(inputs.event_logs(spark, sf_dir), 10, slice_width=512).select("agentic_run_id", "id", "page")
@@ -187,17 +190,17 @@ def page_walk_sliced(spark, sf_dir):
 # --- counts ---
 
 
-@query
+@query("count_run")
 def run_count(spark, sf_dir):
     return counts.count_run(inputs.event_logs(spark, sf_dir), RUN)
 
 
-@query
+@query("count_by_run")
 def run_counts(spark, sf_dir):
     return counts.count_by_run(inputs.event_logs(spark, sf_dir))
 
 
-@query
+@query("count_prefix")
 def prefix_count(spark, sf_dir):
     return counts.count_prefix(inputs.event_logs(spark, sf_dir), PREFIX)
 
@@ -206,36 +209,36 @@ def _numbered(spark, sf_dir) -> DataFrame:
     return ids.assign_ids(inputs.table(spark, sf_dir, "events"), ["event_type", "ts", "event_id"])
 
 
-@query
+@query("assign_ids")
 def assigned_ids(spark, sf_dir):
     return _numbered(spark, sf_dir).select("event_id", "id")
 
 
-@query
+@query("assign_order_ids")
 def assigned_order_ids(spark, sf_dir):
     orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return ids.assign_ids(orders, ["o_orderdate", "o_orderkey"], start=1000).select("o_orderkey", "id")
 
 
-@query
+@query("batch_counts")
 def batch_sizes(spark, sf_dir):
     return counts.batch_counts(ids.assign_batches(inputs.event_rows(spark, sf_dir), 100))
 
 
-@query
+@query("batch_slots")
 def batch_slots(spark, sf_dir):
     slots = ids.assign_slots(inputs.event_rows(spark, sf_dir), "timestamp", "1 second")
     sizes = counts.batch_counts(slots, "slot")
     return sizes.select(F.unix_micros("slot").alias("slot_us"), "records")
 
 
-@query
+@query("batch_histogram")
 def slot_histogram(spark, sf_dir):
     slots = ids.assign_slots(inputs.event_rows(spark, sf_dir), "timestamp", "1 hour")
     return counts.histogram(counts.batch_counts(slots, "slot"), "records")
 
 
-@query
+@query("value_histogram")
 def value_histogram(spark, sf_dir):
     """Buckets include their upper bound, which rounded values often meet."""
     found = counts.histogram(inputs.table(spark, sf_dir, "events"), "value")
@@ -256,7 +259,7 @@ def _routed(flat: DataFrame) -> dict[str, DataFrame]:
     return routing.route(flat, _routes(), ["unmatched"])
 
 
-@query
+@query("route_counts")
 def route_sizes(spark, sf_dir):
     routed = _routed(inputs.event_records(spark, sf_dir))
     return routing.merge_sources(*[
@@ -264,17 +267,17 @@ def route_sizes(spark, sf_dir):
     ])
 
 
-@query
+@query("route_matched")
 def route_matched(spark, sf_dir):
     return _routed(inputs.event_records(spark, sf_dir))["store"].select("event_id")
 
 
-@query
+@query("route_default")
 def route_unmatched(spark, sf_dir):
     return _routed(inputs.event_records(spark, sf_dir))["unmatched"].select("event_id")
 
 
-@query
+@query("fan_out")
 def fan_out(spark, sf_dir):
     """One read of the input, one table or sink per pipeline."""
     stored, alerts = inputs.new_table(spark), scratch_path(spark, "alerts")
@@ -291,7 +294,7 @@ def fan_out(spark, sf_dir):
     )
 
 
-@query
+@query("fan_in")
 def fan_in(spark, sf_dir):
     events = keep_identified(inputs.event_rows(spark, sf_dir)).select("agentic_run_id", "phase", "event")
     turns = keep_identified(inputs.turn_rows(spark, sf_dir)).select("agentic_run_id", "phase", "event")
@@ -308,12 +311,12 @@ def _from_envelopes(envelopes: DataFrame) -> DataFrame:
     return shown(extract_rows(flat, inputs.now()).drop(*keep), "agentic_run_id", "service", "scope_name")
 
 
-@query
+@query("otlp_roundtrip")
 def otlp_roundtrip(spark, sf_dir):
     return _from_envelopes(inputs.event_envelopes(spark, sf_dir).drop("envelope"))
 
 
-@query
+@query("otlp_order")
 def otlp_order(spark, sf_dir):
     """Records come out of an envelope in the order they went in: by service, scope and position."""
     flat = flatten_logs(inputs.event_envelopes(spark, sf_dir))
@@ -321,14 +324,14 @@ def otlp_order(spark, sf_dir):
     return flat.select("envelope", "ri", "si", "li", seen.alias("observed"))
 
 
-@query
+@query("otlp_files")
 def otlp_files(spark, sf_dir):
     path = scratch_path(spark, "envelopes")
     write_otlp(inputs.event_envelopes(spark, sf_dir), path)
     return _from_envelopes(scan_otlp_logs(spark, path))
 
 
-@query
+@query("envelope_routing")
 def envelope_routing(spark, sf_dir):
     """Whole resources are routed inside their envelopes."""
     routes = [(lambda attributes: routing.text_attr(attributes, "service.name") == inputs.SERVICES[0], ("store",))]
@@ -342,28 +345,28 @@ def envelope_routing(spark, sf_dir):
 # --- renderings ---
 
 
-@query
+@query("records_json")
 def record_stream(spark, sf_dir):
     return render.records_json(inputs.event_logs(spark, sf_dir))
 
 
-@query
+@query("json_page")
 def json_page(spark, sf_dir):
     return render.render_json(pages.get_page(inputs.event_logs(spark, sf_dir), RUN, phase="planning", limit=5))
 
 
-@query
+@query("text_page")
 def text_page(spark, sf_dir):
     page = pages.get_page(inputs.turn_logs(spark, sf_dir), CONVERSATION, limit=2, format="text")
     return render.render_page(page)
 
 
-@query
+@query("json_pages")
 def json_pages(spark, sf_dir):
     return render.pages_json(pages.pages_for_runs(inputs.event_logs(spark, sf_dir), 10))
 
 
-@query
+@query("text_pages")
 def text_pages(spark, sf_dir):
     return render.pages_text(pages.pages_for_runs(inputs.turn_logs(spark, sf_dir), 3))
 
@@ -378,19 +381,19 @@ def _noisy_runs(logs: DataFrame) -> DataFrame:
     return routing.merge_sources(errors.filter("count > 12").select("agentic_run_id"), unknown)
 
 
-@query
+@query("purge_survivors")
 def purge_survivors(spark, sf_dir):
     logs = inputs.event_logs(spark, sf_dir)
     return purge.purge_runs(logs, _noisy_runs(logs))[0].select("agentic_run_id", "id")
 
 
-@query
+@query("purge_counts")
 def purge_counts(spark, sf_dir):
     logs = inputs.event_logs(spark, sf_dir)
     return purge.purge_runs(logs, _noisy_runs(logs))[1]
 
 
-@query
+@query("delete_result")
 def delete_results(spark, sf_dir):
     logs = inputs.event_logs(spark, sf_dir)
     return render.render_delete(purge.purge_runs(logs, _noisy_runs(logs))[1])
@@ -402,7 +405,7 @@ def _copy(spark, sf_dir) -> str:
     return name
 
 
-@query
+@query("delete_run")
 def deleted_run(spark, sf_dir):
     """The table after a run was deleted, with the number that was reported."""
     name = _copy(spark, sf_dir)
@@ -410,7 +413,7 @@ def deleted_run(spark, sf_dir):
     return scan_logs(spark, name).select("agentic_run_id", "id", F.lit(n).cast("bigint").alias("deleted"))
 
 
-@query
+@query("replayed_batch")
 def replayed_batch(spark, sf_dir):
     """A batch that comes twice is there once."""
     name = inputs.new_table(spark)
@@ -420,7 +423,7 @@ def replayed_batch(spark, sf_dir):
     return shown(scan_logs(spark, name), "agentic_run_id", "id", "batch_id")
 
 
-@query
+@query("after_id")
 def after_cursor(spark, sf_dir):
     logs = inputs.event_logs(spark, sf_dir)
     return after_id(for_run(logs, RUN), 500).select("id", "phase", "event")
@@ -443,13 +446,13 @@ def _ingested(spark, sf_dir, **options):
     return name, source, q
 
 
-@query
+@query("stream_ingest")
 def stream_ingest(spark, sf_dir):
     name, _, _ = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
     return shown(scan_logs(spark, name), "agentic_run_id")
 
 
-@query
+@query("stream_ids")
 def stream_ids(spark, sf_dir):
     """Ids of a stream are unique, and dense within each micro-batch."""
     name, _, _ = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
@@ -464,7 +467,7 @@ def stream_ids(spark, sf_dir):
     )
 
 
-@query
+@query("stream_replay")
 def stream_replay(spark, sf_dir):
     """The same source again with a second checkpoint: rows once."""
     name, source, _ = _ingested(spark, sf_dir)
@@ -473,7 +476,7 @@ def stream_replay(spark, sf_dir):
     return shown(scan_logs(spark, name), "agentic_run_id")
 
 
-@query
+@query("stream_route")
 def stream_route(spark, sf_dir):
     """Routed, then stored, forwarded or dropped; forwarded records are read back."""
     name, onward = inputs.new_table(spark), scratch_path(spark, "onward")
@@ -496,14 +499,14 @@ def stream_route(spark, sf_dir):
     )
 
 
-@query
+@query("stream_counters")
 def stream_counters(spark, sf_dir):
     _, _, q = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
     metrics = progress_metrics(spark, q.recentProgress)
     return metrics.agg(*[F.sum(c).alias(c) for c in ("records", "inserted", "skipped")])
 
 
-@query
+@query("insert_duration")
 def insert_duration(spark, sf_dir):
     _, _, q = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
     return counts.histogram(insert_durations(progress_metrics(spark, q.recentProgress)), "insert_seconds")
@@ -526,7 +529,7 @@ def _span_envelopes(spark, sf_dir) -> DataFrame:
     return spans.select(F.array(F.struct("resource", scope_spans.alias("scopeSpans"))).alias("resourceSpans"))
 
 
-@query
+@query("trace_forward")
 def trace_forward(spark, sf_dir):
     """Spans are passed on whole, whatever their service."""
     source, onward = scratch_path(spark, "spans"), scratch_path(spark, "onward")
@@ -541,7 +544,7 @@ def trace_forward(spark, sf_dir):
     )
 
 
-@query
+@query("signal_split")
 def signal_split(spark, sf_dir):
     """Logs are stored, traces dropped, by two queries over two sources."""
     name, logs, spans = inputs.new_table(spark), _envelope_files(spark, sf_dir), scratch_path(spark, "spans")

@@ -17,20 +17,21 @@ ANY_VALUE = (
 )
 ATTRIBUTES = f"array<struct<key:string,value:{ANY_VALUE}>>"
 
-RESOURCE = f"struct<attributes:{ATTRIBUTES}>"
-SCOPE = f"struct<name:string,version:string,attributes:{ATTRIBUTES}>"
+RESOURCE = f"struct<attributes:{ATTRIBUTES},droppedAttributesCount:int>"
+SCOPE = f"struct<name:string,version:string,attributes:{ATTRIBUTES},droppedAttributesCount:int>"
 
 LOG_RECORD = (
     "struct<timeUnixNano:string,observedTimeUnixNano:string,"
     f"severityNumber:int,severityText:string,body:{ANY_VALUE},"
-    f"attributes:{ATTRIBUTES},traceId:string,spanId:string>"
+    f"attributes:{ATTRIBUTES},droppedAttributesCount:int,flags:bigint,"
+    "traceId:string,spanId:string,eventName:string>"
 )
-SCOPE_LOGS = f"struct<scope:{SCOPE},logRecords:array<{LOG_RECORD}>>"
+SCOPE_LOGS = f"struct<scope:{SCOPE},logRecords:array<{LOG_RECORD}>,schemaUrl:string>"
 
-OTLP_LOGS = f"resourceLogs array<struct<resource:{RESOURCE},scopeLogs:array<{SCOPE_LOGS}>>>"
+OTLP_LOGS = f"resourceLogs array<struct<resource:{RESOURCE},scopeLogs:array<{SCOPE_LOGS}>,schemaUrl:string>>"
 
 # Traces are only routed and passed on, so everything below the resource is opaque.
-OTLP_TRACES = f"resourceSpans array<struct<resource:{RESOURCE},scopeSpans:variant>>"
+OTLP_TRACES = f"resourceSpans array<struct<resource:{RESOURCE},scopeSpans:variant,schemaUrl:string>>"
 
 # Attribute keys, table name and limits a reader or writer may rely on.
 RUN_ID_KEY = "agenticrun.uid"

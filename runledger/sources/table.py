@@ -38,12 +38,14 @@ def ensure_table(
     number of files, so a huge run is still read and written by many tasks.
     """
     schema, table = check_identifier(schema), check_identifier(table)
-    below = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{below}")
-    below = f" LOCATION '{location}/{table}'" if location else ""
+
+    def at(path):
+        return "" if path is None else " LOCATION '" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at(location)}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({TABLE_DDL}) USING parquet "
-        f"PARTITIONED BY (bucket){below} TBLPROPERTIES ('{_BUCKETS}' = '{int(buckets)}')"
+        f"PARTITIONED BY (bucket){at(location and f'{location}/{table}')} TBLPROPERTIES ('{_BUCKETS}' = '{int(buckets)}')"
     )
     return f"{schema}.{table}"
 

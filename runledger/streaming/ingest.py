@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from runledger.operators.extract import extract_rows, flatten_logs, ingest_counters, keep_identified
-from runledger.operators.routing import run_pipelines
+from runledger.operators.routing import merge_sources, run_pipelines
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
 from runledger.sources.table import append_batch
 from runledger.streaming.retry import with_retry
@@ -52,9 +52,15 @@ def _start(writer, checkpoint: str, trigger: str | None) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**timing).start()
 
 
+def _bounded(options: dict) -> dict:
+    """Options of a file source with a bound on what one micro-batch takes in."""
+    bounds = {"maxFilesPerTrigger", "maxBytesPerTrigger"}
+    return options if bounds & set(options) else {"maxFilesPerTrigger": 1000, **options}
+
+
 def start_ingest(
     spark: SparkSession,
-    source: str,
+    source: str | list[str],
     table: str,
     checkpoint: str,
     trigger: str | None = "1 second",
@@ -62,13 +68,14 @@ def start_ingest(
     retry: Callable = with_retry,
     **options,
 ) -> StreamingQuery:
-    """Append the log envelopes that turn up in ``source`` to ``table``.
+    """Append the log envelopes that turn up in ``source``, one path or several, to ``table``.
 
-    ``options`` go to the file source, ``maxFilesPerTrigger=1000`` unless given.
-    Progress is kept in ``checkpoint``: a query started again goes on where
-    the last one stopped.
+    ``options`` go to the file source.  Progress is kept in ``checkpoint``: a
+    query started again goes on where the last one stopped.  A table takes one
+    such query; several sources are merged into it.
     """
-    rows = log_rows(scan_otlp_logs(spark, source, True, **{"maxFilesPerTrigger": 1000, **options}), now)
+    paths = [source] if isinstance(source, str) else source
+    rows = log_rows(merge_sources(*[scan_otlp_logs(spark, p, True, **_bounded(options)) for p in paths]), now)
     return _start(rows.writeStream.foreachBatch(table_sink(table, retry)), checkpoint, trigger)
 
 
@@ -115,7 +122,7 @@ def start_traces(
 
     Logs and traces are separate queries, each with a checkpoint; metrics have none.
     """
-    stream = scan_otlp_traces(spark, source, True, **{"maxFilesPerTrigger": 1000, **options})
+    stream = scan_otlp_traces(spark, source, True, **_bounded(options))
     return forward(stream, path, checkpoint, trigger) if path else drop(stream, checkpoint, trigger)
 
 

@@ -12,7 +12,7 @@ from runledger.operators.extract import flatten_logs
 from runledger.plans.inputs import now
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
 from runledger.sources.table import append_batch, scan_logs
-from runledger.streaming.ingest import drain, forward, start_ingest, start_routed, start_traces
+from runledger.streaming.ingest import drain, forward, print_stream, start_ingest, start_routed, start_traces
 from runledger.streaming.metrics import IngestMetrics, insert_durations, progress_metrics, read_metrics
 from runledger.streaming.retry import with_retry
 
@@ -125,6 +125,24 @@ def test_concurrent_clients_share_a_prefix(spark, tmp_path):
     assert count_prefix(scan_logs(spark, name), "e2e-").first()[0] == 100
 
 
+def test_several_sources_in_one_stream(spark, tmp_path):
+    for source in ("one", "two"):
+        write_envelopes(tmp_path / source, batch(0, 10, run=source))
+    name = new_table(spark, 4)
+    sources = [str(tmp_path / "one"), str(tmp_path / "two")]
+    start_ingest(spark, sources, name, str(tmp_path / "c"), None, maxBytesPerTrigger=1 << 30).awaitTermination()
+    rows = scan_logs(spark, name)
+    assert sorted(r["id"] for r in rows.collect()) == list(range(1, 21))
+    assert [r["event"] for r in rows.filter("agentic_run_id = 'two'").orderBy("id").collect()] == [f"e{i}" for i in range(10)]
+
+
+def test_printed_stream(spark, tmp_path):
+    write_envelopes(tmp_path / "in", batch(0, 3))
+    q = print_stream(scan_otlp_logs(spark, str(tmp_path / "in"), True).select("file_block_start"), str(tmp_path / "c"), 1, None)
+    q.awaitTermination()
+    assert q.exception() is None and q.recentProgress[0]["numInputRows"] == 1
+
+
 def test_a_thousand_records_page_by_page(spark, tmp_path):
     write_envelopes(tmp_path / "in", batch(0, 1000))
     name = new_table(spark, 4)
@@ -192,11 +210,16 @@ def test_traces_are_dropped(spark, tmp_path):
     assert q.exception() is None and sum(p["numInputRows"] for p in q.recentProgress) == 1
 
 
-def test_logs_are_forwarded(spark, tmp_path):
-    write_envelopes(tmp_path / "in", batch(0, 3))
+def test_logs_are_forwarded_whole(spark, tmp_path):
+    whole = batch(0, 3)
+    whole["resourceLogs"][0]["schemaUrl"] = "u"
+    records = whole["resourceLogs"][0]["scopeLogs"][0]["logRecords"]
+    records[0] |= {"severityNumber": 9, "severityText": "INFO", "flags": 1, "traceId": "0a", "eventName": "n"}
+    records[1]["body"] = {"arrayValue": {"values": [{"kvlistValue": {"values": [{"key": "k", "value": {}}]}}, {}]}}
+    write_envelopes(tmp_path / "in", whole)
     stream = scan_otlp_logs(spark, str(tmp_path / "in"), True)
     forward(stream, str(tmp_path / "out"), str(tmp_path / "c"), None).awaitTermination()
-    assert flatten_logs(scan_otlp_logs(spark, str(tmp_path / "out"))).count() == 3
+    assert [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out")).collect()] == [whole]
 
 
 def test_a_failing_write_stops_the_query(spark, tmp_path):

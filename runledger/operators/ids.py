@@ -65,9 +65,11 @@ def assign_ids(df: DataFrame, order_cols: list, start: int = 0, partitions: int
 
 def arrival_blocks(batch: DataFrame) -> DataFrame:
     """``batch`` by the file blocks its rows came from: the rows in each, the rows before
-    it, and where its first row stands in its task.  One row per block."""
+    it, and where its first row stands in its task.  One row per block; ``_torn`` says
+    that its rows are no longer together, because something moved them since the scan."""
     blocks = batch.withColumn("_place", _task_position()).groupBy(*ARRIVAL_COLUMNS)
-    sizes = blocks.agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    together = F.max("_place") - F.min("_place") + 1 == F.count(F.lit(1))
+    sizes = blocks.agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"), (~together).alias("_torn"))
     order = W.orderBy(*ARRIVAL_COLUMNS).rowsBetween(W.unboundedPreceding, -1)
     return sizes.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
 
@@ -91,12 +93,13 @@ def assign_arrival_ids(batch: DataFrame, blocks: DataFrame, start: int = 0) -> D
     )
 
 
-def positions(logs: DataFrame, slice_width: int = SLICE_WIDTH) -> DataFrame:
-    """Add ``position``: 1, 2, … within each run in id order.
+def positions(logs: DataFrame, slice_width: int = SLICE_WIDTH, first: int | None = None) -> DataFrame:
+    """Add ``position``: 1, 2, … within each run in id order; with ``first``, only that many per run.
 
     Rows are numbered per run and slice of the id range, so a task never sorts
     more than ``slice_width`` rows of one run; the sizes of a run's earlier
     slices are added.  The number of slices is all that is gathered per run.
+    With ``first``, rows too far back in their slice are dropped before the shuffle.
     """
     keyed = logs.withColumn("_slice", F.call_function("div", F.col("id"), F.lit(slice_width)))
     sizes = keyed.groupBy("agentic_run_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -109,11 +112,13 @@ def positions(logs: DataFrame, slice_width: int = SLICE_WIDTH) -> DataFrame:
         .select("agentic_run_id", "_slice", "_before")
     )
     in_slice = F.row_number().over(W.partitionBy("agentic_run_id", "_slice").orderBy("id"))
-    return (
-        keyed.withColumn("_in_slice", in_slice)
-        .join(offsets, ["agentic_run_id", "_slice"], "left")
-        .select(*logs.columns, (F.coalesce("_before", F.lit(0)) + F.col("_in_slice")).cast("bigint").alias("position"))
+    numbered = keyed.withColumn("_in_slice", in_slice)
+    if first is not None:
+        numbered = numbered.filter(F.col("_in_slice") <= first)
+    placed = numbered.join(offsets, ["agentic_run_id", "_slice"], "left").select(
+        *logs.columns, (F.coalesce("_before", F.lit(0)) + F.col("_in_slice")).cast("bigint").alias("position")
     )
+    return placed if first is None else placed.filter(F.col("position") <= first)
 
 
 def assign_batches(df: DataFrame, size: int = 100) -> DataFrame:

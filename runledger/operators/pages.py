@@ -90,7 +90,7 @@ def page_bounds(
     else:
         written = write_through(cursors.select("agentic_run_id", "after"), "cursors")
         narrow = narrow.join(written, "agentic_run_id")
-    numbered = positions(narrow.filter("id > after"), slice_width).filter(F.col("position") <= limit + 1)
+    numbered = positions(narrow.filter("id > after"), slice_width, first=limit + 1)
     on_page = F.col("position") <= limit
     return numbered.groupBy("agentic_run_id", "after").agg(
         F.max(F.when(on_page, F.col("id"))).alias("next_after"),

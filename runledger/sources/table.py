@@ -115,7 +115,10 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
                 n = kept.count()
             elif set(ARRIVAL_COLUMNS) <= set(kept.columns):
                 blocks = arrival_blocks(kept).persist(StorageLevel.MEMORY_AND_DISK)
-                n_blocks, n = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+                known = F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0)), F.count_if("_torn")
+                n_blocks, n, torn = blocks.agg(*known).first()
+                if torn:
+                    raise ValueError("rows were moved since the scan, so their order of arrival is lost")
             else:
                 raise ValueError("a batch needs ids or the file columns of scan_otlp_logs")
             if n == 0:

@@ -159,10 +159,18 @@ def test_positions_of_a_hot_run(spark, width):
         seen[run] = seen.get(run, 0) + 1
         want[i] = seen[run]
     assert {r["id"]: r["position"] for r in positions(made, width).collect()} == want
+    some = {r["id"]: r["position"] for r in positions(made, width, first=7).collect()}
+    assert some == {i: p for i, p in want.items() if p <= 7}
     bounds = {r["agentic_run_id"]: (r["records"], r["has_more"]) for r in page_bounds(made.withColumn("phase", F.lit("")), 10, slice_width=width).collect()}
     assert bounds == {run: (min(n, 10), n > 10) for run, n in seen.items()}
 
 
+def test_bounds_prune_before_the_shuffle(logs):
+    text = page_bounds(logs, 2)._jdf.queryExecution().executedPlan().toString()
+    partial = text.index("Partial", text.index("WindowGroupLimit"))
+    assert "Exchange" in text[:partial] and "body" not in text.split("InMemoryTableScan")[0]
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 16])
 def test_assigned_ids(spark, partitions):
     rng = random.Random(partitions)

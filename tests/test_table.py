@@ -1,11 +1,15 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import log_rows, new_table
+from helpers import envelope, log_rows, new_table, record, write_envelopes
+from runledger.operators.extract import extract_rows, flatten_logs, keep_identified
 from runledger.operators.filters import for_run
 from runledger.operators.pages import get_page
 from runledger.schema import TABLE_COLUMNS
 from runledger.session import setting, shared_dir
+from runledger.sources.otlp import scan_otlp_logs
 from runledger.sources.table import append_batch, append_logs, bucket_count, delete_run, ensure_table, scan_logs
 
 
@@ -163,3 +167,23 @@ def test_a_hot_run_is_written_by_many_tasks(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shared_folder_where_none_is_set():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master))
+
+
+def test_moved_rows_have_no_order_of_arrival(spark, tmp_path):
+    lines = [envelope(*[record("r", event=f"e{i}") for i in range(50)]) for _ in range(4)]
+    rows = keep_identified(extract_rows(flatten_logs(scan_otlp_logs(spark, write_envelopes(tmp_path, *lines)))))
+    name = new_table(spark, 4)
+    with pytest.raises(ValueError, match="moved"):
+        append_batch(rows.repartition(3), 0, name)
+    assert ids(spark, name) == []

@@ -156,11 +156,13 @@ def body_value(v: str) -> Column:
     Text stays a JSON string even if it holds JSON; an empty or missing body is
     JSON null, not NULL; a body without a JSON form becomes ``{"raw": text}``.
     """
-    raw = f"to_variant_object(named_struct('raw', coalesce({_scalar_text(v)}, '')))"
+    d = f"{v}.doubleValue"
+    # Scalars without a JSON form are the non-finite doubles and what is no 64-bit integer.
+    text = f"""CASE WHEN isnan({d}) THEN 'NaN' WHEN {d} = double('inf') THEN '+Inf'
+        WHEN {d} = double('-inf') THEN '-Inf' ELSE coalesce({v}.intValue, '') END"""
+    fails = f"{_is_container(v)} OR {d} IS NOT NULL OR {v}.intValue IS NOT NULL"
     return F.coalesce(
         F.expr(f"coalesce({_scalar_json(v)}, {_flat_json(v)})"),
         F.try_parse_json(_deep_json(v)),
-        F.expr(
-            f"CASE WHEN {_is_container(v)} OR {_scalar_text(v)} IS NOT NULL THEN {raw} ELSE parse_json('null') END"
-        ),
+        F.expr(f"CASE WHEN {fails} THEN to_variant_object(named_struct('raw', {text})) ELSE parse_json('null') END"),
     )

@@ -9,15 +9,25 @@ from runledger.operators.rules import parse_after
 
 
 def bucket_of(run_id: Column, buckets: int) -> Column:
-    """The partition a run lives in."""
+    """The hash partition a run lives in."""
     return F.pmod(F.xxhash64(run_id), F.lit(buckets)).cast("int")
 
 
+def era_of(row_id: Column, era_ids: int) -> Column:
+    """The range partition an id lies in."""
+    return F.call_function("div", row_id, F.lit(era_ids))
+
+
+def table_setting(logs: DataFrame, column: str) -> int | None:
+    """The number of buckets, or of ids in an era, that a scan of the log table carries
+    along in its column metadata; None for other DataFrames."""
+    return logs.schema[column].metadata.get("setting") if column in logs.columns else None
+
+
 def for_run(logs: DataFrame, run_id: str) -> DataFrame:
     """Rows of one run.  On the log table only the run's bucket is read."""
     match = F.col("agentic_run_id") == F.lit(run_id)
-    if "bucket" in logs.columns and "buckets" in logs.schema["bucket"].metadata:
-        buckets = logs.schema["bucket"].metadata["buckets"]
+    if buckets := table_setting(logs, "bucket"):
         match = (F.col("bucket") == bucket_of(F.lit(run_id), buckets)) & match
     return logs.filter(match)
 
@@ -28,8 +38,20 @@ def for_phase(logs: DataFrame, phase: str | None = None) -> DataFrame:
 
 
 def after_id(logs: DataFrame, after=0) -> DataFrame:
-    """Rows beyond the cursor."""
-    return logs.filter(F.col("id") > parse_after(after))
+    """Rows beyond the cursor.  On the log table earlier eras are not read."""
+    after = F.lit(parse_after(after)).cast("bigint")
+    beyond = F.col("id") > after
+    if era_ids := table_setting(logs, "era"):
+        beyond = (F.col("era") >= era_of(after, era_ids)) & beyond
+    return logs.filter(beyond)
+
+
+def up_to_id(logs: DataFrame, last: Column) -> DataFrame:
+    """Rows up to an id.  On the log table later eras are not read."""
+    within = F.col("id") <= last
+    if era_ids := table_setting(logs, "era"):
+        within = (F.col("era") <= era_of(last, era_ids)) & within
+    return logs.filter(within)
 
 
 def for_run_prefix(logs: DataFrame, prefix: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.operators.extract import select_columns
-from runledger.operators.filters import after_id, for_phase, for_run
+from runledger.operators.filters import after_id, for_phase, for_run, up_to_id
 from runledger.operators.ids import SLICE_WIDTH, positions
 from runledger.operators.rules import clamp_limit, parse_after, require_run_id
 from runledger.session import write_through
@@ -72,8 +72,8 @@ def get_page(logs: DataFrame, run_id: str, phase=None, limit=None, after=None, f
     run_id, limit, after = require_run_id(run_id), clamp_limit(limit), parse_after(after)
     beyond = after_id(for_phase(for_run(logs, run_id), phase), after)
     last = beyond.select("id").orderBy("id").limit(limit + 1).agg(F.max("id"))
-    # The page's last id reaches the Parquet scan as a filter, so row groups past it are skipped.
-    found = select_columns(beyond.filter(F.col("id") <= last.scalar()))
+    # The page's last id reaches the scan as a filter, so what lies past it is skipped.
+    found = select_columns(up_to_id(beyond, last.scalar()))
     return Page(run_id, phase or None, limit, after, format, found.orderBy("id").limit(limit + 1))
 
 

@@ -36,11 +36,17 @@ def merge_sources(*sources: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, sources)
 
 
-def route_number(routes: list[Route]) -> Column:
-    """Index of the first route whose condition is true; NULL if there is none.  A
-    condition that is NULL is not true."""
-    hits = [F.when(r.condition, F.lit(i)) for i, r in enumerate(routes)]
-    return F.coalesce(*hits, F.lit(None).cast("int"))
+def pipelines_of(routes: list[Route], default: list[str]) -> Column:
+    """The pipelines a row goes to, as an array: those of the first route whose condition
+    is true, else ``default``.  A condition that is NULL is not true."""
+    listed = F.array(*[F.lit(p) for p in default])
+    for r in reversed(routes):
+        listed = F.when(r.condition, F.array(*[F.lit(p) for p in r.pipelines])).otherwise(listed)
+    return listed
+
+
+def _names(all_pipelines) -> list[str]:
+    return list(dict.fromkeys(p for pipelines in all_pipelines for p in pipelines))
 
 
 def route(df: DataFrame, routes: list[Route], default: list[str]) -> dict[str, DataFrame]:
@@ -49,17 +55,15 @@ def route(df: DataFrame, routes: list[Route], default: list[str]) -> dict[str, D
     Each pipeline is a filter over the same input, so nothing is shuffled;
     :func:`run_pipelines` reads the input once for all of them.
     """
-    number = route_number(routes)
-    names = dict.fromkeys([p for r in routes for p in r.pipelines] + list(default))
+    listed = pipelines_of(routes, default)
+    names = _names([*[r.pipelines for r in routes], default])
+    return {name: df.filter(F.array_contains(listed, name)) for name in names}
 
-    def goes_to(name):
-        taken = [i for i, r in enumerate(routes) if name in r.pipelines]
-        wanted = [number.isin(taken)] if taken else []
-        if name in default:
-            wanted.append(number.isNull())
-        return reduce(lambda a, b: a | b, wanted)
 
-    return {name: df.filter(goes_to(name)) for name in names}
+def route_counts(df: DataFrame, routes: list[Route], default: list[str]) -> DataFrame:
+    """Rows per pipeline that gets any, in one pass: ``pipeline, records``."""
+    sent = df.select(F.explode(pipelines_of(routes, default)).alias("pipeline"))
+    return sent.groupBy("pipeline").agg(F.count(F.lit(1)).alias("records"))
 
 
 def route_envelopes(envelopes: DataFrame, routes: list[tuple], default: list[str], field: str) -> dict[str, DataFrame]:
@@ -70,20 +74,15 @@ def route_envelopes(envelopes: DataFrame, routes: list[tuple], default: list[str
     resources.  Envelopes left empty are dropped.
     """
 
-    def number(resource):
-        attributes = resource["resource"]["attributes"]
-        return route_number([Route(condition(attributes), pipelines) for condition, pipelines in routes])
-
     def goes_to(name):
-        taken = [i for i, (_, pipelines) in enumerate(routes) if name in pipelines]
-
         def test(resource):
-            hit = F.coalesce(number(resource).isin(taken), F.lit(False)) if taken else F.lit(False)
-            return hit | number(resource).isNull() if name in default else hit
+            attributes = resource["resource"]["attributes"]
+            bound = [Route(condition(attributes), pipelines) for condition, pipelines in routes]
+            return F.array_contains(pipelines_of(bound, default), name)
 
         return test
 
-    names = dict.fromkeys([p for _, pipelines in routes for p in pipelines] + list(default))
+    names = _names([*[pipelines for _, pipelines in routes], default])
     return {
         name: envelopes.withColumn(field, F.filter(field, goes_to(name))).filter(F.size(field) > 0) for name in names
     }

@@ -160,10 +160,10 @@ def turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _built: dict = {}
 
 
-def new_table(spark: SparkSession, buckets: int = 8) -> str:
+def new_table(spark: SparkSession, buckets: int = 8, **settings) -> str:
     """A table nobody else uses."""
     name = f"logs_{uuid.uuid4().hex}"
-    return ensure_table(spark, "runledger_scratch", name, buckets, scratch_path(spark, "tables"))
+    return ensure_table(spark, "runledger_scratch", name, buckets, location=scratch_path(spark, "tables"), **settings)
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:

@@ -260,11 +260,8 @@ def _routed(flat: DataFrame) -> dict[str, DataFrame]:
 
 
 @query("route_counts")
-def route_sizes(spark, sf_dir):
-    routed = _routed(inputs.event_records(spark, sf_dir))
-    return routing.merge_sources(*[
-        rows.groupBy(F.lit(name).alias("pipeline")).agg(F.count(F.lit(1)).alias("records")) for name, rows in routed.items()
-    ])
+def route_counts(spark, sf_dir):
+    return routing.route_counts(inputs.event_records(spark, sf_dir), _routes(), ["unmatched"])
 
 
 @query("route_matched")
@@ -400,8 +397,8 @@ def delete_results(spark, sf_dir):
 
 
 def _copy(spark, sf_dir) -> str:
-    name = inputs.new_table(spark)
-    append_logs(inputs.event_logs(spark, sf_dir).drop("batch_id", "bucket"), name)
+    name = inputs.new_table(spark, era_ids=1000)
+    append_logs(inputs.event_logs(spark, sf_dir).drop("batch_id", "bucket", "era"), name)
     return name
 
 
@@ -417,7 +414,7 @@ def deleted_run(spark, sf_dir):
 def replayed_batch(spark, sf_dir):
     """A batch that comes twice is there once."""
     name = inputs.new_table(spark)
-    rows = inputs.event_logs(spark, sf_dir).drop("batch_id", "bucket")
+    rows = inputs.event_logs(spark, sf_dir).drop("batch_id", "bucket", "era")
     for _ in range(2):
         append_batch(rows, 7, name)
     return shown(scan_logs(spark, name), "agentic_run_id", "id", "batch_id")

@@ -45,9 +45,10 @@ MAX_LIMIT = 1000
 # What a reader gets back, in this order.
 RECORD_COLUMNS = ["id", "phase", "timestamp", "event", "body"]
 
-# What the table holds; ``batch_id`` and ``bucket`` are never shown to readers.
-TABLE_COLUMNS = ["id", "agentic_run_id", "phase", "timestamp", "event", "body", "batch_id", "bucket"]
+# What the table holds; the last three are never shown to readers.  ``bucket`` and
+# ``era`` partition it: a hash of the run, and a range of ids.
+TABLE_COLUMNS = ["id", "agentic_run_id", "phase", "timestamp", "event", "body", "batch_id", "bucket", "era"]
 TABLE_DDL = (
     "id BIGINT, agentic_run_id STRING, phase STRING DEFAULT '', timestamp TIMESTAMP, "
-    "event STRING, body VARIANT, batch_id BIGINT, bucket INT"
+    "event STRING, body VARIANT, batch_id BIGINT, bucket INT, era BIGINT"
 )

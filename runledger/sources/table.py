@@ -1,8 +1,11 @@
 """The log table: create, scan, append, delete.
 
-A Parquet table partitioned by a hash bucket of the run id, and sorted by run
-and id within each file.  That replaces the run index: a query for one run
-reads one bucket, and row-group statistics skip other runs and other id ranges.
+A Parquet table partitioned by a hash bucket of the run id and by the era, a
+range of ids; sorted by run and id within each file.  That replaces the run
+index: a query for one run reads one bucket, from the cursor's era on, and
+row-group statistics skip other runs and other ids.  Deleting a run rewrites
+only the eras of its bucket that it has rows in, so that a small run that
+shares its bucket with a huge one does not cost a rewrite of the huge one.
 One writer at a time.
 """
 
@@ -12,65 +15,77 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.operators.filters import bucket_of
+from runledger.operators.filters import after_id, bucket_of, era_of, up_to_id
 from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, arrival_blocks, assign_arrival_ids, assign_ids, first_id
 from runledger.operators.rules import check_identifier, require_run_id
 from runledger.schema import DEFAULT_SCHEMA, DEFAULT_TABLE, TABLE_COLUMNS, TABLE_DDL
 from runledger.session import setting
 
-_BUCKETS = "runledger.buckets"
+_BUCKETS, _ERA_IDS = "runledger.buckets", "runledger.era_ids"
 
 # batch_id of rows that no micro-batch wrote.
 NO_BATCH = -1
 
+# Ids in an era: those of 1024 micro-batches.
+ERA_IDS = 1024 * BATCH_SPAN
+
 
 def ensure_table(
     spark: SparkSession,
     schema: str = DEFAULT_SCHEMA,
     table: str = DEFAULT_TABLE,
     buckets: int = 64,
+    era_ids: int = ERA_IDS,
     location: str | None = None,
 ) -> str:
     """Create schema and table unless they exist, and return the table's full name.
 
-    ``buckets`` counts for a new table only.  Choose it so that a bucket holds
-    some tens of GB; a run never spans buckets, but its bucket may have any
-    number of files, so a huge run is still read and written by many tasks.
+    ``buckets`` and ``era_ids`` count for a new table only.  Choose them so that
+    a bucket of an era holds some GB; it may have any number of files, so a huge
+    run is still read and written by many tasks.  Tables filled with ids of the
+    caller's own want a smaller era.  ``location`` is that of a new schema.
     """
     schema, table = check_identifier(schema), check_identifier(table)
-
-    def at(path):
-        return "" if path is None else " LOCATION '" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at(location)}")
+    below = "" if location is None else " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{below}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({TABLE_DDL}) USING parquet "
-        f"PARTITIONED BY (bucket){at(location and f'{location}/{table}')} TBLPROPERTIES ('{_BUCKETS}' = '{int(buckets)}')"
+        f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({TABLE_DDL}) USING parquet PARTITIONED BY (bucket, era) "
+        f"TBLPROPERTIES ('{_BUCKETS}' = '{int(buckets)}', '{_ERA_IDS}' = '{int(era_ids)}')"
     )
     return f"{schema}.{table}"
 
 
-def bucket_count(spark: SparkSession, table: str) -> int:
-    return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{_BUCKETS}')").first()["value"])
+def table_settings(spark: SparkSession, table: str) -> tuple[int, int]:
+    """Number of buckets, and of ids in an era."""
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return int(properties[_BUCKETS]), int(properties[_ERA_IDS])
 
 
 def scan_logs(spark: SparkSession, table: str) -> DataFrame:
-    """The table as it is now.  The number of buckets rides along in the column metadata,
-    where :func:`runledger.operators.filters.for_run` finds it."""
+    """The table as it is now.  Its settings ride along in the metadata of the partition
+    columns, where the filters find them."""
     spark.catalog.refreshTable(table)  # another session may have written
-    buckets = F.col("bucket").alias("bucket", metadata={"buckets": bucket_count(spark, table)})
-    return spark.table(table).select(*TABLE_COLUMNS[:-1], buckets)
+    buckets, era_ids = table_settings(spark, table)
+    return spark.table(table).select(
+        *TABLE_COLUMNS[:-2],
+        F.col("bucket").alias("bucket", metadata={"setting": buckets}),
+        F.col("era").alias("era", metadata={"setting": era_ids}),
+    )
 
 
-def _lay_out(rows: DataFrame, buckets: int) -> DataFrame:
-    """Rows as the table stores them: together by bucket, sorted by run and id.
+def _lay_out(rows: DataFrame, buckets: int, era_ids: int) -> DataFrame:
+    """Rows as the table stores them: together by partition, sorted by run and id.
 
-    The rebalance hint makes adaptive execution split a bucket that holds a hot
-    run over many tasks and put small buckets together, so neither one huge
-    task nor a file per task and bucket comes out.
+    The rebalance hint makes adaptive execution split a partition that holds a
+    hot run over many tasks and put small partitions together, so neither one
+    huge task nor a file per task and partition comes out.
     """
-    placed = rows.withColumn("bucket", bucket_of(F.col("agentic_run_id"), buckets)).select(*TABLE_COLUMNS)
-    return placed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "agentic_run_id", "id")
+    placed = rows.withColumns(
+        {"bucket": bucket_of(F.col("agentic_run_id"), buckets), "era": era_of(F.col("id"), era_ids)}
+    ).select(*TABLE_COLUMNS)
+    return placed.hint("rebalance", F.col("bucket"), F.col("era")).sortWithinPartitions(
+        "bucket", "era", "agentic_run_id", "id"
+    )
 
 
 def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols: list | None = None) -> None:
@@ -86,7 +101,7 @@ def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols:
         last = scan_logs(spark, table).agg(F.max("id")).first()[0] or 0
         df = assign_ids(df, order_cols, last)
     rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    _lay_out(rows, bucket_count(spark, table)).write.insertInto(table)
+    _lay_out(rows, *table_settings(spark, table)).write.insertInto(table)
 
 
 # At most this many file blocks, at some 200 bytes each, are sent to every executor.
@@ -98,8 +113,7 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
 
     A batch may come again after a crash.  If all its rows are in the table it
     is skipped; if only some are, something else went wrong and this fails
-    rather than guess.  Looking for the batch reads the footers of the table,
-    so a writer that knows the batch is new can turn the check off.
+    rather than guess.  A writer that knows the batch is new can turn the check off.
 
     Rows without ids need the file columns of a scan, and get ids in the order
     of arrival within the range of the batch.
@@ -126,7 +140,11 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
             if n >= BATCH_SPAN:
                 raise ValueError(f"micro-batch {batch_id} has {n} rows, more than its range of ids")
             if check_replay:
-                there = scan_logs(spark, table).filter(F.col("batch_id") == batch_id).count()
+                there = scan_logs(spark, table).filter(F.col("batch_id") == batch_id)
+                if blocks is not None:
+                    # Its ids are known, so only the eras they lie in are looked at.
+                    there = up_to_id(after_id(there, first_id(batch_id)), F.lit(first_id(batch_id + 1)))
+                there = there.count()
                 if there == n:
                     return n
                 if there:
@@ -146,32 +164,32 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
 def delete_run(spark: SparkSession, table: str, run_id: str) -> int:
     """Delete all rows of a run, of all phases, and return how many; 0 for an unknown run.
 
-    Only the run's bucket is rewritten.
+    Rewrites the run's bucket in the eras it has rows in, and nothing else.
     """
     require_run_id(run_id)
+    if spark.catalog.getTable(table).tableType != "MANAGED":
+        raise ValueError(f"{table} is external, so its emptied partitions would come back")
     logs = scan_logs(spark, table)
-    buckets = bucket_count(spark, table)
+    buckets, era_ids = table_settings(spark, table)
     bucket = spark.range(1).select(bucket_of(F.lit(run_id), buckets)).first()[0]
     in_bucket = logs.filter(F.col("bucket") == bucket)
     mine = F.col("agentic_run_id") == F.lit(run_id)
-    # The first count is skipped down to the run by row-group statistics; the second
-    # reads one narrow column, and only if there is a run.
-    deleted = in_bucket.filter(mine).count()
-    if deleted == 0:
+
+    def per_era(rows):
+        # One number per partition of the table.
+        return dict(rows.groupBy("era").agg(F.count(F.lit(1))).collect())
+
+    found = per_era(in_bucket.filter(mine))
+    if not found:
         return 0
-    survivors = in_bucket.filter(~mine)
-    if survivors.count() == 0:
-        # Overwriting a partition with no rows must name the partition; dynamic
-        # overwrite would leave it as it is.
-        columns = ", ".join(c for c in TABLE_COLUMNS if c != "bucket")
-        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION (bucket = {bucket}) "
-                f"SELECT {columns} FROM VALUES (0L, '', '', current_timestamp(), '', parse_json('null'), 0L) "
-                f"AS t({columns}) WHERE false"
-            )
-    else:
+    survivors = in_bucket.filter(F.col("era").isin(list(found)) & ~mine)
+    left = per_era(survivors)
+    if left:
         with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            _lay_out(survivors, buckets).write.insertInto(table, overwrite=True)
+            _lay_out(survivors, buckets, era_ids).write.insertInto(table, overwrite=True)
+    # Overwriting touches only partitions that get rows; those without any are dropped.
+    if emptied := sorted(set(found) - set(left)):
+        named = ", ".join(f"PARTITION (bucket = {bucket}, era = {era})" for era in emptied)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
     spark.catalog.refreshTable(table)
-    return deleted
+    return sum(found.values())

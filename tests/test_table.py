@@ -10,7 +10,7 @@ from runledger.operators.pages import get_page
 from runledger.schema import TABLE_COLUMNS
 from runledger.session import setting, shared_dir
 from runledger.sources.otlp import scan_otlp_logs
-from runledger.sources.table import append_batch, append_logs, bucket_count, delete_run, ensure_table, scan_logs
+from runledger.sources.table import append_batch, append_logs, delete_run, ensure_table, scan_logs, table_settings
 
 
 def rows(spark, n, run=lambda i: f"r{i % 5}", first=1):
@@ -25,7 +25,7 @@ def test_ensure_twice(spark):
     name = ensure_table(spark, buckets=4)
     append_logs(rows(spark, 3), name)
     assert ensure_table(spark, buckets=9) == name == "templogs.logs"
-    assert ids(spark, name) == [1, 2, 3] and bucket_count(spark, name) == 4
+    assert ids(spark, name) == [1, 2, 3] and table_settings(spark, name)[0] == 4
     assert scan_logs(spark, name).columns == TABLE_COLUMNS
 
 
@@ -110,6 +110,46 @@ def test_delete_the_only_run_of_a_bucket(spark):
     assert ids(spark, name) == [7, 8]
 
 
+def partitions(spark, name):
+    return {tuple(int(p.split("=")[1]) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
+def files(spark, name, condition):
+    return {r[0] for r in scan_logs(spark, name).filter(condition).select(F.input_file_name()).distinct().collect()}
+
+
+def test_delete_rewrites_only_the_eras_of_the_run(spark):
+    """A short run beside a long one: eras without the short run keep their files."""
+    name = new_table(spark, 1, era_ids=100)
+    append_logs(rows(spark, 500, run=lambda i: "short" if 150 <= i < 160 else "long"), name)
+    append_logs(rows(spark, 100, run=lambda i: "short", first=600), name)  # an era of its own
+    assert partitions(spark, name) == {(0, e) for e in range(7)}
+    elsewhere = files(spark, name, "era <> 1")
+    assert delete_run(spark, name, "short") == 110
+    assert ids(spark, name) == [i for i in range(1, 501) if not 151 <= i <= 160]
+    assert files(spark, name, "era <> 1") == {f for f in elsewhere if "era=6" not in f}
+    assert (0, 6) not in partitions(spark, name)
+    append_logs(rows(spark, 5, first=650), name)
+    assert ids(spark, name)[-5:] == list(range(650, 655))
+
+
+def test_cursor_skips_eras(spark):
+    name = new_table(spark, 2, era_ids=10)
+    append_logs(rows(spark, 100, run=lambda i: "r"), name)
+    for after in (0, 8, 9, 10, 11, 55, 99, 100, 101):
+        read = get_page(scan_logs(spark, name), "r", limit=7, after=after).read()
+        assert [r["id"] for r in read.records] == list(range(after + 1, min(after + 8, 101)))
+    text = plan(get_page(scan_logs(spark, name), "r", limit=7, after=55).fetched)
+    assert "(era#" in text.split("PartitionFilters: ")[1] and ">= 5)" in text.split("PartitionFilters: ")[1]
+
+
+def test_external_tables_are_not_deleted_from(spark, tmp_path):
+    name = new_table(spark, 1)
+    spark.sql(f"CREATE TABLE {name}_x LIKE {name} LOCATION '{tmp_path}'")
+    with pytest.raises(ValueError, match="external"):
+        delete_run(spark, f"{name}_x", "r")
+
+
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
 def test_delete_in_a_managed_table(spark, mode):
     name = ensure_table(spark, "managed", f"logs_{mode}", 1)
@@ -139,7 +179,8 @@ def test_a_run_reads_its_bucket_and_pushes_its_filters(spark):
     name = new_table(spark, 4)
     append_logs(rows(spark, 20), name)
     text = plan(get_page(scan_logs(spark, name), "r1", after=3).fetched)
-    assert text.count("PartitionFilters: [isnotnull(bucket") >= 2
+    filters = [part.split("]")[0] for part in text.split("PartitionFilters: [")[1:]]
+    assert len(filters) >= 2 and all("(bucket#" in part for part in filters)
     assert "EqualTo(agentic_run_id,r1)" in text and "GreaterThan(id,3)" in text
     assert "LessThanOrEqual(id,ScalarSubquery" in text or "id#" in text and "<= Subquery" in text
     assert "ReadSchema: struct<id:bigint,agentic_run_id:string>" in text  # the narrow scan

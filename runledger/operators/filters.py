@@ -32,6 +32,18 @@ def for_run(logs: DataFrame, run_id: str) -> DataFrame:
     return logs.filter(match)
 
 
+def in_buckets_of(logs: DataFrame, runs: DataFrame) -> DataFrame:
+    """On the log table, rows in the buckets of the listed runs; other DataFrames as they are.
+
+    Gathers bucket numbers on the driver, of which there are as many as buckets at most.
+    """
+    buckets = table_setting(logs, "bucket")
+    if not buckets:
+        return logs
+    listed = runs.select(bucket_of(F.col("agentic_run_id"), buckets)).distinct().collect()
+    return logs if len(listed) == buckets else logs.filter(F.col("bucket").isin([r[0] for r in listed]))
+
+
 def for_phase(logs: DataFrame, phase: str | None = None) -> DataFrame:
     """Rows of one phase; no filter if ``phase`` is missing or empty."""
     return logs.filter(F.col("phase") == F.lit(phase)) if phase else logs

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.operators.extract import select_columns
-from runledger.operators.filters import after_id, for_phase, for_run, up_to_id
+from runledger.operators.filters import after_id, for_phase, for_run, in_buckets_of, up_to_id
 from runledger.operators.ids import SLICE_WIDTH, positions
 from runledger.operators.rules import clamp_limit, parse_after, require_run_id
 from runledger.session import write_through
@@ -84,12 +84,13 @@ def page_bounds(
     records, has_more``.  Reads run and id only.  Without ``cursors`` (``agentic_run_id,
     after``, one row per run) all runs start at 0; runs without a cursor are left out."""
     limit = clamp_limit(limit)
-    narrow = for_phase(logs, phase).select("agentic_run_id", "id")
+    rows = for_phase(logs, phase)
     if cursors is None:
-        narrow = narrow.withColumn("after", F.lit(0).cast("bigint"))
+        narrow = rows.select("agentic_run_id", "id", F.lit(0).cast("bigint").alias("after"))
     else:
         written = write_through(cursors.select("agentic_run_id", "after"), "cursors")
-        narrow = narrow.join(written, "agentic_run_id")
+        rows = in_buckets_of(rows, written)
+        narrow = rows.select("agentic_run_id", "id").join(written, "agentic_run_id")
     numbered = positions(narrow.filter("id > after"), slice_width, first=limit + 1)
     on_page = F.col("position") <= limit
     return numbered.groupBy("agentic_run_id", "after").agg(
@@ -111,9 +112,15 @@ def pages_for_runs(
     execution splits the rows of a hot run (its other side is a single row).
     """
     bounds = write_through(page_bounds(logs, limit, cursors, phase, slice_width), "bounds")
-    rows = for_phase(logs, phase).select("agentic_run_id", "id", "phase", "timestamp", "event", "body")
+    least, most = bounds.agg(F.min("after"), F.max("next_after")).first()
+    if most is None:
+        least, most = 0, 0
+    rows = up_to_id(after_id(for_phase(logs, phase), least), F.lit(most))
+    if cursors is not None:
+        rows = in_buckets_of(rows, bounds)
     return (
-        rows.join(bounds, "agentic_run_id")
+        rows.select("agentic_run_id", "id", "phase", "timestamp", "event", "body")
+        .join(bounds, "agentic_run_id")
         .filter((F.col("id") > F.col("after")) & (F.col("id") <= F.col("next_after")))
         .drop("after", "next_after", "records")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from helpers import envelope, log_rows, new_table, record, write_envelopes
 from runledger.operators.extract import extract_rows, flatten_logs, keep_identified
 from runledger.operators.filters import for_run
-from runledger.operators.pages import get_page
+from runledger.operators.pages import get_page, pages_for_runs
 from runledger.schema import TABLE_COLUMNS
 from runledger.session import setting, shared_dir
 from runledger.sources.otlp import scan_otlp_logs
@@ -187,6 +187,18 @@ def test_a_run_reads_its_bucket_and_pushes_its_filters(spark):
     assert "Exchange" not in text and "TakeOrderedAndProject" in text
 
 
+def test_few_cursors_read_few_buckets(spark):
+    name = new_table(spark, 16)
+    append_logs(rows(spark, 200, run=lambda i: f"r{i % 40}"), name)
+    cursors = spark.createDataFrame([("r3", 50), ("r3x", 0)], "agentic_run_id string, after long")
+    found = pages_for_runs(scan_logs(spark, name), 2, cursors)
+    assert sorted((r["id"], r["has_more"]) for r in found.collect()) == [(84, True), (124, True)]
+    scans = [part for part in plan(found).split("FileScan parquet")[1:] if "body#" in part.split("]")[0]]
+    assert scans and all("(bucket#" in s.split("PartitionFilters: ")[1].split("]")[0] for s in scans)
+    assert all("GreaterThan(id,50)" in s or "(id#" in s and "> 50)" in s for s in scans)
+    assert pages_for_runs(scan_logs(spark, name), 2, cursors.filter("after = 0")).collect() == []
+
+
 def test_counting_a_run_reads_one_column(spark):
     name = new_table(spark, 4)
     append_logs(rows(spark, 20), name)

@@ -81,7 +81,10 @@ def entry(key: str, value: str) -> str:
 
 def attributes(named: dict[str, str]) -> str:
     """SQL text of attributes, each text from SQL text, without the missing ones."""
-    listed = ", ".join(f"CASE WHEN {text} IS NOT NULL THEN {entry(f"'{key}'", _struct('stringValue', text))} END" for key, text in named.items())
+    listed = ", ".join(
+        f"CASE WHEN {text} IS NOT NULL THEN {entry(f"'{key}'", _struct('stringValue', text))} END"
+        for key, text in named.items()
+    )
     return f"CAST(filter(array({listed}), a -> a IS NOT NULL) AS {ATTRIBUTES})"
 
 

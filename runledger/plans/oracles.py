@@ -69,10 +69,12 @@ def _page(condition: str, limit: int) -> str:
 
 def _histogram(source: str, value: str, total: str) -> str:
     bounds = [0, 5, 10, 25, 50, 75, 100, 250, 500, 750, 1000, 2500, 5000, 7500, 10000]
-    rows = [
-        f"({i}, {'CAST(NULL AS DOUBLE)' if lo is None else f'{lo}::DOUBLE'}, {'CAST(NULL AS DOUBLE)' if hi is None else f'{hi}::DOUBLE'})"
-        for i, (lo, hi) in enumerate(zip([None, *bounds], [*bounds, None]))
-    ]
+
+    def double(bound):
+        return f"CAST({'NULL' if bound is None else bound} AS DOUBLE)"
+
+    pairs = zip([None, *bounds], [*bounds, None])
+    rows = [f"({i}, {double(lo)}, {double(hi)})" for i, (lo, hi) in enumerate(pairs)]
     return f"""{source}, b(bucket, lo, le) AS (VALUES {', '.join(rows)})
     SELECT bucket, le, count(v) AS n, (SELECT count(*) FROM vals) AS count, (SELECT {total} FROM vals) AS sum
     FROM b LEFT JOIN (SELECT {value} AS v FROM vals) ON (lo IS NULL OR v > lo) AND (le IS NULL OR v <= le)

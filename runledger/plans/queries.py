@@ -17,7 +17,7 @@ from runledger.operators.extract import extract_rows, flatten_logs, ingest_stats
 from runledger.operators.filters import after_id, for_run
 from runledger.plans import inputs
 from runledger.session import scratch_path
-from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, to_otlp_envelopes, write_otlp
+from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, write_otlp
 from runledger.sources.sinks import nop_sink
 from runledger.sources.table import append_batch, append_logs, delete_run, scan_logs
 from runledger.streaming.ingest import drain, log_rows, start_ingest, start_routed, start_traces, table_sink

@@ -48,7 +48,9 @@ def to_otlp_envelopes(flat: DataFrame, envelope: list[str]) -> DataFrame:
     """
     together = flat.select(*envelope, "ri", "si", "li", "resource", "scope", "record").repartition(*envelope)
     scopes = together.groupBy(*envelope, "ri", "si").agg(
-        F.first("resource").alias("resource"), F.first("scope").alias("scope"), _in_order("li", F.col("record")).alias("logRecords")
+        F.first("resource").alias("resource"),
+        F.first("scope").alias("scope"),
+        _in_order("li", F.col("record")).alias("logRecords"),
     )
     resources = scopes.groupBy(*envelope, "ri").agg(
         F.first("resource").alias("resource"), _in_order("si", F.struct("scope", "logRecords")).alias("scopeLogs")

@@ -26,8 +26,8 @@ _BUCKETS, _ERA_IDS = "runledger.buckets", "runledger.era_ids"
 # batch_id of rows that no micro-batch wrote.
 NO_BATCH = -1
 
-# Ids in an era: those of 1024 micro-batches.
-ERA_IDS = 1024 * BATCH_SPAN
+# Ids in an era: those of 8192 micro-batches, some six days of one a minute.
+ERA_IDS = 8192 * BATCH_SPAN
 
 
 def ensure_table(
@@ -88,6 +88,15 @@ def _lay_out(rows: DataFrame, buckets: int, era_ids: int) -> DataFrame:
     )
 
 
+def last_id(spark: SparkSession, table: str) -> int:
+    """Largest id in the table, 0 if it is empty.  Only the latest era is read."""
+    era = F.regexp_extract("partition", "era=([0-9]+)", 1).cast("bigint")
+    latest = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(era)).first()[0]
+    if latest is None:
+        return 0
+    return scan_logs(spark, table).filter(F.col("era") == latest).agg(F.max("id")).first()[0] or 0
+
+
 def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols: list | None = None) -> None:
     """Append log rows in one job, all or none.  No rows, no files.
 
@@ -98,8 +107,7 @@ def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols:
     if "id" not in df.columns:
         if not order_cols:
             raise ValueError("rows without id need order_cols")
-        last = scan_logs(spark, table).agg(F.max("id")).first()[0] or 0
-        df = assign_ids(df, order_cols, last)
+        df = assign_ids(df, order_cols, last_id(spark, table))
     rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     _lay_out(rows, *table_settings(spark, table)).write.insertInto(table)
 

@@ -55,9 +55,10 @@ class IngestMetrics(StreamingQueryListener):
         self.flush()
 
     def flush(self):
-        rows, self._rows = self._rows, []
+        rows = list(self._rows)
         if rows:
             self._spark.createDataFrame(rows, METRICS).coalesce(1).write.mode("append").parquet(self._path)
+            del self._rows[: len(rows)]  # only now, so that a failed write is tried again
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -16,7 +16,7 @@ from runledger.functions import epoch_micros
 from runledger.operators.extract import extract_rows, keep_identified
 from runledger.schema import ANY_VALUE, ATTRIBUTES, ELEMENT, EVENT_KEY, LOG_RECORD, PHASE_KEY, RESOURCE, RUN_ID_KEY, SCOPE
 from runledger.session import scratch_path
-from runledger.sources.otlp import to_otlp_envelopes
+from runledger.sources.otlp import to_otlp_envelopes, write_otlp
 from runledger.sources.table import append_logs, ensure_table, scan_logs
 
 # The time taken as "now", 2026-01-01T00:00:00Z, so that results repeat.
@@ -160,7 +160,8 @@ def turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_rows(turns.select("conv_id", "turn", record.alias("record")))
 
 
-_built: dict = {}
+# What was written for whom, by application, folder of the given tables, and name.
+_built: dict[tuple, str] = {}
 
 
 def new_table(spark: SparkSession, buckets: int = 8, **settings) -> str:
@@ -169,21 +170,38 @@ def new_table(spark: SparkSession, buckets: int = 8, **settings) -> str:
     return ensure_table(spark, "runledger_scratch", name, buckets, location=scratch_path(spark, "tables"), **settings)
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """What ``build`` returns, which it does once per session and folder of tables."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _built or not spark.catalog.tableExists(_built[key]):
-        built = new_table(spark)
-        build(built)
-        _built[key] = built
-    return scan_logs(spark, _built[key])
+    if key not in _built:
+        _built[key] = build()
+    return _built[key]
+
+
+def _filled(spark: SparkSession, rows: DataFrame, order_cols: list | None = None) -> str:
+    name = new_table(spark)
+    append_logs(rows, name, order_cols=order_cols)
+    return name
 
 
 def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log table made of ``events``."""
-    return _once(spark, sf_dir, "events", lambda t: append_logs(keep_identified(event_rows(spark, sf_dir)), t))
+    name = _once(spark, sf_dir, "events", lambda: _filled(spark, keep_identified(event_rows(spark, sf_dir))))
+    return scan_logs(spark, name)
 
 
 def turn_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log table made of ``conversations``, with ids in the order of conversation and turn."""
     order = ["conv_id", "turn"]
-    return _once(spark, sf_dir, "turns", lambda t: append_logs(turn_rows(spark, sf_dir), t, order_cols=order))
+    return scan_logs(spark, _once(spark, sf_dir, "turns", lambda: _filled(spark, turn_rows(spark, sf_dir), order)))
+
+
+def event_envelope_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the envelopes of ``events``, as a source of streams."""
+
+    def write():
+        path = scratch_path(spark, "source")
+        write_otlp(event_envelopes(spark, sf_dir), path)
+        return path
+
+    return _once(spark, sf_dir, "envelopes", write)

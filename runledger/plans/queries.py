@@ -397,7 +397,7 @@ def delete_results(spark, sf_dir):
 
 
 def _copy(spark, sf_dir) -> str:
-    name = inputs.new_table(spark, era_ids=1000)
+    name = inputs.new_table(spark, era_ids=5000)
     append_logs(inputs.event_logs(spark, sf_dir).drop("batch_id", "bucket", "era"), name)
     return name
 
@@ -429,15 +429,9 @@ def after_cursor(spark, sf_dir):
 # --- streams ---
 
 
-def _envelope_files(spark, sf_dir) -> str:
-    path = scratch_path(spark, "source")
-    write_otlp(inputs.event_envelopes(spark, sf_dir), path)
-    return path
-
-
 def _ingested(spark, sf_dir, **options):
     name = inputs.new_table(spark)
-    source = _envelope_files(spark, sf_dir)
+    source = inputs.event_envelope_files(spark, sf_dir)
     q = start_ingest(spark, source, name, scratch_path(spark, "checkpoint"), None, inputs.now(), **options)
     q.awaitTermination()
     return name, source, q
@@ -477,7 +471,7 @@ def stream_replay(spark, sf_dir):
 def stream_route(spark, sf_dir):
     """Routed, then stored, forwarded or dropped; forwarded records are read back."""
     name, onward = inputs.new_table(spark), scratch_path(spark, "onward")
-    stream = scan_otlp_logs(spark, _envelope_files(spark, sf_dir), True, maxFilesPerTrigger=3)
+    stream = scan_otlp_logs(spark, inputs.event_envelope_files(spark, sf_dir), True, maxFilesPerTrigger=3)
     routes = [(lambda attributes: routing.text_attr(attributes, "service.name") == inputs.SERVICES[0], ("store",))]
     write = table_sink(name)
     sinks = {
@@ -544,7 +538,7 @@ def trace_forward(spark, sf_dir):
 @query("signal_split")
 def signal_split(spark, sf_dir):
     """Logs are stored, traces dropped, by two queries over two sources."""
-    name, logs, spans = inputs.new_table(spark), _envelope_files(spark, sf_dir), scratch_path(spark, "spans")
+    name, logs, spans = inputs.new_table(spark), inputs.event_envelope_files(spark, sf_dir), scratch_path(spark, "spans")
     write_otlp(_span_envelopes(spark, sf_dir), spans)
     running = [
         start_ingest(spark, logs, name, scratch_path(spark, "checkpoint"), "1 second", inputs.now()),

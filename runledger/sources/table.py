@@ -58,6 +58,8 @@ def ensure_table(
 def table_settings(spark: SparkSession, table: str) -> tuple[int, int]:
     """Number of buckets, and of ids in an era."""
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if not {_BUCKETS, _ERA_IDS} <= set(properties):
+        raise ValueError(f"{table} was not made by ensure_table")
     return int(properties[_BUCKETS]), int(properties[_ERA_IDS])
 
 

@@ -143,6 +143,13 @@ def test_cursor_skips_eras(spark):
     assert "(era#" in text.split("PartitionFilters: ")[1] and ">= 5)" in text.split("PartitionFilters: ")[1]
 
 
+def test_other_tables_are_refused(spark):
+    name = new_table(spark, 1)
+    spark.sql(f"CREATE TABLE {name}_y (id BIGINT) USING parquet")
+    with pytest.raises(ValueError, match="ensure_table"):
+        scan_logs(spark, f"{name}_y")
+
+
 def test_external_tables_are_not_deleted_from(spark, tmp_path):
     name = new_table(spark, 1)
     spark.sql(f"CREATE TABLE {name}_x LIKE {name} LOCATION '{tmp_path}'")

@@ -548,4 +548,4 @@ def test_texts_after_removal(spark, docs):
     rows_ = got.collect()
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows_)
     assert [r["text"] for r in rows_ if r["doc_id"] == 20] == [None]
-    assert all(r["text"] == "" for r in rows_ if 30 <= r["doc_id"] < 36 if r["doc_id"])
+    assert all(r["text"] == "" for r in rows_ if 30 <= (r["doc_id"] or 0) < 36)

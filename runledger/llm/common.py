@@ -37,6 +37,23 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def digest_of(df: DataFrame, text: Column) -> Callable[[Column], Column]:
+    """What gives a text (null as empty) a 64-bit number of its own among the texts of ``df``.
+
+    Texts whose numbers are equal though a second digest or the length tells them apart make it try another seed.
+    """
+
+    def made(seed: int) -> Callable[[Column], Column]:
+        return lambda own: F.xxhash64(F.lit(seed), F.coalesce(own, F.lit("")))
+
+    body = F.coalesce(text, F.lit(""))
+    for seed in range(42, 52):
+        pairs = df.select(made(seed)(text).alias("a"), F.xxhash64(F.lit(-1), body, F.length(body)).alias("b")).distinct()
+        if pairs.groupBy("a").count().where("count > 1").isEmpty():
+            return made(seed)
+    raise RuntimeError("digests collide for every seed")
+
+
 def number_rows(df: DataFrame, name: str = "number", lead: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """``df`` with a gapless row number from 0, and the number of rows.
 
@@ -68,6 +85,6 @@ def number_rows(df: DataFrame, name: str = "number", lead: tuple[str, ...] = ())
 
 
 __all__ = [
-    "ROWS_PER_BUCKET", "SPACES", "WORD", "let", "number_rows", "packed", "quoted", "scratch_path", "unpacked",
+    "ROWS_PER_BUCKET", "SPACES", "WORD", "digest_of", "let", "number_rows", "packed", "quoted", "scratch_path", "unpacked",
     "write_through",
 ]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runledger.llm import textbytes
-from runledger.llm.common import quoted, write_through
+from runledger.llm.common import digest_of, quoted, write_through
 from runledger.llm.textbytes import BASE, CODES, mixed, parts, powers
 
 LENGTH, GRAM = 400, 128
@@ -157,11 +157,11 @@ def _spans(flags: np.ndarray) -> np.ndarray:
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """text, start, strings (how many side by side), bucket and two hashes of each run."""
+    """text, start, strings (how many side by side), bucket and hash of each run."""
     n = len(data)
     if n < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U, _U))
-    prefix, second = textbytes.sums(data), _sums_2(data)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U))
+    prefix = textbytes.sums(data)
     grams = mixed((prefix[GRAM:] - prefix[:-GRAM]) * powers(textbytes.INVERSE, n)[: n - GRAM + 1])
     mask = _U((1 << PLACE_BITS) - 1)
     low = (grams & ~mask) | np.arange(len(grams), dtype=_U)
@@ -185,8 +185,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     ends = np.flatnonzero(stop) + 1
     doc = np.searchsorted(offsets, starts, "right") - 1
     tail = ends + LENGTH - 1
-    one, two = textbytes.span(prefix, starts, tail), _span_2(second, starts, tail)
-    return doc, starts - offsets[doc], ends - starts, grams[place[starts]], one, two
+    return doc, starts - offsets[doc], ends - starts, grams[place[starts]], textbytes.span(prefix, starts, tail)
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -199,20 +198,20 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, n
             yield 0, low, part, np.array([0, len(part)])
 
 
-_RUNS = "t1 long, t2 long, bucket long, x1 long, x2 long, start long, strings int, again boolean, spans array<long>"
+_RUNS = "t long, bucket long, x long, start long, strings int, again boolean, spans array<long>"
 
 
 def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        t1, t2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for first, data, offsets in parts(batch.column(2), CHUNK_BYTES):
+        t = batch.column(0).to_numpy()
+        for first, data, offsets in parts(batch.column(1), CHUNK_BYTES):
             for _, base, part, own in _pieces(data, offsets):
-                doc, start, strings, bucket, one, two = runs(part, own)
+                doc, start, strings, bucket, x = runs(part, own)
                 if not len(doc):
                     continue
                 start = start + base
                 # Equal runs of one text: its first one stands for them, and their places are settled here.
-                order, new = _sorted_by([doc.astype(_U), one, two])
+                order, new = _sorted_by([doc.astype(_U), bucket, x])
                 group = np.empty(len(doc), np.int64)
                 group[order] = np.cumsum(new) - 1
                 leader = order[new][group]  # the sort is stable, so the first in the text
@@ -226,8 +225,8 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     lists[leader[np.flatnonzero(mine)[0]]] = (_spans(np.cumsum(flags) > 0) + base).ravel()
                 keep = np.flatnonzero(leader == np.arange(len(doc)))
                 cols = [
-                    t1[first + doc[keep]], t2[first + doc[keep]], bucket[keep].astype(np.int64), one[keep].astype(np.int64),
-                    two[keep].astype(np.int64), start[keep], strings[keep].astype(np.int32), many[keep],
+                    t[first + doc[keep]], bucket[keep].astype(np.int64), x[keep].astype(np.int64), start[keep],
+                    strings[keep].astype(np.int32), many[keep],
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [*map(pa.array, cols), pa.array([lists[i] for i in keep], pa.list_(pa.int64()))],
@@ -235,7 +234,7 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-_FOUND = "t1 long, t2 long, low long, high long, w1 array<long>, w2 array<long>, place array<long>"
+_FOUND = "t long, low long, high long, w1 array<long>, w2 array<long>, place array<long>"
 
 
 def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +266,7 @@ def _sort_rows(rows: list[dict]) -> pa.RecordBatch:
     out: dict[str, list] = {x.split()[0]: [] for x in _FOUND.split(", ")}
 
     def add(r: dict, low, high, w1=None, w2=None, places=None):
-        for k, v in zip(out, (r["t1"], r["t2"], low, high, w1, w2, places), strict=True):
+        for k, v in zip(out, (r["t"], low, high, w1, w2, places), strict=True):
             out[k].append(v)
 
     prefix = second = None
@@ -294,45 +293,48 @@ def _sort_rows(rows: list[dict]) -> pa.RecordBatch:
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """``t1``, ``t2``, ``low``, ``high``: starts of strings of LENGTH bytes that start elsewhere too, as ranges, from
-    ``t1``, ``t2`` (digests of a text), ``text``, a row for each document."""
+    """``t``, ``low``, ``high``: starts of strings of LENGTH bytes that start elsewhere too, as ranges, from ``t`` (a
+    number of the text), ``text``, a row for each document."""
     found = write_through(texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_cut_runs, _RUNS), "runs")
-    key = ["bucket", "x1", "x2"]
-    classes = found.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"), F.max("again").alias("again"), F.min(F.struct("t1", "t2", "start", "strings")).alias("run")
+    inside = found.where("spans is not null").select(
+        "t", F.explode(F.expr("transform(sequence(0, size(spans) - 1, 2), i -> struct(spans[i], spans[i + 1]))")).alias("s")
+    )
+    inside = inside.select("t", F.col("s.col1").alias("low"), F.col("s.col2").alias("high"))
+    # Most runs have a bucket of their own. They are told from the others by counts of the buckets alone.
+    shared = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    found = found.select("t", "bucket", "x", "start", "strings", "again").join(shared, "bucket", "left_semi")
+    found = write_through(found, "shared-runs")
+    classes = found.groupBy("bucket", "x").agg(
+        F.count(F.lit(1)).alias("n"), F.max("again").alias("again"), F.min(F.struct("t", "start", "strings")).alias("run")
     )
     classes = write_through(classes, "run-classes")
     # Runs that are equal: all their strings repeat.
-    often = classes.where("n > 1").select(*key)
-    whole = found.join(often, key).select("t1", "t2", F.col("start").alias("low"), (F.col("start") + F.col("strings")).alias("high"))
-    inside = found.where("spans is not null").select(
-        "t1", "t2", F.explode(F.expr("transform(sequence(0, size(spans) - 1, 2), i -> struct(spans[i], spans[i + 1]))")).alias("s")
+    often = classes.where("n > 1").select("bucket", "x")
+    whole = found.join(often, ["bucket", "x"], "left_semi").select(
+        "t", F.col("start").alias("low"), (F.col("start") + F.col("strings")).alias("high")
     )
-    inside = inside.select("t1", "t2", F.col("s.col1").alias("low"), F.col("s.col2").alias("high"))
     # Runs that differ but share a bucket: one of each kind is sorted.
     mixed_buckets = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     parts_ = F.ceil(F.col("kinds") / RUNS_AT_ONCE).cast("int")
     wanted = classes.join(mixed_buckets, "bucket").select(
-        "bucket", parts_.alias("parts"), F.pmod(F.col("x1"), parts_).cast("int").alias("part"),
+        "bucket", parts_.alias("parts"), F.pmod(F.col("x"), parts_).cast("int").alias("part"),
         ((F.col("n") > 1) | F.col("again")).alias("whole"), "run.*",
     )
-    lists = wanted.groupBy("t1", "t2").agg(
-        F.collect_list(F.struct("bucket", "parts", "part", "whole", "start", "strings")).alias("runs")
-    )
-    one_text = texts.join(lists.select("t1", "t2"), ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    lists = wanted.groupBy("t").agg(F.collect_list(F.struct("bucket", "parts", "part", "whole", "start", "strings")).alias("runs"))
+    one_text = texts.join(lists.select("t"), "t", "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     cut = F.expr(
         f"transform(runs, r -> struct(r.bucket, r.parts, r.part, r.whole, r.start,"
         f" substring(cast(text as binary), cast(r.start + 1 as int), r.strings + {LENGTH - 1}) as text))"
     )
-    rows = one_text.join(lists, ["t1", "t2"]).select("t1", "t2", F.explode(cut).alias("r")).select("t1", "t2", "r.*")
+    rows = one_text.join(lists, "t").select("t", F.explode(cut).alias("r")).select("t", "r.*")
     dealt = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
     seen = write_through(dealt.mapInArrow(_sort_buckets, _FOUND), "sorted-buckets")
-    partly = seen.where("low is not null").select("t1", "t2", "low", "high")
+    partly = seen.where("low is not null").select("t", "low", "high")
     # Parts of one bucket: strings found in several of them.
-    digests = seen.where("place is not null").select("t1", "t2", F.inline(F.arrays_zip("w1", "w2", "place")))
-    shared = digests.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-    across = digests.where("place >= 0").join(shared, ["w1", "w2"]).select(
-        "t1", "t2", F.col("place").alias("low"), (F.col("place") + 1).alias("high")
+    digests = seen.where("place is not null").select("t", F.inline(F.arrays_zip("w1", "w2", "place")))
+    several = digests.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    across = digests.where("place >= 0").join(several, ["w1", "w2"], "left_semi").select(
+        "t", F.col("place").alias("low"), (F.col("place") + 1).alias("high")
     )
     return whole.union(inside).union(partly).union(across).distinct()
 
@@ -361,14 +363,14 @@ def remove_repeats(df: DataFrame, text: str = "text", kept: str = "kept") -> Dat
     added = T.StructType.fromDDL(", ".join(new))
     own = {f.name.lower() for f in added} | {text.lower()}
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
-    t1, t2 = F.xxhash64(F.lit(1), body), F.xxhash64(F.lit(2), body, F.octet_length(body))
-    spans = repeated_spans(df.select(t1.alias("t1"), t2.alias("t2"), body.alias("text")))
-    lists = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    t = digest_of(df, F.col(quoted(text)))(F.col(quoted(text)))
+    spans = repeated_spans(df.select(t.alias("t"), body.alias("text")))
+    lists = spans.groupBy("t").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     carried = [c for c in df.columns if c.lower() not in own]
     k = len(carried)
     cols = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(carried)]
-    rows = df.select(*cols, t1.alias("t1"), t2.alias("t2"), F.col(quoted(text)).alias("text"))
-    rows = rows.join(lists, ["t1", "t2"], "left").select(*[f"c{i}" for i in range(k)], "text", "spans")
+    rows = df.select(*cols, t.alias("t"), F.col(quoted(text)).alias("text"))
+    rows = rows.join(lists, "t", "left").select(*[f"c{i}" for i in range(k)], "text", "spans")
     fields = [T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(carried)]
     fields += [T.StructField(f"c{k + i}", f.dataType) for i, f in enumerate(added)]
 

@@ -413,14 +413,13 @@ def likeness(a, b):
     return sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in every) for i in both)
 
 
-def test_probability_jaccard_and_its_estimate():
+def test_signatures_estimate_the_probability_jaccard():
     rng = random.Random(5)
     for _ in range(5):
         a = {k: rng.choice([1, 2, 3.5]) for k in range(0, 120)}
         b = {k: rng.choice([1, 2, 3.5]) for k in range(rng.randint(5, 60), 130)}
         sets = [(np.array(sorted(x), np.uint64), np.array([x[k] for k in sorted(x)])) for x in (a, b)]
         exact = likeness(a, b)
-        assert probminhash.similarity(*sets) == pytest.approx(exact)
         signs = probminhash.signatures(
             np.repeat([0, 1], [len(a), len(b)]), textbytes.mixed(np.concatenate([s[0] for s in sets])),
             np.concatenate([s[1] for s in sets]), 2, 4096,
@@ -428,6 +427,10 @@ def test_probability_jaccard_and_its_estimate():
         assert (signs[0] == signs[1]).mean() == pytest.approx(exact, abs=0.04)
 
 
+def jaccard(a, b):
+    return len(a.keys() & b.keys()) / len(a.keys() | b.keys())
+
+
 def components_of(n, links):
     label = list(range(n))
     for _ in range(n):
@@ -442,7 +445,7 @@ def test_near_duplicates_against_all_pairs(spark, docs):
     texts = sorted({r[1] or "" for r in rows()})
     sets = [shingle_weights(t) for t in texts]
     links = [
-        (i, j) for i in range(len(texts)) for j in range(i) if sets[i] and sets[j] and likeness(sets[i], sets[j]) >= 0.8
+        (i, j) for i in range(len(texts)) for j in range(i) if sets[i] and sets[j] and jaccard(sets[i], sets[j]) >= 0.8
     ]
     assert links
     label = dict(zip(texts, components_of(len(texts), links), strict=True))
@@ -457,12 +460,24 @@ def test_near_duplicates_against_all_pairs(spark, docs):
     assert kept[0]["node"] == "own node"
 
 
-def test_large_group_of_near_copies(spark):
-    base = prose(1, 400).split(" ")
-    data = []
-    for i in range(150):
+def test_links_between_sets():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 12, 9)) for _ in range(60)]
+    links = [
+        (i, j) for i in range(60) for j in range(i) if 5 * len(set(sets[i]) & set(sets[j])) >= 4 * len(set(sets[i]) | set(sets[j]))
+    ]
+    assert probminhash.links_between(sets, 0.8).tolist() == components_of(60, links)
+
+
+@pytest.mark.parametrize("group", [256, 20])
+def test_large_group_of_near_copies(spark, monkeypatch, group):
+    monkeypatch.setattr(probminhash, "GROUP", group)
+    base = prose(1, 400).split()
+    data = [(0, " ".join(base))]
+    for i in range(1, 150):  # each like the base, few like each other
         w = list(base)
-        w[10 + i] = f"changed{i}"
+        for k in range(7):
+            w[(i * 13 + k * 50) % 400] = f"changed{i}-{k}"
         data.append((i, " ".join(w)))
     data += [(1000 + i, prose(500 + i, 100)) for i in range(50)]
     got = probminhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()

@@ -44,9 +44,9 @@ def _added(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.nd
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows block, target, text in order of block; out come block, key, background, target."""
+    """Rows in order of block; in each the chosen ids first, then its documents. Out come block, key, background, target."""
     held: list = []
-    now = None
+    now, chosen = None, set()
 
     def flush():
         keys, background, target = _added(held)
@@ -56,24 +56,26 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        blocks, target = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-        for low, data, offsets in parts(batch.column(2), CHUNK_BYTES):
-            n = len(offsets) - 1
-            keys = grams(data, offsets)
-            size = np.diff(offsets)
-            own = np.repeat(blocks[low : low + n], size)
-            chosen = np.repeat(target[low : low + n], size)
-            for block in np.unique(blocks[low : low + n]).tolist():
-                if block != now and held:
+        blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+        for low, high in zip([0, *edges], [*edges, len(blocks)], strict=True):
+            part = batch.slice(low, high - low)
+            if blocks[low] != now:
+                if held:
                     yield flush()
-                    held = []
-                now = block
-                here = own == block
-                kinds, counts = np.unique(keys[here], return_counts=True)
-                some, more = np.unique(keys[here & chosen], return_counts=True)
-                chosen_counts = np.zeros(len(kinds), np.int64)
-                chosen_counts[np.searchsorted(kinds, some)] = more
-                held.append((kinds, counts, chosen_counts))
+                now, held, chosen = blocks[low], [], set()
+            if kinds[low] == 0:
+                chosen.update(part.column(2).to_pylist())
+                continue
+            target = np.array([x in chosen for x in part.column(2).to_pylist()], bool)
+            for first, data, offsets in parts(part.column(3), CHUNK_BYTES):
+                keys = grams(data, offsets)
+                inside = np.repeat(target[first : first + len(offsets) - 1], np.diff(offsets))
+                found, counts = np.unique(keys, return_counts=True)
+                some, more = np.unique(keys[inside], return_counts=True)
+                own = np.zeros(len(found), np.int64)
+                own[np.searchsorted(found, some)] = more
+                held.append((found, counts, own))
                 if len(held) > 16:
                     held = [_added(held)]
     if held:
@@ -154,12 +156,12 @@ def score(
     blocks = max(1, -(-size // block_bytes))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
     rows = df.select(F.col(quoted(doc_id)).alias("doc_id"), body.alias("text")).withColumn("block", block)
-    ids = chosen.select(F.col("doc_id").cast(kind)).where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    flagged = rows.join(ids, "doc_id", "left").select("block", F.coalesce("target", F.lit(False)).alias("target"), "text")
-    by_block = flagged.sortWithinPartitions("block")
-    counted = by_block.mapInArrow(_count, "block int, key long, background long, target long")
-    counts = counted.groupBy("block", "key").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    counts = write_through(counts, "gram-counts")
+    ids = chosen.select(F.col("doc_id").cast(kind)).where("doc_id is not null").distinct()
+    marks = ids.select(block.alias("block"), F.lit(0).alias("kind"), "doc_id", F.lit(None).cast("string").alias("text"))
+    both = marks.unionByName(rows.select("block", F.lit(1).alias("kind"), "doc_id", "text"))
+    by_block = both.repartition(int(blocks), "block").sortWithinPartitions("block", "kind")
+    # A block is whole in one partition, so each of its n-grams comes out once.
+    counts = write_through(by_block.mapInArrow(_count, "block int, key long, background long, target long"), "gram-counts")
     model = losses(counts.groupBy("key").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
     none = F.lit(None)
     slices = counts.select("block", "key").join(model, "key").select(

@@ -2,7 +2,7 @@
 
 Every shingle sends exponential arrivals, at a rate that is its weight, to random
 registers; a register keeps who came first, and shingles whose next arrival is later
-than every register's first stop. Bands of registers propose pairs, texts verify them.
+than every register's first stop. Bands of registers put texts into buckets, in which they are compared.
 """
 
 from __future__ import annotations
@@ -11,15 +11,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runledger.llm.common import packed, quoted, unpacked, write_through
+from runledger.llm.common import digest_of, packed, quoted, unpacked, write_through
 from runledger.llm.components import components
 from runledger.llm.textbytes import mixed, parts, shingles, weighted
 
 BANDS, ROWS = 32, 6
-MEMBERS_AT_ONCE = 512
+GROUP, HUBS = 256, 32
+COLUMNS_AT_ONCE = 4096
 CHUNK_BYTES = 4 << 20
 _U = np.uint64
 
@@ -56,135 +57,120 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return out.astype(np.int64)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Probability Jaccard of two weighted sets (hashes in order, weights); 0 if either is empty.
+def links_between(sets: list[np.ndarray], least: float) -> np.ndarray:
+    """For every set the first one that a chain of links leads to, where sets of a Jaccard of ``least`` or more are linked.
 
-    The sum, over shared elements i, of 1 / sum over all j of max(a_j / a_i, b_j / b_i).
-    With a_i : b_i sorted, the inner sums come from prefix sums over the ratios.
+    Shared elements are counted for all pairs at once, as products of columns, some thousand elements at a time.
     """
-    (ah, aw), (bh, bw) = a, b
-    if not len(ah) or not len(bh):
-        return 0.0
-    every, place = np.unique(np.concatenate((ah, bh)), return_inverse=True)
-    x, y = np.zeros(len(every)), np.zeros(len(every))
-    x[place[: len(ah)]], y[place[len(ah) :]] = aw, bw
-    with np.errstate(divide="ignore"):
-        ratio = x / y
-    order = np.argsort(ratio, kind="stable")
-    x, y, ratio = x[order], y[order], ratio[order]
-    below = np.concatenate(([0.0], np.cumsum(y)))  # those with a smaller ratio count by b
-    above = np.concatenate((np.cumsum(x[::-1])[::-1], [0.0]))
-    shared = np.flatnonzero((x > 0) & (y > 0))
-    return float(np.sum(1.0 / (below[shared] / y[shared] + above[shared] / x[shared])))
-
-
-def text_keys(text: Column, seed: int) -> tuple[Column, Column]:
-    body = F.coalesce(text, F.lit(""))
-    return F.xxhash64(F.lit(seed), body), F.xxhash64(F.lit(-1), body, F.length(body))
+    k = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    elements, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.full(len(elements), -1)
+    column[count > 1] = np.arange((count > 1).sum())
+    doc, column = np.repeat(np.arange(k), sizes), column[place]
+    order = np.argsort(column, kind="stable")
+    order = order[np.searchsorted(column[order], 0) :]
+    doc, column = doc[order], column[order]
+    both = np.zeros((k, k), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS_AT_ONCE):
+        a, b = np.searchsorted(column, (low, low + COLUMNS_AT_ONCE))
+        part = np.zeros((k, COLUMNS_AT_ONCE), np.float32)
+        part[doc[a:b], column[a:b] - low] = 1
+        both += part @ part.T
+    union = sizes[:, None] + sizes - both.astype(float)
+    linked = (both > 0) & (both >= (least - 1e-9) * union)  # a Jaccard of just ``least`` counts however it is rounded
+    linked |= np.eye(k, dtype=bool)
+    label = np.arange(k)
+    while True:
+        after = np.where(linked, label, k).min(1)
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, data, offsets in parts(batch.column(2), CHUNK_BYTES):
+        for low, data, offsets in parts(batch.column(1), CHUNK_BYTES):
             n = len(offsets) - 1
             own = weighted(*shingles(data, offsets))
             keys = band_keys(signatures(*own, n, BANDS * ROWS))
             some = np.bincount(own[0], minlength=n) > 0
             sizes = np.concatenate(([0], np.cumsum(np.where(some, BANDS, 0)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(keys[some].ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, n), batch.column(1).slice(low, n), lists], ["node", "check", "keys"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), lists], ["node", "keys"])
+
+
+def _link(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Rows in order of key and chunk; of every group the links that hold its classes together come out."""
+    now, nodes, sets = None, [], []
 
+    def flush():
+        label = links_between(sets, least) if len(sets) > 1 else np.zeros(1, np.int64)
+        at = np.flatnonzero(label != np.arange(len(label)))
+        own = np.array(nodes, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(own[at]), pa.array(own[label[at]])], ["node", "hub"])
 
-def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Rows in order of hub and chunk, the hub's own text first; the pairs that are alike come out."""
-    group, own = None, None
     for batch in batches:
-        hubs, chunks, nodes = (batch.column(k).to_pylist() for k in range(3))
-        sims = []
-        for at, data, offsets in parts(batch.column(3), 1):
-            _, hashes, weights = weighted(*shingles(data, offsets))
-            if (hubs[at], chunks[at]) != group:
-                group, own = (hubs[at], chunks[at]), (hashes, weights)
-                sims.append(0.0)
-            else:
-                sims.append(similarity(own, (hashes, weights)))
-        like = [i for i, s in enumerate(sims) if s >= least and nodes[i] != hubs[i]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[i] for i in like], t) for x, t in ((nodes, pa.int64()), (hubs, pa.int64()), (sims, pa.float64()))],
-            ["node", "hub", "similarity"],
-        )
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those of ``pairs`` (node, hub) whose texts are alike.
-
-    Each text is fetched once by its node and sent to the hubs it has to meet; a hub's
-    members are dealt in chunks of some 512, each with a copy of the hub's text, and
-    read one after the other.
+        keys, chunks, ids = (batch.column(k).to_numpy() for k in range(3))
+        for low, data, offsets in parts(batch.column(3), CHUNK_BYTES):
+            doc, hashes, _ = weighted(*shingles(data, offsets))
+            ends = np.searchsorted(doc, np.arange(len(offsets)))
+            for i in range(len(offsets) - 1):
+                group = (keys[low + i], chunks[low + i])
+                if group != now:
+                    if nodes:
+                        yield flush()
+                    now, nodes, sets = group, [], []
+                nodes.append(ids[low + i])
+                sets.append(hashes[ends[i] : ends[i + 1]])
+    if nodes:
+        yield flush()
+
+
+def _groups(members: DataFrame) -> DataFrame:
+    """``key``, ``chunk``, ``node`` from ``key``, ``n`` (its members), ``node``.
+
+    A bucket of up to GROUP texts is one group. A larger one is dealt into chunks, other ones
+    in each band; every chunk also gets the HUBS texts of the bucket that are in the largest
+    buckets, as the text that others were copied from is.
     """
-    sizes = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_AT_ONCE).cast("int").alias("chunks"))
-    members = pairs.join(sizes, "hub").select(
-        "node", "hub", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("role")
-    )
-    hubs = sizes.select(
-        F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("role")
-    )
-    rows = members.unionByName(hubs).join(texts, "node").select("hub", "chunk", "node", "text", "role")
-    dealt = rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "role", "node")
-    return dealt.mapInArrow(lambda b: _verify(b, least), "node long, hub long, similarity double")
-
-
-def near_classes(
-    df: DataFrame, text: str = "text", least: float = 0.8
-) -> tuple[DataFrame, DataFrame | None, Callable[[Column], Column]]:
-    """``node``, ``label`` of every different text; the verified links ``node``, ``hub``, ``similarity`` (None without any);
-    and what gives a text's node.
-
-    ``node`` is a 64-bit digest of the text, checked against a second one. In each
-    band's bucket all members meet the bucket's hub, its first member in one of two
-    orders; those unlike it go on with a hub of their own until none is left. A bucket
-    of n texts so costs n comparisons and a few more, never all pairs. Texts without
-    words are alike only if equal. Null texts count as empty.
+    chunks = F.ceil(F.col("n") / GROUP).cast("int")
+    chunk = F.pmod(F.xxhash64("node", "key"), chunks).cast("int")
+    dealt = members.select("key", chunk.alias("chunk"), "node")
+    large = members.where(F.col("n") > GROUP)
+    central = large.groupBy("node").agg(F.sum("n").alias("weight"))
+    first = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))
+    hubs = large.join(central, "node").select("key", "n", "node", first.alias("nr")).where(F.col("nr") <= HUBS)
+    spread = hubs.select("key", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "node")
+    return dealt.unionByName(spread).distinct()
+
+
+def near_classes(df: DataFrame, text: str = "text", least: float = 0.8) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``node``, ``label`` of every different text, and what gives a text's node.
+
+    Signatures are banded; texts that share a band's key form a bucket, and buckets of the same
+    texts count once. Within a bucket all texts are compared, by the Jaccard of their sets of
+    five-word shingles, and the links that keep its classes connected come out, fewer than it
+    has texts. Buckets of more than GROUP texts are compared in chunks that share HUBS texts.
+    Texts without words are alike only if equal. Null texts count as empty.
     """
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
-    for seed in range(42, 52):
-        node, check = text_keys(body, seed)
-        signed = df.select(node.alias("node"), check.alias("check"), body.alias("text")).mapInArrow(
-            _sign, "node long, check long, keys array<long>"
-        )
-        signed = write_through(signed.groupBy("node", "check").agg(F.first("keys").alias("keys")), "signatures")
-        if signed.groupBy("node").count().where("count > 1").isEmpty():
-            break
-    else:
-        raise RuntimeError("digests collide for every seed")
-    texts = df.select(node.alias("node"), body.alias("text"))
-    rows = signed.select("node", F.posexplode("keys").alias("band", "key"))
-    full = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = write_through(rows.join(full, "key"), "buckets")
-    links = None
-    while True:
-        order = F.struct(F.xxhash64(F.col("band") % 2, F.col("node")), F.col("node").alias("node"))
-        hubs = members.groupBy("key").agg(F.min(order)["node"].alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = members.join(hubs.select("key", "hub"), "key").where("node != hub")
-        pairs = write_through(met.select("node", "hub").distinct(), "pairs")
-        if pairs.isEmpty():
-            break
-        wanted = pairs.select(F.explode(F.array("node", "hub")).alias("node")).distinct()
-        once = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-        found = write_through(_verified(pairs, once, least), "links")
-        links = found if links is None else links.unionByName(found)
-        members = write_through(
-            met.join(found.select("node", "hub"), ["node", "hub"], "left_anti").select("key", "node", "band"), "buckets"
-        )
-    every = signed.select("node")
-    if links is None:
-        labels = every.select("node", F.col("node").alias("label"))
-    else:
-        labels = every.join(components(links.select("node", "hub")), "node", "left")
-        labels = labels.select("node", F.coalesce("label", "node").alias("label"))
-    return labels, links, lambda own: text_keys(own, seed)[0]
+    node_of = digest_of(df, F.col(quoted(text)))
+    texts = df.select(node_of(F.col(quoted(text))).alias("node"), body.alias("text"))
+    signed = texts.mapInArrow(_sign, "node long, keys array<long>").groupBy("node").agg(F.first("keys").alias("keys"))
+    signed = write_through(signed, "signatures")
+    rows = signed.select("node", F.explode("keys").alias("key"))
+    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"))
+    once = buckets.where("n > 1").groupBy("n", "who").agg(F.min("key").alias("key"))
+    members = write_through(rows.join(once.select("key", "n"), "key"), "buckets")
+    groups = write_through(_groups(members), "groups")
+    wanted = texts.join(groups.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    dealt = groups.join(wanted, "node").select("key", "chunk", "node", "text")
+    dealt = dealt.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
+    links = dealt.mapInArrow(lambda b: _link(b, least), "node long, hub long")
+    labels = signed.select("node").join(components(links), "node", "left")
+    return labels.select("node", F.coalesce("label", "node").alias("label")), node_of
 
 
 def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", least: float = 0.8) -> DataFrame:
@@ -195,7 +181,11 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", l
     with the least id (a null comes first), of several texts with it the one with the
     least node, of equal rows the first. An empty table gives an empty one.
     """
-    labels, _, node_of = near_classes(df, text, least)
+    return _placed(df, text, doc_id, least)[0]
+
+
+def _placed(df: DataFrame, text: str, doc_id: str, least: float) -> tuple[DataFrame, Callable[[Column], Column]]:
+    labels, node_of = near_classes(df, text, least)
     labels = write_through(labels, "labels")
     rows = df.select(F.col(quoted(doc_id)).alias("id"), node_of(F.col(quoted(text))).alias("node"))
     counted = rows.groupBy("id", "node").agg(F.count(F.lit(1)).alias("n"))
@@ -203,17 +193,16 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", l
     firsts = placed.groupBy("label").agg(F.min(F.struct("id", "node")).alias("first"))
     winner = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("node") == F.col("first.node"))
     turns = placed.join(firsts, "label").withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    return turns.select(
-        F.col("id").alias("doc_id"), F.col("first.id").alias("class_id"), "node", (winner & (F.col("turn") == 1)).alias("kept")
-    )
+    kept = (winner & (F.col("turn") == 1)).alias("kept")
+    return turns.select(F.col("id").alias("doc_id"), F.col("first.id").alias("class_id"), "node", kept), node_of
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps: one of each class, with all columns."""
-    placed = near_duplicates(docs, text, doc_id, least)
+    placed, node_of = _placed(docs, text, doc_id, least)
     kept = placed.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"))
-    node = text_keys(F.col("row").getField(text), 42)[0]
     # Copies of a text have ids of their own, so the pair of id and text spreads them.
-    rows = packed(docs).select("row", F.col("row").getField(doc_id).alias("id"), node.alias("node"))
+    own = F.col("row").getField(text)
+    rows = packed(docs).select("row", F.col("row").getField(doc_id).alias("id"), node_of(own).alias("node"))
     met = rows.join(kept, (F.col("node") == F.col("kept_node")) & F.col("id").eqNullSafe(F.col("kept_id")))
     return unpacked(met.dropDuplicates(["kept_node", "kept_id"]))

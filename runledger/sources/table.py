@@ -20,6 +20,7 @@ from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, arrival_blocks,
 from runledger.operators.rules import check_identifier, require_run_id
 from runledger.schema import DEFAULT_SCHEMA, DEFAULT_TABLE, TABLE_COLUMNS, TABLE_DDL
 from runledger.session import setting
+from runledger.streaming.retry import Permanent
 
 _BUCKETS, _ERA_IDS = "runledger.buckets", "runledger.era_ids"
 
@@ -99,6 +100,21 @@ def last_id(spark: SparkSession, table: str) -> int:
     return scan_logs(spark, table).filter(F.col("era") == latest).agg(F.max("id")).first()[0] or 0
 
 
+def last_batch(spark: SparkSession, table: str) -> int:
+    """Largest batch id in the table, NO_BATCH if no micro-batch wrote to it.  Only the latest era is read."""
+    era = F.regexp_extract("partition", "era=([0-9]+)", 1).cast("bigint")
+    latest = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(era)).first()[0]
+    if latest is None:
+        return NO_BATCH
+    return scan_logs(spark, table).filter(F.col("era") == latest).agg(F.max("batch_id")).first()[0]
+
+
+def _content(rows: DataFrame) -> tuple:
+    """Number of rows and a digest of them that no order or partitioning changes."""
+    digest = F.xxhash64("agentic_run_id", "phase", F.col("timestamp").cast("timestamp"), "event")
+    return tuple(rows.agg(F.count(F.lit(1)), F.sum(digest.cast("decimal(38,0)"))).first())
+
+
 def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols: list | None = None) -> None:
     """Append log rows in one job, all or none.  No rows, no files.
 
@@ -121,9 +137,10 @@ _BROADCAST_BLOCKS = 100_000
 def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool = True) -> int:
     """Append one micro-batch of extracted rows once, and return the number of rows.
 
-    A batch may come again after a crash.  If all its rows are in the table it
-    is skipped; if only some are, something else went wrong and this fails
-    rather than guess.  A writer that knows the batch is new can turn the check off.
+    A batch may come again after a crash.  If the table has the same rows under its
+    id it is skipped; if it has others, or only some, as when a second stream
+    writes to the table, this fails before anything is written.  A writer that
+    knows that no batch up to this one is in the table can turn the check off.
 
     Rows without ids need the file columns of a scan, and get ids in the order
     of arrival within the range of the batch.
@@ -154,11 +171,11 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
                 if blocks is not None:
                     # Its ids are known, so only the eras they lie in are looked at.
                     there = up_to_id(after_id(there, first_id(batch_id)), F.lit(first_id(batch_id + 1)))
-                there = there.count()
-                if there == n:
-                    return n
-                if there:
-                    raise RuntimeError(f"micro-batch {batch_id} has {n} rows but {there} are in {table}")
+                found = _content(there)
+                if found[0]:
+                    if found == _content(kept):
+                        return n
+                    raise Permanent(f"micro-batch {batch_id} has {n} rows but {found[0]} others or fewer are in {table}")
             rows = kept
             if blocks is not None:
                 small = n_blocks <= _BROADCAST_BLOCKS

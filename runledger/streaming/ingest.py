@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from runledger.operators.extract import extract_rows, flatten_logs, ingest_counters, keep_identified
 from runledger.operators.routing import merge_sources, run_pipelines
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
-from runledger.sources.table import append_batch
+from runledger.sources.table import append_batch, last_batch
 from runledger.streaming.retry import with_retry
 
 # Name of the counters in the progress of an ingest query.
@@ -25,15 +25,19 @@ OBSERVED = "ingest"
 def table_sink(table: str, retry: Callable = with_retry) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends extracted rows to ``table``.
 
-    Only the first batch after a start, or after an error, can be a replay;
-    only then is the table searched for it.
+    Batches up to the largest that the table has are looked for in it before they
+    are written: those of another checkpoint, and those that come again because
+    another sink failed after this one had written.  The table is asked for the
+    largest at the start and after an error only.
     """
-    state = {"replay": True}
+    state = {"largest": None}
 
     def append(df: DataFrame, batch_id: int) -> None:
-        replay, state["replay"] = state["replay"], True
-        append_batch(df, batch_id, table, check_replay=replay)
-        state["replay"] = False
+        largest, state["largest"] = state["largest"], None
+        if largest is None:
+            largest = last_batch(df.sparkSession, table)
+        append_batch(df, batch_id, table, check_replay=batch_id <= largest)
+        state["largest"] = max(largest, batch_id)
 
     return retry(append)
 

@@ -6,6 +6,12 @@ import random
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
+
+
+class Permanent(RuntimeError):
+    """An error that trying again cannot mend."""
+
 
 def with_retry(
     fn: Callable,
@@ -19,7 +25,8 @@ def with_retry(
 
     Pauses grow by half from ``initial`` to ``max_interval``, give or take a
     half.  In the end the error is raised, which stops the query; nothing is
-    lost, as a restart replays the batch.
+    lost, as a restart replays the batch.  What cannot succeed is raised at once:
+    wrong arguments, batches at odds with the table, missing tables or columns.
     """
 
     def attempt(*args, **kwargs):
@@ -27,6 +34,8 @@ def with_retry(
         while True:
             try:
                 return fn(*args, **kwargs)
+            except (Permanent, ValueError, AnalysisException):
+                raise
             except Exception:
                 wait = pause * random.uniform(0.5, 1.5)
                 if clock() - began + wait > max_elapsed:

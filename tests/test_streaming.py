@@ -12,9 +12,9 @@ from runledger.operators.extract import flatten_logs
 from runledger.plans.inputs import now
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
 from runledger.sources.table import append_batch, scan_logs
-from runledger.streaming.ingest import drain, forward, print_stream, start_ingest, start_routed, start_traces
+from runledger.streaming.ingest import drain, forward, log_rows, print_stream, start_ingest, start_routed, start_traces, table_sink
 from runledger.streaming.metrics import IngestMetrics, insert_durations, progress_metrics, read_metrics
-from runledger.streaming.retry import with_retry
+from runledger.streaming.retry import Permanent, with_retry
 
 
 def batch(first, n, run="r"):
@@ -259,3 +259,57 @@ def test_retry_gives_up():
     with pytest.raises(OSError):
         with_retry(broken, sleep=clock.sleep, clock=lambda: clock.now)()
     assert 200 < clock.now <= 300 and max(clock.pauses) <= 45
+
+
+def test_replay_of_several_batches_with_a_second_checkpoint(spark, tmp_path):
+    for i in range(3):
+        write_envelopes(tmp_path / "in", batch(i * 10, 10))
+        time.sleep(0.02)
+    name = new_table(spark, 4)
+    for checkpoint in ("one", "two"):
+        ingest(spark, tmp_path, name, checkpoint=checkpoint, maxFilesPerTrigger=1)
+        assert events(spark, name) == [f"e{i}" for i in range(30)]
+
+
+def test_other_files_under_the_same_batch_ids_are_refused(spark, tmp_path):
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 10))
+    ingest(spark, tmp_path, name)
+    write_envelopes(tmp_path / "other", batch(500, 10))
+    q = start_ingest(spark, str(tmp_path / "other"), name, str(tmp_path / "second"), None, now())
+    with pytest.raises(Exception, match="others or fewer"):
+        q.awaitTermination()
+    assert events(spark, name) == [f"e{i}" for i in range(10)]
+
+
+def test_another_sink_that_fails_brings_no_duplicates(spark, tmp_path):
+    for i in range(3):
+        write_envelopes(tmp_path / "in", batch(i * 10, 10))
+        time.sleep(0.02)
+    name, failures = new_table(spark, 4), [1]
+    write = table_sink(name, retry=lambda f: f)
+
+    def both(df, batch_id):
+        write(df, batch_id)
+        if batch_id == 1 and failures:
+            failures.pop()
+            raise OSError("the other sink is away")
+
+    rows = log_rows(scan_otlp_logs(spark, str(tmp_path / "in"), True, maxFilesPerTrigger=1), now())
+    retried = with_retry(both, initial=0.01)
+    rows.writeStream.foreachBatch(retried).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert not failures and events(spark, name) == [f"e{i}" for i in range(30)]
+
+
+def test_no_retry_of_what_cannot_succeed():
+    calls = []
+
+    def fail():
+        calls.append(1)
+        raise Permanent("at odds")
+
+    with pytest.raises(Permanent):
+        with_retry(fail, sleep=lambda s: None)()
+    assert len(calls) == 1

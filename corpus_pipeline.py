@@ -8,19 +8,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from runledger.llm import line_quality, mixing, packing, probminhash, suffix_dedup
-from runledger.llm.common import quoted, write_through
+from runledger.llm.common import write_through
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bad lines go; documents that are rejected go whole."""
-    judged = line_quality.judge_lines(docs).where("kept")
-    made = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
-    return judged.select(*[made.get(c, F.col(quoted(c))).alias(c) for c in docs.columns])
+    return line_quality.clean_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

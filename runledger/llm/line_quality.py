@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import SPACES, WORD, let, packed, unpacked
+from runledger.llm.common import SPACES, WORD, let, packed, quoted, unpacked, write_through
 
 # The rules for a line, as patterns that Java and RE2 read alike.
 ENDS_WELL = "[.!?…。！？][\"'”’»)\\]]*[ \\t\\x0B\\f\\r]*\\z"
@@ -121,3 +121,13 @@ def judge_lines(df: DataFrame, text: str = "text") -> DataFrame:
         kept=~F.col("failed") & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("chars")),
         clean_text=F.when(F.col("row").getField(text).isNotNull(), F.col("clean")),
     )
+
+
+def clean_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their clean text and, where there is such a column, ``n_chars`` counted anew."""
+    # Written before it is filtered: pushed down, the condition would copy the rules' expressions into every step below.
+    whole = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("doc"), F.col(quoted(text)).alias("body"))
+    judged = judge_lines(whole, "body").select("doc", "clean_text", "kept")
+    judged = write_through(judged, "judged-lines").where("kept")
+    made = {text: F.col("clean_text"), n_chars: F.length("clean_text").cast("long")}
+    return judged.select(*[made.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

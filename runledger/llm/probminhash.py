@@ -11,16 +11,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runledger.llm.buckets import classes
 from runledger.llm.common import digest_of, packed, quoted, unpacked, write_through
-from runledger.llm.components import components
 from runledger.llm.textbytes import mixed, parts, shingles, weighted
 
 BANDS, ROWS = 32, 6
-GROUP, HUBS = 256, 32
-COLUMNS_AT_ONCE = 4096
 CHUNK_BYTES = 4 << 20
 _U = np.uint64
 
@@ -57,119 +55,41 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return out.astype(np.int64)
 
 
-def links_between(sets: list[np.ndarray], least: float) -> np.ndarray:
-    """For every set the first one that a chain of links leads to, where sets of a Jaccard of ``least`` or more are linked.
-
-    Shared elements are counted for all pairs at once, as products of columns, some thousand elements at a time.
-    """
-    k = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    elements, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.full(len(elements), -1)
-    column[count > 1] = np.arange((count > 1).sum())
-    doc, column = np.repeat(np.arange(k), sizes), column[place]
-    order = np.argsort(column, kind="stable")
-    order = order[np.searchsorted(column[order], 0) :]
-    doc, column = doc[order], column[order]
-    both = np.zeros((k, k), np.float32)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS_AT_ONCE):
-        a, b = np.searchsorted(column, (low, low + COLUMNS_AT_ONCE))
-        part = np.zeros((k, COLUMNS_AT_ONCE), np.float32)
-        part[doc[a:b], column[a:b] - low] = 1
-        both += part @ part.T
-    union = sizes[:, None] + sizes - both.astype(float)
-    linked = (both > 0) & (both >= (least - 1e-9) * union)  # a Jaccard of just ``least`` counts however it is rounded
-    linked |= np.eye(k, dtype=bool)
-    label = np.arange(k)
-    while True:
-        after = np.where(linked, label, k).min(1)
-        after = after[after]
-        if (after == label).all():
-            return label
-        label = after
-
-
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, data, offsets in parts(batch.column(1), CHUNK_BYTES):
             n = len(offsets) - 1
             own = weighted(*shingles(data, offsets))
             keys = band_keys(signatures(*own, n, BANDS * ROWS))
-            some = np.bincount(own[0], minlength=n) > 0
-            sizes = np.concatenate(([0], np.cumsum(np.where(some, BANDS, 0)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(keys[some].ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), lists], ["node", "keys"])
+            sizes = np.bincount(own[0], minlength=n)
+            ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, BANDS, 0)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[sizes > 0].ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), pa.array(sizes), lists], ["node", "size", "keys"])
 
 
-def _link(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Rows in order of key and chunk; of every group the links that hold its classes together come out."""
-    now, nodes, sets = None, [], []
-
-    def flush():
-        label = links_between(sets, least) if len(sets) > 1 else np.zeros(1, np.int64)
-        at = np.flatnonzero(label != np.arange(len(label)))
-        own = np.array(nodes, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(own[at]), pa.array(own[label[at]])], ["node", "hub"])
-
-    for batch in batches:
-        keys, chunks, ids = (batch.column(k).to_numpy() for k in range(3))
-        for low, data, offsets in parts(batch.column(3), CHUNK_BYTES):
-            doc, hashes, _ = weighted(*shingles(data, offsets))
-            ends = np.searchsorted(doc, np.arange(len(offsets)))
-            for i in range(len(offsets) - 1):
-                group = (keys[low + i], chunks[low + i])
-                if group != now:
-                    if nodes:
-                        yield flush()
-                    now, nodes, sets = group, [], []
-                nodes.append(ids[low + i])
-                sets.append(hashes[ends[i] : ends[i + 1]])
-    if nodes:
-        yield flush()
-
-
-def _groups(members: DataFrame) -> DataFrame:
-    """``key``, ``chunk``, ``node`` from ``key``, ``n`` (its members), ``node``.
-
-    A bucket of up to GROUP texts is one group. A larger one is dealt into chunks, other ones
-    in each band; every chunk also gets the HUBS texts of the bucket that are in the largest
-    buckets, as the text that others were copied from is.
-    """
-    chunks = F.ceil(F.col("n") / GROUP).cast("int")
-    chunk = F.pmod(F.xxhash64("node", "key"), chunks).cast("int")
-    dealt = members.select("key", chunk.alias("chunk"), "node")
-    large = members.where(F.col("n") > GROUP)
-    central = large.groupBy("node").agg(F.sum("n").alias("weight"))
-    first = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))
-    hubs = large.join(central, "node").select("key", "n", "node", first.alias("nr")).where(F.col("nr") <= HUBS)
-    spread = hubs.select("key", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "node")
-    return dealt.unionByName(spread).distinct()
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted shingles of every text."""
+    for _, data, offsets in parts(texts, CHUNK_BYTES):
+        doc, hashes, _ = weighted(*shingles(data, offsets))
+        ends = np.searchsorted(doc, np.arange(len(offsets)))
+        for low, high in zip(ends[:-1], ends[1:], strict=True):
+            yield hashes[low:high]
 
 
 def near_classes(df: DataFrame, text: str = "text", least: float = 0.8) -> tuple[DataFrame, Callable[[Column], Column]]:
     """``node``, ``label`` of every different text, and what gives a text's node.
 
-    Signatures are banded; texts that share a band's key form a bucket, and buckets of the same
-    texts count once. Within a bucket all texts are compared, by the Jaccard of their sets of
-    five-word shingles, and the links that keep its classes connected come out, fewer than it
-    has texts. Buckets of more than GROUP texts are compared in chunks that share HUBS texts.
+    Signatures are banded; texts that share a band's key form a bucket. All texts of a bucket, however
+    large it is, are compared by the Jaccard of their sets of five-word shingles (see ``buckets.classes``).
     Texts without words are alike only if equal. Null texts count as empty.
     """
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
     node_of = digest_of(df, F.col(quoted(text)))
     texts = df.select(node_of(F.col(quoted(text))).alias("node"), body.alias("text"))
-    signed = texts.mapInArrow(_sign, "node long, keys array<long>").groupBy("node").agg(F.first("keys").alias("keys"))
-    signed = write_through(signed, "signatures")
-    rows = signed.select("node", F.explode("keys").alias("key"))
-    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"))
-    once = buckets.where("n > 1").groupBy("n", "who").agg(F.min("key").alias("key"))
-    members = write_through(rows.join(once.select("key", "n"), "key"), "buckets")
-    groups = write_through(_groups(members), "groups")
-    wanted = texts.join(groups.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    dealt = groups.join(wanted, "node").select("key", "chunk", "node", "text")
-    dealt = dealt.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
-    links = dealt.mapInArrow(lambda b: _link(b, least), "node long, hub long")
-    labels = signed.select("node").join(components(links), "node", "left")
+    signed = texts.mapInArrow(_sign, "node long, size long, keys array<long>")
+    signed = write_through(signed.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys")), "signatures")
+    rows = signed.select("node", "size", F.explode("keys").alias("key"))
+    labels = signed.select("node").join(classes(rows, texts, shingle_sets, least), "node", "left")
     return labels.select("node", F.coalesce("label", "node").alias("label")), node_of
 
 

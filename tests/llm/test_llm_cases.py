@@ -6,11 +6,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from runledger.llm import (
-    line_quality, lm_scoring, mixing, packing, probminhash, sharding, spotsigs, suffix_dedup, textbytes, url_filter,
+    buckets, line_quality, lm_scoring, mixing, packing, probminhash, sharding, spotsigs, suffix_dedup, textbytes, url_filter,
 )
 from runledger.llm.common import number_rows
 from runledger.llm.components import components
@@ -98,6 +99,7 @@ def test_empty_tables(spark, none):
     for df in (
         sharding.assign_shards(none, 8), mixing.mix(none.withColumn("size", F.lit(0))), mixing.mix_documents(none),
         lm_scoring.score(none, ids), spotsigs.compare_with_edits(none), spotsigs.fingerprint(none),
+        spotsigs.near_classes(none),
         line_quality.judge_lines(none), probminhash.near_duplicates(none), probminhash.deduplicate(none), packing.pack(none),
         suffix_dedup.remove_repeats(none), suffix_dedup.remove_from_documents(none),
         url_filter.judge_urls(none.withColumn("url", F.col("text")), [url_filter.Rule("org/", "block")]),
@@ -322,8 +324,6 @@ def test_edits_and_fingerprints(docs):
         r = by[d]
         assert r["n_chars"] == len(texts[k]) and len(edit) <= len(texts[k])
         assert r["edited_sha256"] == hashlib.sha256(edit.encode()).hexdigest()
-        import pyarrow as pa
-
         own, changed, after = spotsigs.signature_sets(pa.array([texts[k], edit, texts[following]]))
         assert r["fingerprint"] == spotsigs.written(own) and r["edited_fingerprint"] == spotsigs.written(changed)
         a, b, c = set(own.tolist()), set(changed.tolist()), set(after.tolist())
@@ -466,12 +466,12 @@ def test_links_between_sets():
     links = [
         (i, j) for i in range(60) for j in range(i) if 5 * len(set(sets[i]) & set(sets[j])) >= 4 * len(set(sets[i]) | set(sets[j]))
     ]
-    assert probminhash.links_between(sets, 0.8).tolist() == components_of(60, links)
+    assert buckets.links_between(sets, 0.8).tolist() == components_of(60, links)
 
 
 @pytest.mark.parametrize("group", [256, 20])
 def test_large_group_of_near_copies(spark, monkeypatch, group):
-    monkeypatch.setattr(probminhash, "GROUP", group)
+    monkeypatch.setattr(buckets, "GROUP", group)
     base = prose(1, 400).split()
     data = [(0, " ".join(base))]
     for i in range(1, 150):  # each like the base, few like each other
@@ -484,6 +484,46 @@ def test_large_group_of_near_copies(spark, monkeypatch, group):
     assert Counter(r["class_id"] for r in got)[0] == 150 and sum(r["kept"] for r in got) == 51
 
 
+@pytest.mark.parametrize("buckets_of", [1, 3])
+def test_large_buckets_lose_no_link(spark, monkeypatch, buckets_of):
+    """Chains through a bucket that is far larger than a group, with few hubs, against all pairs."""
+    monkeypatch.setattr(buckets, "GROUP", 6)
+    monkeypatch.setattr(buckets, "HUBS", 1)
+    rng = random.Random(8)
+    sets = []
+    for family in range(40):
+        own = [f"{family * 1000 + k}" for k in range(rng.choice([10, 11, 40, 60]))]
+        for step in range(rng.choice([1, 2, 6])):  # each like the one before, the last not like the first
+            sets.append(own[step:] + [f"{family * 1000 + 500 + k}" for k in range(step)])
+    rng.shuffle(sets)
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 5 * len({*a} & {*b}) >= 4 * len({*a} | {*b})]
+    want = components_of(len(sets), links)
+    assert 40 <= len(set(want)) < len(sets)
+
+    def sets_of(texts):
+        for t in texts.to_pylist():
+            yield np.array(sorted(map(int, t.split())), np.uint64)
+
+    rows = [(i, key, len(s)) for i, s in enumerate(sets) for key in range(buckets_of)]
+    texts = spark.createDataFrame([(i, " ".join(s)) for i, s in enumerate(sets)], "node long, text string")
+    got = buckets.classes(spark.createDataFrame(rows, "node long, key long, size long"), texts, sets_of, 0.8).collect()
+    label = {r["node"]: r["label"] for r in got}
+    assert [label.get(i, i) for i in range(len(sets))] == want
+
+
+def test_classes_of_signature_sets(spark, docs):
+    got = spotsigs.near_classes(clashing(docs)).collect()
+    texts = sorted({r[1] or "" for r in rows()})
+    sets = [set(s.tolist()) for s in spotsigs.signature_sets(pa.array(texts))]
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a and 5 * len(a & b) >= 4 * len(a | b)]
+    assert links
+    label = dict(zip(texts, components_of(len(texts), links), strict=True))
+    least = {}
+    for r in sorted(rows(), key=lambda r: (r[0] is not None, r[0] or 0)):
+        least.setdefault(label[r[1] or ""], r[0])
+    assert Counter((r[0], least[label[r[1] or ""]]) for r in rows()) == Counter((r["doc_id"], r["class_id"]) for r in got)
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)] + [(7, 7)]

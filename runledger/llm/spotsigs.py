@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import quoted
+from runledger.llm.buckets import classes
+from runledger.llm.common import digest_of, quoted, write_through
 from runledger.llm.textbytes import FOLDED_CODES, mixed, parts, powers, span, sums, words
 
 # Common words of English, French, German and Spanish.
@@ -128,6 +130,43 @@ def fingerprint(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     )
 
 
+def near_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", least: float = 0.8) -> DataFrame:
+    """One row per document: its id as ``doc_id`` and ``class_id``, the least id of its class (a null comes first).
+
+    Documents are in a class if a chain of pairs whose signature sets have a Jaccard of ``least`` or
+    more links them, or if their texts are equal. Sets are partitioned by length, into levels such that linked
+    ones are at most one level apart. Two linked sets of n signatures or more share one of the
+    n - ceil(least * n) + 1 rarest signatures of each, so only these put texts of two levels into buckets, and
+    only texts that share a bucket are compared. Null texts count as empty; an empty table gives an empty one.
+    """
+    node_of = digest_of(df, F.col(quoted(text)))
+    body = F.coalesce(F.col(quoted(text)), F.lit(""))
+    texts = df.select(node_of(F.col(quoted(text))).alias("node"), body.alias("text"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([s.astype(np.int64) for s in signature_sets(batch.column(1))], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["node", "signs"])
+
+    signed = texts.mapInArrow(sign, "node long, signs array<long>").groupBy("node").agg(F.first("signs").alias("signs"))
+    signed = write_through(signed, "signatures")
+    single = signed.select("node", F.explode("signs").alias("sign"))
+    often = single.groupBy("sign").agg(F.count(F.lit(1)).alias("n"))
+    ranked = single.join(often, "sign").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "sign"))).alias("signs"))
+    size = F.size("signs")
+    rarest = F.slice("signs", F.lit(1), size - F.ceil(F.lit(least - 1e-9) * size).cast("int") + 1)
+    level = F.floor(F.log(size) / (1e-6 - math.log(least)))
+    spread = ranked.select("node", size.cast("long").alias("size"), level.alias("level"), F.explode(rarest).alias("rare"))
+    pair = F.explode(F.array(F.col("level") - 1, F.col("level"))).alias("pair")
+    rows = spread.select("node", "size", F.col("rare.sign").alias("sign"), pair)
+    rows = rows.select("node", "size", F.xxhash64("sign", "pair").alias("key")).distinct()
+    labels = signed.select("node").join(classes(rows, texts, signature_sets, least), "node", "left")
+    labels = write_through(labels.select("node", F.coalesce("label", "node").alias("label")), "labels")
+    placed = df.select(F.col(quoted(doc_id)).alias("id"), node_of(F.col(quoted(text))).alias("node")).join(labels, "node")
+    firsts = placed.groupBy("label").agg(F.min(F.struct("id")).alias("first"))
+    return placed.join(firsts, "label").select(F.col("id").alias("doc_id"), F.col("first.id").alias("class_id"))
+
+
 _OUT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 

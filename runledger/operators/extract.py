@@ -6,12 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.functions import any_as_string, attr, body_value, resolve_time
-from runledger.schema import EVENT_KEY, PHASE_KEY, RECORD_COLUMNS, RUN_ID_KEY
+from runledger.schema import EVENT_KEY, PHASE_KEY, RECORD_COLUMNS, REJECTED, RUN_ID_KEY
+
+
+def accepted(envelopes: DataFrame) -> DataFrame:
+    """The envelopes that were not refused when they were read, without the column that says so."""
+    return envelopes.where(F.col(REJECTED).isNull()).drop(REJECTED) if REJECTED in envelopes.columns else envelopes
 
 
 def flatten_logs(envelopes: DataFrame) -> DataFrame:
     """One row per log record: ``ri, resource, si, scope, li, record`` and whatever
-    other columns the envelopes carry.  ``(ri, si, li)`` is the place in the envelope."""
+    other columns the envelopes carry.  ``(ri, si, li)`` is the place in the envelope.
+    Refused lines have no records."""
+    envelopes = accepted(envelopes)
     keep = [c for c in envelopes.columns if c != "resourceLogs"]
     resources = envelopes.select(*keep, F.posexplode("resourceLogs").alias("ri", "r"))
     scopes = resources.select(

@@ -208,7 +208,15 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'unmatched', agentic_run_id, phase, event FROM raw
           WHERE service IS DISTINCT FROM 'audit-service'""",
     "stream_counters": f"""WITH {RAW} SELECT count(*) AS records, count(*) FILTER (agentic_run_id <> '') AS inserted,
-        count(*) FILTER (agentic_run_id = '') AS skipped FROM raw""",
+        count(*) FILTER (agentic_run_id = '') AS skipped,
+        0 AS rejected FROM raw""",
+    "insert_duration": "SELECT bucket, le, true AS a_time_each, true AS took_time FROM ("
+    + _histogram("WITH vals AS (SELECT event_id AS v0 FROM events)", "v0", "sum(v0)") + ")",
+    "rejected_lines": f"""WITH {RAW}, placed AS (SELECT *, event_id // 100 AS envelope, event_id // 100 % 7 IN (3, 5) AS bad FROM raw)
+        SELECT unnest(['records', 'skipped', 'stored', 'rejected', 'kept apart']) AS what,
+          unnest([count(*) FILTER (NOT bad), count(*) FILTER (NOT bad AND agentic_run_id = ''),
+            count(*) FILTER (NOT bad AND agentic_run_id <> ''), count(DISTINCT envelope) FILTER (bad),
+            count(DISTINCT envelope) FILTER (bad)]) AS n FROM placed""",
     "trace_forward": f"WITH {RAW} SELECT service, hex(event_id) AS span_id, event_type AS name FROM raw",
     "signal_split": f"{LOGS} SELECT agentic_run_id, count(*) AS n FROM logs GROUP BY 1",
 }

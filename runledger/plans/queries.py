@@ -20,8 +20,8 @@ from runledger.session import scratch_path
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, write_otlp
 from runledger.sources.sinks import nop_sink
 from runledger.sources.table import append_batch, append_logs, delete_run, scan_logs
-from runledger.streaming.ingest import drain, log_rows, start_ingest, start_routed, start_traces, table_sink
-from runledger.streaming.metrics import insert_durations, progress_metrics
+from runledger.streaming.ingest import drain, keep_rejected, log_rows, start_ingest, start_routed, start_traces, table_sink
+from runledger.streaming.metrics import IngestMetrics, insert_durations, progress_metrics, read_metrics
 
 RUN = "run-8"
 CONVERSATION = "conv-8"
@@ -490,17 +490,56 @@ def stream_route(spark, sf_dir):
     )
 
 
+def _metered(spark, sf_dir) -> tuple[str, DataFrame]:
+    """The table filled by a stream, and the metrics of all its batches, however many."""
+    path = scratch_path(spark, "metrics")
+    listener = IngestMetrics(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        name, _, q = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
+        if not listener.wait(q):
+            raise TimeoutError("the reports of the stream did not come")
+    finally:
+        spark.streams.removeListener(listener)
+    return name, read_metrics(spark, path).where(F.col("query_id") == str(q.id))
+
+
 @query("stream_counters")
 def stream_counters(spark, sf_dir):
-    _, _, q = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
+    _, metrics = _metered(spark, sf_dir)
+    return metrics.agg(*[F.sum(c).alias(c) for c in ("records", "inserted", "skipped", "rejected")])
+
+
+@query("rejected_lines")
+def rejected_lines(spark, sf_dir):
+    """Of every seven envelopes one is cut off and one has a number that is none: counted, kept apart, not ingested."""
+    source, apart, name = scratch_path(spark, "damaged"), scratch_path(spark, "apart"), inputs.new_table(spark)
+    line = F.to_json(F.struct("resourceLogs"))
+    cut = F.left(line, F.length(line) - 20)
+    mistyped = F.replace(line, F.lit('"severityNumber":9'), F.lit('"severityNumber":"nine"'))
+    nth = F.col("envelope") % 7
+    lines = inputs.event_envelopes(spark, sf_dir).select(F.when(nth == 3, cut).when(nth == 5, mistyped).otherwise(line))
+    lines.write.text(source)
+    q = start_ingest(spark, source, name, scratch_path(spark, "checkpoint"), None, inputs.now())
+    q.awaitTermination()
+    stream = scan_otlp_logs(spark, source, True)
+    keep_rejected(stream, apart, scratch_path(spark, "checkpoint"), None).awaitTermination()
     metrics = progress_metrics(spark, q.recentProgress)
-    return metrics.agg(*[F.sum(c).alias(c) for c in ("records", "inserted", "skipped")])
+    kept = spark.read.schema("line string").json(apart)
+    return routing.merge_sources(
+        *[metrics.select(F.lit(c).alias("what"), c).groupBy("what").agg(F.sum(c).alias("n")) for c in ("records", "skipped", "rejected")],
+        scan_logs(spark, name).agg(F.lit("stored").alias("what"), F.count(F.lit(1)).alias("n")),
+        kept.agg(F.lit("kept apart").alias("what"), F.count("line").alias("n")),
+    )
 
 
 @query("insert_duration")
 def insert_duration(spark, sf_dir):
-    _, _, q = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
-    return counts.histogram(insert_durations(progress_metrics(spark, q.recentProgress)), "insert_seconds")
+    """Buckets of the time that batches took to write; the times vary, so only whether they add up is returned."""
+    name, metrics = _metered(spark, sf_dir)
+    batches = scan_logs(spark, name).select("batch_id").distinct().count()
+    times = counts.histogram(insert_durations(metrics), "insert_seconds")
+    return times.select("bucket", "le", (F.col("count") == batches).alias("a_time_each"), (F.col("sum") > 0).alias("took_time"))
 
 
 def _span_envelopes(spark, sf_dir) -> DataFrame:

@@ -33,6 +33,9 @@ OTLP_LOGS = f"resourceLogs array<struct<resource:{RESOURCE},scopeLogs:array<{SCO
 # Traces are only routed and passed on, so everything below the resource is opaque.
 OTLP_TRACES = f"resourceSpans array<struct<resource:{RESOURCE},scopeSpans:variant,schemaUrl:string>>"
 
+# Column of scanned envelopes: the text of a line that is not a proper envelope, else NULL.
+REJECTED = "rejected"
+
 # Attribute keys, table name and limits a reader or writer may rely on.
 RUN_ID_KEY = "agenticrun.uid"
 PHASE_KEY = "agenticrun.phase"

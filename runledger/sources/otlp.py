@@ -5,29 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runledger.operators.extract import accepted
 from runledger.operators.ids import ARRIVAL_COLUMNS
-from runledger.schema import OTLP_LOGS, OTLP_TRACES
+from runledger.schema import OTLP_LOGS, OTLP_TRACES, REJECTED
 
 
 def _scan(spark: SparkSession, path: str, schema: str, streaming: bool, options: dict) -> DataFrame:
-    reader = (spark.readStream if streaming else spark.read).schema(schema).options(**options)
+    options = {"mode": "PERMISSIVE", **options, "columnNameOfCorruptRecord": REJECTED}
+    reader = (spark.readStream if streaming else spark.read).schema(f"{schema}, {REJECTED} string").options(**options)
     return reader.json(path).select("*", *[f"_metadata.{c}" for c in ARRIVAL_COLUMNS])
 
 
 def scan_otlp_logs(spark: SparkSession, path: str, streaming: bool = False, **options) -> DataFrame:
-    """Log envelopes, with the file columns that tell their order of arrival.
+    """Log envelopes, with the file columns that tell their order of arrival, and ``rejected``.
 
-    For a stream, ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound what one
-    micro-batch takes in, which is all the back-pressure a file source needs.
+    A line that is no JSON or has a field of a wrong type is refused whole, as a receiver would: its
+    text is in ``rejected``, flattening and forwarding leave it out, and streams count it.  With
+    ``mode="FAILFAST"`` it is an error.  For a stream, ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger`` bound what one micro-batch takes in, which is all the back-pressure a
+    file source needs.
     """
     return _scan(spark, path, OTLP_LOGS, streaming, options)
 
 
 def scan_otlp_traces(spark: SparkSession, path: str, streaming: bool = False, **options) -> DataFrame:
-    """Span envelopes; all below the resource is kept as it came."""
+    """Span envelopes; all below the resource is kept as it came.  Bad lines are refused like those of logs."""
     return _scan(spark, path, OTLP_TRACES, streaming, options)
 
 
+def rejected_lines(envelopes: DataFrame) -> DataFrame:
+    """``file_path``, ``line`` of what was refused, and how many ``resources`` could be read in it nevertheless."""
+    field = next(c for c in ("resourceLogs", "resourceSpans") if c in envelopes.columns)
+    # Reading the field makes Spark parse it; a line is only found wrong where it is parsed.
+    resources = F.coalesce(F.size(field), F.lit(0)).alias("resources")
+    return envelopes.where(F.col(REJECTED).isNotNull()).select("file_path", F.col(REJECTED).alias("line"), resources)
+
+
 def _in_order(position: str, value: Column) -> Column:
     """Values of a group ordered by ``position``.  Variants have no order of their own."""
     def compare(a, b):
@@ -61,4 +74,4 @@ def to_otlp_envelopes(flat: DataFrame, envelope: list[str]) -> DataFrame:
 def write_otlp(envelopes: DataFrame, path: str, mode: str = "append") -> None:
     """Forward envelopes downstream: one JSON text per line, ready to be scanned again."""
     field = next(c for c in ("resourceLogs", "resourceSpans") if c in envelopes.columns)
-    envelopes.select(field).write.mode(mode).json(path)
+    accepted(envelopes).select(field).write.mode(mode).json(path)

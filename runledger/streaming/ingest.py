@@ -10,16 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from runledger.operators.extract import extract_rows, flatten_logs, ingest_counters, keep_identified
+from runledger.operators.extract import accepted, extract_rows, flatten_logs, ingest_counters, keep_identified
 from runledger.operators.routing import merge_sources, run_pipelines
-from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
+from runledger.schema import REJECTED
+from runledger.sources.otlp import rejected_lines, scan_otlp_logs, scan_otlp_traces
 from runledger.sources.table import append_batch, last_batch
 from runledger.streaming.retry import with_retry
 
-# Name of the counters in the progress of an ingest query.
-OBSERVED = "ingest"
+# Names of the counters in the progress of an ingest query: of records, and of the lines they came in.
+OBSERVED, OBSERVED_LINES = "ingest", "lines"
 
 
 def table_sink(table: str, retry: Callable = with_retry) -> Callable[[DataFrame, int], None]:
@@ -47,7 +49,13 @@ def log_rows(envelopes: DataFrame, now: Column | None = None) -> DataFrame:
 
     ``now``, where used, is the time of the micro-batch, which Spark keeps for a replay.
     """
-    return keep_identified(extract_rows(flatten_logs(envelopes), now).observe(OBSERVED, *ingest_counters()))
+    return keep_identified(extract_rows(flatten_logs(_counted(envelopes)), now).observe(OBSERVED, *ingest_counters()))
+
+
+def _counted(envelopes: DataFrame) -> DataFrame:
+    if REJECTED not in envelopes.columns:
+        return envelopes
+    return envelopes.observe(OBSERVED_LINES, F.count(F.lit(1)).alias("lines"), F.count(REJECTED).alias("rejected"))
 
 
 def _start(writer, checkpoint: str, trigger: str | None) -> StreamingQuery:
@@ -92,7 +100,8 @@ def start_routed(
     retry: Callable = with_retry,
 ) -> StreamingQuery:
     """Send each micro-batch down its pipelines: ``branches`` maps a batch to
-    ``{pipeline: DataFrame}``, ``sinks`` maps a pipeline to ``f(DataFrame, batch_id)``."""
+    ``{pipeline: DataFrame}``, ``sinks`` maps a pipeline to ``f(DataFrame, batch_id)``.  Refused
+    lines are counted and go down none."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         run_pipelines(df, branches, {name: _bind(sink, batch_id) for name, sink in sinks.items()})
@@ -100,13 +109,21 @@ def start_routed(
     def _bind(sink, batch_id):
         return lambda rows: sink(rows, batch_id)
 
-    return _start(stream.writeStream.foreachBatch(retry(write)), checkpoint, trigger)
+    return _start(accepted(_counted(stream)).writeStream.foreachBatch(retry(write)), checkpoint, trigger)
 
 
 def forward(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = "1 second") -> StreamingQuery:
-    """Pass envelopes on as they are, each exactly once, as files of JSON lines."""
+    """Pass envelopes on as they are, each exactly once, as files of JSON lines; refused lines are counted and stay behind."""
     field = next(c for c in ("resourceLogs", "resourceSpans") if c in stream.columns)
-    return _start(stream.select(field).writeStream.format("json").option("path", path), checkpoint, trigger)
+    return _start(accepted(_counted(stream)).select(field).writeStream.format("json").option("path", path), checkpoint, trigger)
+
+
+def keep_rejected(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = "1 second") -> StreamingQuery:
+    """Write the lines that were refused to ``path``, each exactly once.
+
+    A query of its own over the same files, so that a bad line neither holds up nor repeats what is ingested.
+    """
+    return _start(rejected_lines(stream).writeStream.format("json").option("path", path), checkpoint, trigger)
 
 
 def drop(stream: DataFrame, checkpoint: str, trigger: str | None = "1 second") -> StreamingQuery:

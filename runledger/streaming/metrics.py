@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 import json
+import threading
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from runledger.streaming.ingest import OBSERVED
+from runledger.streaming.ingest import OBSERVED, OBSERVED_LINES
 
-METRICS = "batch_id BIGINT, records BIGINT, inserted BIGINT, skipped BIGINT, insert_seconds DOUBLE"
+METRICS = "query_id STRING, batch_id BIGINT, records BIGINT, inserted BIGINT, skipped BIGINT, rejected BIGINT, insert_seconds DOUBLE"
 
 
 def _row(progress: dict) -> tuple | None:
-    """None for a batch without records.  Progress is reported for successful batches only."""
-    seen = (progress.get("observedMetrics") or {}).get(OBSERVED)
-    if not seen or not seen["records"]:
+    """None for a batch without records and refused lines.  Progress is reported for successful batches only."""
+    observed = progress.get("observedMetrics") or {}
+    records, inserted, skipped = ((observed.get(OBSERVED) or {}).get(c) or 0 for c in ("records", "inserted", "skipped"))
+    rejected = (observed.get(OBSERVED_LINES) or {}).get("rejected") or 0
+    if not records and not rejected:
         return None
-    seconds = progress["durationMs"].get("addBatch", 0) / 1000 if seen["inserted"] else None
-    return progress["batchId"], seen["records"], seen["inserted"], seen["skipped"], seconds
+    seconds = progress["durationMs"].get("addBatch", 0) / 1000 if inserted else None
+    return progress["id"], progress["batchId"], records, inserted, skipped, rejected, seconds
 
 
 def progress_metrics(spark: SparkSession, progresses: list) -> DataFrame:
@@ -31,12 +35,13 @@ def progress_metrics(spark: SparkSession, progresses: list) -> DataFrame:
 class IngestMetrics(StreamingQueryListener):
     """Appends the metrics of all ingest queries of a session to a Parquet path.
 
-    Rows are gathered on the driver, one per micro-batch, and written
-    ``flush_every`` at a time and when a query ends, so as not to leave one file each.
+    Each batch is written as soon as Spark reports it, so what a lost driver can lose is the report under
+    way.  A larger ``flush_every`` makes fewer files and can lose as many reports.
     """
 
-    def __init__(self, spark: SparkSession, path: str, flush_every: int = 100):
+    def __init__(self, spark: SparkSession, path: str, flush_every: int = 1):
         self._spark, self._path, self._flush_every, self._rows = spark, path, flush_every, []
+        self._ended = defaultdict(threading.Event)
 
     def onQueryStarted(self, event):
         pass
@@ -53,6 +58,11 @@ class IngestMetrics(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         self.flush()
+        self._ended[str(event.runId)].set()
+
+    def wait(self, query, seconds: float = 60) -> bool:
+        """Wait until all reports of a query that has stopped are written; False if they were not in time."""
+        return self._ended[str(query.runId)].wait(seconds)
 
     def flush(self):
         rows = list(self._rows)

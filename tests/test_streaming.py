@@ -12,7 +12,7 @@ from runledger.operators.extract import flatten_logs
 from runledger.plans.inputs import now
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
 from runledger.sources.table import append_batch, scan_logs
-from runledger.streaming.ingest import drain, forward, log_rows, print_stream, start_ingest, start_routed, start_traces, table_sink
+from runledger.streaming.ingest import drain, forward, keep_rejected, log_rows, print_stream, start_ingest, start_routed, start_traces, table_sink
 from runledger.streaming.metrics import IngestMetrics, insert_durations, progress_metrics, read_metrics
 from runledger.streaming.retry import Permanent, with_retry
 
@@ -159,17 +159,50 @@ def test_counters_and_durations(spark, tmp_path):
     spark.streams.addListener(listener)
     try:
         q = ingest(spark, tmp_path, new_table(spark, 4), maxFilesPerTrigger=1)
-        deadline = time.time() + 30
-        while not (tmp_path / "metrics" / "_SUCCESS").exists() and time.time() < deadline:
-            time.sleep(0.2)
+        assert listener.wait(q)
     finally:
         spark.streams.removeListener(listener)
     for metrics in (progress_metrics(spark, q.recentProgress), read_metrics(spark, str(tmp_path / "metrics"))):
-        rows = sorted(tuple(r)[1:4] for r in metrics.collect())
-        assert rows == [(1, 0, 1), (8, 7, 1)]  # the batch without records has none
+        rows = sorted(tuple(r)[2:6] for r in metrics.collect())
+        assert rows == [(1, 0, 1, 0), (8, 7, 1, 0)]  # the batch without records has none
         assert histogram(insert_durations(metrics), "insert_seconds").first()["count"] == 1
 
 
+def test_reports_beyond_what_spark_keeps(spark, tmp_path):
+    for i in range(4):
+        write_envelopes(tmp_path / "in", batch(i * 10, 5))
+    listener = IngestMetrics(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(listener)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        q = ingest(spark, tmp_path, new_table(spark, 4), maxFilesPerTrigger=1)
+        assert listener.wait(q)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(listener)
+    got = read_metrics(spark, str(tmp_path / "metrics")).where(F.col("query_id") == q.id)
+    assert got.agg(F.count("batch_id"), F.sum("records")).first()[:] == (4, 20)
+
+
+def test_bad_lines_are_counted_and_kept(spark, tmp_path):
+    write_envelopes(tmp_path / "in", batch(0, 3))
+    good = json.dumps(envelope(record("r", body=True), record("r")))
+    bad = [good[:-5], good.replace("true", '"true"'), "no json", '{"resourceLogs": 5}']
+    (tmp_path / "in" / "bad.json").write_text("\n".join([*bad, good]))
+    name = new_table(spark, 4)
+    q = ingest(spark, tmp_path, name)
+    seen = progress_metrics(spark, q.recentProgress).agg(F.sum("records"), F.sum("rejected")).first()
+    assert seen[:] == (5, 4) and scan_logs(spark, name).count() == 5
+    stream = scan_otlp_logs(spark, str(tmp_path / "in"), True)
+    keep_rejected(stream, str(tmp_path / "bad"), str(tmp_path / "c2"), None).awaitTermination()
+    assert sorted(r["line"] for r in spark.read.json(str(tmp_path / "bad")).collect()) == sorted(bad)
+    assert flatten_logs(scan_otlp_logs(spark, str(tmp_path / "in"))).count() == 5
+    forward(stream, str(tmp_path / "out"), str(tmp_path / "c3"), None).awaitTermination()
+    assert flatten_logs(scan_otlp_logs(spark, str(tmp_path / "out"))).count() == 5
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        flatten_logs(scan_otlp_logs(spark, str(tmp_path / "in"), mode="FAILFAST")).collect()
+
+
 def test_routed_stream(spark, tmp_path):
     for i in range(3):
         write_envelopes(tmp_path / "in", envelope(record(f"a{i}"), service="x"), envelope(record(f"b{i}")))

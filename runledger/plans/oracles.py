@@ -200,6 +200,7 @@ ORACLES: dict[str, str] = {
     "replayed_batch": f"{LOGS} SELECT agentic_run_id, id, CAST(7 AS BIGINT) AS batch_id, {ROW} FROM logs",
     "after_id": f"{LOGS} SELECT id, phase, event FROM logs WHERE agentic_run_id = '{RUN}' AND id > 500",
     "stream_ingest": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
+    "jdbc_columns": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
     "stream_ids": f"""{LOGS} SELECT count(*) AS records, count(DISTINCT id) AS ids, true AS dense, true AS in_range
         FROM logs""",
     "stream_replay": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",

@@ -17,6 +17,7 @@ from runledger.operators.extract import extract_rows, flatten_logs, ingest_stats
 from runledger.operators.filters import after_id, for_run
 from runledger.plans import inputs
 from runledger.session import scratch_path
+from runledger.sources.jdbc import from_jdbc, to_jdbc
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, write_otlp
 from runledger.sources.sinks import nop_sink
 from runledger.sources.table import append_batch, append_logs, delete_run, scan_logs
@@ -161,9 +162,15 @@ def pages_all_runs(spark, sf_dir):
     return shown(pages.pages_for_runs(inputs.event_logs(spark, sf_dir), 10), "agentic_run_id", "id", "has_more")
 
 
+@query("jdbc_columns")
+def jdbc_columns(spark, sf_dir):
+    """The columns for a database and back, without one."""
+    return shown(from_jdbc(to_jdbc(inputs.event_logs(spark, sf_dir))), "agentic_run_id")
+
+
 @query("pages_for_cursors")
 def pages_from_cursors(spark, sf_dir):
-    """Each run from behind its last error on, errors having no phase, in one phase."""
+    """Each run from behind its first error on, errors having no phase, in one phase."""
     logs = inputs.event_logs(spark, sf_dir)
     cursors = logs.filter(F.col("phase") == "").groupBy("agentic_run_id").agg(F.min("id").alias("after"))
     found = pages.pages_for_runs(logs, 5, cursors, "planning")

@@ -1,7 +1,7 @@
 import pytest
 
 from runledger.operators.rules import check_identifier, clamp_limit, parse_after, require_run_id
-from runledger.sources.jdbc import jdbc_options
+from runledger.sources.jdbc import jdbc_options, jdbc_read_options, to_jdbc
 
 
 @pytest.mark.parametrize("given, limit", [(None, 100), ("", 100), (1, 1), ("50", 50), ("+5", 5), (1000, 1000), (1001, 1000), ("9999", 1000)])
@@ -50,3 +50,19 @@ def test_jdbc_options():
         jdbc_options("jdbc:postgresql://db/logs", "a;b")
     with pytest.raises(ValueError):
         jdbc_options("")
+
+
+def test_jdbc_reads_in_parts():
+    options = jdbc_read_options("jdbc:postgresql://db/logs", 1, 1000, 4, table="more")
+    assert options["dbtable"] == "templogs.more" and options["upperBound"] == "1001" and options["numPartitions"] == "4"
+    for first, last, parts in ((1, 0, 1), (1, 5, 0)):
+        with pytest.raises(ValueError):
+            jdbc_read_options("jdbc:postgresql://db/logs", first, last, parts)
+
+
+def test_jdbc_columns(spark):
+    logs = spark.sql("SELECT 1L AS id, 'r' AS agentic_run_id, '' AS phase, timestamp_seconds(1) AS timestamp, 'e' AS event, "
+                     "parse_json('{\"a\":[1,null]}') AS body, 2L AS batch_id, 3 AS bucket, 4L AS era")
+    sent = to_jdbc(logs)
+    assert [f.dataType.simpleString() for f in sent.schema] == ["string", "string", "timestamp", "string", "string"]
+    assert sent.first()["body"] == '{"a":[1,null]}'

@@ -197,6 +197,10 @@ ORACLES: dict[str, str] = {
     "delete_run": f"""{LOGS} SELECT agentic_run_id, id,
         (SELECT count(*) FROM logs WHERE agentic_run_id = '{RUN}') AS deleted
         FROM logs WHERE agentic_run_id <> '{RUN}'""",
+    "purge_table": f"""{NOISY}, deleted AS ({DELETED})
+        SELECT agentic_run_id, id, CAST(NULL AS BIGINT) AS deleted FROM logs
+        WHERE agentic_run_id NOT IN (SELECT agentic_run_id FROM listed)
+        UNION ALL SELECT agentic_run_id, CAST(NULL AS BIGINT), deleted FROM deleted""",
     "replayed_batch": f"{LOGS} SELECT agentic_run_id, id, CAST(7 AS BIGINT) AS batch_id, {ROW} FROM logs",
     "after_id": f"{LOGS} SELECT id, phase, event FROM logs WHERE agentic_run_id = '{RUN}' AND id > 500",
     "stream_ingest": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",

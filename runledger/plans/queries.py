@@ -20,7 +20,7 @@ from runledger.session import scratch_path
 from runledger.sources.jdbc import from_jdbc, to_jdbc
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, write_otlp
 from runledger.sources.sinks import nop_sink
-from runledger.sources.table import append_batch, append_logs, delete_run, scan_logs
+from runledger.sources.table import append_batch, append_logs, delete_run, purge_table, scan_logs
 from runledger.streaming.ingest import drain, keep_rejected, log_rows, start_ingest, start_routed, start_traces, table_sink
 from runledger.streaming.metrics import IngestMetrics, insert_durations, progress_metrics, read_metrics
 
@@ -417,6 +417,15 @@ def deleted_run(spark, sf_dir):
     return scan_logs(spark, name).select("agentic_run_id", "id", F.lit(n).cast("bigint").alias("deleted"))
 
 
+@query("purge_table")
+def purged_table(spark, sf_dir):
+    """What a table holds after a list of runs was purged from it, beside what was reported for each listed run."""
+    name = _copy(spark, sf_dir)
+    deleted = purge_table(spark, name, _noisy_runs(scan_logs(spark, name)))
+    left = scan_logs(spark, name).select("agentic_run_id", "id", F.lit(None).cast("bigint").alias("deleted"))
+    return left.unionByName(deleted.select("agentic_run_id", F.lit(None).cast("bigint").alias("id"), "deleted"))
+
+
 @query("replayed_batch")
 def replayed_batch(spark, sf_dir):
     """A batch that comes twice is there once."""
@@ -572,7 +581,8 @@ def trace_forward(spark, sf_dir):
     source, onward = scratch_path(spark, "spans"), scratch_path(spark, "onward")
     write_otlp(_span_envelopes(spark, sf_dir), source)
     start_traces(spark, source, scratch_path(spark, "checkpoint"), onward, None).awaitTermination()
-    spans = F.variant_get("r.scopeSpans", "$[0].spans", "array<struct<spanId:string,name:string,startTimeUnixNano:string>>")
+    scopes = F.variant_get("r.scopeSpans", "$", "array<struct<spans:array<struct<spanId:string,name:string,startTimeUnixNano:string>>>>")
+    spans = F.flatten(F.transform(scopes, lambda scope: scope["spans"]))
     return (
         scan_otlp_traces(spark, onward)
         .select(F.explode("resourceSpans").alias("r"))

@@ -11,15 +11,19 @@ One writer at a time.
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.operators.filters import after_id, bucket_of, era_of, up_to_id
+from runledger.operators.filters import after_id, bucket_of, era_of, in_buckets_of, up_to_id
 from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, arrival_blocks, assign_arrival_ids, assign_ids, first_id
+from runledger.operators.purge import purge_runs
 from runledger.operators.rules import check_identifier, require_run_id
 from runledger.schema import DEFAULT_SCHEMA, DEFAULT_TABLE, TABLE_COLUMNS, TABLE_DDL
-from runledger.session import setting
+from runledger.session import setting, write_through
 from runledger.streaming.retry import Permanent
 
 _BUCKETS, _ERA_IDS = "runledger.buckets", "runledger.era_ids"
@@ -47,7 +51,7 @@ def ensure_table(
     caller's own want a smaller era.  ``location`` is that of a new schema.
     """
     schema, table = check_identifier(schema), check_identifier(table)
-    below = "" if location is None else " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    below = "" if location is None else f" LOCATION '{_escaped(location)}'"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{below}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({TABLE_DDL}) USING parquet PARTITIONED BY (bucket, era) "
@@ -56,6 +60,11 @@ def ensure_table(
     return f"{schema}.{table}"
 
 
+def _escaped(text: str) -> str:
+    """Text as it stands in an SQL string."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def table_settings(spark: SparkSession, table: str) -> tuple[int, int]:
     """Number of buckets, and of ids in an era."""
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
@@ -191,32 +200,88 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
 def delete_run(spark: SparkSession, table: str, run_id: str) -> int:
     """Delete all rows of a run, of all phases, and return how many; 0 for an unknown run.
 
-    Rewrites the run's bucket in the eras it has rows in, and nothing else.
+    Rewrites the run's bucket in the eras it has rows in, and nothing else (see :func:`_rewrite`).
     """
     require_run_id(run_id)
+    _require_managed(spark, table)
+    buckets, _ = table_settings(spark, table)
+    bucket = spark.range(1).select(bucket_of(F.lit(run_id), buckets)).first()[0]
+    in_bucket = scan_logs(spark, table).filter(F.col("bucket") == bucket)
+    mine = F.coalesce(F.col("agentic_run_id") == F.lit(run_id), F.lit(False))
+    return _rewrite(spark, table, in_bucket.withColumn("_gone", mine))
+
+
+def purge_table(spark: SparkSession, table: str, runs: DataFrame) -> DataFrame:
+    """Delete all rows of the listed runs (``agentic_run_id``) and return ``agentic_run_id, deleted``, 0 for unknown runs.
+
+    However many runs are listed, each bucket and era that has rows of them is rewritten
+    once. NULL and empty run ids are ignored. The counts are those before the delete.
+    """
+    _require_managed(spark, table)
+    listed = write_through(runs.select("agentic_run_id").where("agentic_run_id <> ''").distinct(), "purge")
+    logs = scan_logs(spark, table)
+    counts = write_through(purge_runs(logs, listed)[1].select("agentic_run_id", "deleted"), "purged")
+    known = counts.where("deleted > 0").select("agentic_run_id", F.lit(True).alias("_gone"))
+    marked = in_buckets_of(logs, known).join(known, "agentic_run_id", "left")
+    _rewrite(spark, table, marked.select(*logs.columns, F.coalesce("_gone", F.lit(False)).alias("_gone")))
+    return counts
+
+
+def _require_managed(spark: SparkSession, table: str) -> None:
     if spark.catalog.getTable(table).tableType != "MANAGED":
         raise ValueError(f"{table} is external, so its emptied partitions would come back")
-    logs = scan_logs(spark, table)
-    buckets, era_ids = table_settings(spark, table)
-    bucket = spark.range(1).select(bucket_of(F.lit(run_id), buckets)).first()[0]
-    in_bucket = logs.filter(F.col("bucket") == bucket)
-    mine = F.col("agentic_run_id") == F.lit(run_id)
 
-    def per_era(rows):
-        # One number per partition of the table.
-        return dict(rows.groupBy("era").agg(F.count(F.lit(1))).collect())
 
-    found = per_era(in_bucket.filter(mine))
-    if not found:
+def _rewrite(spark: SparkSession, table: str, marked: DataFrame) -> int:
+    """Take the rows with ``_gone`` out of the table, and return how many they are.
+
+    ``marked`` are rows of whole partitions. What stays of the partitions that lose rows
+    is written to a new folder below the table, whose leading underscore hides it from
+    scans, and counted again; then each partition is switched to its new files by one
+    change of the catalog. So other runs' rows can be read at any time, and after a crash the
+    partitions not yet switched are as before: the same delete again finishes it. What a crash
+    leaves behind are files that no scan reads.
+    """
+    buckets, era_ids = table_settings(spark, table)
+    sizes = marked.groupBy("bucket", "era").agg(F.count_if("_gone").alias("gone"), F.count_if(~F.col("_gone")).alias("left"))
+    # One row per partition that loses rows.
+    hit = sizes.where("gone > 0").orderBy("bucket", "era").collect()
+    if not hit:
         return 0
-    survivors = in_bucket.filter(F.col("era").isin(list(found)) & ~mine)
-    left = per_era(survivors)
-    if left:
-        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            _lay_out(survivors, buckets, era_ids).write.insertInto(table, overwrite=True)
-    # Overwriting touches only partitions that get rows; those without any are dropped.
-    if emptied := sorted(set(found) - set(left)):
-        named = ", ".join(f"PARTITION (bucket = {bucket}, era = {era})" for era in emptied)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
+    eras: dict[int, list[int]] = {}
+    for row in hit:
+        if row["left"]:
+            eras.setdefault(row["bucket"], []).append(row["era"])
+    fresh = f"{_location(spark, table)}/_rewritten/{uuid.uuid4().hex}"
+    if eras:
+        # Plain comparisons of the partition columns, so that no other partition is read.
+        within = [(F.col("bucket") == b) & F.col("era").isin(es) for b, es in eras.items()]
+        survivors = _lay_out(marked.where(functools.reduce(Column.__or__, within) & ~F.col("_gone")), buckets, era_ids)
+        survivors.write.partitionBy("bucket", "era").parquet(fresh)
+        written = spark.read.schema(survivors.schema).parquet(fresh).count()
+        if written != (kept := sum(row["left"] for row in hit)):
+            raise RuntimeError(f"{written} rows were written where {kept} stay, so {table} was left as it is")
+    for row in hit:
+        named = f"PARTITION (bucket = {row['bucket']}, era = {row['era']})"
+        old = _location(spark, table, named)
+        if row["left"]:
+            new = f"{fresh}/bucket={row['bucket']}/era={row['era']}"
+            spark.sql(f"ALTER TABLE {table} {named} SET LOCATION '{_escaped(new)}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
+        _remove(spark, old)
     spark.catalog.refreshTable(table)
-    return sum(found.values())
+    return sum(row["gone"] for row in hit)
+
+
+def _location(spark: SparkSession, table: str, partition: str = "") -> str:
+    """Folder of the table or of one partition."""
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").where("col_name = 'Location'")
+    # Of a partition its own folder comes first, then the table's.
+    return about.first()["data_type"].rstrip("/")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of files that the table no longer names, wherever it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

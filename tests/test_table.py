@@ -1,6 +1,7 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from helpers import envelope, log_rows, new_table, record, write_envelopes
@@ -10,7 +11,7 @@ from runledger.operators.pages import get_page, pages_for_runs
 from runledger.schema import TABLE_COLUMNS
 from runledger.session import setting, shared_dir
 from runledger.sources.otlp import scan_otlp_logs
-from runledger.sources.table import append_batch, append_logs, delete_run, ensure_table, scan_logs, table_settings
+from runledger.sources.table import append_batch, append_logs, delete_run, ensure_table, purge_table, scan_logs, table_settings
 
 
 def rows(spark, n, run=lambda i: f"r{i % 5}", first=1):
@@ -169,6 +170,56 @@ def test_delete_in_a_managed_table(spark, mode):
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
 
 
+def test_purge_a_list_of_runs(spark):
+    """Each partition is rewritten once, others keep their files, emptied ones go."""
+    name = new_table(spark, 2, era_ids=10)
+    append_logs(rows(spark, 60, run=lambda i: f"r{i % 6}" if i < 40 else "late"), name)
+    listed = spark.createDataFrame([("r1",), ("r4",), ("late",), ("nobody",), ("",), (None,), ("r1",)], "agentic_run_id string")
+    counts = {r["agentic_run_id"]: r["deleted"] for r in purge_table(spark, name, listed).collect()}
+    assert counts == {"r1": 7, "r4": 6, "late": 20, "nobody": 0}
+    assert ids(spark, name) == [i for i in range(1, 41) if (i - 1) % 6 not in (1, 4)]
+    assert max(era for _, era in partitions(spark, name)) == 4
+    kept = files(spark, name, "true")
+    assert purge_table(spark, name, listed.where("agentic_run_id = 'nobody'")).collect()[0]["deleted"] == 0
+    assert purge_table(spark, name, listed.limit(0)).collect() == []
+    assert files(spark, name, "true") == kept
+    append_logs(rows(spark, 3, first=41), name)  # into a partition that was switched
+    assert ids(spark, name)[-3:] == [41, 42, 43]
+    assert delete_run(spark, name, "r2") > 0  # and rewritten again
+    assert ids(spark, name) == sorted(i for i in ids(spark, name))
+
+
+@pytest.mark.parametrize("fails", ["SET LOCATION", "parquet"])
+def test_a_delete_that_breaks_off_loses_no_other_run(spark, monkeypatch, fails):
+    name = new_table(spark, 1, era_ids=10)
+    append_logs(rows(spark, 30, run=lambda i: "gone" if i % 3 == 0 else f"r{i % 3}"), name)
+    before = [r["id"] for r in scan_logs(spark, name).where("agentic_run_id <> 'gone'").orderBy("id").collect()]
+    done = []
+
+    def broken_sql(self, text, *args, _sql=SparkSession.sql, **kwargs):
+        if "SET LOCATION" in text:
+            done.append(text)
+            if len(done) == 2:
+                raise OSError("broken off")
+        return _sql(self, text, *args, **kwargs)
+
+    def broken_write(self, *args, **kwargs):
+        raise OSError("broken off")
+
+    with monkeypatch.context() as patch:
+        if fails == "parquet":
+            patch.setattr(DataFrameWriter, "parquet", broken_write)
+        else:
+            patch.setattr(SparkSession, "sql", broken_sql)
+        with pytest.raises(OSError, match="broken off"):
+            delete_run(spark, name, "gone")
+    others = scan_logs(spark, name).where("agentic_run_id <> 'gone'").orderBy("id")
+    assert [r["id"] for r in others.collect()] == before
+    left = scan_logs(spark, name).where("agentic_run_id = 'gone'").count()
+    assert delete_run(spark, name, "gone") == left > 0
+    assert ids(spark, name) == before
+
+
 def test_odd_run_ids(spark):
     odd = ["it's", 'a"b', "x\\y", "né", "a/b=c", " "]
     name = new_table(spark, 4)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from runledger.llm import line_quality, mixing, packing, probminhash, suffix_dedup
 from runledger.llm.common import write_through
 
+# Fixed value: passages of more words than this are not to be found twice.
+PASSAGE_WORDS = 50
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -26,8 +28,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages that are found twice go; documents stay, if with an empty text."""
-    return suffix_dedup.remove_from_documents(docs)
+    """Passages of over 50 words, and strings of 400 bytes, that are found twice go; documents stay, if with an empty text."""
+    return suffix_dedup.remove_from_documents(docs, over_words=PASSAGE_WORDS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,14 +1,15 @@
 """Removal of repeated passages: blockwise suffix sorting with a difference cover.
 
-Equal strings must meet in one bucket that a task can sort. A string of LENGTH
-bytes is put into the bucket of its least substring of GRAM bytes, by a hash; strings
+Equal strings must meet in one bucket that a task can sort. A string of
+LENGTH bytes is put into the bucket of its least substring of GRAM bytes, by a hash; strings
 that start side by side mostly share it, so a bucket gets one *run* of them, the text
 from the first one's start to the last one's end. Runs with a bucket of their own
 repeat nothing; equal runs repeat wholly. Only buckets of different runs are
 sorted, one after the other and of bounded size: suffixes by their first PERIOD
 bytes, and longer ties by the ranks of the suffixes at difference-cover positions,
 computed before; neighbours are then compared byte by byte. What a large bucket's
-parts have found is put together by digests of the strings.
+parts have found is put together by digests of the strings. Repeats that are counted
+in words, whatever their length in bytes, come from ``passages``.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from runledger.llm import textbytes
 from runledger.llm.common import digest_of, quoted, write_through
+from runledger.llm.passages import repeated_passages
 from runledger.llm.textbytes import BASE, CODES, mixed, parts, powers
 
 LENGTH, GRAM = 400, 128
@@ -156,16 +158,16 @@ def _spans(flags: np.ndarray) -> np.ndarray:
     return np.stack((np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)), 1)
 
 
-def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """text, start, strings (how many side by side), bucket and hash of each run."""
     n = len(data)
-    if n < LENGTH:
+    if n < length:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U))
     prefix = textbytes.sums(data)
-    grams = mixed((prefix[GRAM:] - prefix[:-GRAM]) * powers(textbytes.INVERSE, n)[: n - GRAM + 1])
+    grams = mixed((prefix[gram:] - prefix[:-gram]) * powers(textbytes.INVERSE, n)[: n - gram + 1])
     mask = _U((1 << PLACE_BITS) - 1)
     low = (grams & ~mask) | np.arange(len(grams), dtype=_U)
-    width, reach = LENGTH - GRAM + 1, 1
+    width, reach = length - gram + 1, 1
     while 2 * reach <= width:
         low = np.minimum(low[:-reach], low[reach:])
         reach *= 2
@@ -174,8 +176,8 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     place = (low & mask).astype(np.int64)
     valid = np.zeros(len(place) + 1, np.int32)
     sizes = np.diff(offsets)
-    np.add.at(valid, offsets[:-1][sizes >= LENGTH], 1)
-    np.add.at(valid, (offsets[1:] - LENGTH + 1)[sizes >= LENGTH], -1)
+    np.add.at(valid, offsets[:-1][sizes >= length], 1)
+    np.add.at(valid, (offsets[1:] - length + 1)[sizes >= length], -1)
     valid = np.cumsum(valid[:-1]) > 0
     head = valid.copy()
     head[1:] &= (place[1:] != place[:-1]) | ~valid[:-1]
@@ -184,29 +186,29 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     stop[:-1] &= head[1:] | ~valid[1:]
     ends = np.flatnonzero(stop) + 1
     doc = np.searchsorted(offsets, starts, "right") - 1
-    tail = ends + LENGTH - 1
+    tail = ends + length - 1
     return doc, starts - offsets[doc], ends - starts, grams[place[starts]], textbytes.span(prefix, starts, tail)
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Texts of at most CHUNK_BYTES together, or slices of a longer one that share LENGTH - 1 bytes with the next."""
-    if len(data) <= CHUNK_BYTES + LENGTH:
+def _pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Texts of at most CHUNK_BYTES together, or slices of a longer one that share length - 1 bytes with the next."""
+    if len(data) <= CHUNK_BYTES + length:
         yield 0, 0, data, offsets
     else:  # then it is one text
-        for low in range(0, len(data) - LENGTH + 1, CHUNK_BYTES):
-            part = data[low : low + CHUNK_BYTES + LENGTH - 1]
+        for low in range(0, len(data) - length + 1, CHUNK_BYTES):
+            part = data[low : low + CHUNK_BYTES + length - 1]
             yield 0, low, part, np.array([0, len(part)])
 
 
 _RUNS = "t long, bucket long, x long, start long, strings int, again boolean, spans array<long>"
 
 
-def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         t = batch.column(0).to_numpy()
         for first, data, offsets in parts(batch.column(1), CHUNK_BYTES):
-            for _, base, part, own in _pieces(data, offsets):
-                doc, start, strings, bucket, x = runs(part, own)
+            for _, base, part, own in _pieces(data, offsets, length):
+                doc, start, strings, bucket, x = runs(part, own, length, gram)
                 if not len(doc):
                     continue
                 start = start + base
@@ -237,32 +239,32 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _FOUND = "t long, low long, high long, w1 array<long>, w2 array<long>, place array<long>"
 
 
-def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sort_buckets(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows in order of bucket and part; whole parts are sorted, as many at once as make some MB."""
     held: list[dict] = []
     size = 0
     for batch in batches:
         for row in batch.to_pylist():
             if held and size >= SORT_BYTES and (row["bucket"], row["part"]) != (held[-1]["bucket"], held[-1]["part"]):
-                yield _sort_rows(held)
+                yield _sort_rows(held, length)
                 held, size = [], 0
             held.append(row)
             size += len(row["text"])
     if held:
-        yield _sort_rows(held)
+        yield _sort_rows(held, length)
 
 
-def _sort_rows(rows: list[dict]) -> pa.RecordBatch:
+def _sort_rows(rows: list[dict], length: int) -> pa.RecordBatch:
     text = np.frombuffer(b"".join(r["text"] for r in rows), np.uint8)
     sizes = np.array([len(r["text"]) for r in rows])
-    strings = sizes - LENGTH + 1
+    strings = sizes - length + 1
     base = np.cumsum(sizes) - sizes
     row = np.repeat(np.arange(len(rows)), strings)
     inner = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
     starts = base[row] + inner
     names: dict = {}
     bucket = np.array([names.setdefault((r["bucket"], r["part"]), len(names)) for r in rows], _U)[row]
-    again, first = repeated(text, starts, bucket, LENGTH)
+    again, first = repeated(text, starts, bucket, length)
     out: dict[str, list] = {x.split()[0]: [] for x in _FOUND.split(", ")}
 
     def add(r: dict, low, high, w1=None, w2=None, places=None):
@@ -283,8 +285,8 @@ def _sort_rows(rows: list[dict]) -> pa.RecordBatch:
             at = base[i] + mine
             ask = np.where(again[own][mine] | r["whole"], -1, r["start"] + mine)
             add(
-                r, None, None, textbytes.span(prefix, at, at + LENGTH).astype(np.int64),
-                _span_2(second, at, at + LENGTH).astype(np.int64), ask,
+                r, None, None, textbytes.span(prefix, at, at + length).astype(np.int64),
+                _span_2(second, at, at + length).astype(np.int64), ask,
             )
     long, longs = pa.int64(), pa.list_(pa.int64())
     return pa.RecordBatch.from_arrays(
@@ -292,10 +294,13 @@ def _sort_rows(rows: list[dict]) -> pa.RecordBatch:
     )
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
-    """``t``, ``low``, ``high``: starts of strings of LENGTH bytes that start elsewhere too, as ranges, from ``t`` (a
+def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``t``, ``low``, ``high``: starts of strings of ``length`` bytes that start elsewhere too, as ranges, from ``t`` (a
     number of the text), ``text``, a row for each document."""
-    found = write_through(texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_cut_runs, _RUNS), "runs")
+    if not 0 < gram < length:
+        raise ValueError("gram must be shorter than length")
+    long_enough = texts.where(F.octet_length("text") >= length)
+    found = write_through(long_enough.mapInArrow(lambda b: _cut_runs(b, length, gram), _RUNS), "runs")
     inside = found.where("spans is not null").select(
         "t", F.explode(F.expr("transform(sequence(0, size(spans) - 1, 2), i -> struct(spans[i], spans[i + 1]))")).alias("s")
     )
@@ -324,11 +329,11 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     one_text = texts.join(lists.select("t"), "t", "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     cut = F.expr(
         f"transform(runs, r -> struct(r.bucket, r.parts, r.part, r.whole, r.start,"
-        f" substring(cast(text as binary), cast(r.start + 1 as int), r.strings + {LENGTH - 1}) as text))"
+        f" substring(cast(text as binary), cast(r.start + 1 as int), r.strings + {length - 1}) as text))"
     )
     rows = one_text.join(lists, "t").select("t", F.explode(cut).alias("r")).select("t", "r.*")
     dealt = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    seen = write_through(dealt.mapInArrow(_sort_buckets, _FOUND), "sorted-buckets")
+    seen = write_through(dealt.mapInArrow(lambda b: _sort_buckets(b, length), _FOUND), "sorted-buckets")
     partly = seen.where("low is not null").select("t", "low", "high")
     # Parts of one bucket: strings found in several of them.
     digests = seen.where("place is not null").select("t", F.inline(F.arrays_zip("w1", "w2", "place")))
@@ -340,23 +345,26 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
 
 def _removed(spans: list[dict] | None) -> np.ndarray:
-    """Maximal runs of covered bytes, as starts and ends."""
+    """Maximal runs of covered bytes, as starts and ends, from ranges of bytes."""
     if not spans:
         return np.zeros((0, 2), np.int64)
-    at = np.array(sorted((s["low"], s["high"] + LENGTH - 1) for s in spans))
+    at = np.array(sorted((s["low"], s["high"]) for s in spans))
     reach = np.maximum.accumulate(at[:, 1])
     head = np.concatenate(([True], at[1:, 0] > reach[:-1]))
     return np.stack((at[head, 0], reach[np.append(np.flatnonzero(head)[1:] - 1, len(at) - 1)]), 1)
 
 
-def remove_repeats(df: DataFrame, text: str = "text", kept: str = "kept") -> DataFrame:
+def remove_repeats(
+    df: DataFrame, text: str = "text", kept: str = "kept", length: int = LENGTH, gram: int = GRAM, over_words: int | None = None
+) -> DataFrame:
     """``df`` without its text, with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept``.
 
     ``kept`` says what comes of the text: ``"kept"``, the remaining bytes; ``"text"``, a string in a column of
     that name, without characters that were cut in half; ``""``, nothing. New columns replace columns so named.
-    A byte goes if a string of LENGTH bytes that covers it starts anywhere else too, in any text or the same
-    one; strings are judged on the input. A null text counts as empty and stays null as a string; texts under
-    LENGTH bytes stay whole; equal rows repeat each other. An empty table gives an empty one.
+    A byte goes if a string of ``length`` bytes that covers it starts anywhere else too, in any text or the same
+    one; with ``over_words`` also if it is in a passage of more words than that which is found again, however few
+    bytes it has (see ``passages``). Both are judged on the input. ``gram`` must be shorter than ``length``. A null text
+    counts as empty and stays null as a string; equal rows repeat each other. An empty table gives an empty one.
     """
     new = ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"]
     new += {"kept": ["kept binary"], "text": [f"{quoted(text)} string"], "": []}[kept]
@@ -364,7 +372,11 @@ def remove_repeats(df: DataFrame, text: str = "text", kept: str = "kept") -> Dat
     own = {f.name.lower() for f in added} | {text.lower()}
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
     t = digest_of(df, F.col(quoted(text)))(F.col(quoted(text)))
-    spans = repeated_spans(df.select(t.alias("t"), body.alias("text")))
+    texts = df.select(t.alias("t"), body.alias("text"))
+    starts = repeated_spans(texts, length, gram)
+    spans = starts.select("t", "low", (F.col("high") + (length - 1)).alias("high"))
+    if over_words is not None:
+        spans = spans.union(repeated_passages(texts, over_words + 1)).distinct()
     lists = spans.groupBy("t").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     carried = [c for c in df.columns if c.lower() not in own]
     k = len(carried)
@@ -403,8 +415,11 @@ def remove_repeats(df: DataFrame, text: str = "text", kept: str = "kept") -> Dat
     return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
-def remove_from_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+def remove_from_documents(
+    docs: DataFrame, text: str = "text", n_chars: str = "n_chars", length: int = LENGTH, gram: int = GRAM,
+    over_words: int | None = None,
+) -> DataFrame:
     """``docs`` without repeated passages, columns as before; ``n_chars`` is counted anew where there is such a column."""
-    done = remove_repeats(docs, text, kept="text")
+    done = remove_repeats(docs, text, "text", length, gram, over_words)
     size = F.length(F.col(quoted(text))).cast("long")
     return done.select(*[size.alias(c) if c == n_chars else F.col(quoted(c)) for c in docs.columns])

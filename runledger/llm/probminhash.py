@@ -2,7 +2,9 @@
 
 Every shingle sends exponential arrivals, at a rate that is its weight, to random
 registers; a register keeps who came first, and shingles whose next arrival is later
-than every register's first stop. Bands of registers put texts into buckets, in which they are compared.
+than every register's first stop. Bands of registers put texts into buckets, in which they are compared
+by the plain Jaccard of their sets. Where shingles are repeated unequally the probability Jaccard is below it, so
+a second signature, with all weights 1, gives bands too: its agreement estimates the plain Jaccard itself.
 """
 
 from __future__ import annotations
@@ -55,14 +57,31 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return out.astype(np.int64)
 
 
+def both_keys(doc: np.ndarray, hashes: np.ndarray, weights: np.ndarray, docs: int) -> np.ndarray:
+    """docs x 2 BANDS: the keys of the weighted signature, then those of the signature with all weights 1.
+
+    Both come from the same draws, so in a text that repeats no shingle they are the same; only others are drawn again.
+    """
+    keys = band_keys(signatures(doc, hashes, weights, docs, BANDS * ROWS))
+    plain = keys.copy()
+    repeats = np.zeros(docs, bool)
+    repeats[doc[weights > 1]] = True
+    if repeats.any():
+        some = repeats[doc]
+        number = np.cumsum(repeats) - 1
+        again = signatures(number[doc[some]], hashes[some], np.ones(int(some.sum())), int(repeats.sum()), BANDS * ROWS)
+        plain[repeats] = band_keys(again)
+    return np.hstack((keys, plain))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, data, offsets in parts(batch.column(1), CHUNK_BYTES):
             n = len(offsets) - 1
             own = weighted(*shingles(data, offsets))
-            keys = band_keys(signatures(*own, n, BANDS * ROWS))
+            keys = both_keys(*own, n)
             sizes = np.bincount(own[0], minlength=n)
-            ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, BANDS, 0)))).astype(np.int32)
+            ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, keys.shape[1], 0)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[sizes > 0].ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), pa.array(sizes), lists], ["node", "size", "keys"])
 
@@ -79,7 +98,7 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
 def near_classes(df: DataFrame, text: str = "text", least: float = 0.8) -> tuple[DataFrame, Callable[[Column], Column]]:
     """``node``, ``label`` of every different text, and what gives a text's node.
 
-    Signatures are banded; texts that share a band's key form a bucket. All texts of a bucket, however
+    Signatures are banded, weighted and plain ones; texts that share a band's key form a bucket. All texts of a bucket, however
     large it is, are compared by the Jaccard of their sets of five-word shingles (see ``buckets.classes``).
     Texts without words are alike only if equal. Null texts count as empty.
     """
@@ -88,7 +107,7 @@ def near_classes(df: DataFrame, text: str = "text", least: float = 0.8) -> tuple
     texts = df.select(node_of(F.col(quoted(text))).alias("node"), body.alias("text"))
     signed = texts.mapInArrow(_sign, "node long, size long, keys array<long>")
     signed = write_through(signed.groupBy("node").agg(F.first("size").alias("size"), F.first("keys").alias("keys")), "signatures")
-    rows = signed.select("node", "size", F.explode("keys").alias("key"))
+    rows = signed.select("node", "size", F.explode(F.array_distinct("keys")).alias("key"))
     labels = signed.select("node").join(classes(rows, texts, shingle_sets, least), "node", "left")
     return labels.select("node", F.coalesce("label", "node").alias("label")), node_of
 

@@ -53,7 +53,8 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.compare_with_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """All documents: fingerprints, the likeness to an edit and to the next one, and the class among all of them."""
+    return spotsigs.compare_in_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,11 +9,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.buckets import classes
@@ -139,6 +139,14 @@ def near_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", leas
     n - ceil(least * n) + 1 rarest signatures of each, so only these put texts of two levels into buckets, and
     only texts that share a bucket are compared. Null texts count as empty; an empty table gives an empty one.
     """
+    placed, _, firsts, _ = _classes(df, text, doc_id, least)
+    return placed.join(firsts, "label").select(F.col("id").alias("doc_id"), "class_id")
+
+
+def _classes(
+    df: DataFrame, text: str, doc_id: str, least: float
+) -> tuple[DataFrame, DataFrame, DataFrame, Callable[[Column], Column]]:
+    """``id``, ``node``, ``label`` of every row; ``node``, ``label`` of every text; ``label``, ``class_id``; what gives a text's node."""
     node_of = digest_of(df, F.col(quoted(text)))
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
     texts = df.select(node_of(F.col(quoted(text))).alias("node"), body.alias("text"))
@@ -163,11 +171,22 @@ def near_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", leas
     labels = signed.select("node").join(classes(rows, texts, signature_sets, least), "node", "left")
     labels = write_through(labels.select("node", F.coalesce("label", "node").alias("label")), "labels")
     placed = df.select(F.col(quoted(doc_id)).alias("id"), node_of(F.col(quoted(text))).alias("node")).join(labels, "node")
-    firsts = placed.groupBy("label").agg(F.min(F.struct("id")).alias("first"))
-    return placed.join(firsts, "label").select(F.col("id").alias("doc_id"), F.col("first.id").alias("class_id"))
+    firsts = placed.groupBy("label").agg(F.min(F.struct("id")).alias("first")).select("label", F.col("first.id").alias("class_id"))
+    return placed, labels, firsts, node_of
+
+
+def compare_in_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", least: float = 0.8) -> DataFrame:
+    """The rows of ``compare_with_edits`` with ``class_id``, as ``near_classes`` gives it for all documents.
+
+    A class is looked up by the row's text, so rows of one id neither multiply nor get each other's class.
+    """
+    _, labels, firsts, node_of = _classes(df, text, doc_id, least)
+    of_text = write_through(labels.join(firsts, "label").select("node", "class_id"), "classes")
+    rows = _compared(df, text, doc_id, node_of)
+    return rows.join(of_text, "node").drop("node")
 
 
-_OUT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "node long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def compare_with_edits(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -179,9 +198,15 @@ def compare_with_edits(df: DataFrame, text: str = "text", doc_id: str = "doc_id"
     2048 rows each, and a block also gets the first document of the next one; a block is read as
     a stream. All rows of one id are in one block. Null texts count as empty; an empty table gives an empty one.
     """
+    return _compared(df, text, doc_id, lambda own: F.lit(None).cast("long")).drop("node")
+
+
+def _compared(df: DataFrame, text: str, doc_id: str, node_of: Callable[[Column], Column]) -> DataFrame:
+    """The rows of ``compare_with_edits`` with the ``node`` of their texts."""
     kind = df.schema[doc_id].dataType.simpleString()
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
-    rows = df.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(body).alias("digest"), body.alias("text"))
+    node = node_of(F.col(quoted(text))).alias("node")
+    rows = df.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(body).alias("digest"), node, body.alias("text"))
     n = df.count()
     blocks = min(MOST_BLOCKS, max(1, -(-n // ROWS_PER_BLOCK)))
     shares = [k / blocks for k in range(1, blocks)]
@@ -199,10 +224,10 @@ def compare_with_edits(df: DataFrame, text: str = "text", doc_id: str = "doc_id"
     is_head = F.col("id").eqNullSafe(F.col("head")) & (F.col("digest") == F.col("head_digest"))
     own = F.struct(F.col("block").alias("to"), F.lit(0).alias("guest"))
     guest = F.struct(F.col("before").alias("to"), F.lit(1).alias("guest"))
-    dealt = met.select("id", "digest", "text", F.explode(F.when(is_head, F.array(own, guest)).otherwise(F.array(own))).alias("x"))
-    dealt = dealt.select("x.to", "x.guest", "id", "digest", "text").repartition(max(1, len(heads)), "to")
+    dealt = met.select("id", "digest", "node", "text", F.explode(F.when(is_head, F.array(own, guest)).otherwise(F.array(own))).alias("x"))
+    dealt = dealt.select("x.to", "x.guest", "id", "digest", "node", "text").repartition(max(1, len(heads)), "to")
     dealt = dealt.sortWithinPartitions("to", "guest", F.col("id").desc(), F.col("digest").desc())
-    return dealt.select("to", "guest", "id", "text").mapInArrow(_compare, f"doc_id {kind}, {_OUT}")
+    return dealt.select("to", "guest", "id", "text", "node").mapInArrow(_compare, f"doc_id {kind}, {_OUT}")
 
 
 def _position(value, marks: list):
@@ -230,7 +255,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to, guest, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
         texts = batch.column(3).to_pylist()
         kind = ids.type
-        rows = list(zip(to, guest, ids.to_pylist(), texts, strict=True))
+        rows = list(zip(to, guest, ids.to_pylist(), texts, batch.column(4).to_pylist(), strict=True))
         if held:
             rows.insert(0, held)
         sets = signature_sets(pa.array([r[3] for r in rows], pa.large_string()))
@@ -240,6 +265,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([rows[i][2] for i in done], kind),
+                pa.array([rows[i][4] for i in done], pa.int64()),
                 pa.array([len(rows[i][3]) for i in done], pa.int64()),
                 pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edits], pa.string()),
                 pa.array([written(sets[i]) for i in done], pa.string()),

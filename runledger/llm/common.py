@@ -13,6 +13,7 @@ from runledger.session import scratch_path, write_through
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 ROWS_PER_BUCKET = 20_000
+HOT_SHARE = 1000
 
 
 def quoted(name: str) -> str:
@@ -84,7 +85,21 @@ def number_rows(df: DataFrame, name: str = "number", lead: tuple[str, ...] = ())
     return ranged.select(*cols, number.alias(name)), total
 
 
+def join_by_weight(rows: DataFrame, groups: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` left joined with ``groups``, of which each key has one row; both are written tables, ``rows`` without null keys.
+
+    ``weight`` bounds the rows of a key. Groups of more than a HOT_SHARE-th of all weight, which by their sum are fewer
+    than HOT_SHARE, are broadcast, so their rows stay where they are; no other key can fill a task.
+    """
+    total = groups.agg(F.sum(F.col(weight).cast("decimal(38,0)"))).first()[0] or 0
+    hot = F.col(weight) * HOT_SHARE > F.lit(total).cast("decimal(38,0)")
+    few = F.broadcast(groups.where(hot))
+    large = rows.join(few, key)
+    rest = rows.join(few.select(key), key, "left_anti").join(groups.where(~hot), key, "left")
+    return large.unionByName(rest)
+
+
 __all__ = [
-    "ROWS_PER_BUCKET", "SPACES", "WORD", "digest_of", "let", "number_rows", "packed", "quoted", "scratch_path", "unpacked",
-    "write_through",
+    "ROWS_PER_BUCKET", "SPACES", "WORD", "digest_of", "join_by_weight", "let", "number_rows", "packed", "quoted",
+    "scratch_path", "unpacked", "write_through",
 ]

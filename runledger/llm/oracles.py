@@ -69,4 +69,85 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM figures
 """
 
-ORACLES = {"op1_url_filter": URLS, "op6_line_quality": QUALITY}
+COPIES = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+groups AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM docs GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM docs JOIN groups USING (body)
+"""
+
+# Every source against every other over all kept terms, without any short cut.
+DIVERGENCE = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS nr, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+    FROM documents),
+tokens AS (
+    SELECT nr, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM tokens GROUP BY ALL),
+kept AS (SELECT lang, term FROM tokens GROUP BY ALL HAVING count(DISTINCT nr) >= 10),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+pairs AS (SELECT DISTINCT lang, source FROM docs),
+dense AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n
+    FROM pairs JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+of_group AS (
+    SELECT lang, source, term, n,
+           1 + (1000000000 * (n + 2)::HUGEINT) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v)::HUGEINT AS p
+    FROM dense JOIN vocabulary USING (lang)),
+of_lang AS (
+    SELECT lang, term, 1 + (1000000000 * (n + 2)::HUGEINT) // (sum(n) OVER (PARTITION BY lang) + 2 * v)::HUGEINT AS q
+    FROM (SELECT lang, term, sum(n) AS n FROM dense GROUP BY ALL) JOIN vocabulary USING (lang)),
+apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM of_group a JOIN of_group b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM pairs a JOIN pairs b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT
+    FROM of_group JOIN of_lang USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS nr, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+words AS (SELECT lang, nr, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM numbered),
+runs AS (
+    SELECT lang, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4
+    FROM words WINDOW p AS (PARTITION BY nr ORDER BY i)),
+grams AS (
+    SELECT lang, [w1] AS g FROM runs
+    UNION ALL SELECT lang, [w1, w2] FROM runs WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, [w1, w2, w3] FROM runs WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, [w1, w2, w3, w4] FROM runs WHERE w4 IS NOT NULL),
+f AS (SELECT lang, g, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY ALL),
+cuts AS (
+    SELECT lang, g, n AS a, k, array_to_string(g[1:k], ' ') AS head, array_to_string(g[k + 1:len(g)], ' ') AS tail
+    FROM f, range(1, 4) AS t(k) WHERE k < len(g)),
+named AS (SELECT lang, array_to_string(g, ' ') AS phrase, n FROM f),
+scored AS (
+    SELECT c.lang, g, a, k, x.n AS l, y.n AS r, ((2000000 * a::HUGEINT) // (x.n + y.n)::HUGEINT)::BIGINT AS score
+    FROM cuts c JOIN named x ON x.lang = c.lang AND x.phrase = head JOIN named y ON y.lang = c.lang AND y.phrase = tail),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS nr FROM scored),
+inner_runs AS (
+    SELECT lang, n, g[i:i + m - 1] AS g FROM f, range(2, 4) AS t(m), range(1, 4) AS s(i) WHERE m < len(g) AND i + m - 1 <= len(g)),
+longer AS (SELECT lang, g, max(n) AS longest FROM inner_runs GROUP BY ALL),
+kept AS (
+    SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score
+    FROM lowest LEFT JOIN longer USING (lang, g) WHERE nr = 1 AND (longest IS NULL OR 100 * longest < 80 * a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {
+    "op1_url_filter": URLS, "op6_line_quality": QUALITY, "op11_exact_dedup": COPIES, "op12_source_divergence": DIVERGENCE,
+    "op13_collocations": PHRASES,
+}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.llm import (
-    language_id, line_quality, lm_scoring, mixing, packing, probminhash, sharding, spotsigs, suffix_dedup, url_filter,
+    collocations, divergence, exact_dedup, language_id, line_quality, lm_scoring, mixing, packing, probminhash, sharding,
+    spotsigs, suffix_dedup, url_filter,
 )
 
 SHARDS = 8
@@ -81,10 +82,26 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), kept="")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # The digest is asked of every document, those that length and prefix tell apart included.
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    marked = exact_dedup.mark_copies(docs.withColumn("text_sha256", digest), keep_text=False)
+    return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_sharding, op3_mixing, op4_lm_scoring, op5_spotsigs, op6_line_quality, op7_language_id,
-        op8_probminhash, op9_packing, op10_suffix_dedup,
+        op8_probminhash, op9_packing, op10_suffix_dedup, op11_exact_dedup, op12_source_divergence, op13_collocations,
     )
 }

@@ -63,13 +63,14 @@ def assign_ids(df: DataFrame, order_cols: list, start: int = 0, partitions: int
     )
 
 
-def arrival_blocks(batch: DataFrame) -> DataFrame:
+def arrival_blocks(batch: DataFrame, *more: Column) -> DataFrame:
     """``batch`` by the file blocks its rows came from: the rows in each, the rows before
     it, and where its first row stands in its task.  One row per block; ``_torn`` says
-    that its rows are no longer together, because something moved them since the scan."""
+    that its rows are no longer together, because something moved them since the scan.
+    ``more`` are further aggregates of a block."""
     blocks = batch.withColumn("_place", _task_position()).groupBy(*ARRIVAL_COLUMNS)
     together = F.max("_place") - F.min("_place") + 1 == F.count(F.lit(1))
-    sizes = blocks.agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"), (~together).alias("_torn"))
+    sizes = blocks.agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"), (~together).alias("_torn"), *more)
     order = W.orderBy(*ARRIVAL_COLUMNS).rowsBetween(W.unboundedPreceding, -1)
     return sizes.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
 

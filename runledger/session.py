@@ -56,3 +56,46 @@ def setting(spark: SparkSession, key: str, value: str):
         yield
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _file(spark: SparkSession, path: str):
+    """File system and path of a file, wherever it lies."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: until it is there, readers find the one before it, or none."""
+    fs, there = _file(spark, path)
+    _, fresh = _file(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(fresh)
+    out.write(text.encode())
+    out.close()
+    fs.delete(there, False)
+    if not fs.rename(fresh, there):
+        raise OSError(f"{path} could not be written")
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """What a small file holds; None if it is not there."""
+    fs, there = _file(spark, path)
+    if not fs.exists(there):
+        return None
+    stream = fs.open(there)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all in it, if it is there."""
+    fs, there = _file(spark, path)
+    fs.delete(there, True)
+
+
+def space_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of files below a folder, and their bytes."""
+    fs, there = _file(spark, path)
+    summary = fs.getContentSummary(there)
+    return summary.getFileCount(), summary.getLength()

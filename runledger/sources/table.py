@@ -12,6 +12,8 @@ One writer at a time.
 from __future__ import annotations
 
 import functools
+import json
+import time
 import uuid
 
 from pyspark import StorageLevel
@@ -23,7 +25,9 @@ from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, arrival_blocks,
 from runledger.operators.purge import purge_runs
 from runledger.operators.rules import check_identifier, require_run_id
 from runledger.schema import DEFAULT_SCHEMA, DEFAULT_TABLE, TABLE_COLUMNS, TABLE_DDL
-from runledger.session import setting, write_through
+from runledger.session import get_text, put_text, remove, setting, space_of, write_through
+from runledger.sources.batches import BatchRecord, digest_sum, read_record, stream_id, write_record
+from runledger.sources.directory import add_runs, changing, ensure_runs, recount_runs, replace_runs, run_counts, scan_runs
 from runledger.streaming.retry import Permanent
 
 _BUCKETS, _ERA_IDS = "runledger.buckets", "runledger.era_ids"
@@ -51,13 +55,16 @@ def ensure_table(
     caller's own want a smaller era.  ``location`` is that of a new schema.
     """
     schema, table = check_identifier(schema), check_identifier(table)
+    name = f"{schema}.{table}"
     below = "" if location is None else f" LOCATION '{_escaped(location)}'"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{below}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {schema}.{table} ({TABLE_DDL}) USING parquet PARTITIONED BY (bucket, era) "
+        f"CREATE TABLE IF NOT EXISTS {name} ({TABLE_DDL}) USING parquet PARTITIONED BY (bucket, era) "
         f"TBLPROPERTIES ('{_BUCKETS}' = '{int(buckets)}', '{_ERA_IDS}' = '{int(era_ids)}')"
     )
-    return f"{schema}.{table}"
+    if ensure_runs(spark, name) and _partitions(spark, name):
+        recount_runs(spark, name, scan_logs(spark, name), _location(spark, name))  # a log from before there were directories
+    return name
 
 
 def _escaped(text: str) -> str:
@@ -109,47 +116,47 @@ def last_id(spark: SparkSession, table: str) -> int:
     return scan_logs(spark, table).filter(F.col("era") == latest).agg(F.max("id")).first()[0] or 0
 
 
-def last_batch(spark: SparkSession, table: str) -> int:
-    """Largest batch id in the table, NO_BATCH if no micro-batch wrote to it.  Only the latest era is read."""
-    era = F.regexp_extract("partition", "era=([0-9]+)", 1).cast("bigint")
-    latest = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(era)).first()[0]
-    if latest is None:
-        return NO_BATCH
-    return scan_logs(spark, table).filter(F.col("era") == latest).agg(F.max("batch_id")).first()[0]
-
-
-def _content(rows: DataFrame) -> tuple:
-    """Number of rows and a digest of them that no order or partitioning changes."""
-    digest = F.xxhash64("agentic_run_id", "phase", F.col("timestamp").cast("timestamp"), "event")
-    return tuple(rows.agg(F.count(F.lit(1)), F.sum(digest.cast("decimal(38,0)"))).first())
-
-
 def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols: list | None = None) -> None:
     """Append log rows in one job, all or none.  No rows, no files.
 
     Rows need ``agentic_run_id, phase, timestamp, event, body`` and either
     ``id`` or a total order to number them by, after the largest id so far.
+    They are kept while their runs are counted, so that nothing is worked out twice.
     """
     spark = df.sparkSession
     if "id" not in df.columns:
         if not order_cols:
             raise ValueError("rows without id need order_cols")
         df = assign_ids(df, order_cols, last_id(spark, table))
-    rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    _lay_out(rows, *table_settings(spark, table)).write.insertInto(table)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _append(kept, table, batch_id)
+    finally:
+        kept.unpersist()
+
+
+def _append(rows: DataFrame, table: str, batch_id: int, eras: list | None = None) -> None:
+    """Write rows, which can be read twice, and enter their runs in the directory."""
+    spark = rows.sparkSession
+    buckets, era_ids = table_settings(spark, table)
+    with changing(spark, table, _location(spark, table), lambda: scan_logs(spark, table), eras) as anew:
+        _lay_out(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), buckets, era_ids).write.insertInto(table)
+        if not anew:
+            add_runs(run_counts(rows.withColumn("era", era_of(F.col("id"), era_ids))), table)
 
 
 # At most this many file blocks, at some 200 bytes each, are sent to every executor.
 _BROADCAST_BLOCKS = 100_000
 
 
-def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool = True) -> int:
+def append_batch(df: DataFrame, batch_id: int, table: str) -> int:
     """Append one micro-batch of extracted rows once, and return the number of rows.
 
-    A batch may come again after a crash.  If the table has the same rows under its
-    id it is skipped; if it has others, or only some, as when a second stream
-    writes to the table, this fails before anything is written.  A writer that
-    knows that no batch up to this one is in the table can turn the check off.
+    A batch may come again after a crash.  Its record (see :mod:`runledger.sources.batches`) says
+    whether it is in the table: if it is, the batch is skipped, even where its rows have been deleted since.
+    If another batch was written under its id, as when a second stream writes to the
+    table, this fails before anything is written.  Where the record says only that the batch was
+    begun, its rows in the table decide: all of them, none, or, which is an error, some.
 
     Rows without ids need the file columns of a scan, and get ids in the order
     of arrival within the range of the batch.
@@ -157,16 +164,17 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
     # The session of the batch: another one could see a stale list of files.
     spark = df.sparkSession
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    blocks = None
+    blocks, n_files = None, None
     try:
         # A micro-batch is written by an ordinary query; streams turn this off for their own.
         with setting(spark, "spark.sql.adaptive.enabled", "true"):
             if "id" in kept.columns:
-                n = kept.count()
+                n, digest = kept.agg(F.count(F.lit(1)), digest_sum()).first()
             elif set(ARRIVAL_COLUMNS) <= set(kept.columns):
-                blocks = arrival_blocks(kept).persist(StorageLevel.MEMORY_AND_DISK)
-                known = F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0)), F.count_if("_torn")
-                n_blocks, n, torn = blocks.agg(*known).first()
+                blocks = arrival_blocks(kept, digest_sum().alias("_digest")).persist(StorageLevel.MEMORY_AND_DISK)
+                sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("_n", "_digest")]
+                known = F.count(F.lit(1)), *sums, F.count_distinct("file_path"), F.count_if("_torn")
+                n_blocks, n, digest, n_files, torn = blocks.agg(*known).first()
                 if torn:
                     raise ValueError("rows were moved since the scan, so their order of arrival is lost")
             else:
@@ -175,21 +183,17 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
                 return 0
             if n >= BATCH_SPAN:
                 raise ValueError(f"micro-batch {batch_id} has {n} rows, more than its range of ids")
-            if check_replay:
-                there = scan_logs(spark, table).filter(F.col("batch_id") == batch_id)
-                if blocks is not None:
-                    # Its ids are known, so only the eras they lie in are looked at.
-                    there = up_to_id(after_id(there, first_id(batch_id)), F.lit(first_id(batch_id + 1)))
-                found = _content(there)
-                if found[0]:
-                    if found == _content(kept):
-                        return n
-                    raise Permanent(f"micro-batch {batch_id} has {n} rows but {found[0]} others or fewer are in {table}")
-            rows = kept
+            folder = _location(spark, table)
+            record = BatchRecord(batch_id, n, str(digest), n_files, stream_id(spark))
+            if _is_there(spark, table, folder, record, blocks is not None):
+                return n
+            rows, eras = kept, None
             if blocks is not None:
                 small = n_blocks <= _BROADCAST_BLOCKS
                 rows = assign_arrival_ids(kept, F.broadcast(blocks) if small else blocks, first_id(batch_id))
-            append_logs(rows, table, batch_id)
+                eras = _eras_of(spark, table, batch_id)
+            _append(rows, table, batch_id, eras)
+            write_record(spark, folder, record.finished())
             return n
     finally:
         if blocks is not None:
@@ -197,6 +201,39 @@ def append_batch(df: DataFrame, batch_id: int, table: str, check_replay: bool =
         kept.unpersist()
 
 
+def _eras_of(spark: SparkSession, table: str, batch_id: int) -> list[int]:
+    """First and last era that the ids of a batch can lie in."""
+    era_ids = table_settings(spark, table)[1]
+    return [(first_id(batch_id) + 1) // era_ids, first_id(batch_id + 1) // era_ids]
+
+
+def _is_there(spark: SparkSession, table: str, folder: str, record: BatchRecord, own_ids: bool) -> bool:
+    """Whether the batch is in the table already; if not, it is noted as begun."""
+    known = read_record(spark, folder, record.batch_id)
+    if known is not None and known.done:
+        if known.content == record.content:
+            return True
+        of = "" if known.stream == record.stream else f", written by stream {known.stream}"
+        raise Permanent(f"micro-batch {record.batch_id} has {record.n} rows, but {known.n} others are in {table}{of}")
+    if known is not None:
+        there = scan_logs(spark, table).filter(F.col("batch_id") == record.batch_id)
+        eras = None
+        if own_ids:
+            # Its ids are known, so only the eras they lie in are looked at.
+            there = up_to_id(after_id(there, first_id(record.batch_id)), F.lit(first_id(record.batch_id + 1)))
+            eras = _eras_of(spark, table, record.batch_id)
+        n, digest = there.agg(F.count(F.lit(1)), digest_sum()).first()
+        if (n, str(digest)) == record.content:
+            with changing(spark, table, folder, lambda: scan_logs(spark, table), eras):
+                pass  # counts again what the crash may have kept from the directory
+            write_record(spark, folder, record.finished())
+            return True
+        if n:
+            raise Permanent(f"micro-batch {record.batch_id} has {record.n} rows, but {n} others or fewer are in {table}")
+    write_record(spark, folder, record)
+    return False
+
+
 def delete_run(spark: SparkSession, table: str, run_id: str) -> int:
     """Delete all rows of a run, of all phases, and return how many; 0 for an unknown run.
 
@@ -242,25 +279,41 @@ def _rewrite(spark: SparkSession, table: str, marked: DataFrame) -> int:
     partitions not yet switched are as before: the same delete again finishes it. What a crash
     leaves behind are files that no scan reads.
     """
-    buckets, era_ids = table_settings(spark, table)
     sizes = marked.groupBy("bucket", "era").agg(F.count_if("_gone").alias("gone"), F.count_if(~F.col("_gone")).alias("left"))
     # One row per partition that loses rows.
     hit = sizes.where("gone > 0").orderBy("bucket", "era").collect()
-    if not hit:
+    folder = _location(spark, table)
+    if not hit and get_text(spark, f"{folder}/_changing") is None:
         return 0
+    # Two numbers for each deleted run and era, counted while the rows are there.
+    lost = write_through(run_counts(marked.where("_gone").select("agentic_run_id", "era", "id"), -1), "lost")
+    with changing(spark, table, folder, lambda: scan_logs(spark, table)) as anew:
+        _switch(spark, table, folder, marked.where(~F.col("_gone")).drop("_gone"), hit)
+        if not anew:
+            add_runs(lost, table)
+    return sum(row["gone"] for row in hit)
+
+
+def _switch(spark: SparkSession, table: str, folder: str, rows: DataFrame, hit: list, keep_old: bool = False) -> None:
+    """Put ``rows`` in the place of what the partitions ``hit`` hold: of each its bucket, era, and number of rows ``left``.
+
+    ``keep_old`` leaves the files that were there for who is still reading them.
+    """
+    buckets, era_ids = table_settings(spark, table)
     eras: dict[int, list[int]] = {}
     for row in hit:
         if row["left"]:
             eras.setdefault(row["bucket"], []).append(row["era"])
-    fresh = f"{_location(spark, table)}/_rewritten/{uuid.uuid4().hex}"
+    fresh = f"{folder}/_rewritten/{uuid.uuid4().hex}"
     if eras:
         # Plain comparisons of the partition columns, so that no other partition is read.
         within = [(F.col("bucket") == b) & F.col("era").isin(es) for b, es in eras.items()]
-        survivors = _lay_out(marked.where(functools.reduce(Column.__or__, within) & ~F.col("_gone")), buckets, era_ids)
+        survivors = _lay_out(rows.where(functools.reduce(Column.__or__, within)), buckets, era_ids)
         survivors.write.partitionBy("bucket", "era").parquet(fresh)
         written = spark.read.schema(survivors.schema).parquet(fresh).count()
         if written != (kept := sum(row["left"] for row in hit)):
             raise RuntimeError(f"{written} rows were written where {kept} stay, so {table} was left as it is")
+    replaced = []
     for row in hit:
         named = f"PARTITION (bucket = {row['bucket']}, era = {row['era']})"
         old = _location(spark, table, named)
@@ -269,9 +322,13 @@ def _rewrite(spark: SparkSession, table: str, marked: DataFrame) -> int:
             spark.sql(f"ALTER TABLE {table} {named} SET LOCATION '{_escaped(new)}'")
         else:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
-        _remove(spark, old)
+        if keep_old:
+            replaced.append(old)
+        else:
+            remove(spark, old)
+    if replaced:
+        put_text(spark, f"{folder}/_replaced/{time.time_ns()}.json", json.dumps(replaced))
     spark.catalog.refreshTable(table)
-    return sum(row["gone"] for row in hit)
 
 
 def _location(spark: SparkSession, table: str, partition: str = "") -> str:
@@ -281,7 +338,59 @@ def _location(spark: SparkSession, table: str, partition: str = "") -> str:
     return about.first()["data_type"].rstrip("/")
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    """Remove a folder of files that the table no longer names, wherever it lies."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _partitions(spark: SparkSession, table: str) -> list[tuple[int, int]]:
+    """Bucket and era of all partitions; their number does not depend on how many batches wrote them."""
+    part = F.regexp_extract("partition", "bucket=([0-9]+)/era=([0-9]+)", 1).cast("int")
+    era = F.regexp_extract("partition", "bucket=([0-9]+)/era=([0-9]+)", 2).cast("bigint")
+    return [(r[0], r[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").select(part, era).collect()]
+
+
+def compact_table(spark: SparkSession, table: str, target_bytes: int = 256 << 20, open_eras: int = 1) -> list[tuple[int, int]]:
+    """Put the small files of closed eras together, and return the partitions (bucket, era) that were rewritten.
+
+    The last ``open_eras`` eras are still written to and left alone.  A partition is rewritten if it has more files than its
+    bytes fill at ``target_bytes`` each.  Its rows are written to a new folder, counted, and put in place by
+    one change of the catalog.  Who reads meanwhile sees every row once: the old files stay until :func:`drop_replaced`.
+    The run directory is put in order too.
+    """
+    _require_managed(spark, table)
+    there = _partitions(spark, table)
+    closed = sorted({era for _, era in there})[: -open_eras or None]
+    small = []
+    for bucket, era in there:
+        if era in closed:
+            files, size = space_of(spark, _location(spark, table, f"PARTITION (bucket = {bucket}, era = {era})"))
+            if files > max(1, -(-size // target_bytes)):
+                small.append((bucket, era))
+    folder = _location(spark, table)
+    if small:
+        by_bucket: dict[int, list[int]] = {}
+        for bucket, era in small:
+            by_bucket.setdefault(bucket, []).append(era)
+        inside = functools.reduce(Column.__or__, [(F.col("bucket") == b) & F.col("era").isin(e) for b, e in by_bucket.items()])
+        rows = scan_logs(spark, table).where(inside)
+        # One row per partition that is rewritten.
+        hit = rows.groupBy("bucket", "era").agg(F.count(F.lit(1)).alias("left")).collect()
+        with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)):
+            _switch(spark, table, folder, rows, hit, keep_old=True)
+    replace_runs(spark, table, scan_runs(spark, table), folder)
+    return sorted(small)
+
+
+def drop_replaced(spark: SparkSession, table: str, older_than: float = 24 * 3600) -> int:
+    """Remove the files that compactions of at least ``older_than`` seconds ago replaced, and return the number of folders.
+
+    Give readers that began before the compaction the time to end.
+    """
+    folder = f"{_location(spark, table)}/_replaced"
+    lists = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = lists.getFileSystem(spark._jsc.hadoopConfiguration())
+    n = 0
+    for status in fs.listStatus(lists) if fs.exists(lists) else []:
+        path = status.getPath()
+        if int(path.getName().removesuffix(".json")) <= time.time_ns() - older_than * 1e9:
+            for old in json.loads(get_text(spark, path.toString())):
+                remove(spark, old)
+                n += 1
+            remove(spark, path.toString())
+    return n

@@ -17,7 +17,7 @@ from runledger.operators.extract import accepted, extract_rows, flatten_logs, in
 from runledger.operators.routing import merge_sources, run_pipelines
 from runledger.schema import REJECTED
 from runledger.sources.otlp import rejected_lines, scan_otlp_logs, scan_otlp_traces
-from runledger.sources.table import append_batch, last_batch
+from runledger.sources.table import append_batch
 from runledger.streaming.retry import with_retry
 
 # Names of the counters in the progress of an ingest query: of records, and of the lines they came in.
@@ -27,21 +27,10 @@ OBSERVED, OBSERVED_LINES = "ingest", "lines"
 def table_sink(table: str, retry: Callable = with_retry) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends extracted rows to ``table``.
 
-    Batches up to the largest that the table has are looked for in it before they
-    are written: those of another checkpoint, and those that come again because
-    another sink failed after this one had written.  The table is asked for the
-    largest at the start and after an error only.
+    A batch that comes again, of this checkpoint or another, after an error or because another sink failed
+    after this one had written, is known by its record.
     """
-    state = {"largest": None}
-
-    def append(df: DataFrame, batch_id: int) -> None:
-        largest, state["largest"] = state["largest"], None
-        if largest is None:
-            largest = last_batch(df.sparkSession, table)
-        append_batch(df, batch_id, table, check_replay=batch_id <= largest)
-        state["largest"] = max(largest, batch_id)
-
-    return retry(append)
+    return retry(lambda df, batch_id: append_batch(df, batch_id, table))
 
 
 def log_rows(envelopes: DataFrame, now: Column | None = None) -> DataFrame:

@@ -6,12 +6,19 @@ from pyspark.sql import functions as F
 
 from helpers import envelope, log_rows, new_table, record, write_envelopes
 from runledger.operators.extract import extract_rows, flatten_logs, keep_identified
+from runledger.operators.counts import count_by_run, count_prefix, count_run
 from runledger.operators.filters import for_run
 from runledger.operators.pages import get_page, pages_for_runs
 from runledger.schema import TABLE_COLUMNS
 from runledger.session import setting, shared_dir
 from runledger.sources.otlp import scan_otlp_logs
-from runledger.sources.table import append_batch, append_logs, delete_run, ensure_table, purge_table, scan_logs, table_settings
+from runledger.sources import table as table_module
+from runledger.sources.batches import read_records
+from runledger.sources.directory import scan_runs
+from runledger.sources.table import (
+    append_batch, append_logs, compact_table, delete_run, drop_replaced, ensure_table, purge_table, scan_logs, table_settings,
+)
+from runledger.streaming.retry import Permanent
 
 
 def rows(spark, n, run=lambda i: f"r{i % 5}", first=1):
@@ -298,3 +305,206 @@ def test_moved_rows_have_no_order_of_arrival(spark, tmp_path):
     with pytest.raises(ValueError, match="moved"):
         append_batch(rows.repartition(3), 0, name)
     assert ids(spark, name) == []
+
+
+# --- records of batches
+
+
+def folder(spark, name):
+    return table_module._location(spark, name)
+
+
+def other_bodies(df):
+    return df.withColumn("body", F.parse_json(F.lit('"another"')))
+
+
+def test_a_batch_that_differs_in_its_bodies_is_not_a_replay(spark):
+    name = new_table(spark, 4)
+    append_batch(rows(spark, 10), 3, name)
+    with pytest.raises(Permanent, match="others"):
+        append_batch(other_bodies(rows(spark, 10)), 3, name)
+    assert ids(spark, name) == list(range(1, 11))
+
+
+def test_a_replay_is_known_whatever_was_appended_since(spark):
+    """The latest era holds no batch at all, and still batch 1 is not written again."""
+    name = new_table(spark, 4, era_ids=1000)
+    for batch in range(2):
+        append_batch(rows(spark, 10, first=1 + 10 * batch), batch, name)
+    append_logs(rows(spark, 5000, first=10_000), name)
+    assert append_batch(rows(spark, 10, first=11), 1, name) == 10
+    assert scan_logs(spark, name).where("batch_id = 1").count() == 10
+
+
+def test_a_replay_does_not_bring_back_what_was_deleted(spark):
+    name = new_table(spark, 4)
+    append_batch(rows(spark, 10), 3, name)
+    assert delete_run(spark, name, "r1") == 2
+    assert append_batch(rows(spark, 10), 3, name) == 10
+    assert scan_logs(spark, name).count() == 8
+
+
+def test_records_of_batches(spark):
+    name = new_table(spark, 4)
+    append_batch(rows(spark, 10), 3, name)
+    append_batch(rows(spark, 4, first=20), 4, name)
+    append_batch(rows(spark, 4).limit(0), 5, name)  # nothing to note
+    found = {r["batch_id"]: r for r in read_records(spark, folder(spark, name)).collect()}
+    assert {b: (r["n"], r["done"]) for b, r in found.items()} == {3: (10, True), 4: (4, True)}
+    assert found[3]["digest"] != found[4]["digest"]
+
+
+@pytest.mark.parametrize("fails", ["_lay_out", "add_runs", "write_record"])
+def test_a_batch_that_breaks_off_is_finished_by_its_replay(spark, monkeypatch, fails):
+    """Before the rows, after them, and before the record says so; then the directory is right again too."""
+    name = new_table(spark, 4, era_ids=100)
+    append_batch(rows(spark, 50), 0, name)
+    real = getattr(table_module, fails)
+
+    def broken(*args, **kwargs):
+        if fails != "write_record" or args[2].done:
+            raise OSError("power cut")
+        return real(*args, **kwargs)
+
+    batch = rows(spark, 30, first=1000)
+    with monkeypatch.context() as patch:
+        patch.setattr(table_module, fails, broken)
+        with pytest.raises(OSError, match="power cut"):
+            append_batch(batch, 1, name)
+    assert append_batch(batch, 1, name) == 30
+    assert append_batch(batch, 1, name) == 30
+    assert ids(spark, name) == [*range(1, 51), *range(1000, 1030)]
+    assert_directory(spark, name)
+
+
+def test_a_batch_that_was_begun_in_vain_gives_its_id_free(spark, monkeypatch):
+    name = new_table(spark, 4)
+
+    def broken(*args):
+        raise OSError("power cut")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table_module, "_lay_out", broken)
+        with pytest.raises(OSError):
+            append_batch(rows(spark, 10), 0, name)
+    assert append_batch(other_bodies(rows(spark, 7)), 0, name) == 7
+    assert ids(spark, name) == list(range(1, 8))
+
+
+# --- the run directory
+
+
+def assert_directory(spark, name):
+    logs, runs = scan_logs(spark, name), scan_runs(spark, name)
+    own = logs.groupBy("agentic_run_id", "era").agg(F.count(F.lit(1)), F.min("id"), F.max("id"))
+    assert sorted(map(tuple, runs.collect())) == sorted(map(tuple, own.collect()))
+    assert sorted(count_by_run(runs).collect()) == sorted(count_by_run(logs).collect())
+    for prefix in ("r", "r1", "none", ""):
+        assert count_prefix(runs, prefix).first() == count_prefix(logs, prefix).first()
+    assert count_run(runs, "r1").first() == count_run(logs, "r1").first()
+
+
+def test_directory_follows_appends_replays_and_deletes(spark):
+    name = new_table(spark, 4, era_ids=50)
+    assert_directory(spark, name)
+    append_logs(rows(spark, 120, run=lambda i: f"r{i % 13}"), name)
+    append_batch(rows(spark, 30, first=200), 0, name)
+    append_batch(rows(spark, 30, first=200), 0, name)
+    assert_directory(spark, name)
+    delete_run(spark, name, "r1")
+    delete_run(spark, name, "nobody")
+    assert_directory(spark, name)
+    purge_table(spark, name, spark.createDataFrame([("r2",), ("r12",)], "agentic_run_id string"))
+    append_logs(rows(spark, 10, first=400, run=lambda i: "r1"), name)
+    assert_directory(spark, name)
+
+
+def test_counting_by_the_directory_reads_no_log_file(spark):
+    name = new_table(spark, 4)
+    append_logs(rows(spark, 20), name)
+    runs, own = scan_runs(spark, name), folder(spark, name)
+    for counted in (count_run(runs, "r1"), count_by_run(runs), count_prefix(runs, "r")):
+        text = plan(counted)
+        assert "_runs" in text and f"{own}]" not in text and "body" not in text
+    assert "StringStartsWith(agentic_run_id,r)" in plan(count_prefix(runs, "r"))
+    assert "EqualTo(agentic_run_id,r1)" in plan(count_run(runs, "r1"))
+
+
+def test_directory_of_a_delete_that_broke_off(spark, monkeypatch):
+    name = new_table(spark, 2, era_ids=10)
+    append_logs(rows(spark, 60), name)
+
+    def broken(*args, **kwargs):
+        raise OSError("power cut")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table_module, "add_runs", broken)
+        with pytest.raises(OSError):
+            delete_run(spark, name, "r1")
+    assert delete_run(spark, name, "r1") == 0  # it is all gone, and now the directory knows
+    assert_directory(spark, name)
+
+
+def test_directory_of_a_table_that_had_none(spark):
+    name = new_table(spark, 4)
+    append_logs(rows(spark, 20), name)
+    spark.sql(f"DROP TABLE {name}_runs")
+    assert ensure_table(spark, *name.split(".")) == name
+    assert_directory(spark, name)
+
+
+# --- compaction
+
+
+def table_files(spark, name):
+    return scan_logs(spark, name).select(F.input_file_name()).distinct().count()
+
+
+def test_compaction(spark):
+    name = new_table(spark, 2, era_ids=100)
+    for i in range(6):
+        append_logs(rows(spark, 40, first=1 + 40 * i), name)
+    before, n = table_files(spark, name), ids(spark, name)
+    reader = scan_logs(spark, name).select("id")
+    reader._jdf.queryExecution().executedPlan()  # planned before, run in the middle and after
+    assert {era for _, era in compact_table(spark, name)} == {0, 1}
+    assert sorted(r["id"] for r in reader.collect()) == n
+    assert ids(spark, name) == n and table_files(spark, name) < before
+    assert [t for t in files(spark, name, "era < 2") if "_rewritten" not in t] == []
+    assert_directory(spark, name)
+    assert compact_table(spark, name) == []  # nothing left to do
+    assert drop_replaced(spark, name) == 0 and drop_replaced(spark, name, 0) == 4 and drop_replaced(spark, name, 0) == 0
+    assert ids(spark, name) == n
+    append_logs(rows(spark, 10, first=500), name)
+    assert delete_run(spark, name, "r1") > 0
+    assert_directory(spark, name)
+
+
+def test_compaction_keeps_files_of_the_target_size(spark):
+    name = new_table(spark, 1, era_ids=100)
+    for i in range(4):
+        append_logs(rows(spark, 40, first=1 + 40 * i), name)
+    assert compact_table(spark, name, target_bytes=1) == []  # every file is as large as that
+    assert compact_table(spark, name, open_eras=2) == []
+    assert compact_table(spark, name, open_eras=0) == [(0, 0), (0, 1)]
+
+
+def test_compaction_that_breaks_off(spark, monkeypatch):
+    name = new_table(spark, 2, era_ids=100)
+    for i in range(6):
+        append_logs(rows(spark, 40, first=1 + 40 * i), name)
+    n, done = ids(spark, name), []
+
+    def broken_sql(self, text, *args, _sql=SparkSession.sql, **kwargs):
+        if "SET LOCATION" in text and len(done) == 1:
+            raise OSError("broken off")
+        if "SET LOCATION" in text:
+            done.append(text)
+        return _sql(self, text, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(SparkSession, "sql", broken_sql)
+        with pytest.raises(OSError):
+            compact_table(spark, name)
+    assert ids(spark, name) == n
+    assert compact_table(spark, name) and ids(spark, name) == n

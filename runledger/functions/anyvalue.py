@@ -4,20 +4,15 @@ The functions take the any-value as SQL text, usually a column name, because
 they are long and Spark parses one text far faster than it builds the same
 expression call by call.
 
-Scalars, flat arrays and flat key/value lists, which is nearly all log data,
-are handled by Spark expressions.  Only values nested deeper need recursion,
-which Spark expressions cannot express; those rows, and no others, hand their
-JSON to a small Arrow-batched function (the other rows hand it a NULL).
+Scalars, flat arrays and flat key/value lists, which is nearly all log data, are
+converted from their types.  Values nested deeper are folded as text, level by level,
+in rows that have them and no others.  Nothing leaves the JVM.
 """
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def attr(attributes: Column | str, key: str) -> Column:
@@ -99,54 +94,100 @@ def _flat_json(v: str) -> str:
       END"""
 
 
-def _decoder():
-    # All nested, so that executors get the code itself and need not have this package installed.
-    def plain(value):
-        """Plain Python form of an any-value; raises ValueError where JSON has none."""
-        if not value:
-            return None
-        kind, inner = next(iter(value.items()))
-        if kind == "intValue":
-            return int(inner)
-        if kind == "doubleValue":
-            number = float(inner)
-            if number != number or number in (float("inf"), float("-inf")):
-                raise ValueError("not a JSON number")
-            return int(number) if number.is_integer() and abs(number) < 1e21 else number
-        if kind == "arrayValue":
-            return [plain(item) for item in (inner or {}).get("values") or []]
-        if kind == "kvlistValue":
-            return {item.get("key", ""): plain(item.get("value")) for item in (inner or {}).get("values") or []}
-        return inner
+# A string literal is opaque while containers are folded: characters that mean something outside of strings are
+# replaced inside by control characters, which JSON text never has as such.  So are those of folded containers.
+_ESCAPED, _QUOTE = r"\u0001", r"\u0002"
+_STRUCTURE, _IN_STRINGS = "{}[],:", r"\u0003\u0004\u0005\u0006\u0007\u0008"
+_FOLDED = {"[": r"\u000E", "]": r"\u000F", ",": r"\u0010", ":": r"\u0011", "{": r"\u0012", "}": r"\u0013"}
+
+# What becomes of any-values that hold no other, in this order.
+_SIMPLE = [
+    (r'"(array|kvlist)Value":(?:null|\{\}|\{"values":null\})', '"$1Value":{"values":[]}'),
+    (r'\{"(?:string|bool|int|double|bytes)Value":null\}', "null"),
+    (r'\{"(?:string|bytes)Value":("[^"]*")\}', "$1"),
+    (r'\{"boolValue":(true|false)\}', "$1"),
+    (r'\{"intValue":"?\+?(-?)0*([0-9]+)"?\}', "$1$2"),
+    (r"\{\}", "null"),
+]
+_DOUBLE = r'\{"doubleValue":"?([-+0-9.eE]+)"?\}'
+# Entries of a key/value list whose values are folded, and containers whose elements all are.
+_ENTRIES = [
+    (r'\{"key":("[^"]*"),"value":([^{}\[\]]*)\}', "$1:$2"),
+    (r'\{"key":("[^"]*")\}', "$1:null"),
+    (r'\{"value":([^{}\[\]]*)\}', '"":$1'),
+]
+_INNERMOST = r'\{"(?:array|kvlist)Value":\{"values":\[[^{}\[\]]*\]\}\}'
+
+
+def _let(value: str, name: str, use: str) -> str:
+    """``use`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {use}), 1)"
+
+
+def _replaced(text: str, pairs: list[tuple[str, str]]) -> str:
+    for pattern, by in pairs:
+        text = f"regexp_replace({text}, r'{pattern}', r'{by}')"
+    return text
+
+
+def _opaque(text: str) -> str:
+    return f"translate({text}, ',:', '{_FOLDED[',']}{_FOLDED[':']}')"
+
+
+def _folded_container(p: str) -> str:
+    """An innermost container as plain JSON; of a repeated key the last entry stays."""
+    inner = rf"regexp_extract({p}, r'(?s)\[(.*)\]', 1)"
+    later = "exists(slice(es, i + 2, size(es)), x -> split_part(x, ':', 1) = split_part(e, ':', 1))"
+    unique = f"IF(size(array_distinct(transform(es, e -> split_part(e, ':', 1)))) = size(es), es, filter(es, (e, i) -> NOT {later}))"
+    entries = _let(f"split({inner}, ',')", "es", f"array_join({unique}, ',')")
+    return (
+        f"IF(startswith({p}, '{{\"arrayValue\"'), concat('{_FOLDED['[']}', {_opaque(inner)}, '{_FOLDED[']']}'), "
+        f"concat('{_FOLDED['{']}', {_opaque(entries)}, '{_FOLDED['}']}'))"
+    )
 
-    def plain_json(text):
-        try:
-            return json.dumps(plain(json.loads(text)), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
-        except ValueError:
-            return None
 
-    def decode(text: pd.Series) -> pd.Series:
-        return text.map(plain_json, na_action="ignore")
+def _plain_json(text: str) -> str:
+    """JSON text of a nested any-value as plain JSON text; NULL where it has none.
 
-    return F.pandas_udf(decode, StringType())
+    Containers are folded from the inside out, one level per step, as many steps as braces are nested, whatever the
+    depth.  What is left unfolded in the end, such as NaN, has no JSON form.
+    """
+    pieces = rf"split(replace(replace({text}, r'\\', '{_ESCAPED}'), r'\"', '{_QUOTE}'), '\"')"
+    hidden = f"array_join(transform({pieces}, (s, i) -> IF(i % 2 = 1, translate(s, '{_STRUCTURE}', '{_IN_STRINGS}'), s)), '\"')"
+    number = _double_text("try_cast(x AS double)")
+    literal = r"""concat(r'\{"doubleValue":"?\Q', x, r'\E"?\}')"""
+    doubles = f"aggregate(array_distinct(regexp_extract_all(h, r'{_DOUBLE}', 1)), h, (t, x) -> regexp_replace(t, {literal}, {number}))"
+    simple = _let(hidden, "h", _replaced(doubles, _SIMPLE))
+    braces = "split(regexp_replace(s, '[^{}]', ''), '')"
+    deeper = "a.now + CASE c WHEN '{' THEN 1 WHEN '}' THEN -1 ELSE 0 END"
+    depth = (
+        f"aggregate({braces}, named_struct('now', 0, 'most', 0), "
+        f"(a, c) -> named_struct('now', {deeper}, 'most', greatest(a.most, {deeper})), a -> a.most)"
+    )
+    folded = f"transform(regexp_extract_all(t, r'{_INNERMOST}', 0), p -> {_folded_container('p')})"
+    level = _let(folded, "f", f"array_join(transform(split(t, r'{_INNERMOST}'), (r, i) -> concat(r, coalesce(get(f, i), ''))), '')")
+    step = _let(_replaced("t", _ENTRIES), "t", level)
+    whole = f"aggregate(sequence(1, greatest(1, {depth})), s, (t, n) -> IF(instr(t, '{{') = 0, t, {step}))"
+    back = f"translate(w, '{_IN_STRINGS}{''.join(_FOLDED.values())}', '{_STRUCTURE}{''.join(_FOLDED)}')"
+    shown = rf"replace(replace({back}, '{_QUOTE}', r'\"'), '{_ESCAPED}', r'\\')"
+    return _let(simple, "s", _let(whole, "w", f"IF(w RLIKE '[{{\\\\[]', NULL, {shown})"))
 
 
-# JSON of nested any-values to plain JSON; NULL where there is none.  Of a repeated key the last value stays.
-decode_any_value = _decoder()
+def decode_any_value(text: str) -> Column:
+    """Plain JSON text, in a variant's notation, of a nested any-value's JSON (SQL text); NULL where there is none."""
+    return F.expr(f"to_json(try_parse_json({_plain_json(text)}))")
 
 
-def _deep_json(v: str) -> Column:
-    """JSON text of a container that is not flat; NULL for anything else."""
-    return decode_any_value(F.expr(f"CASE WHEN {_is_container(v)} AND {_is_deep(v)} THEN to_json({v}) END"))
+def _deep_json(v: str) -> str:
+    """Variant of a container that is not flat; NULL for anything else and where JSON has none."""
+    return f"CASE WHEN {_is_container(v)} AND {_is_deep(v)} THEN try_parse_json({_plain_json(f'to_json({v})')}) END"
 
 
 def any_as_string(v: str) -> Column:
     """Text of an any-value: scalars printed, containers as JSON, '' for an empty value;
     NULL stays NULL, so a missing attribute can be told from an empty one."""
-    return F.coalesce(
-        F.expr(f"coalesce({_scalar_text(v)}, to_json({_flat_json(v)}))"),
-        _deep_json(v),
-        F.expr(f"CASE WHEN {v} IS NOT NULL THEN '' END"),
+    return F.expr(
+        f"coalesce({_scalar_text(v)}, to_json({_flat_json(v)}), to_json({_deep_json(v)}), CASE WHEN {v} IS NOT NULL THEN '' END)"
     )
 
 
@@ -163,6 +204,6 @@ def body_value(v: str) -> Column:
     fails = f"{_is_container(v)} OR {d} IS NOT NULL OR {v}.intValue IS NOT NULL"
     return F.coalesce(
         F.expr(f"coalesce({_scalar_json(v)}, {_flat_json(v)})"),
-        F.try_parse_json(_deep_json(v)),
+        F.expr(_deep_json(v)),
         F.expr(f"CASE WHEN {fails} THEN to_variant_object(named_struct('raw', {text})) ELSE parse_json('null') END"),
     )

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from helpers import value
 from runledger.functions import any_as_string, attr, body_text, body_value, double_text, json_text, resolve_time, rfc3339
-from runledger.schema import ANY_VALUE, ATTRIBUTES
+from runledger.operators.extract import extract_rows
+from runledger.schema import ANY_VALUE, ATTRIBUTES, LOG_RECORD
 
 NESTED = {"a": [{"b": 1}, [], [2.0]], "c": {"d": {}}}
 
@@ -39,6 +40,32 @@ CASES = [
 ]
 
 
+def nested(depth, leaf):
+    out = leaf
+    for i in range(depth):
+        out = [out, "x"] if i % 2 else {"k": out, "": i}
+    return out
+
+
+def pairs(*entries):
+    return {"kvlistValue": {"values": [{"key": k, "value": v} for k, v in entries]}}
+
+
+TRICKY = '{"intValue":"5"}, [1] \\ "\\" \u0001 ] } : ,'
+CASES += [
+    (value(nested(25, [1.5])), None, json.dumps(nested(25, [1.5]), sort_keys=True, separators=(",", ":"))),
+    (value({TRICKY: [TRICKY, {TRICKY: [TRICKY]}]}), None, json.dumps({TRICKY: [TRICKY, {TRICKY: [TRICKY]}]}, separators=(",", ":"))),
+    (value([[1e10, 2.0, 1e-7, 0.5, -3.0, 1e21]]), "[[10000000000,2,1.0E-7,0.5,-3,1.0E21]]", "[[10000000000,2,1.0E-7,0.5,-3,1.0E21]]"),
+    (value([[[{"a": 1}]], [], [{}]]), '[[[{"a":1}]],[],[{}]]', '[[[{"a":1}]],[],[{}]]'),
+    # Of a repeated key the last entry stays, at every depth.
+    (pairs(("o", pairs(("k", value(1)), ("l", value([2])), ("k", value([3, {"m": 4}])))), ("p", value(5))), None, '{"o":{"k":[3,{"m":4}],"l":[2]},"p":5}'),
+    ({"arrayValue": {"values": [{"arrayValue": {"values": [{"doubleValue": "NaN"}]}}]}}, "", '{"raw":""}'),
+    ({"arrayValue": {"values": [{"arrayValue": {"values": [{"intValue": "no number"}]}}]}}, "", '{"raw":""}'),
+    ({"arrayValue": {"values": [{"kvlistValue": {"values": [{"key": "a"}, {"value": {"boolValue": True}}]}}]}}, None, '[{"":true,"a":null}]'),
+    ({"arrayValue": {"values": [{"arrayValue": {"values": [{"bytesValue": "aGk="}, {"intValue": 7}, {"intValue": "-007"}, {}]}}]}}, None, '[["aGk=",7,-7,null]]'),
+]
+
+
 def decoded(spark, values):
     rows = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "i int, s string")
     typed = rows.select("i", F.from_json("s", ANY_VALUE).alias("v"))
@@ -47,7 +74,18 @@ def decoded(spark, values):
 
 
 def test_any_values(spark):
-    assert decoded(spark, [c[0] for c in CASES]) == [(c[1], c[2]) for c in CASES]
+    assert decoded(spark, [c[0] for c in CASES]) == [(c[2] if c[1] is None else c[1], c[2]) for c in CASES]
+
+
+def test_long_nested_values(spark):
+    long = value([[{"n": i, "s": "text " * 3} for i in range(3000)], ["y" * 200_000]])
+    assert json.loads(decoded(spark, [long])[0][1]) == [[{"n": i, "s": "text " * 3} for i in range(3000)], ["y" * 200_000]]
+
+
+def test_no_python_in_the_plan(spark):
+    flat = spark.createDataFrame([], f"record {LOG_RECORD}")
+    text = extract_rows(flat)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text
 
 
 def test_missing_any_value(spark):

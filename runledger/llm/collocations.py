@@ -27,9 +27,9 @@ MOST_WORDS = 4
 TOP_PHRASES = 2000
 # A trigger is as long as what a phrase can reach beyond its first word, and one window in PERIOD is one.
 TRIGGER, PERIOD = MOST_WORDS - 1, 8
-# Bits that say which word pairs may be frequent: 2 MB, whatever the corpus.
+# Bits that say which word pairs may be frequent: 2 MB, whatever the corpus. A power of two.
 CELLS, CELLS_PER_ROW = 1 << 24, 1 << 15
-BUFFER_BYTES, FLUSH_ENTRIES = 1 << 22, 300_000
+BUFFER_BYTES, FLUSH_ENTRIES, FLUSH_PAIRS = 1 << 22, 300_000, 1 << 21
 _U = np.uint64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], _U)
 _BETWEEN = np.zeros(256, bool)
@@ -125,47 +125,79 @@ def _seed(lang: str) -> np.uint64:
     return _U(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
-def _pair_cells(lang: str, hashes: np.ndarray) -> np.ndarray:
-    """Cell of each two words that follow on each other."""
-    return (mixed(_runs(hashes, 2) ^ _seed(lang)) % _U(CELLS)).astype(np.int64)
+def _pairs(lang: str, hashes: np.ndarray) -> np.ndarray:
+    """A number of each two words that follow on each other."""
+    return mixed(_runs(hashes, 2) ^ _seed(lang)).view(np.int64)
 
 
-def _counter(orders: tuple[int, ...], frequent: np.ndarray | None):
-    """What counts the phrases of ``orders`` words in chunks; ``frequent`` are bits of cells of pairs that may be frequent."""
+class _Chunks:
+    """The words of some chunks: where they start and end in ``buffer``, which are the chunk's own, and their chunk's frequency."""
 
-    def add(counts: dict, lang: str, chunks: list[bytes], times: np.ndarray) -> None:
-        for low, high in _buffers(chunks):
-            part = chunks[low:high]
-            open_end = np.array([not c.endswith(b"\n") for c in part])
-            buffer = b"\n".join(c.rstrip(b"\n") for c in part)
-            lines, starts, ends, hashes = _words(buffer)
-            n = len(starts)
-            stop = np.searchsorted(lines, np.arange(len(part)), "right")  # one past a chunk's last word
-            at = np.arange(n)
-            own = at < (stop - TRIGGER * open_end)[lines]
-            weight = times[low:high][lines]
-            if frequent is not None:
-                good = frequent[_pair_cells(lang, hashes)]
-            for k in orders:
-                here = own & (at + k <= stop[lines])
-                if frequent is not None:
-                    for t in range(k - 1):  # all pairs inside; a phrase that is not whole is out already
-                        pairs = max(0, n - 1 - t)
-                        here[:pairs] &= good[t:]
-                        here[pairs:] = False
-                for once in (True, False):
-                    i = np.flatnonzero(here & ((weight == 1) == once))
-                    cuts = zip(starts[i].tolist(), ends[i + k - 1].tolist())
-                    if once:
-                        counts[lang, k].update([buffer[a:b] for a, b in cuts])
-                    else:
-                        held = counts[lang, k]
-                        for (a, b), w in zip(cuts, weight[i].tolist()):
-                            held[buffer[a:b]] += w
-            if frequent is None:
-                counts[lang, 0][b""] += int(weight[own].sum())  # all words of the language
+    def __init__(self, chunks: list[bytes], times: np.ndarray):
+        goes_on = np.array([not c.endswith(b"\n") for c in chunks])
+        self.buffer = b"\n".join(c.rstrip(b"\n") for c in chunks)
+        lines, self.starts, self.ends, self.hashes = _words(self.buffer)
+        stop = np.searchsorted(lines, np.arange(len(chunks)), "right")  # one past a chunk's last word
+        self.left = stop[lines] - np.arange(len(lines))  # words from here to the chunk's end
+        self.own = self.left > TRIGGER * goes_on[lines]
+        self.weight = times[lines]
+
+
+def _chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Chunks]]:
+    for batch in batches:
+        langs = batch.column("lang").to_numpy(zero_copy_only=False)
+        times, chunks = batch.column("n").to_numpy(), batch.column("chunk").to_pylist()
+        for lang in sorted(set(langs)):
+            rows = np.flatnonzero(langs == lang)
+            mine = [chunks[i] for i in rows]
+            for low, high in _buffers(mine):
+                yield lang, _Chunks(mine[low:high], times[rows[low:high]])
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of word pairs and how often they occur; two pairs may share a number."""
+    held, size = [], 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        pairs, weights = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(pairs)
+        pairs, weights = pairs[order], weights[order]
+        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+        columns = [pa.array(pairs[first]), pa.array(np.add.reduceat(weights, first))]
+        yield pa.RecordBatch.from_arrays(columns, names=["pair", "n"])
+        held.clear()
+
+    for lang, part in _chunks_of(batches):
+        at = np.flatnonzero(part.own & (part.left >= 2))
+        if len(at):
+            held.append((_pairs(lang, part.hashes)[at], part.weight[at]))
+            size += len(at)
+        if size > FLUSH_PAIRS:
+            yield from flush()
+            size = 0
+    if held:
+        yield from flush()
+
+
+def _pair_bits(chunks: DataFrame, min_count: int) -> np.ndarray:
+    """Which cells have a pair that may be frequent, as CELLS bits that Spark puts together: CELLS / 8 bytes come to the driver."""
+    pairs = chunks.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    cell = F.col("pair").bitwiseAND(F.lit(CELLS - 1))
+    cells = pairs.where(F.col("n") >= min_count).select(cell.alias("cell"))
+    row = F.call_function("div", F.col("cell"), F.lit(CELLS_PER_ROW))
+    bits = cells.groupBy(row.alias("row")).agg(F.bitmap_construct_agg(F.col("cell") % CELLS_PER_ROW).alias("bits"))
+    out = np.zeros(CELLS // 8, np.uint8)
+    for r in bits.collect():
+        at = r["row"] * CELLS_PER_ROW // 8
+        out[at : at + CELLS_PER_ROW // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def _count_phrases(orders: range, bits):
+    """What counts the phrases whose pairs all may be frequent, and, as ``words`` = 0, all words. ``bits`` is broadcast."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = np.unpackbits(bits.value, bitorder="little").view(bool)
         counts: dict[tuple[str, int], Counter] = defaultdict(Counter)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -178,42 +210,30 @@ def _counter(orders: tuple[int, ...], frequent: np.ndarray | None):
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.int64())], schema=_GRAMS)
             counts.clear()
 
-        for batch in batches:
-            langs = batch.column("lang").to_numpy(zero_copy_only=False)
-            times = batch.column("n").to_numpy()
-            chunks = batch.column("chunk").to_pylist()
-            for lang in sorted(set(langs)):
-                rows = np.flatnonzero(langs == lang)
-                add(counts, lang, [chunks[i] for i in rows], times[rows])
-                if sum(map(len, counts.values())) > FLUSH_ENTRIES:
-                    yield from flush()
+        for lang, part in _chunks_of(batches):
+            n, starts, ends, buffer = len(part.own), part.starts.tolist(), part.ends.tolist(), part.buffer
+            good = frequent[_pairs(lang, part.hashes) & (CELLS - 1)]
+            once = part.weight == 1
+            here = part.own.copy()
+            counts[lang, 0][b""] += int(part.weight[here].sum())
+            for k in orders:
+                if k > 1:
+                    pairs = max(0, n - k + 1)
+                    here[:pairs] &= good[k - 2 :]  # the last pair of the phrase; the others were asked for shorter ones
+                    here[pairs:] = False
+                    here &= part.left >= k
+                held = counts[lang, k]
+                held.update([buffer[starts[i] : ends[i + k - 1]] for i in np.flatnonzero(here & once).tolist()])
+                several = np.flatnonzero(here & ~once)
+                for i, w in zip(several.tolist(), part.weight[several].tolist()):
+                    held[buffer[starts[i] : ends[i + k - 1]]] += w
+            if sum(map(len, counts.values())) > FLUSH_ENTRIES:
+                yield from flush()
         yield from flush()
 
     return count
 
 
-def _cells_of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        langs = batch.column("lang").to_numpy(zero_copy_only=False)
-        phrases = np.array(batch.column("phrase").cast(pa.binary()).to_pylist(), object)
-        for lang in set(langs):
-            lines, _, _, hashes = _words(b"\n".join(phrases[langs == lang]))
-            cells = np.unique(_pair_cells(lang, hashes)[lines[:-1] == lines[1:]])
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64())], names=["cell"])
-
-
-def _pair_bits(frequent: DataFrame) -> np.ndarray:
-    """The cells of the frequent pairs as CELLS bits, which Spark puts together: CELLS / 8 bytes come to the driver."""
-    cells = frequent.where("words = 2").select("lang", "phrase").mapInArrow(_cells_of_pairs, "cell long")
-    row = F.call_function("div", F.col("cell"), F.lit(CELLS_PER_ROW))
-    bits = cells.groupBy(row.alias("row")).agg(F.bitmap_construct_agg(F.col("cell") % CELLS_PER_ROW).alias("bits"))
-    out = np.zeros(CELLS, bool)
-    for r in bits.collect():
-        at = r["row"] * CELLS_PER_ROW
-        out[at : at + CELLS_PER_ROW] = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
-    return out
-
-
 def dictionary(docs: DataFrame) -> DataFrame:
     """The parse of all texts: ``lang, chunk, n``, each different chunk of a language once. Null texts are empty, null langs ``und``."""
     rows = packed(docs.select("lang", "text")).select(
@@ -225,34 +245,13 @@ def dictionary(docs: DataFrame) -> DataFrame:
 def frequent_phrases(chunks: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``lang, words, phrase, n`` of all phrases of 1 to MOST_WORDS words that occur ``min_count`` times, and all words as ``words`` = 0.
 
-    A phrase is frequent only if the pairs in it are, so longer ones are counted where all their pairs may be.
+    A phrase is frequent only if the pairs of words in it are. So pairs are counted by their numbers first, and phrases
+    only where all their pairs may be frequent; the numbers decide nothing else. ``chunks`` is read twice.
     """
-
-    def counted(*args) -> DataFrame:
-        grams = chunks.mapInArrow(_counter(*args), _GRAM_DDL).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-        return write_through(grams.where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases")
-
-    short = counted((1, 2), None)
-    bits = chunks.sparkSession.sparkContext.broadcast(np.packbits(_pair_bits(short)))
-    return short.unionByName(counted(tuple(range(3, MOST_WORDS + 1)), _Unpacked(bits)))
-
-
-class _Unpacked:
-    """Broadcast bits, unpacked once per worker process."""
-
-    def __init__(self, bits):
-        self._bits, self._flags = bits, None
-
-    def __getstate__(self):
-        return self._bits
-
-    def __setstate__(self, bits):
-        self._bits, self._flags = bits, None
-
-    def __getitem__(self, cells: np.ndarray) -> np.ndarray:
-        if self._flags is None:
-            self._flags = np.unpackbits(self._bits.value).view(bool)
-        return self._flags[cells]
+    bits = chunks.sparkSession.sparkContext.broadcast(_pair_bits(chunks, min_count))
+    grams = chunks.mapInArrow(_count_phrases(range(1, MOST_WORDS + 1), bits), _GRAM_DDL)
+    counted = grams.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    return counted.where((F.col("n") >= min_count) | (F.col("words") == 0))
 
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP_PHRASES) -> DataFrame:

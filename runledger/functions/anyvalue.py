@@ -100,6 +100,11 @@ _ESCAPED, _QUOTE = r"\u0001", r"\u0002"
 _STRUCTURE, _IN_STRINGS = "{}[],:", r"\u0003\u0004\u0005\u0006\u0007\u0008"
 _FOLDED = {"[": r"\u000E", "]": r"\u000F", ",": r"\u0010", ":": r"\u0011", "{": r"\u0012", "}": r"\u0013"}
 
+# Kinds that are named but null beside another.
+_NAMED_ONLY = [
+    (r'"(?:string|bool|int|double|bytes|array|kvlist)Value":null,', ""),
+    (r',"(?:string|bool|int|double|bytes|array|kvlist)Value":null', ""),
+]
 # What becomes of any-values that hold no other, in this order.
 _SIMPLE = [
     (r'"(array|kvlist)Value":(?:null|\{\}|\{"values":null\})', '"$1Value":{"values":[]}'),
@@ -157,7 +162,7 @@ def _plain_json(text: str) -> str:
     number = _double_text("try_cast(x AS double)")
     literal = r"""concat(r'\{"doubleValue":"?\Q', x, r'\E"?\}')"""
     doubles = f"aggregate(array_distinct(regexp_extract_all(h, r'{_DOUBLE}', 1)), h, (t, x) -> regexp_replace(t, {literal}, {number}))"
-    simple = _let(hidden, "h", _replaced(doubles, _SIMPLE))
+    simple = _let(_replaced(hidden, _NAMED_ONLY), "h", _replaced(doubles, _SIMPLE))
     braces = "split(regexp_replace(s, '[^{}]', ''), '')"
     deeper = "a.now + CASE c WHEN '{' THEN 1 WHEN '}' THEN -1 ELSE 0 END"
     depth = (

@@ -24,6 +24,26 @@ def table_setting(logs: DataFrame, column: str) -> int | None:
     return logs.schema[column].metadata.get("setting") if column in logs.columns else None
 
 
+def table_of(logs: DataFrame) -> str | None:
+    """Name of the log table that a DataFrame is a scan of; None for others."""
+    return logs.schema["era"].metadata.get("table") if "era" in logs.columns else None
+
+
+def eras_of_run(logs: DataFrame, run_id: str, after: int = 0) -> list[int] | None:
+    """Eras that the log table has of a run's bucket, from the cursor's on, in order; None for other DataFrames.
+
+    The catalog tells, no file is read.
+    """
+    name, buckets, era_ids = table_of(logs), table_setting(logs, "bucket"), table_setting(logs, "era")
+    if not (name and buckets and era_ids):
+        return None
+    spark = logs.sparkSession
+    bucket = spark.sql("SELECT 1").select(bucket_of(F.lit(run_id), buckets)).first()[0]
+    era = F.regexp_extract("partition", "era=([0-9]+)", 1).cast("bigint")
+    listed = spark.sql(f"SHOW PARTITIONS {name} PARTITION (bucket = {bucket})").select(era.alias("era")).collect()
+    return sorted(r["era"] for r in listed if r["era"] >= after // era_ids)
+
+
 def for_run(logs: DataFrame, run_id: str) -> DataFrame:
     """Rows of one run.  On the log table only the run's bucket is read."""
     match = F.col("agentic_run_id") == F.lit(run_id)

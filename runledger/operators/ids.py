@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from runledger.session import write_through
 
-# Ids are unique, so at most this many rows of a run share a slice.
+# At most this many rows of a run are numbered by one task.
 SLICE_WIDTH = 1 << 18
 
 # Ids set aside for one micro-batch, see first_id().
@@ -97,26 +97,37 @@ def assign_arrival_ids(batch: DataFrame, blocks: DataFrame, start: int = 0) -> D
 def positions(logs: DataFrame, slice_width: int = SLICE_WIDTH, first: int | None = None) -> DataFrame:
     """Add ``position``: 1, 2, … within each run in id order; with ``first``, only that many per run.
 
-    Rows are numbered per run and slice of the id range, so a task never sorts
-    more than ``slice_width`` rows of one run; the sizes of a run's earlier
-    slices are added.  The number of slices is all that is gathered per run.
+    Rows are numbered per slice of a run, and the sizes of its earlier slices are added.  A slice is what the
+    run has in an era (``era``, which the log table has; else in all); only where that is more than ``slice_width``
+    rows is it cut finer, by ranges of ids.  So no task sorts more rows than that of one run, and however many
+    batches wrote a table, there are not more sizes than runs and eras, and few more.
     With ``first``, rows too far back in their slice are dropped before the shuffle.
     """
-    keyed = logs.withColumn("_slice", F.call_function("div", F.col("id"), F.lit(slice_width)))
-    sizes = keyed.groupBy("agentic_run_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = W.partitionBy("agentic_run_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    era = F.col("era") if "era" in logs.columns else F.lit(0).cast("bigint")
+    keyed = logs.withColumn("_era", era)
+    keys = ["agentic_run_id", "_era"]
+    sizes = write_through(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    whole = F.lit(-1).cast("bigint")
+    fine = F.call_function("div", F.col("id"), F.lit(slice_width))
+    # At most one entry per ``slice_width`` rows.
+    over = sizes.filter(F.col("_n") > slice_width).select(*keys, F.lit(True).alias("_over"))
+    if over.isEmpty():
+        keyed = keyed.withColumn("_slice", whole)
+        sizes = sizes.withColumn("_slice", whole)
+    else:
+        keyed = keyed.join(over, keys, "left").withColumn("_slice", F.when(F.col("_over"), fine).otherwise(whole)).drop("_over")
+        cut = keyed.filter("_slice >= 0").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        sizes = sizes.filter(F.col("_n") <= slice_width).withColumn("_slice", whole).unionByName(cut)
+    keys.append("_slice")
+    earlier = W.partitionBy("agentic_run_id").orderBy("_era", "_slice").rowsBetween(W.unboundedPreceding, -1)
     # Only later slices of long runs have an offset, so this side stays short and
     # Spark may choose to broadcast it; it is not hinted.
-    offsets = (
-        sizes.withColumn("_before", F.sum("_n").over(earlier))
-        .filter(F.col("_before") > 0)
-        .select("agentic_run_id", "_slice", "_before")
-    )
-    in_slice = F.row_number().over(W.partitionBy("agentic_run_id", "_slice").orderBy("id"))
+    offsets = sizes.withColumn("_before", F.sum("_n").over(earlier)).filter(F.col("_before") > 0).select(*keys, "_before")
+    in_slice = F.row_number().over(W.partitionBy(*keys).orderBy("id"))
     numbered = keyed.withColumn("_in_slice", in_slice)
     if first is not None:
         numbered = numbered.filter(F.col("_in_slice") <= first)
-    placed = numbered.join(offsets, ["agentic_run_id", "_slice"], "left").select(
+    placed = numbered.join(offsets, keys, "left").select(
         *logs.columns, (F.coalesce("_before", F.lit(0)) + F.col("_in_slice")).cast("bigint").alias("position")
     )
     return placed if first is None else placed.filter(F.col("position") <= first)

@@ -1,7 +1,9 @@
 """Pages: one page of a run, the first page of all runs, page numbers of all rows.
 
 A page is found by its ids first: a narrow scan of run and id tells where the
-page ends, and only then are the wide columns read, for that id range.
+page ends, and only then are the wide columns read, for that id range.  On the
+log table that scan goes through the eras from the cursor on, twice as many at
+each step, and ends with the page.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.operators.extract import select_columns
-from runledger.operators.filters import after_id, for_phase, for_run, in_buckets_of, up_to_id
+from runledger.operators.filters import after_id, eras_of_run, for_phase, for_run, in_buckets_of, up_to_id
 from runledger.operators.ids import SLICE_WIDTH, positions
 from runledger.operators.rules import clamp_limit, parse_after, require_run_id
 from runledger.session import write_through
@@ -23,7 +25,7 @@ class Page:
     """A page that has been planned, not read.
 
     ``fetched`` has up to ``limit + 1`` rows; the row too many, if it is there,
-    says there is more.
+    says there is more.  ``eras`` are those of the log table that were searched for ids.
     """
 
     run_id: str
@@ -32,6 +34,7 @@ class Page:
     after: int
     format: str
     fetched: DataFrame
+    eras: list[int] | None = None
 
     @property
     def rows(self) -> DataFrame:
@@ -71,10 +74,25 @@ def get_page(logs: DataFrame, run_id: str, phase=None, limit=None, after=None, f
     """
     run_id, limit, after = require_run_id(run_id), clamp_limit(limit), parse_after(after)
     beyond = after_id(for_phase(for_run(logs, run_id), phase), after)
-    last = beyond.select("id").orderBy("id").limit(limit + 1).agg(F.max("id"))
+    eras = eras_of_run(logs, run_id, after)
+    if eras is None:
+        last = beyond.select("id").orderBy("id").limit(limit + 1).agg(F.max("id")).scalar()
+    else:
+        ids, eras = _first_ids(beyond, eras, limit + 1)
+        last = F.lit(ids[-1] if ids else after)
     # The page's last id reaches the scan as a filter, so what lies past it is skipped.
-    found = select_columns(up_to_id(beyond, last.scalar()))
-    return Page(run_id, phase or None, limit, after, format, found.orderBy("id").limit(limit + 1))
+    found = select_columns(up_to_id(beyond, last))
+    return Page(run_id, phase or None, limit, after, format, found.orderBy("id").limit(limit + 1), eras)
+
+
+def _first_ids(rows: DataFrame, eras: list[int], n: int) -> tuple[list[int], list[int]]:
+    """The first ``n`` ids, a page's at most, and the eras searched for them: one, then two more, four more and so on."""
+    ids, at, step = [], 0, 1
+    while at < len(eras) and len(ids) < n:
+        some = rows.filter(F.col("era").between(eras[at], eras[min(at + step, len(eras)) - 1]))
+        ids += [r["id"] for r in some.select("id").orderBy("id").limit(n - len(ids)).collect()]
+        at, step = at + step, 2 * step
+    return ids, eras[:at]
 
 
 def page_bounds(
@@ -86,11 +104,11 @@ def page_bounds(
     limit = clamp_limit(limit)
     rows = for_phase(logs, phase)
     if cursors is None:
-        narrow = rows.select("agentic_run_id", "id", F.lit(0).cast("bigint").alias("after"))
+        narrow = rows.select(*_narrow(rows), F.lit(0).cast("bigint").alias("after"))
     else:
         written = write_through(cursors.select("agentic_run_id", "after"), "cursors")
         rows = in_buckets_of(rows, written)
-        narrow = rows.select("agentic_run_id", "id").join(written, "agentic_run_id")
+        narrow = rows.select(*_narrow(rows)).join(written, "agentic_run_id")
     numbered = positions(narrow.filter("id > after"), slice_width, first=limit + 1)
     on_page = F.col("position") <= limit
     return numbered.groupBy("agentic_run_id", "after").agg(
@@ -126,8 +144,16 @@ def pages_for_runs(
     )
 
 
+def _narrow(logs: DataFrame) -> list[str]:
+    return [c for c in ("agentic_run_id", "id", "era") if c in logs.columns]
+
+
 def paginate(logs: DataFrame, limit=None, slice_width: int = SLICE_WIDTH) -> DataFrame:
-    """Add ``page`` (0, 1, …): the page a row is on when its run is read to the end."""
+    """``agentic_run_id, id, page``: the page (0, 1, …) a row is on when its run is read to the end.
+
+    Run and id are all that is read and shuffled.  A page's records come from :func:`get_page` behind the last id of the
+    page before it.
+    """
     n = clamp_limit(limit)
-    numbered = positions(logs, slice_width)
-    return numbered.withColumn("page", F.call_function("div", F.col("position") - 1, F.lit(n))).drop("position")
+    page = F.call_function("div", F.col("position") - 1, F.lit(n)).alias("page")
+    return positions(logs.select(*_narrow(logs)), slice_width).select("agentic_run_id", "id", page)

@@ -86,6 +86,7 @@ _FULL = f"WITH {RAW} SELECT agentic_run_id, service, event_type AS scope_name, {
 
 _DOUBLE = "CASE WHEN value = floor(value) THEN CAST(CAST(value AS BIGINT) AS VARCHAR) ELSE CAST(value AS VARCHAR) END"
 _ARRAY = "'[' || user_id || ',\"' || event_type || '\"]'"
+_DEEP = f"""'{{"deep":[{{"n":"' || event_type || '"}},' || {_DOUBLE} || ']}}'"""
 _NESTED = "'{\"click\":' || (event_type = 'click') || ',\"list\":[' || user_id || ']}'"
 
 
@@ -103,6 +104,10 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (agentic_run_id = '') AS skipped FROM raw""",
     "any_value_decode": f"""SELECT event_id, {_kinds("CAST(to_json(event_type) AS VARCHAR)")} AS body,
         {_kinds("event_type")} AS text FROM events""",
+    "any_value_deep": f"""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN {_DEEP} ELSE CAST(user_id AS VARCHAR) END AS body,
+        CASE WHEN event_id % 2 = 0 THEN {_DEEP} ELSE CAST(user_id AS VARCHAR) END AS text FROM events""",
+    "body_raw": f"""SELECT event_id, CASE WHEN value > 99 THEN '{{"raw":"NaN"}}' WHEN value < 1 THEN '{{"raw":"-Inf"}}' ELSE {_DOUBLE} END AS body,
+        CASE WHEN value > 99 THEN 'NaN' WHEN value < 1 THEN '-Inf' ELSE {_DOUBLE} END AS text FROM events""",
     "body_json": "SELECT event_id, CAST(json(props) AS VARCHAR) AS body FROM events",
     "body_string_json": "SELECT conv_id, turn, CAST(to_json(text) AS VARCHAR) AS body FROM conversations",
     "document_body_text": "SELECT doc_id, CAST(to_json(text) AS VARCHAR) AS body, text FROM documents",
@@ -201,6 +206,11 @@ ORACLES: dict[str, str] = {
         SELECT agentic_run_id, id, CAST(NULL AS BIGINT) AS deleted FROM logs
         WHERE agentic_run_id NOT IN (SELECT agentic_run_id FROM listed)
         UNION ALL SELECT agentic_run_id, CAST(NULL AS BIGINT), deleted FROM deleted""",
+    "run_directory": f"""{NOISY}, left_over AS (
+          SELECT * FROM logs WHERE agentic_run_id NOT IN (SELECT agentic_run_id FROM listed) AND agentic_run_id <> '{RUN}')
+        SELECT agentic_run_id, count(*) AS n FROM left_over GROUP BY 1
+        UNION ALL SELECT '{PREFIX}*', count(*) FROM left_over WHERE agentic_run_id LIKE '{PREFIX}%'""",
+    "compacted_table": f"{LOGS} SELECT agentic_run_id, id, id % 5 AS batch_id, {ROW}, true AS fewer_files FROM logs",
     "replayed_batch": f"{LOGS} SELECT agentic_run_id, id, CAST(7 AS BIGINT) AS batch_id, {ROW} FROM logs",
     "after_id": f"{LOGS} SELECT id, phase, event FROM logs WHERE agentic_run_id = '{RUN}' AND id > 500",
     "stream_ingest": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
@@ -208,6 +218,10 @@ ORACLES: dict[str, str] = {
     "stream_ids": f"""{LOGS} SELECT count(*) AS records, count(DISTINCT id) AS ids, true AS dense, true AS in_range
         FROM logs""",
     "stream_replay": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
+    "stream_restart": f"""{LOGS}, {TURNS} SELECT {_SOURCE_ROWS} FROM logs
+        UNION ALL SELECT agentic_run_id, phase, ts_us, event, CAST(to_json(text) AS VARCHAR) AS body FROM turns""",
+    "stream_page_walk": f"""{RANKED} SELECT agentic_run_id, (rn - 1) // 10 AS page, count(*) AS records, count(DISTINCT id) AS ids
+        FROM ranked GROUP BY 1, 2""",
     "stream_route": f"""WITH {RAW} SELECT 'store' AS pipeline, agentic_run_id, phase, event FROM raw
           WHERE service = 'audit-service' AND agentic_run_id <> ''
         UNION ALL SELECT 'unmatched', agentic_run_id, phase, event FROM raw

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +21,11 @@ from runledger.session import scratch_path
 from runledger.sources.jdbc import from_jdbc, to_jdbc
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, write_otlp
 from runledger.sources.sinks import nop_sink
-from runledger.sources.table import append_batch, append_logs, delete_run, purge_table, scan_logs
+from runledger.sources.directory import scan_runs
+from runledger.sources.table import append_batch, append_logs, compact_table, delete_run, purge_table, scan_logs
 from runledger.streaming.ingest import drain, keep_rejected, log_rows, start_ingest, start_routed, start_traces, table_sink
-from runledger.streaming.metrics import IngestMetrics, insert_durations, progress_metrics, read_metrics
+from runledger.streaming.metrics import IngestMetrics, insert_durations, read_metrics
+from runledger.streaming.retry import Permanent
 
 RUN = "run-8"
 CONVERSATION = "conv-8"
@@ -92,6 +95,27 @@ def any_value_decode(spark, sf_dir):
     )
 
 
+@query("any_value_deep")
+def any_value_deep(spark, sf_dir):
+    """Lists in lists in lists, with a repeated key, in every other event; its text in an attribute, its JSON as a body."""
+    number = inputs.entry("'n'", inputs.element("intValue", "string(user_id)"))
+    name = inputs.entry("'n'", inputs.element("stringValue", "event_type"))
+    pairs = f"to_variant_object(named_struct('values', array({number}, {name})))"
+    listed = f"to_variant_object(named_struct('values', array({inputs.element('kvlistValue', pairs)}, {inputs.element('doubleValue', 'value')})))"
+    deep = inputs.kvlist_value(f"array({inputs.entry("'deep'", inputs.element('arrayValue', listed))})")
+    value = F.when(F.col("event_id") % 2 == 0, deep).otherwise(inputs.int_value("user_id"))
+    values = inputs.table(spark, sf_dir, "events").select("event_id", value.alias("v"))
+    return values.select("event_id", json_text(body_value("v")).alias("body"), any_as_string("v").alias("text"))
+
+
+@query("body_raw")
+def body_raw(spark, sf_dir):
+    """Values above 99 become NaN, those below 1 an infinity: bodies without a JSON form are kept as text."""
+    odd = "CASE WHEN value > 99 THEN double('NaN') WHEN value < 1 THEN double('-Infinity') ELSE value END"
+    values = inputs.table(spark, sf_dir, "events").select("event_id", inputs.value_of("doubleValue", odd).alias("v"))
+    return values.select("event_id", json_text(body_value("v")).alias("body"), any_as_string("v").alias("text"))
+
+
 @query("body_json")
 def body_json(spark, sf_dir):
     values = inputs.table(spark, sf_dir, "events").select("event_id", inputs.props_value().alias("v"))
@@ -197,6 +221,17 @@ def page_walk_sliced(spark, sf_dir):
 # --- counts ---
 
 
+@query("run_directory")
+def run_directory(spark, sf_dir):
+    """Counts by the run directory alone, after appends, a replay, a delete and a purge: by run, and of a prefix."""
+    name = _in_batches(spark, sf_dir)
+    delete_run(spark, name, RUN)
+    purge_table(spark, name, _noisy_runs(scan_logs(spark, name)))
+    runs = scan_runs(spark, name)
+    prefix = counts.count_prefix(runs, PREFIX).select(F.lit(f"{PREFIX}*").alias("agentic_run_id"), "n")
+    return counts.count_by_run(runs).unionByName(prefix)
+
+
 @query("count_run")
 def run_count(spark, sf_dir):
     return counts.count_run(inputs.event_logs(spark, sf_dir), RUN)
@@ -417,6 +452,26 @@ def deleted_run(spark, sf_dir):
     return scan_logs(spark, name).select("agentic_run_id", "id", F.lit(n).cast("bigint").alias("deleted"))
 
 
+def _in_batches(spark, sf_dir) -> str:
+    """The event log written as five batches, the third of them twice, in eras of 2000 ids."""
+    name = inputs.new_table(spark, era_ids=2000)
+    logs = inputs.event_logs(spark, sf_dir).drop("batch_id", "bucket", "era")
+    for batch in (0, 1, 2, 2, 3, 4):
+        append_batch(logs.where((F.col("id") % 5) == batch), batch, name)
+    return name
+
+
+@query("compacted_table")
+def compacted_table(spark, sf_dir):
+    """The rows of a table of small files after its closed eras were compacted; each is there once, in no more files."""
+    name = _in_batches(spark, sf_dir)
+    before = scan_logs(spark, name).select(F.input_file_name()).distinct().count()
+    compact_table(spark, name)
+    logs = scan_logs(spark, name)
+    fewer = logs.select(F.input_file_name()).distinct().count() <= before
+    return shown(logs, "agentic_run_id", "id", "batch_id").withColumn("fewer_files", F.lit(fewer))
+
+
 @query("purge_table")
 def purged_table(spark, sf_dir):
     """What a table holds after a list of runs was purged from it, beside what was reported for each listed run."""
@@ -483,6 +538,41 @@ def stream_replay(spark, sf_dir):
     return shown(scan_logs(spark, name), "agentic_run_id")
 
 
+@query("stream_restart")
+def stream_restart(spark, sf_dir):
+    """A stream that breaks off after it wrote a batch goes on from its checkpoint; foreign rows with larger ids came in between."""
+    name, checkpoint = inputs.new_table(spark), scratch_path(spark, "checkpoint")
+    source = inputs.event_envelope_files(spark, sf_dir)
+    done = []
+
+    def breaks_off(append):
+        def write(df, batch_id):
+            append(df, batch_id)
+            done.append(batch_id)
+            if len(done) == 2:
+                raise Permanent("broken off")
+
+        return write
+
+    try:
+        start_ingest(spark, source, name, checkpoint, None, inputs.now(), breaks_off, maxFilesPerTrigger=3).awaitTermination()
+    except StreamingQueryException as error:
+        if "broken off" not in str(error):
+            raise
+    foreign = inputs.turn_logs(spark, sf_dir).drop("batch_id", "bucket", "era")
+    append_logs(foreign.withColumn("id", F.col("id") + ids.first_id(1 << 20)), name)
+    start_ingest(spark, source, name, checkpoint, None, inputs.now(), maxFilesPerTrigger=3).awaitTermination()
+    return shown(scan_logs(spark, name), "agentic_run_id")
+
+
+@query("stream_page_walk")
+def stream_page_walk(spark, sf_dir):
+    """Page numbers in a table that a stream filled by many small batches, each a range of ids far from the last."""
+    name, _, _ = _ingested(spark, sf_dir, maxFilesPerTrigger=1)
+    walk = pages.paginate(scan_logs(spark, name), 10)
+    return walk.groupBy("agentic_run_id", "page").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("ids"))
+
+
 @query("stream_route")
 def stream_route(spark, sf_dir):
     """Routed, then stored, forwarded or dropped; forwarded records are read back."""
@@ -506,18 +596,31 @@ def stream_route(spark, sf_dir):
     )
 
 
-def _metered(spark, sf_dir) -> tuple[str, DataFrame]:
-    """The table filled by a stream, and the metrics of all its batches, however many."""
+def _with_metrics(spark, ingest: Callable) -> DataFrame:
+    """The metrics of all batches, however many, of the stream that ``ingest`` runs and returns."""
     path = scratch_path(spark, "metrics")
     listener = IngestMetrics(spark, path)
     spark.streams.addListener(listener)
     try:
-        name, _, q = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
+        q = ingest()
         if not listener.wait(q):
             raise TimeoutError("the reports of the stream did not come")
     finally:
         spark.streams.removeListener(listener)
-    return name, read_metrics(spark, path).where(F.col("query_id") == str(q.id))
+    return read_metrics(spark, path).where(F.col("query_id") == str(q.id))
+
+
+def _metered(spark, sf_dir) -> tuple[str, DataFrame]:
+    """The table filled by a stream, and its metrics."""
+    names = []
+
+    def ingest():
+        name, _, q = _ingested(spark, sf_dir, maxFilesPerTrigger=3)
+        names.append(name)
+        return q
+
+    metrics = _with_metrics(spark, ingest)
+    return names[0], metrics
 
 
 @query("stream_counters")
@@ -536,11 +639,15 @@ def rejected_lines(spark, sf_dir):
     nth = F.col("envelope") % 7
     lines = inputs.event_envelopes(spark, sf_dir).select(F.when(nth == 3, cut).when(nth == 5, mistyped).otherwise(line))
     lines.write.text(source)
-    q = start_ingest(spark, source, name, scratch_path(spark, "checkpoint"), None, inputs.now())
-    q.awaitTermination()
+
+    def ingest():
+        q = start_ingest(spark, source, name, scratch_path(spark, "checkpoint"), None, inputs.now())
+        q.awaitTermination()
+        return q
+
+    metrics = _with_metrics(spark, ingest)
     stream = scan_otlp_logs(spark, source, True)
     keep_rejected(stream, apart, scratch_path(spark, "checkpoint"), None).awaitTermination()
-    metrics = progress_metrics(spark, q.recentProgress)
     kept = spark.read.schema("line string").json(apart)
     return routing.merge_sources(
         *[metrics.select(F.lit(c).alias("what"), c).groupBy("what").agg(F.sum(c).alias("n")) for c in ("records", "skipped", "rejected")],

@@ -88,7 +88,7 @@ def scan_logs(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select(
         *TABLE_COLUMNS[:-2],
         F.col("bucket").alias("bucket", metadata={"setting": buckets}),
-        F.col("era").alias("era", metadata={"setting": era_ids}),
+        F.col("era").alias("era", metadata={"setting": era_ids, "table": table}),
     )
 
 

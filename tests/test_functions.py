@@ -62,6 +62,7 @@ CASES += [
     ({"arrayValue": {"values": [{"arrayValue": {"values": [{"doubleValue": "NaN"}]}}]}}, "", '{"raw":""}'),
     ({"arrayValue": {"values": [{"arrayValue": {"values": [{"intValue": "no number"}]}}]}}, "", '{"raw":""}'),
     ({"arrayValue": {"values": [{"kvlistValue": {"values": [{"key": "a"}, {"value": {"boolValue": True}}]}}]}}, None, '[{"":true,"a":null}]'),
+    ({"arrayValue": {"values": [{"arrayValue": {"values": [{"arrayValue": None, "intValue": "5", "stringValue": None}, {"boolValue": None}]}}]}}, None, "[[5,null]]"),
     ({"arrayValue": {"values": [{"arrayValue": {"values": [{"bytesValue": "aGk="}, {"intValue": 7}, {"intValue": "-007"}, {}]}}]}}, None, '[["aGk=",7,-7,null]]'),
 ]
 

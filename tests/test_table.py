@@ -8,9 +8,10 @@ from helpers import envelope, log_rows, new_table, record, write_envelopes
 from runledger.operators.extract import extract_rows, flatten_logs, keep_identified
 from runledger.operators.counts import count_by_run, count_prefix, count_run
 from runledger.operators.filters import for_run
-from runledger.operators.pages import get_page, pages_for_runs
+from runledger.operators import ids as ids_module
+from runledger.operators.pages import get_page, pages_for_runs, paginate
 from runledger.schema import TABLE_COLUMNS
-from runledger.session import setting, shared_dir
+from runledger.session import remove, setting, shared_dir
 from runledger.sources.otlp import scan_otlp_logs
 from runledger.sources import table as table_module
 from runledger.sources.batches import read_records
@@ -243,15 +244,49 @@ def plan(df):
 def test_a_run_reads_its_bucket_and_pushes_its_filters(spark):
     name = new_table(spark, 4)
     append_logs(rows(spark, 20), name)
-    text = plan(get_page(scan_logs(spark, name), "r1", after=3).fetched)
-    filters = [part.split("]")[0] for part in text.split("PartitionFilters: [")[1:]]
-    assert len(filters) >= 2 and all("(bucket#" in part for part in filters)
-    assert "EqualTo(agentic_run_id,r1)" in text and "GreaterThan(id,3)" in text
-    assert "LessThanOrEqual(id,ScalarSubquery" in text or "id#" in text and "<= Subquery" in text
-    assert "ReadSchema: struct<id:bigint,agentic_run_id:string>" in text  # the narrow scan
+    page = get_page(scan_logs(spark, name), "r1", after=3)
+    text = plan(page.fetched)
+    assert "(bucket#" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "EqualTo(agentic_run_id,r1)" in text and "GreaterThan(id,3)" in text and "LessThanOrEqual(id,17)" in text
     assert "Exchange" not in text and "TakeOrderedAndProject" in text
 
 
+def test_a_page_searches_as_many_eras_as_it_takes(spark):
+    """A run in 40 eras: a page reads one, or doubles them until it is full; later files need not even be there."""
+    name = new_table(spark, 1, era_ids=10)
+    append_logs(rows(spark, 400, run=lambda i: "r", first=0), name)
+    logs = scan_logs(spark, name)
+    assert get_page(logs, "r", limit=5).eras == [0]
+    assert get_page(logs, "r", limit=9).eras == [0, 1, 2]  # nine ids beyond 0, and a tenth to know there is more
+    assert get_page(logs, "r", limit=60, after=105).eras == list(range(10, 17))
+    assert get_page(logs, "r", limit=5, after=397).eras == [39]
+    assert get_page(logs, "nobody", limit=5).eras == list(range(40))
+    assert get_page(logs, "r", phase="none", limit=5).read().records == []
+    for i in range(2, 40):
+        remove(spark, table_module._location(spark, name, f"PARTITION (bucket = 0, era = {i})"))
+    read = get_page(scan_logs(spark, name), "r", limit=8).read()
+    assert [r["id"] for r in read.records] == list(range(1, 9)) and read.has_more
+
+
+def test_slices_follow_runs_and_eras_not_batches(spark, monkeypatch):
+    """300 small batches with ids far apart: as many sizes as runs and eras, and the same positions."""
+    name = new_table(spark, 2, era_ids=100 * 1000)
+    made = [(1000 * i + j, f"r{j}", "p", 0.0, "e", "1") for i in range(300) for j in range(1, 4)]
+    append_logs(log_rows(spark, made), name)
+    sizes = []
+
+    def write(df, what, _write=ids_module.write_through):
+        out = _write(df, what)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ids_module, "write_through", write)
+    walk = paginate(scan_logs(spark, name), 10, slice_width=200)
+    assert sizes == [9]  # three runs in three eras of a hundred batches each
+    assert sorted(tuple(r) for r in walk.collect()) == sorted((f"r{j}", 1000 * i + j, i // 10) for i in range(300) for j in range(1, 4))
+    assert "body" not in plan(walk)
+
+
 def test_few_cursors_read_few_buckets(spark):
     name = new_table(spark, 16)
     append_logs(rows(spark, 200, run=lambda i: f"r{i % 40}"), name)

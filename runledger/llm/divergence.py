@@ -12,7 +12,6 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from operator import floordiv, mod
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,8 +24,8 @@ FLUSH_TERMS = 400_000
 SALTS = 32
 # Letters A-Z as a-z, all other ASCII as a space; bytes of longer characters stay.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_COUNTS = "lang string, term string, source array<string>, n array<long>, docs array<long>"
-_NAMES = ["lang", "term", "source", "n", "docs"]
+_COUNTS = "lang string, source string, term string, n long, docs long"
+_NAMES = ["lang", "source", "term", "n", "docs"]
 _DOC = 1 << 48  # what a document adds to a count, above the occurrences, of which a task has fewer
 
 
@@ -46,22 +45,16 @@ def collapse(docs: DataFrame) -> DataFrame:
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per language and term, with its sources: occurrences, and documents that have it."""
+    """A row per language, source and term: occurrences, and documents that have it."""
     counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
     held = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, sources in counts.items():
-            entries = defaultdict(list)
             for source, terms in sources.items():
-                for term, both in terms.items():
-                    entries[term].append((source, both))
-            flat = [pair for found in entries.values() for pair in found]
-            offsets = pa.array(np.cumsum([0, *map(len, entries.values())]), pa.int32())
-            n, docs = (pa.array([part(both, _DOC) for _, both in flat], pa.int64()) for part in (mod, floordiv))
-            listed = [pa.ListArray.from_arrays(offsets, v) for v in (pa.array([source for source, _ in flat], pa.string()), n, docs)]
-            columns = [pa.array([lang] * len(entries), pa.string()), pa.array(list(entries), pa.binary()).cast(pa.string()), *listed]
-            yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+                same = [pa.array([value] * len(terms), pa.string()) for value in (lang, source)]
+                n, docs = (pa.array([part(both, _DOC) for both in terms.values()], pa.int64()) for part in (mod, floordiv))
+                yield pa.RecordBatch.from_arrays([*same, pa.array(list(terms), pa.binary()).cast(pa.string()), n, docs], names=_NAMES)
         counts.clear()
 
     for batch in batches:
@@ -108,10 +101,9 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms: int =
     table gives an empty result. All is exact. Every pair of sources is a row of the result, whence a language's
     sources are paired with each other; nothing else is.
     """
-    # A row per term and task, dealt by term once: both sums below find their rows together.
+    # Counted by task, and dealt by term once: both sums below find their rows together.
     counted = collapse(docs).mapInArrow(_tokenize, _COUNTS).repartition("lang", "term")
-    single = counted.select("lang", "term", F.inline(F.arrays_zip("source", "n", "docs")))
-    summed = single.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    summed = counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     per_term = summed.groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources")
     )

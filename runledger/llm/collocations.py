@@ -26,12 +26,12 @@ MIN_COUNT = 30
 MOST_WORDS = 4
 TOP_PHRASES = 2000
 # A trigger is as long as what a phrase can reach beyond its first word, and one window in PERIOD is one.
-TRIGGER, PERIOD = MOST_WORDS - 1, 8
-# Bits that say which word pairs may be frequent: 2 MB, whatever the corpus. A power of two.
+TRIGGER, PERIOD = MOST_WORDS - 1, 32
+# Bits that say which phrases of a length may be frequent: 2 MB, whatever the corpus. A power of two.
 CELLS, CELLS_PER_ROW = 1 << 24, 1 << 15
-BUFFER_BYTES, FLUSH_ENTRIES, FLUSH_PAIRS = 1 << 22, 300_000, 1 << 21
+BUFFER_BYTES, FLUSH_ENTRIES, FLUSH_NUMBERS = 1 << 22, 300_000, 1 << 20
 _U = np.uint64
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], _U)
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], _U)
 _BETWEEN = np.zeros(256, bool)
 _BETWEEN[[10, 32]] = True
 _CLEAN = bytearray(range(256))
@@ -125,9 +125,14 @@ def _seed(lang: str) -> np.uint64:
     return _U(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
-def _pairs(lang: str, hashes: np.ndarray) -> np.ndarray:
-    """A number of each two words that follow on each other."""
-    return mixed(_runs(hashes, 2) ^ _seed(lang)).view(np.int64)
+def _numbers(lang: str, hashes: np.ndarray, k: int) -> np.ndarray:
+    """A number of the ``k`` words from each word on; two phrases may share one."""
+    return mixed(_runs(hashes, k) ^ _seed(lang)).view(np.int64)
+
+
+def _flagged(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    cell = numbers & (CELLS - 1)
+    return (bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
 
 class _Chunks:
@@ -154,50 +159,62 @@ def _chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Chunks
                 yield lang, _Chunks(mine[low:high], times[rows[low:high]])
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of word pairs and how often they occur; two pairs may share a number."""
-    held, size = [], 0
+def _count_numbers(orders: tuple[int, ...], bits):
+    """What counts the phrases of ``orders`` words by number; with ``bits``, broadcast, those whose pairs all are flagged."""
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        pairs, weights = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(pairs)
-        pairs, weights = pairs[order], weights[order]
-        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-        columns = [pa.array(pairs[first]), pa.array(np.add.reduceat(weights, first))]
-        yield pa.RecordBatch.from_arrays(columns, names=["pair", "n"])
-        held.clear()
-
-    for lang, part in _chunks_of(batches):
-        at = np.flatnonzero(part.own & (part.left >= 2))
-        if len(at):
-            held.append((_pairs(lang, part.hashes)[at], part.weight[at]))
-            size += len(at)
-        if size > FLUSH_PAIRS:
-            yield from flush()
-            size = 0
-    if held:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {k: [] for k in orders}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for k, some in held.items():
+                if some:
+                    numbers, weights = (np.concatenate(x) for x in zip(*some))
+                    order = np.argsort(numbers)
+                    numbers, weights = numbers[order], weights[order]
+                    first = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
+                    columns = [pa.array(np.full(len(first), k, np.int32)), pa.array(numbers[first]), pa.array(np.add.reduceat(weights, first))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["words", "number", "n"])
+                    some.clear()
+
+        for lang, part in _chunks_of(batches):
+            n = len(part.own)
+            if bits is not None:
+                good = _flagged(bits.value[2], _numbers(lang, part.hashes, 2))
+            for k in orders:
+                here = part.own & (part.left >= k)
+                for t in range(k - 1 if bits is not None else 0):
+                    here[: max(0, n - 1 - t)] &= good[t:]
+                at = np.flatnonzero(here)
+                if len(at):
+                    held[k].append((_numbers(lang, part.hashes, k)[at], part.weight[at]))
+                    size += len(at)
+            if size > FLUSH_NUMBERS:
+                yield from flush()
+                size = 0
         yield from flush()
 
+    return count
+
 
-def _pair_bits(chunks: DataFrame, min_count: int) -> np.ndarray:
-    """Which cells have a pair that may be frequent, as CELLS bits that Spark puts together: CELLS / 8 bytes come to the driver."""
-    pairs = chunks.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    cell = F.col("pair").bitwiseAND(F.lit(CELLS - 1))
-    cells = pairs.where(F.col("n") >= min_count).select(cell.alias("cell"))
-    row = F.call_function("div", F.col("cell"), F.lit(CELLS_PER_ROW))
-    bits = cells.groupBy(row.alias("row")).agg(F.bitmap_construct_agg(F.col("cell") % CELLS_PER_ROW).alias("bits"))
-    out = np.zeros(CELLS // 8, np.uint8)
-    for r in bits.collect():
+def _frequent_bits(chunks: DataFrame, orders: tuple[int, ...], bits, min_count: int) -> dict[int, np.ndarray]:
+    """Which cells have a phrase that may be frequent, as CELLS bits a length that Spark puts together: CELLS / 8 bytes each come to the driver."""
+    counted = chunks.mapInArrow(_count_numbers(orders, bits), "words int, number long, n long")
+    frequent = counted.groupBy("words", "number").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    cell = F.col("number").bitwiseAND(F.lit(CELLS - 1))
+    row = F.call_function("div", cell, F.lit(CELLS_PER_ROW))
+    rows = frequent.groupBy("words", row.alias("row")).agg(F.bitmap_construct_agg(cell % CELLS_PER_ROW).alias("bits"))
+    out = {k: np.zeros(CELLS // 8, np.uint8) for k in orders}
+    for r in rows.collect():
         at = r["row"] * CELLS_PER_ROW // 8
-        out[at : at + CELLS_PER_ROW // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
+        out[r["words"]][at : at + CELLS_PER_ROW // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
 
-def _count_phrases(orders: range, bits):
-    """What counts the phrases whose pairs all may be frequent, and, as ``words`` = 0, all words. ``bits`` is broadcast."""
+def _count_phrases(bits):
+    """What counts the phrases that are flagged by their numbers in ``bits``, broadcast, all words, and, as ``words`` = 0, their sum."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.unpackbits(bits.value, bitorder="little").view(bool)
         counts: dict[tuple[str, int], Counter] = defaultdict(Counter)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -211,17 +228,13 @@ def _count_phrases(orders: range, bits):
             counts.clear()
 
         for lang, part in _chunks_of(batches):
-            n, starts, ends, buffer = len(part.own), part.starts.tolist(), part.ends.tolist(), part.buffer
-            good = frequent[_pairs(lang, part.hashes) & (CELLS - 1)]
-            once = part.weight == 1
-            here = part.own.copy()
-            counts[lang, 0][b""] += int(part.weight[here].sum())
-            for k in orders:
+            starts, ends, buffer, once = part.starts.tolist(), part.ends.tolist(), part.buffer, part.weight == 1
+            counts[lang, 0][b""] += int(part.weight[part.own].sum())
+            for k in range(1, MOST_WORDS + 1):
+                here = part.own & (part.left >= k)
                 if k > 1:
-                    pairs = max(0, n - k + 1)
-                    here[:pairs] &= good[k - 2 :]  # the last pair of the phrase; the others were asked for shorter ones
-                    here[pairs:] = False
-                    here &= part.left >= k
+                    flags = _flagged(bits.value[k], _numbers(lang, part.hashes, k))
+                    here[: len(flags)] &= flags
                 held = counts[lang, k]
                 held.update([buffer[starts[i] : ends[i + k - 1]] for i in np.flatnonzero(here & once).tolist()])
                 several = np.flatnonzero(here & ~once)
@@ -245,11 +258,13 @@ def dictionary(docs: DataFrame) -> DataFrame:
 def frequent_phrases(chunks: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``lang, words, phrase, n`` of all phrases of 1 to MOST_WORDS words that occur ``min_count`` times, and all words as ``words`` = 0.
 
-    A phrase is frequent only if the pairs of words in it are. So pairs are counted by their numbers first, and phrases
-    only where all their pairs may be frequent; the numbers decide nothing else. ``chunks`` is read twice.
+    Phrases are counted by numbers first, pairs of words and then longer ones whose pairs all may be frequent, and as text
+    only where their number is frequent; numbers decide nothing else. ``chunks`` is read three times.
     """
-    bits = chunks.sparkSession.sparkContext.broadcast(_pair_bits(chunks, min_count))
-    grams = chunks.mapInArrow(_count_phrases(range(1, MOST_WORDS + 1), bits), _GRAM_DDL)
+    context = chunks.sparkSession.sparkContext
+    bits = _frequent_bits(chunks, (2,), None, min_count)
+    bits |= _frequent_bits(chunks, tuple(range(3, MOST_WORDS + 1)), context.broadcast(bits), min_count)
+    grams = chunks.mapInArrow(_count_phrases(context.broadcast(bits)), _GRAM_DDL)
     counted = grams.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     return counted.where((F.col("n") >= min_count) | (F.col("words") == 0))
 

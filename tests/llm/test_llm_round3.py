@@ -223,7 +223,8 @@ def test_chunks_hold_every_phrase_once(spark, monkeypatch):
     assert sum(not c.endswith(b"\n") for c in chunks) > 20
 
 
-def test_equal_passages_have_equal_chunks():
+def test_equal_passages_have_equal_chunks(monkeypatch):
+    monkeypatch.setattr(collocations, "PERIOD", 8)
     passage = " ".join(prose(3, 200).replace(".", "").split())
     alone, inside = collocations.parse([passage.encode()]), collocations.parse([f"some words {passage} and more".encode()])
     assert len(set(alone) & set(inside)) >= len(alone) - 2 > 5

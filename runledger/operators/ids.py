@@ -22,12 +22,17 @@ BATCH_SPAN = 1 << 32
 ARRIVAL_COLUMNS = ["file_modification_time", "file_path", "file_block_start"]
 
 
+# What tells a record from others; only rows that were moved since the scan have it.
+RECORD_KEY = "_key"
+
+
 def first_id(batch_id: int) -> int:
     """Largest id that lies before the ids of a micro-batch.
 
     Each micro-batch owns a fixed range of ids.  So ids ascend over batches, a
     replayed batch gets the ids it had, and no batch has to look up the
-    largest id of a 100 TB table first.  Gaps in ids are allowed.
+    largest id of a 100 TB table first.  Gaps in ids are allowed.  A batch of more
+    rows takes the ranges that follow too, and its record tells the next one.
     """
     return batch_id * BATCH_SPAN
 

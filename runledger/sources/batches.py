@@ -16,20 +16,28 @@ from pyspark.sql import functions as F
 from runledger.functions import json_text
 from runledger.session import get_text, put_text
 
-RECORDS = "batch_id BIGINT, n BIGINT, digest STRING, files BIGINT, stream STRING, done BOOLEAN"
+RECORDS = "batch_id BIGINT, n BIGINT, digest STRING, files BIGINT, stream STRING, before BIGINT, done BOOLEAN"
 
 
 @dataclass(frozen=True)
 class BatchRecord:
-    """``digest`` covers run, phase, time, event and body of all rows; no order or partitioning changes it."""
+    """``digest`` covers run, phase, time, event and body of all rows; no order or partitioning changes it.
+
+    ``before`` is the id before the first of those that the batch gave to its rows, if it gave them.
+    """
 
     batch_id: int
     n: int
     digest: str
     files: int | None = None
     stream: str | None = None
+    before: int | None = None
     done: bool = False
 
+    @property
+    def last_id(self) -> int | None:
+        return None if self.before is None else self.before + self.n
+
     @property
     def content(self) -> tuple:
         return self.n, self.digest

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.operators.filters import after_id, bucket_of, era_of, in_buckets_of, up_to_id
-from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, arrival_blocks, assign_arrival_ids, assign_ids, first_id
+from runledger.operators.ids import ARRIVAL_COLUMNS, BATCH_SPAN, RECORD_KEY, arrival_blocks, assign_arrival_ids, assign_ids, first_id
 from runledger.operators.purge import purge_runs
 from runledger.operators.rules import check_identifier, require_run_id
 from runledger.schema import DEFAULT_SCHEMA, DEFAULT_TABLE, TABLE_COLUMNS, TABLE_DDL
@@ -153,10 +153,6 @@ def _append(rows: DataFrame, table: str, batch_id: int, eras: list | None = None
             add_runs(run_counts(rows.withColumn("era", era_of(F.col("id"), era_ids))), table)
 
 
-# At most this many file blocks, at some 200 bytes each, are sent to every executor.
-_BROADCAST_BLOCKS = 100_000
-
-
 def append_batch(df: DataFrame, batch_id: int, table: str) -> int:
     """Append one micro-batch of extracted rows once, and return the number of rows.
 
@@ -166,41 +162,47 @@ def append_batch(df: DataFrame, batch_id: int, table: str) -> int:
     table, this fails before anything is written.  Where the record says only that the batch was
     begun, its rows in the table decide: all of them, none, or, which is an error, some.
 
-    Rows without ids need the file columns of a scan, and get ids in the order
-    of arrival within the range of the batch.
+    Rows without ids need the file columns of a scan, and get ids in the order of arrival within
+    the range of the batch.  A batch that its range does not hold goes on in the next one, and the batches after it
+    begin behind it.  Rows that were moved since the scan also need ``_key``,
+    one for each; within a file block they go by time, then by that.
     """
     # The session of the batch: another one could see a stale list of files.
     spark = df.sparkSession
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     blocks, n_files = None, None
+    own_ids = "id" not in kept.columns
     try:
         # A micro-batch is written by an ordinary query; streams turn this off for their own.
         with setting(spark, "spark.sql.adaptive.enabled", "true"):
-            if "id" in kept.columns:
+            if not own_ids:
                 n, digest = kept.agg(F.count(F.lit(1)), digest_sum()).first()
-            elif set(ARRIVAL_COLUMNS) <= set(kept.columns):
+            elif not set(ARRIVAL_COLUMNS) <= set(kept.columns):
+                raise ValueError("a batch needs ids or the file columns of scan_otlp_logs")
+            elif RECORD_KEY in kept.columns:
+                n, digest, n_files = kept.agg(F.count(F.lit(1)), digest_sum(), F.count_distinct("file_path")).first()
+            else:
                 blocks = arrival_blocks(kept, digest_sum().alias("_digest")).persist(StorageLevel.MEMORY_AND_DISK)
                 sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("_n", "_digest")]
-                known = F.count(F.lit(1)), *sums, F.count_distinct("file_path"), F.count_if("_torn")
-                n_blocks, n, digest, n_files, torn = blocks.agg(*known).first()
+                n, digest, n_files, torn = blocks.agg(*sums, F.count_distinct("file_path"), F.count_if("_torn")).first()
                 if torn:
                     raise ValueError("rows were moved since the scan, so their order of arrival is lost")
-            else:
-                raise ValueError("a batch needs ids or the file columns of scan_otlp_logs")
+            folder = _location(spark, table)
+            known = read_record(spark, folder, batch_id)
+            before = _before(spark, folder, batch_id, known) if own_ids else None
+            record = BatchRecord(batch_id, n, str(digest), n_files, stream_id(spark), before)
             if n == 0:
+                if before is not None and before > first_id(batch_id):
+                    write_record(spark, folder, record.finished())  # the next batch has to know where to begin
                 return 0
-            if n >= BATCH_SPAN:
-                raise ValueError(f"micro-batch {batch_id} has {n} rows, more than its range of ids")
-            folder = _location(spark, table)
-            record = BatchRecord(batch_id, n, str(digest), n_files, stream_id(spark))
-            if _is_there(spark, table, folder, record, blocks is not None):
+            if _is_there(spark, table, folder, record, known):
                 return n
-            rows, eras = kept, None
+            rows = kept
             if blocks is not None:
-                small = n_blocks <= _BROADCAST_BLOCKS
-                rows = assign_arrival_ids(kept, F.broadcast(blocks) if small else blocks, first_id(batch_id))
-                eras = _eras_of(spark, table, batch_id)
-            _append(rows, table, batch_id, eras)
+                rows = assign_arrival_ids(kept, blocks, before)
+            elif own_ids:
+                rows = assign_ids(kept, [*ARRIVAL_COLUMNS, "timestamp", RECORD_KEY], before)
+            _append(rows, table, batch_id, _eras_of(spark, table, record))
             write_record(spark, folder, record.finished())
             return n
     finally:
@@ -209,15 +211,25 @@ def append_batch(df: DataFrame, batch_id: int, table: str) -> int:
         kept.unpersist()
 
 
-def _eras_of(spark: SparkSession, table: str, batch_id: int) -> list[int]:
-    """First and last era that the ids of a batch can lie in."""
+def _before(spark: SparkSession, folder: str, batch_id: int, known: BatchRecord | None) -> int:
+    """The id that a batch's ids follow: that of its first try, else the end of what lies before its range and the last batch."""
+    if known is not None and known.before is not None:
+        return known.before
+    last = read_record(spark, folder, batch_id - 1)
+    reached = last.last_id if last is not None and last.last_id is not None else 0
+    return max(first_id(batch_id), reached)
+
+
+def _eras_of(spark: SparkSession, table: str, record: BatchRecord) -> list[int] | None:
+    """First and last era of the ids that a batch gives to its rows; None where they came with ids."""
+    if record.before is None:
+        return None
     era_ids = table_settings(spark, table)[1]
-    return [(first_id(batch_id) + 1) // era_ids, first_id(batch_id + 1) // era_ids]
+    return [(record.before + 1) // era_ids, record.last_id // era_ids]
 
 
-def _is_there(spark: SparkSession, table: str, folder: str, record: BatchRecord, own_ids: bool) -> bool:
-    """Whether the batch is in the table already; if not, it is noted as begun."""
-    known = read_record(spark, folder, record.batch_id)
+def _is_there(spark: SparkSession, table: str, folder: str, record: BatchRecord, known: BatchRecord | None) -> bool:
+    """Whether the batch is in the table already, by what is known of it; if not, it is noted as begun."""
     if known is not None and known.done:
         if known.content == record.content:
             return True
@@ -225,14 +237,12 @@ def _is_there(spark: SparkSession, table: str, folder: str, record: BatchRecord,
         raise Permanent(f"micro-batch {record.batch_id} has {record.n} rows, but {known.n} others are in {table}{of}")
     if known is not None:
         there = scan_logs(spark, table).filter(F.col("batch_id") == record.batch_id)
-        eras = None
-        if own_ids:
+        if known.before is not None:
             # Its ids are known, so only the eras they lie in are looked at.
-            there = up_to_id(after_id(there, first_id(record.batch_id)), F.lit(first_id(record.batch_id + 1)))
-            eras = _eras_of(spark, table, record.batch_id)
+            there = up_to_id(after_id(there, known.before), F.lit(known.last_id))
         n, digest = there.agg(F.count(F.lit(1)), digest_sum()).first()
         if (n, str(digest)) == record.content:
-            with changing(spark, table, folder, lambda: scan_logs(spark, table), eras):
+            with changing(spark, table, folder, lambda: scan_logs(spark, table), _eras_of(spark, table, known)):
                 pass  # counts again what the crash may have kept from the directory
             write_record(spark, folder, record.finished())
             return True

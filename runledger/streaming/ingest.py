@@ -1,7 +1,7 @@
 """Streams of envelopes into the log table, or onward.
 
-Everything up to the write is stateless, so late records are taken like any
-other and no watermark is needed.  What one micro-batch takes in is bounded by
+Everything up to the write is stateless, unless records that are sent twice are to be left out, so late
+records are taken like any other and no watermark on their time is needed.  What one micro-batch takes in is bounded by
 files or bytes per trigger; parallelism is Spark's own.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runledger.operators.extract import accepted, extract_rows, flatten_logs, ingest_counters, keep_identified
+from runledger.operators.ids import RECORD_KEY
 from runledger.operators.routing import merge_sources, run_pipelines
 from runledger.schema import REJECTED
 from runledger.sources.otlp import rejected_lines, scan_otlp_logs, scan_otlp_traces
@@ -33,12 +34,27 @@ def table_sink(table: str, retry: Callable = with_retry) -> Callable[[DataFrame,
     return retry(lambda df, batch_id: append_batch(df, batch_id, table))
 
 
-def log_rows(envelopes: DataFrame, now: Column | None = None) -> DataFrame:
+def log_rows(envelopes: DataFrame, now: Column | None = None, resent_within: str | None = None) -> DataFrame:
     """Rows for the table from envelopes, with the counters observed on the way.
 
-    ``now``, where used, is the time of the micro-batch, which Spark keeps for a replay.
+    ``now``, where used, is the time of the micro-batch, which Spark keeps for a replay.  With ``resent_within`` a
+    record that comes again within that time is left out (see :func:`take_once`).
     """
-    return keep_identified(extract_rows(flatten_logs(_counted(envelopes)), now).observe(OBSERVED, *ingest_counters()))
+    flat = flatten_logs(_counted(envelopes))
+    if resent_within is not None:
+        flat = flat.withColumn(RECORD_KEY, F.unhex(F.sha2(F.to_json(F.struct("resource", "scope", "record")), 256)))
+    rows = keep_identified(extract_rows(flat, now).observe(OBSERVED, *ingest_counters()))
+    return rows if resent_within is None else take_once(rows, RECORD_KEY, resent_within)
+
+
+def take_once(rows: DataFrame, key: str, within: str) -> DataFrame:
+    """Of the rows of a stream that are equal in ``key``, those that no other came before ``within`` that time.
+
+    For producers that send again what they do not know to have arrived.  Time is that of arrival, so no row is ever
+    late.  The keys of that time are kept as state, spread by key; what is older is dropped from it.  Rows are
+    shuffled by key, and shuffle partitions cannot change after the first start.
+    """
+    return rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within).dropDuplicatesWithinWatermark([key]).drop("_arrived")
 
 
 def _counted(envelopes: DataFrame) -> DataFrame:
@@ -67,16 +83,18 @@ def start_ingest(
     trigger: str | None = "1 second",
     now: Column | None = None,
     retry: Callable = with_retry,
+    resent_within: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Append the log envelopes that turn up in ``source``, one path or several, to ``table``.
 
     ``options`` go to the file source.  Progress is kept in ``checkpoint``: a
     query started again goes on where the last one stopped.  A table takes one
-    such query; several sources are merged into it.
+    such query; several sources are merged into it.  Producers that may send a record twice
+    want ``resent_within``, such as ``"10 minutes"``: equal records, with their resource and scope, count once in that time.
     """
     paths = [source] if isinstance(source, str) else source
-    rows = log_rows(merge_sources(*[scan_otlp_logs(spark, p, True, **_bounded(options)) for p in paths]), now)
+    rows = log_rows(merge_sources(*[scan_otlp_logs(spark, p, True, **_bounded(options)) for p in paths]), now, resent_within)
     return _start(rows.writeStream.foreachBatch(table_sink(table, retry)), checkpoint, trigger)
 
 

@@ -5,11 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import envelope, new_table, record, write_envelopes
+from runledger.operators import ids as ids_module
 from runledger.operators.counts import histogram
 from runledger.operators.ids import BATCH_SPAN
 from runledger.operators.pages import get_page
 from runledger.operators.extract import flatten_logs
 from runledger.plans.inputs import now
+from runledger.session import setting
+from runledger.sources import table as table_module
 from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces
 from runledger.sources.table import append_batch, scan_logs
 from runledger.streaming.ingest import drain, forward, keep_rejected, log_rows, print_stream, start_ingest, start_routed, start_traces, table_sink
@@ -346,3 +349,71 @@ def test_no_retry_of_what_cannot_succeed():
     with pytest.raises(Permanent):
         with_retry(fail, sleep=lambda s: None)()
     assert len(calls) == 1
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_a_batch_larger_than_its_range_of_ids(spark, tmp_path, monkeypatch, broadcast):
+    """A span of 100: a batch of 1,000 rows takes ten ranges, the next ones begin behind it, and a replay gets the same ids."""
+    for module in (ids_module, table_module):
+        monkeypatch.setattr(module, "BATCH_SPAN", 100)
+    sizes = [30, 1000, 0, 250, 5]
+    first = 0
+    for n in sizes:
+        write_envelopes(tmp_path / "in", batch(first, n) if n else envelope(record(None)))
+        first += n
+        time.sleep(0.02)
+    name = new_table(spark, 4, era_ids=500)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", broadcast):
+        ingest(spark, tmp_path, name, maxFilesPerTrigger=1)
+        rows = scan_logs(spark, name).orderBy("id").collect()
+        assert [r["event"] for r in rows] == [f"e{i}" for i in range(sum(sizes))]
+        got = [r["id"] for r in rows]
+        assert got == [*range(1, 31), *range(101, 1101), *range(1101, 1351), *range(1351, 1356)]
+        ingest(spark, tmp_path, name, checkpoint="another", maxFilesPerTrigger=1)
+        assert [r["id"] for r in scan_logs(spark, name).orderBy("id").collect()] == got
+
+
+def test_records_sent_twice_are_stored_once(spark, tmp_path):
+    """Within a file, across files of a batch, and after a restart; other records that are alike in their rows stay."""
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 20), batch(0, 20))
+    write_envelopes(tmp_path / "in", batch(10, 20))
+    ingest(spark, tmp_path, name, resent_within="1 hour")
+    assert events(spark, name) == [f"e{i}" for i in range(30)]  # in the order of arrival
+    write_envelopes(tmp_path / "in", batch(25, 10))
+    write_envelopes(tmp_path / "in", envelope(record("r", event="same", observed=1), record("r", event="same", observed=2)))
+    q = ingest(spark, tmp_path, name, resent_within="1 hour", maxFilesPerTrigger=1)
+    assert sorted(events(spark, name)) == sorted([f"e{i}" for i in range(35)] + ["same"] * 2)
+    assert q.exception() is None
+    ids = [r["id"] for r in scan_logs(spark, name).collect()]
+    assert len(set(ids)) == len(ids)
+
+
+def test_keys_of_records_are_not_kept_for_ever(spark, tmp_path):
+    name = new_table(spark, 4)
+    kept = []
+    for i in range(4):
+        write_envelopes(tmp_path / "in", batch(i * 10, 10))
+        q = ingest(spark, tmp_path, name, resent_within="1 second")
+        kept.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+        time.sleep(1.5)
+    assert len(events(spark, name)) == 40 and kept[-1] <= 20
+
+
+def test_records_are_stored_twice_unless_asked_otherwise(spark, tmp_path):
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 5), batch(0, 5))
+    ingest(spark, tmp_path, name)
+    assert len(events(spark, name)) == 10
+
+
+def test_another_stream_with_as_many_rows_stops_before_it_writes(spark, tmp_path):
+    name = new_table(spark, 4)
+    write_envelopes(tmp_path / "in", batch(0, 10))
+    ingest(spark, tmp_path, name)
+    same = envelope(*[record("r", "p", f"e{i}", f"other body {i}", observed=10**18 + i * 1000) for i in range(10)])
+    write_envelopes(tmp_path / "other", same)
+    q = start_ingest(spark, str(tmp_path / "other"), name, str(tmp_path / "second"), None, now())
+    with pytest.raises(Exception, match="written by stream"):
+        q.awaitTermination()
+    assert len(events(spark, name)) == 10

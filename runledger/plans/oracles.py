@@ -152,6 +152,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'unmatched', count(*) FROM routed WHERE route IS NULL""",
     "route_matched": f"{ROUTED} SELECT event_id FROM routed WHERE route IS NOT NULL",
     "route_default": f"{ROUTED} SELECT event_id FROM routed WHERE route IS NULL",
+    "route_none": "SELECT event_id FROM events",
     "fan_out": f"""{ROUTED}
         SELECT 'store' AS pipeline, id FROM routed WHERE route IS NOT NULL AND agentic_run_id <> ''
         UNION ALL SELECT 'alerts', id FROM routed WHERE route = 1""",
@@ -164,6 +165,7 @@ ORACLES: dict[str, str] = {
           CAST(row_number() OVER (PARTITION BY envelope, place, event_type ORDER BY event_id) - 1 AS INTEGER) AS li,
           CASE WHEN event_id % 55 = 0 THEN 0 ELSE (epoch_us(ts) + 1000000) * 1000 END AS observed
         FROM placed""",
+    "otlp_hot_envelope": f"WITH {RAW} SELECT service, count(*) AS records, true AS bounded FROM raw GROUP BY 1",
     "otlp_files": _FULL,
     "envelope_routing": f"""{PLACED} SELECT CASE WHEN place = 0 THEN 'store' ELSE 'unmatched' END AS pipeline,
         envelope, count(*) AS records FROM placed GROUP BY 1, 2""",
@@ -212,12 +214,15 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT '{PREFIX}*', count(*) FROM left_over WHERE agentic_run_id LIKE '{PREFIX}%'""",
     "compacted_table": f"{LOGS} SELECT agentic_run_id, id, id % 5 AS batch_id, {ROW}, true AS fewer_files FROM logs",
     "replayed_batch": f"{LOGS} SELECT agentic_run_id, id, CAST(7 AS BIGINT) AS batch_id, {ROW} FROM logs",
+    "empty_batch": f"{LOGS} SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n, 8 AS buckets FROM logs",
     "after_id": f"{LOGS} SELECT id, phase, event FROM logs WHERE agentic_run_id = '{RUN}' AND id > 500",
     "stream_ingest": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
     "jdbc_columns": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
     "stream_ids": f"""{LOGS} SELECT count(*) AS records, count(DISTINCT id) AS ids, true AS dense, true AS in_range
         FROM logs""",
     "stream_replay": f"{LOGS} SELECT {_SOURCE_ROWS} FROM logs",
+    "stream_resent": f"""{LOGS} SELECT {_SOURCE_ROWS} FROM (
+        SELECT DISTINCT {_SOURCE_ROWS}, service, ts, event_id % 5 = 0, event_id % 55 = 0 FROM logs)""",
     "stream_restart": f"""{LOGS}, {TURNS} SELECT {_SOURCE_ROWS} FROM logs
         UNION ALL SELECT agentic_run_id, phase, ts_us, event, CAST(to_json(text) AS VARCHAR) AS body FROM turns""",
     "stream_page_walk": f"""{RANKED} SELECT agentic_run_id, (rn - 1) // 10 AS page, count(*) AS records, count(DISTINCT id) AS ids
@@ -237,5 +242,7 @@ ORACLES: dict[str, str] = {
             count(*) FILTER (NOT bad AND agentic_run_id <> ''), count(DISTINCT envelope) FILTER (bad),
             count(DISTINCT envelope) FILTER (bad)]) AS n FROM placed""",
     "trace_forward": f"WITH {RAW} SELECT service, hex(event_id) AS span_id, event_type AS name FROM raw",
+    "signal_traces": f"""{LOGS} SELECT 'records' AS what, count(*) AS n FROM logs
+        UNION ALL SELECT 'spans', count(*) FROM events""",
     "signal_split": f"{LOGS} SELECT agentic_run_id, count(*) AS n FROM logs GROUP BY 1",
 }

@@ -19,10 +19,12 @@ from runledger.operators.filters import after_id, for_run
 from runledger.plans import inputs
 from runledger.session import scratch_path
 from runledger.sources.jdbc import from_jdbc, to_jdbc
-from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, write_otlp
+from runledger.sources.otlp import scan_otlp_logs, scan_otlp_traces, to_otlp_envelopes, write_otlp
 from runledger.sources.sinks import nop_sink
 from runledger.sources.directory import scan_runs
-from runledger.sources.table import append_batch, append_logs, compact_table, delete_run, purge_table, scan_logs
+from runledger.sources.table import (
+    append_batch, append_logs, compact_table, delete_run, ensure_table, purge_table, scan_logs, table_settings,
+)
 from runledger.streaming.ingest import drain, keep_rejected, log_rows, start_ingest, start_routed, start_traces, table_sink
 from runledger.streaming.metrics import IngestMetrics, insert_durations, read_metrics
 from runledger.streaming.retry import Permanent
@@ -316,6 +318,12 @@ def route_unmatched(spark, sf_dir):
     return _routed(inputs.event_records(spark, sf_dir))["unmatched"].select("event_id")
 
 
+@query("route_none")
+def route_none(spark, sf_dir):
+    """Without routes everything goes to the default."""
+    return routing.route(inputs.event_records(spark, sf_dir), [], ["unmatched"])["unmatched"].select("event_id")
+
+
 @query("fan_out")
 def fan_out(spark, sf_dir):
     """One read of the input, one table or sink per pipeline."""
@@ -363,6 +371,16 @@ def otlp_order(spark, sf_dir):
     return flat.select("envelope", "ri", "si", "li", seen.alias("observed"))
 
 
+@query("otlp_hot_envelope")
+def otlp_hot_envelope(spark, sf_dir):
+    """Regrouped by service, of which there are few: no envelope has more than a thousand records, and none is lost."""
+    records = inputs.event_records(spark, sf_dir).withColumn("service", routing.resource_attr("service.name"))
+    envelopes = to_otlp_envelopes(records, ["service"], max_records=1000).withColumn("nr", F.monotonically_increasing_id())
+    flat = flatten_logs(envelopes)
+    sizes = flat.groupBy("service", "nr").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("service").agg(F.sum("n").alias("records"), (F.max("n") <= 1000).alias("bounded"))
+
+
 @query("otlp_files")
 def otlp_files(spark, sf_dir):
     path = scratch_path(spark, "envelopes")
@@ -491,6 +509,18 @@ def replayed_batch(spark, sf_dir):
     return shown(scan_logs(spark, name), "agentic_run_id", "id", "batch_id")
 
 
+@query("empty_batch")
+def empty_batch(spark, sf_dir):
+    """A batch without rows leaves nothing, and a table that is there is not made again, whatever its settings."""
+    name = inputs.new_table(spark)
+    rows = inputs.event_logs(spark, sf_dir).drop("batch_id", "bucket", "era")
+    append_batch(rows, 0, name)
+    append_batch(rows.where("false"), 1, name)
+    ensure_table(spark, *name.split("."), buckets=99)
+    buckets = F.lit(table_settings(spark, name)[0]).alias("buckets")
+    return scan_logs(spark, name).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).select("batch_id", "n", buckets)
+
+
 @query("after_id")
 def after_cursor(spark, sf_dir):
     logs = inputs.event_logs(spark, sf_dir)
@@ -538,6 +568,18 @@ def stream_replay(spark, sf_dir):
     return shown(scan_logs(spark, name), "agentic_run_id")
 
 
+@query("stream_resent")
+def stream_resent(spark, sf_dir):
+    """Every third envelope is sent twice, in files of their own; its records are stored once."""
+    source, name = scratch_path(spark, "resent"), inputs.new_table(spark)
+    envelopes = inputs.event_envelopes(spark, sf_dir)
+    write_otlp(envelopes, source)
+    write_otlp(envelopes.where("envelope % 3 = 0"), source)
+    options = {"maxFilesPerTrigger": 3, "resent_within": "1 day"}
+    start_ingest(spark, source, name, scratch_path(spark, "checkpoint"), None, inputs.now(), **options).awaitTermination()
+    return shown(scan_logs(spark, name), "agentic_run_id")
+
+
 @query("stream_restart")
 def stream_restart(spark, sf_dir):
     """A stream that breaks off after it wrote a batch goes on from its checkpoint; foreign rows with larger ids came in between."""
@@ -698,6 +740,25 @@ def trace_forward(spark, sf_dir):
     )
 
 
+@query("signal_traces")
+def signal_traces(spark, sf_dir):
+    """Logs are stored and traces forwarded, by two queries at the same time; nothing of one gets into the other."""
+    name, spans, onward = inputs.new_table(spark), scratch_path(spark, "spans"), scratch_path(spark, "onward")
+    write_otlp(_span_envelopes(spark, sf_dir), spans)
+    running = [
+        start_ingest(spark, inputs.event_envelope_files(spark, sf_dir), name, scratch_path(spark, "checkpoint"), "1 second", inputs.now()),
+        start_traces(spark, spans, scratch_path(spark, "checkpoint"), onward, "1 second"),
+    ]
+    for q in running:
+        drain(q)
+    scopes = F.variant_get("r.scopeSpans", "$", "array<struct<spans:array<struct<spanId:string>>>>")
+    resources = scan_otlp_traces(spark, onward).select(F.explode("resourceSpans").alias("r"))
+    sent = resources.select(F.size(F.flatten(F.transform(scopes, lambda scope: scope["spans"]))).alias("n"))
+    return scan_logs(spark, name).agg(F.lit("records").alias("what"), F.count(F.lit(1)).alias("n")).unionByName(
+        sent.agg(F.lit("spans").alias("what"), F.sum("n").alias("n"))
+    )
+
+
 @query("signal_split")
 def signal_split(spark, sf_dir):
     """Logs are stored, traces dropped, by two queries over two sources."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from runledger.operators.extract import accepted
 from runledger.operators.ids import ARRIVAL_COLUMNS
 from runledger.schema import OTLP_LOGS, OTLP_TRACES, REJECTED
+from runledger.session import write_through
 
 
 def _scan(spark: SparkSession, path: str, schema: str, streaming: bool, options: dict) -> DataFrame:
@@ -41,16 +42,18 @@ def rejected_lines(envelopes: DataFrame) -> DataFrame:
     return envelopes.where(F.col(REJECTED).isNotNull()).select("file_path", F.col(REJECTED).alias("line"), resources)
 
 
-def _in_order(position: str, value: Column) -> Column:
-    """Values of a group ordered by ``position``.  Variants have no order of their own."""
-    def compare(a, b):
-        return F.when(a["p"] < b["p"], F.lit(-1)).when(a["p"] > b["p"], F.lit(1)).otherwise(F.lit(0))
+# Most records of an envelope.
+ENVELOPE_RECORDS = 100_000
+
 
+def _in_order(position: str, value: Column) -> Column:
+    """Values of a group ordered by ``position``.  Variants have no order of their own, so places are sorted and then looked up."""
     gathered = F.collect_list(F.struct(F.col(position).alias("p"), value.alias("v")))
-    return F.transform(F.array_sort(gathered, compare), lambda x: x["v"])
+    places = F.array_sort(F.transform(gathered, lambda x, i: F.struct(x["p"].alias("p"), i.alias("i"))))
+    return F.transform(places, lambda x: F.get(gathered, x["i"])["v"])
 
 
-def to_otlp_envelopes(flat: DataFrame, envelope: list[str]) -> DataFrame:
+def to_otlp_envelopes(flat: DataFrame, envelope: list[str], max_records: int | None = ENVELOPE_RECORDS) -> DataFrame:
     """Regroup flattened rows into envelopes.
 
     ``flat`` has the columns of :func:`runledger.operators.extract.flatten_logs`;
@@ -58,17 +61,39 @@ def to_otlp_envelopes(flat: DataFrame, envelope: list[str]) -> DataFrame:
     say where in it a row belongs.  An envelope is a batch, so its size is the
     batch size and never that of a whole resource.  One shuffle serves all three
     levels, as rows of an envelope are together from the start.
+
+    Where more than ``max_records`` rows are equal in the ``envelope`` columns, as when these are NULL or one is hot,
+    they are dealt by a hash of the record over as many envelopes as it takes, each in the order of
+    its rows; so no task gathers more.  The sizes come from a pass over those columns alone; None leaves it out.
     """
-    together = flat.select(*envelope, "ri", "si", "li", "resource", "scope", "record").repartition(*envelope)
-    scopes = together.groupBy(*envelope, "ri", "si").agg(
+    named = flat.select(*envelope, "ri", "si", "li", "resource", "scope", "record")
+    if max_records is not None:
+        # Fewer than rows / max_records.
+        large = flat.groupBy(*envelope).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_records)
+        large = large.select(F.struct(*envelope).alias("_key"), F.ceil(F.col("_n") * 2 / max_records).alias("_parts"))
+        large = write_through(large, "large")
+        if not large.isEmpty():
+            named = _dealt(named, large, envelope)
+    part = [c for c in ("_part",) if c in named.columns]
+    keys = [*envelope, *part]
+    together = named.repartition(*keys)
+    scopes = together.groupBy(*keys, "ri", "si").agg(
         F.first("resource").alias("resource"),
         F.first("scope").alias("scope"),
         _in_order("li", F.col("record")).alias("logRecords"),
     )
-    resources = scopes.groupBy(*envelope, "ri").agg(
+    resources = scopes.groupBy(*keys, "ri").agg(
         F.first("resource").alias("resource"), _in_order("si", F.struct("scope", "logRecords")).alias("scopeLogs")
     )
-    return resources.groupBy(*envelope).agg(_in_order("ri", F.struct("resource", "scopeLogs")).alias("resourceLogs"))
+    return resources.groupBy(*keys).agg(_in_order("ri", F.struct("resource", "scopeLogs")).alias("resourceLogs")).drop(*part)
+
+
+def _dealt(rows: DataFrame, large: DataFrame, envelope: list[str]) -> DataFrame:
+    """``rows`` with ``_part``, 0 but for those of large envelopes."""
+    of_row, of_key = F.struct(*envelope), F.col("_key")
+    found = rows.join(large, of_row.eqNullSafe(of_key), "left")
+    spread = F.pmod(F.xxhash64("ri", "si", "li", F.to_json("record")), F.col("_parts"))
+    return found.withColumn("_part", F.when(F.col("_parts").isNull(), 0).otherwise(spread)).drop("_key", "_parts")
 
 
 def write_otlp(envelopes: DataFrame, path: str, mode: str = "append") -> None:

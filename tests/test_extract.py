@@ -8,6 +8,8 @@ from runledger.operators.ids import assign_batches, assign_slots
 from runledger.operators.counts import batch_counts, histogram
 from runledger.plans.inputs import now
 from runledger.schema import RECORD_COLUMNS
+from runledger.schema import LOG_RECORD, RESOURCE, SCOPE
+from runledger.session import setting
 from runledger.sources.otlp import scan_otlp_logs, to_otlp_envelopes, write_otlp
 
 T = 1_783_598_400_000_000_000
@@ -98,6 +100,28 @@ def test_regroup_keeps_everything(spark, tmp_path):
     assert all_of(again) == all_of(flat) and len(all_of(flat)) == 15
 
 
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_large_envelopes_are_dealt_over_several(spark, threshold):
+    """A null and a hot key, and one that stays whole, with places that repeat."""
+    rows = [(None if i % 3 == 0 else "hot" if i % 3 == 1 else f"k{i % 90}", i % 2, 0, i % 40, f"{i}") for i in range(1800)]
+    made = spark.createDataFrame(rows, "key string, ri int, si int, li int, time string")
+    attrs = F.lit(None).cast(RESOURCE).alias("resource"), F.lit(None).cast(SCOPE).alias("scope")
+    record = F.from_json(F.to_json(F.struct(F.col("time").alias("timeUnixNano"))), LOG_RECORD).alias("record")
+    flat = made.select("key", "ri", "si", "li", *attrs, record).repartition(5)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", threshold):
+        got = to_otlp_envelopes(flat, ["key"], max_records=100).collect()
+    seen = []
+    for e in got:
+        times = [r["timeUnixNano"] for res in e["resourceLogs"] for sc in res["scopeLogs"] for r in sc["logRecords"]]
+        assert len(times) <= 100
+        places = [(int(t) % 2, int(t) % 40) for t in times]
+        assert places == sorted(places)
+        seen += [(e["key"], t) for t in times]
+    assert sorted(seen, key=str) == sorted([(r[0], r[4]) for r in rows], key=str)
+    per_key = [e["key"] for e in got]
+    assert per_key.count(None) > 6 and per_key.count("hot") > 6 and all(per_key.count(f"k{i}") == 1 for i in range(2, 90, 3))
+
+
 def test_batches_and_slots(spark):
     rows = spark.range(1, 251).select("id", F.timestamp_micros(F.col("id") * 10000).alias("timestamp"))
     sizes = batch_counts(assign_batches(rows, 100)).orderBy("batch")

@@ -30,9 +30,35 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+# Lists that fresh paths are noted in, see recorded_scratch().
+_noting: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/runledger/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/runledger/{name}-{uuid.uuid4().hex}"
+    for paths in _noting:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch(paths: list[str]):
+    """Note in ``paths`` all fresh paths that are asked for in a ``with`` block, so that they can be released."""
+    _noting.append(paths)
+    try:
+        yield
+    finally:
+        _noting[:] = [p for p in _noting if p is not paths]
+
+
+def release_scratch(spark: SparkSession, paths: list[str], *still: DataFrame) -> None:
+    """Remove the noted folders, but for those that the DataFrames ``still`` read from."""
+    read = {f for df in still for f in df.inputFiles()}
+    for path in list(paths):
+        if not any(path.split("://")[-1] in f for f in read):
+            remove(spark, path)
+            paths.remove(path)
 
 
 def write_through(df: DataFrame, name: str) -> DataFrame:

@@ -66,25 +66,31 @@ def number_rows(df: DataFrame, name: str = "number", lead: tuple[str, ...] = ())
     of which there is one row per bucket. All columns must be groupable (no maps).
     """
     cols = [F.col(quoted(c)) for c in df.columns]
-    grouped = write_through(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")), "distinct-rows")
+    n, h, b, start, before = free_names(df, "n", "h", "b", "start", "before")
+    grouped = write_through(df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n)), "distinct-rows")
     kinds = grouped.count()
     buckets = max(1, -(-kinds // ROWS_PER_BUCKET))
     digest = F.xxhash64(*cols) if df.columns else F.lit(0)
-    split = grouped.withColumn("__h", digest).withColumn("__b", F.pmod("__h", F.lit(buckets)))
-    keys = [*map(quoted, lead), "__b"]
-    sizes = split.groupBy(*keys).agg(F.sum("__n").alias("__rows"))
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
-    total = grouped.agg(F.sum("__n")).first()[0] or 0
-    inside = Window.partitionBy(*keys).orderBy("__h", *cols).rowsBetween(Window.unboundedPreceding, -1)
-    ranged = split.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(
-        starts, [*lead, "__b"]
-    )
-    first = F.col("__start") + F.col("__before")
-    number = F.explode(F.sequence(first, first + F.col("__n") - 1))
+    split = grouped.withColumn(h, digest).withColumn(b, F.pmod(h, F.lit(buckets)))
+    keys = [*map(quoted, lead), b]
+    sizes = split.groupBy(*keys).agg(F.sum(n).alias("rows"))
+    earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*keys, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(start))
+    total = grouped.agg(F.sum(n)).first()[0] or 0
+    inside = Window.partitionBy(*keys).orderBy(h, *cols).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = split.withColumn(before, F.coalesce(F.sum(n).over(inside), F.lit(0))).join(starts, [*lead, b])
+    first = F.col(start) + F.col(before)
+    number = F.explode(F.sequence(first, first + F.col(n) - 1))
     return ranged.select(*cols, number.alias(name)), total
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for working columns that no column of ``df`` has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    mark = next(m for m in ("_" * k for k in range(2, len(taken) + 3)) if not any(m + w in taken for w in wanted))
+    return [mark + w for w in wanted]
+
+
 def join_by_weight(rows: DataFrame, groups: DataFrame, key: str, weight: str) -> DataFrame:
     """``rows`` left joined with ``groups``, of which each key has one row; both are written tables, ``rows`` without null keys.
 
@@ -100,6 +106,6 @@ def join_by_weight(rows: DataFrame, groups: DataFrame, key: str, weight: str) ->
 
 
 __all__ = [
-    "ROWS_PER_BUCKET", "SPACES", "WORD", "digest_of", "join_by_weight", "let", "number_rows", "packed", "quoted",
+    "ROWS_PER_BUCKET", "SPACES", "WORD", "digest_of", "free_names", "join_by_weight", "let", "number_rows", "packed", "quoted",
     "scratch_path", "unpacked", "write_through",
 ]

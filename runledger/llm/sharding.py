@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import number_rows, quoted
+from runledger.llm.common import free_names, number_rows, quoted
 
 ROUNDS = 6
 # Walks longer than this stop the query; among N numbers fewer than sqrt(N) lie outside, so the odds are N ** -32.
@@ -25,7 +25,7 @@ def _mixed(seed: int, turn: int, value: Column, modulus: int) -> Column:
 
 def _feistel(x: Column, high: int, low: int, seed: int, inverse: bool) -> Column:
     """A permutation of 0 .. high * low - 1 whose halves take turns in shifting each other."""
-    left, right = F.floor(x / F.lit(low)).cast("long"), F.pmod(x, F.lit(low))  # exact below 2 ** 53
+    left, right = F.call_function("div", x, F.lit(low)), F.pmod(x, F.lit(low))
     for turn in reversed(range(ROUNDS)) if inverse else range(ROUNDS):
         if turn % 2 == 0:
             shift = _mixed(seed, turn, right, high)
@@ -77,10 +77,11 @@ def assign_shards(df: DataFrame, shards: int, seed: int = 17) -> DataFrame:
     own = {"row_number", "shard", "slot"}
     kept = df.select(*[F.col(quoted(c)) for c in df.columns if c.lower() not in own])
     numbered, n = number_rows(kept, "row_number")
-    place = numbered.withColumn("__place", permute(F.col("row_number"), n, seed))
+    (at,) = free_names(kept, "place")
+    place = numbered.withColumn(at, permute(F.col("row_number"), n, seed))
     return place.select(
         *[F.col(quoted(c)) for c in kept.columns],
         "row_number",
-        F.pmod("__place", F.lit(shards)).cast("int").alias("shard"),
-        F.floor(F.col("__place") / F.lit(shards)).cast("long").alias("slot"),
+        F.pmod(at, F.lit(shards)).cast("int").alias("shard"),
+        F.call_function("div", F.col(at), F.lit(shards)).cast("long").alias("slot"),
     )

@@ -1,6 +1,7 @@
 """The pipeline's stages, one after the other, on rows with nulls, copies and repeated rows; and the language of pages."""
 
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runledger.llm import language_id
 from runledger.llm.queries import REGISTRY
+from runledger.session import shared_dir
 from test_llm_cases import DOCS, clashing, jaccard, plain_removal, prose, rows, shingle_weights
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +50,19 @@ def test_stages_one_by_one(spark, docs):
     assert sorted(r["sequence_id"] for r in pieces.collect()) == list(range(pieces.count()))
 
 
+def test_only_the_result_is_left(spark, docs, tmp_path):
+    """What the stages write on their way is removed; a stage called by hand keeps what its input is read from."""
+    own = Path(shared_dir(spark), "runledger")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    before = set(own.glob("*"))
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    left = set(own.glob("*")) - before
+    assert len(left) == 1 and result.count() > 0 and str(left.pop()) in result.inputFiles()[0]
+    (_, quality), (_, near), *_ = corpus_pipeline.STAGES
+    lazy = quality(spark, docs, SF)
+    assert near(spark, lazy, SF).count() > 0
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:

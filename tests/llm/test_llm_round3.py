@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from runledger.llm import collocations, divergence, exact_dedup
+from runledger.llm import collocations, divergence, exact_dedup, sharding
 from test_llm_cases import DOCS, prose, rows
 
 
@@ -241,3 +241,29 @@ def test_long_words_and_texts(spark):
 def test_collocations_of_nothing(none, spark):
     assert collocations.mine(none).collect() == []
     assert collocations.mine(spark.createDataFrame([("only a few words", "en")], "text string, lang string")).collect() == []
+
+
+# --- working names
+
+
+def test_working_names_of_shards_are_free(docs):
+    names = ["__n", "__h", "__b", "__start", "__before", "__place", "__ROWS", "rows", "___n"]
+    odd = docs.select("doc_id", "text", *[F.concat(F.lit(c), F.coalesce("lang", F.lit(""))).alias(c) for c in names])
+    got = sharding.assign_shards(odd, 4)
+    assert Counter(map(tuple, got.drop("row_number", "shard", "slot").collect())) == Counter(map(tuple, odd.collect()))
+    slots = [(r["shard"], r["slot"]) for r in got.collect()]
+    assert sorted(slots) == sorted((i % 4, i // 4) for i in range(docs.count()))
+
+
+def test_shards_of_documents_by_plain_figures(spark):
+    """Sizes, checksums and the law of the registered query, in plain Python."""
+    import zlib
+
+    from runledger.llm.queries import SHARDS, op2_sharding
+
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = op2_sharding(spark, sf_dir).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in got} == {i: (len(t) + 1, zlib.crc32(t)) for i, t in texts.items()}
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("rows", None)}
+    assert Counter((r["shard"], r["slot"]) for r in got) == Counter((i % SHARDS, i // SHARDS) for i in range(len(texts)))

@@ -6,6 +6,12 @@ import re
 
 from runledger.schema import DEFAULT_LIMIT, MAX_LIMIT
 
+# What a name may look like, and what callers are told.
+IDENTIFIER = r"[a-zA-Z_][a-zA-Z0-9_]*"
+NO_RUN_ID = "agentic_run_id is required"
+BAD_LIMIT = "limit must be a positive integer"
+BAD_AFTER = "after must be a non-negative integer"
+
 _INT64 = range(-(1 << 63), 1 << 63)
 
 
@@ -20,7 +26,7 @@ def _integer(value) -> int | None:
 
 def require_run_id(run_id: str | None) -> str:
     if not run_id:
-        raise ValueError("agentic_run_id is required")
+        raise ValueError(NO_RUN_ID)
     return run_id
 
 
@@ -30,7 +36,7 @@ def clamp_limit(value=None) -> int:
         return DEFAULT_LIMIT
     limit = _integer(value)
     if limit is None or limit < 1:
-        raise ValueError("limit must be a positive integer")
+        raise ValueError(BAD_LIMIT)
     return min(limit, MAX_LIMIT)
 
 
@@ -40,12 +46,12 @@ def parse_after(value=None) -> int:
         return 0
     after = _integer(value)
     if after is None or after < 0:
-        raise ValueError("after must be a non-negative integer")
+        raise ValueError(BAD_AFTER)
     return after
 
 
 def check_identifier(name: str) -> str:
     """A schema or table name, in the one spelling (lower case) used everywhere."""
-    if not isinstance(name, str) or not re.fullmatch(r"[a-zA-Z_][a-zA-Z0-9_]*", name):
+    if not isinstance(name, str) or not re.fullmatch(IDENTIFIER, name):
         raise ValueError(f"{name!r} is not a valid identifier")
     return name.lower()

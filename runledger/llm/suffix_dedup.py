@@ -355,19 +355,24 @@ def _removed(spans: list[dict] | None) -> np.ndarray:
 
 
 def remove_repeats(
-    df: DataFrame, text: str = "text", kept: str = "kept", length: int = LENGTH, gram: int = GRAM, over_words: int | None = None
-) -> DataFrame:
+    df: DataFrame, text: str = "text", kept: str = "kept", length: int = LENGTH, gram: int = GRAM, over_words: int | None = None,
+    report_words: int | None = None,
+) -> DataFrame:
     """``df`` without its text, with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept``.
 
     ``kept`` says what comes of the text: ``"kept"``, the remaining bytes; ``"text"``, a string in a column of
     that name, without characters that were cut in half; ``""``, nothing. New columns replace columns so named.
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else too, in any text or the same
     one; with ``over_words`` also if it is in a passage of more words than that which is found again, however few
-    bytes it has (see ``passages``). Both are judged on the input. ``gram`` must be shorter than ``length``. A null text
+    bytes it has (see ``passages``). Both are judged on the input. With ``report_words`` such passages are not removed for
+    that but reported: ``n_passage_bytes``, bytes in passages of more words than that which are found again, and ``n_passages``,
+    maximal runs of them. ``gram`` must be shorter than ``length``. A null text
     counts as empty and stays null as a string; equal rows repeat each other. An empty table gives an empty one.
     """
     new = ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"]
     new += {"kept": ["kept binary"], "text": [f"{quoted(text)} string"], "": []}[kept]
+    told = ["n_passage_bytes long", "n_passages long"] if report_words is not None else []
+    new += told
     added = T.StructType.fromDDL(", ".join(new))
     own = {f.name.lower() for f in added} | {text.lower()}
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
@@ -378,11 +383,14 @@ def remove_repeats(
     if over_words is not None:
         spans = spans.union(repeated_passages(texts, over_words + 1)).distinct()
     lists = spans.groupBy("t").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    if told:
+        found = repeated_passages(texts, report_words + 1).groupBy("t").agg(F.collect_list(F.struct("low", "high")).alias("passages"))
+        lists = lists.join(found, "t", "full")
     carried = [c for c in df.columns if c.lower() not in own]
     k = len(carried)
     cols = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(carried)]
     rows = df.select(*cols, t.alias("t"), F.col(quoted(text)).alias("text"))
-    rows = rows.join(lists, "t", "left").select(*[f"c{i}" for i in range(k)], "text", "spans")
+    rows = rows.join(lists, "t", "left").select(*[f"c{i}" for i in range(k)], "text", "spans", *(["passages"] if told else []))
     fields = [T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(carried)]
     fields += [T.StructField(f"c{k + i}", f.dataType) for i, f in enumerate(added)]
 
@@ -407,7 +415,10 @@ def remove_repeats(
                 for to, v in zip(out, values, strict=True):
                     to.append(v)
             kinds = [*[pa.int64()] * 3, pa.string(), pa.string() if kept == "text" else pa.binary()]
-            made = [pa.array(v, t) for v, t in zip(out, kinds, strict=True)][: len(new)]
+            made = [pa.array(v, t) for v, t in zip(out, kinds, strict=True)][: len(new) - len(told)]
+            if told:
+                seen = [_removed(spans) for spans in batch.column(k + 2).to_pylist()]
+                made += [pa.array([int((s[:, 1] - s[:, 0]).sum()) for s in seen], pa.int64()), pa.array(map(len, seen), pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:k], *made], [f.name for f in fields])
 
     done = rows.mapInArrow(apply, T.StructType(fields))

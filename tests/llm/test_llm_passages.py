@@ -106,3 +106,18 @@ def test_lengths_are_checked(spark):
     with pytest.raises(ValueError):
         suffix_dedup.remove_repeats(df, over_words=0)
     assert suffix_dedup.remove_repeats(df.where("false"), over_words=50).count() == 0
+
+
+def test_passages_are_reported_beside_the_bytes(spark):
+    """The contract's figures stay those of 400-byte strings; passages of 51 words count however short their words."""
+    passage = " ".join(short_words(1, 51))
+    data = rows() + [(400 + i, f"{prose(i, 30)} {passage} {prose(10 + i, 30)}", "en", "s", 1) for i in range(3)]
+    df = clashing(spark.createDataFrame(data, DOCS).repartition(3))
+    got = suffix_dedup.remove_repeats(df, kept="", report_words=50).collect()
+    raw = [(r[1] or "").encode() for r in data]
+    want = Counter()
+    for r, t, flags, gone in zip(data, raw, window_removal(raw, 51), plain_removal(raw, 400), strict=True):
+        runs = int((np.diff(np.concatenate(([0], flags.astype(np.int8)))) == 1).sum())
+        want[r[0], len(t), sum(b - a for a, b in gone), len(gone), int(flags.sum()), runs] += 1
+    assert want == Counter(tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "n_passage_bytes", "n_passages")) for r in got)
+    assert all(r["n_passage_bytes"] >= len(passage) for r in got if r["doc_id"] is not None and r["doc_id"] >= 400)

@@ -17,7 +17,7 @@ import time
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.operators.filters import after_id, bucket_of, era_of, in_buckets_of, up_to_id
@@ -129,26 +129,36 @@ def append_logs(df: DataFrame, table: str, batch_id: int = NO_BATCH, order_cols:
 
     Rows need ``agentic_run_id, phase, timestamp, event, body`` and either
     ``id`` or a total order to number them by, after the largest id so far.
-    They are kept while their runs are counted, so that nothing is worked out twice.
+    They are worked out once, and not kept: however many they are, their runs are counted in the
+    eras they were written to, by run and id alone.
     """
     spark = df.sparkSession
     if "id" not in df.columns:
         if not order_cols:
             raise ValueError("rows without id need order_cols")
         df = assign_ids(df, order_cols, last_id(spark, table))
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _append(kept, table, batch_id)
-    finally:
-        kept.unpersist()
+    if df.isEmpty():
+        return
+    _, era_ids = table_settings(spark, table)
+    folder, seen = _location(spark, table), Observation()
+    with changing(spark, table, folder, lambda: scan_logs(spark, table)) as anew:
+        _write(df.observe(seen, F.min("id").alias("first"), F.max("id").alias("last")), table, batch_id)
+        if not anew:
+            eras = [seen.get["first"] // era_ids, seen.get["last"] // era_ids]
+            recount_runs(spark, table, scan_logs(spark, table), folder, eras)
+
 
+def _write(rows: DataFrame, table: str, batch_id: int) -> None:
+    laid_out = _lay_out(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), *table_settings(rows.sparkSession, table))
+    laid_out.write.insertInto(table)
 
-def _append(rows: DataFrame, table: str, batch_id: int, eras: list | None = None) -> None:
-    """Write rows, which can be read twice, and enter their runs in the directory."""
+
+def _append(rows: DataFrame, table: str, folder: str, record: BatchRecord) -> None:
+    """Write the rows of a batch, which can be read twice, and add their runs to the directory."""
     spark = rows.sparkSession
-    buckets, era_ids = table_settings(spark, table)
-    with changing(spark, table, _location(spark, table), lambda: scan_logs(spark, table), eras) as anew:
-        _lay_out(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), buckets, era_ids).write.insertInto(table)
+    _, era_ids = table_settings(spark, table)
+    with changing(spark, table, folder, lambda: scan_logs(spark, table), _eras_of(spark, table, record)) as anew:
+        _write(rows, table, record.batch_id)
         if not anew:
             add_runs(run_counts(rows.withColumn("era", era_of(F.col("id"), era_ids))), table)
 
@@ -202,7 +212,7 @@ def append_batch(df: DataFrame, batch_id: int, table: str) -> int:
                 rows = assign_arrival_ids(kept, blocks, before)
             elif own_ids:
                 rows = assign_ids(kept, [*ARRIVAL_COLUMNS, "timestamp", RECORD_KEY], before)
-            _append(rows, table, batch_id, _eras_of(spark, table, record))
+            _append(rows, table, folder, record)
             write_record(spark, folder, record.finished())
             return n
     finally:

@@ -11,7 +11,7 @@ from runledger.operators.filters import for_run
 from runledger.operators import ids as ids_module
 from runledger.operators.pages import get_page, pages_for_runs, paginate
 from runledger.schema import TABLE_COLUMNS
-from runledger.session import remove, setting, shared_dir
+from runledger.session import recorded_scratch, release_scratch, remove, setting, shared_dir, write_through
 from runledger.sources.otlp import scan_otlp_logs
 from runledger.sources import table as table_module
 from runledger.sources.batches import read_records
@@ -318,6 +318,17 @@ def test_a_hot_run_is_written_by_many_tasks(spark):
     assert files > 1 and scan_logs(spark, name).count() == 60000
 
 
+def test_scratch_is_released_but_for_what_is_read(spark):
+    noted = []
+    with recorded_scratch(noted):
+        kept, gone = (write_through(spark.range(3), name) for name in ("kept", "gone"))
+    assert len(noted) == 2 and kept.count() == gone.count() == 3
+    release_scratch(spark, noted, kept.where("id > 0"))
+    assert len(noted) == 1 and kept.count() == 3
+    with pytest.raises(Exception, match="(?i)exist"):
+        spark.range(1).join(gone).count()
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 

@@ -32,8 +32,8 @@ from runledger.streaming.retry import Permanent
 
 _BUCKETS, _ERA_IDS = "runledger.buckets", "runledger.era_ids"
 
-# Bloom filters tell row groups without a run where their range of runs does not. They are as large as the
-# runs of a row group need: some 1.5 bytes each.
+# A row group whose runs fit a dictionary is told by that not to have a run that its range would allow; one
+# of more runs by a Bloom filter, which is written for such only and takes less than two bytes a run.
 FILE_OPTIONS = {
     "parquet.bloom.filter.enabled#agentic_run_id": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",

@@ -576,3 +576,15 @@ def test_an_absent_run_in_a_full_bucket_reads_no_row_group(spark, rewritten):
     absent = [for_run(scan_logs(spark, name), f"run-{i:04d}").select("id") for i in range(101, 161, 6)]  # between runs that are there
     assert there.count() == 2 and rows_read(spark, there) >= 2
     assert sum(rows_read(spark, df) > 0 for df in absent) <= 2  # a Bloom filter may err, with odds of one in a hundred
+
+
+def test_bloom_filters_where_runs_are_too_many_for_a_dictionary(spark, tmp_path):
+    n = 100_000
+    runs = spark.range(0, n, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("agentic_run_id"), "id")
+    for name, options in (("plain", {}), ("filtered", table_module.FILE_OPTIONS)):
+        runs.sortWithinPartitions("agentic_run_id").write.options(**options).parquet(str(tmp_path / name))
+    plain, filtered = (sum(f.stat().st_size for f in (tmp_path / d).glob("*.parquet")) for d in ("plain", "filtered"))
+    assert plain < filtered < plain + 3 * n
+    absent = F.col("agentic_run_id") == F.sha2(F.lit("absent"), 256)
+    reads = {d: rows_read(spark, spark.read.parquet(str(tmp_path / d)).where(absent).select("id")) for d in ("plain", "filtered")}
+    assert reads["filtered"] == 0 < reads["plain"]

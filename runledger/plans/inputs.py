@@ -124,7 +124,22 @@ def place_in(values: list[str], column: str) -> Column:
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as flattened log records: ``envelope, event_id, ri, resource, si, scope, li, record``."""
+    """``events`` as flattened log records: ``envelope, event_id, ri, resource, si, scope, li, record``.
+
+    Written once: otherwise the optimizer would put the making of a record in the place of
+    each use of one of its fields, which no log that is read from somewhere is like.
+    """
+    made = _made_records(spark, sf_dir)
+
+    def write():
+        path = scratch_path(spark, "records")
+        made.write.parquet(path)
+        return path
+
+    return spark.read.schema(made.schema).parquet(_once(spark, sf_dir, "records", write))
+
+
+def _made_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     attrs = attributes({RUN_ID_KEY: "uid", PHASE_KEY: "phase_name", EVENT_KEY: "event_type"})
     service = attributes({"service.name": "service"})
     return event_fields(spark, sf_dir).withColumn("body", props_value()).select(

@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-from runledger.llm import probminhash
+from runledger.llm import buckets, probminhash
 from test_llm_cases import components_of, jaccard, likeness, shingle_weights
 
 
@@ -27,3 +27,12 @@ def test_unequal_repeats_against_all_pairs(spark):
     label = components_of(len(data), links)
     got = probminhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
     assert Counter((r["doc_id"], r["class_id"]) for r in got) == Counter(enumerate(label))
+
+
+def test_likely_keeps_all_that_are_there(spark):
+    """Numbers at the edges of words and of the sign; nothing else passes while the table is sparse, no column is added."""
+    nodes = [0, 63, 64, -1, -64, 2**63 - 1, -(2**63), buckets.CELLS, 12345]
+    texts = spark.createDataFrame([(n, "t") for n in nodes] + [(777, "t"), (999, "t")], "node long, text string")
+    got = buckets.likely(texts, spark.createDataFrame([(n,) for n in nodes * 2], "node long"))
+    assert sorted(r["node"] for r in got.collect()) == sorted(nodes) and got.columns == texts.columns
+    assert buckets.likely(texts, texts.where("false")).count() == 0

@@ -130,41 +130,38 @@ def _cells(members: DataFrame, labels: DataFrame, least: float) -> DataFrame:
     return outside.unionByName(met).select(F.xxhash64("key", "level", "other").alias("key"), cell, "node").distinct()
 
 
-def likely(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose ``node`` may be in ``nodes``: all that are there, and few others, without a shuffle.
+def likely(rows: DataFrame, wanted: DataFrame, on: str = "node") -> DataFrame:
+    """The ``rows`` whose number ``on`` may be in ``wanted``: all that are there, and few others, without a shuffle.
 
-    The nodes mark CELLS bits, and every task gets the 64-bit words that have any, 2^18 rows at most however many
-    nodes there are. A full table passes everything, so what reads this joins with ``nodes`` behind it.
+    The numbers mark CELLS bits, and every task gets the 64-bit words that have any, 2^18 rows at most however many
+    numbers there are. A full table passes everything, so what reads this joins with ``wanted`` behind it; no
+    semi join, as the optimizer would put that first.
     """
-    cell = F.pmod("node", F.lit(CELLS))
-    word, bit = F.shiftright(cell, 6).cast("int"), F.expr(f"shiftleft(1L, cast(pmod(node, {CELLS}) & 63 AS int))")
-    marked = nodes.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    cell = F.pmod(on, F.lit(CELLS))
+    word, bit = F.shiftright(cell, 6).cast("int"), F.expr(f"shiftleft(1L, cast(pmod({on}, {CELLS}) & 63 AS int))")
+    marked = wanted.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     few = F.broadcast(write_through(marked, "cells"))
-    met = texts.withColumn("word", word).join(few, "word")
-    return met.where(bit.bitwiseAND(F.col("bits")) != 0).select(*texts.columns)
+    met = rows.withColumn("word", word).join(few, "word")
+    return met.where(bit.bitwiseAND(F.col("bits")) != 0).select(*rows.columns)
 
 
-def classes(
-    rows: DataFrame, texts: DataFrame, sets_of: SetsOf, least: float, narrow: Callable[[DataFrame], DataFrame] | None = None
-) -> DataFrame:
+def classes(rows: DataFrame, texts: DataFrame, sets_of: SetsOf, least: float) -> DataFrame:
     """``node``, ``label`` of the texts that are linked to another one; the label is the least node of the class.
 
     ``rows`` are ``node``, ``key`` (a bucket), ``size`` (of the node's set); ``texts`` are ``node``, ``text``, a node
-    repeated at will; ``sets_of`` gives the sets of an array of texts, or of what ``narrow`` makes of ``texts``
-    before they are sent. Every two texts that share a bucket and have a Jaccard of ``least`` or more come into
-    one class. Buckets of the same texts count once.
+    repeated at will; ``sets_of`` gives the sets of an array of texts. Every two texts that share a
+    bucket and have a Jaccard of ``least`` or more come into one class. Buckets of the same texts count once.
     Large buckets are compared in chunks that share hubs, which joins nearly all; then what is
     in different classes still is compared in blocks, whole. Only links that hold classes together come out.
     """
     buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"))
     once = buckets.where("n > 1").groupBy("n", "who").agg(F.min("key").alias("key"))
-    members = write_through(rows.join(once.select("key", "n"), "key"), "buckets")
+    once = write_through(once.select("key", "n"), "bucket-keys")
+    members = write_through(likely(rows, once, "key").join(once, "key"), "buckets")
 
     def linked(groups: DataFrame) -> DataFrame:
         groups = write_through(groups, "groups")
-        own = likely(texts, groups)
-        own = narrow(own) if narrow else own
-        wanted = own.join(groups.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+        wanted = likely(texts, groups).groupBy("node").agg(F.first("text").alias("text"))
         dealt = groups.join(wanted, "node").select("key", "chunk", "node", "text")
         dealt = dealt.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
         return dealt.mapInArrow(lambda b: _link(b, sets_of, least), "node long, hub long")

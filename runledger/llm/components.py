@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     Large and small stars in turn: every node links its larger neighbours to its least
     one, then its smaller ones. Links never grow in number, and some log(n) rounds leave
     stars. Each round is written, so lost executors cost a round at most. Partial
-    minima come before each shuffle, and a hub's links are spread by their other end.
+    minima come before each shuffle; the joins are by ``u``, so a hub's links are split only by adaptive execution.
     """
     a, b = links.columns
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()

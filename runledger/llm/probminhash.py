@@ -99,7 +99,8 @@ def near_classes(df: DataFrame, text: str = "text", least: float = 0.8) -> tuple
     """``node``, ``label`` of every different text, and what gives a text's node.
 
     Signatures are banded, weighted and plain ones; texts that share a band's key form a bucket. All texts of a bucket, however
-    large it is, are compared by the Jaccard of their sets of five-word shingles (see ``buckets.classes``).
+    large it is, are compared by the Jaccard of their sets of five-word shingles (see ``buckets.classes``). So weights
+    decide which pairs are compared besides those of the plain bands, never whether a pair is linked.
     Texts without words are alike only if equal. Null texts count as empty.
     """
     body = F.coalesce(F.col(quoted(text)), F.lit(""))

@@ -13,12 +13,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runledger.llm.buckets import classes
 from runledger.llm.common import digest_of, quoted, write_through
 from runledger.llm.textbytes import FOLDED_CODES, mixed, parts, powers, span, sums, words
+from runledger.session import recorded_scratch, release_scratch, setting
 
 # Common words of English, French, German and Spanish.
 COMMON = """
@@ -32,6 +33,7 @@ al como con de del el ella ellos en es está esta este la las lo los más no par
 CHAIN = 2
 CHUNK_BYTES = 2 << 20
 ROWS_PER_BLOCK, MOST_BLOCKS = 2048, 100_000
+SHUFFLES_REMOVED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _U = np.uint64
 _between = np.ones(256, bool)
 _between[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -139,40 +141,68 @@ def near_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", leas
     n - ceil(least * n) + 1 rarest signatures of each, so only these put texts of two levels into buckets, and
     only texts that share a bucket are compared. Null texts count as empty; an empty table gives an empty one.
     """
-    placed, _, firsts, _ = _classes(df, text, doc_id, least)
-    return placed.join(firsts, "label").select(F.col("id").alias("doc_id"), "class_id")
+    of_text, node_of = _classes(df, text, doc_id, least)
+    placed = df.select(F.col(quoted(doc_id)).alias("doc_id"), node_of(F.col(quoted(text))).alias("node"))
+    return placed.join(of_text, "node").select("doc_id", "class_id")
 
 
-def _classes(
-    df: DataFrame, text: str, doc_id: str, least: float
-) -> tuple[DataFrame, DataFrame, DataFrame, Callable[[Column], Column]]:
-    """``id``, ``node``, ``label`` of every row; ``node``, ``label`` of every text; ``label``, ``class_id``; what gives a text's node."""
-    node_of = digest_of(df, F.col(quoted(text)))
-    body = F.coalesce(F.col(quoted(text)), F.lit(""))
-    texts = df.select(node_of(F.col(quoted(text))).alias("node"), body.alias("text"))
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = signature_sets(batch.column(1))
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        numbers = np.concatenate([np.zeros(0, "<u4"), *sets]).view(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers))
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node", "signs"])
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = pa.array([s.astype(np.int64) for s in signature_sets(batch.column(1))], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["node", "signs"])
 
-    signed = texts.mapInArrow(sign, "node long, signs array<long>").groupBy("node").agg(F.first("signs").alias("signs"))
-    signed = write_through(signed, "signatures")
+def _sets(signs: pa.Array) -> Iterator[np.ndarray]:
+    ends, numbers = signs.offsets.to_numpy(), signs.values.to_numpy()
+    for low, high in zip(ends[:-1], ends[1:], strict=True):
+        yield numbers[low:high]
+
+
+def _classes(df: DataFrame, text: str, doc_id: str, least: float) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``node``, ``class_id`` of every text, written, and what gives a text's node.
+
+    Signatures are told from those of one text alone by their number of texts, which comes from a shuffle of the numbers
+    only; a text gets back only those that others have, too. What a step shuffled is removed when its result is
+    written, and what it wrote when the classes are.
+    """
+    spark, left = df.sparkSession, []
+    with recorded_scratch(left), setting(spark, SHUFFLES_REMOVED, "true"):
+        node_of = digest_of(df, F.col(quoted(text)))
+        body = F.coalesce(F.col(quoted(text)), F.lit(""))
+        texts = df.select(node_of(F.col(quoted(text))).alias("node"), body.alias("text"))
+        signed = texts.mapInArrow(_sign, "node long, signs array<int>").groupBy("node").agg(F.first("signs").alias("signs"))
+        signed = write_through(signed, "signatures")
+        rows = write_through(_rarest(signed, least), "rarest")
+        sets = signed.select("node", F.col("signs").alias("text"))
+        labels = signed.select("node").join(classes(rows, sets, _sets, least), "node", "left")
+        labels = write_through(labels.select("node", F.coalesce("label", "node").alias("label")), "labels")
+        placed = df.select(F.col(quoted(doc_id)).alias("id"), node_of(F.col(quoted(text))).alias("node")).join(labels, "node")
+        firsts = placed.groupBy("label").agg(F.min(F.struct("id")).alias("first")).select("label", F.col("first.id").alias("class_id"))
+        of_text = write_through(labels.join(firsts, "label").select("node", "class_id"), "classes")
+    release_scratch(spark, left, of_text)
+    return of_text, node_of
+
+
+def _rarest(signed: DataFrame, least: float) -> DataFrame:
+    """``node``, ``size``, ``key`` of the buckets that a text's rarest signatures put it into, but for those no other text has.
+
+    The n - ceil(least * n) + 1 rarest are all but the ceil(least * n) - 1 that most texts have, so a text is
+    ranked by what it shares alone, from the most frequent on; one that shares no more than these is in no bucket.
+    """
     single = signed.select("node", F.explode("signs").alias("sign"))
-    often = single.groupBy("sign").agg(F.count(F.lit(1)).alias("n"))
-    ranked = single.join(often, "sign").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "sign"))).alias("signs"))
-    size = F.size("signs")
-    rarest = F.slice("signs", F.lit(1), size - F.ceil(F.lit(least - 1e-9) * size).cast("int") + 1)
+    often = single.groupBy("sign").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = write_through(often, "shared-signatures")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("sign")))
+    ranked = single.join(often, "sign").select("node", "sign", rank.alias("rank"))
+    size = F.col("size")
     level = F.floor(F.log(size) / (1e-6 - math.log(least)))
-    spread = ranked.select("node", size.cast("long").alias("size"), level.alias("level"), F.explode(rarest).alias("rare"))
+    sizes = signed.select("node", F.size("signs").cast("long").alias("size")).withColumn("level", level)
+    rare = ranked.join(sizes, "node").where(F.col("rank") >= F.ceil(F.lit(least - 1e-9) * size))
     pair = F.explode(F.array(F.col("level") - 1, F.col("level"))).alias("pair")
-    rows = spread.select("node", "size", F.col("rare.sign").alias("sign"), pair)
-    rows = rows.select("node", "size", F.xxhash64("sign", "pair").alias("key")).distinct()
-    labels = signed.select("node").join(classes(rows, texts, signature_sets, least), "node", "left")
-    labels = write_through(labels.select("node", F.coalesce("label", "node").alias("label")), "labels")
-    placed = df.select(F.col(quoted(doc_id)).alias("id"), node_of(F.col(quoted(text))).alias("node")).join(labels, "node")
-    firsts = placed.groupBy("label").agg(F.min(F.struct("id")).alias("first")).select("label", F.col("first.id").alias("class_id"))
-    return placed, labels, firsts, node_of
+    return rare.select("node", "size", "sign", pair).select("node", "size", F.xxhash64("sign", "pair").alias("key"))
 
 
 def compare_in_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", least: float = 0.8) -> DataFrame:
@@ -180,13 +210,11 @@ def compare_in_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id"
 
     A class is looked up by the row's text, so rows of one id neither multiply nor get each other's class.
     """
-    _, labels, firsts, node_of = _classes(df, text, doc_id, least)
-    of_text = write_through(labels.join(firsts, "label").select("node", "class_id"), "classes")
-    rows = _compared(df, text, doc_id, node_of)
-    return rows.join(of_text, "node").drop("node")
+    of_text, node_of = _classes(df, text, doc_id, least)
+    return _compared(df, text, doc_id, node_of, of_text)
 
 
-_OUT = "node long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def compare_with_edits(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -198,15 +226,22 @@ def compare_with_edits(df: DataFrame, text: str = "text", doc_id: str = "doc_id"
     2048 rows each, and a block also gets the first document of the next one; a block is read as
     a stream. All rows of one id are in one block. Null texts count as empty; an empty table gives an empty one.
     """
-    return _compared(df, text, doc_id, lambda own: F.lit(None).cast("long")).drop("node")
+    return _compared(df, text, doc_id).drop("class_id")
+
 
+def _compared(
+    df: DataFrame, text: str, doc_id: str, node_of: Callable[[Column], Column] | None = None, of_text: DataFrame | None = None
+) -> DataFrame:
+    """The rows of ``compare_with_edits`` with ``class_id``, which ``of_text`` has for the node of each text (without it: null).
 
-def _compared(df: DataFrame, text: str, doc_id: str, node_of: Callable[[Column], Column]) -> DataFrame:
-    """The rows of ``compare_with_edits`` with the ``node`` of their texts."""
+    Classes are dealt like the texts, as a narrow row of each id and text that goes before them, so no result row is shuffled.
+    """
     kind = df.schema[doc_id].dataType.simpleString()
-    body = F.coalesce(F.col(quoted(text)), F.lit(""))
-    node = node_of(F.col(quoted(text))).alias("node")
-    rows = df.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(body).alias("digest"), node, body.alias("text"))
+    own = F.col(quoted(text))
+    body = F.coalesce(own, F.lit(""))
+    node = (node_of(own) if node_of else F.lit(None).cast("long")).alias("node")
+    named = df.select(F.col(quoted(doc_id)).alias("id"), F.xxhash64(body).alias("digest"), node, body.alias("text"))
+    rows = named.withColumn("class_id", F.lit(None).cast(kind))
     n = df.count()
     blocks = min(MOST_BLOCKS, max(1, -(-n // ROWS_PER_BLOCK)))
     shares = [k / blocks for k in range(1, blocks)]
@@ -214,20 +249,25 @@ def _compared(df: DataFrame, text: str, doc_id: str, node_of: Callable[[Column],
     marks = sorted(set(bounds or []))
     # The higher the id the lower the block; rows without an id have one of their own, at the end.
     block = F.lit(len(marks)) - _position(F.col("id"), marks)
-    placed = rows.withColumn("block", F.when(F.col("id").isNull(), F.lit(len(marks) + 1)).otherwise(block).cast("int"))
-    heads = placed.groupBy("block").agg(F.max(F.struct("id", "digest")).alias("head"))
+    block = F.when(F.col("id").isNull(), F.lit(len(marks) + 1)).otherwise(block).cast("int").alias("block")
+    heads = rows.select("id", "digest", block).groupBy("block").agg(F.max(F.struct("id", "digest")).alias("head"))
     heads = sorted((r["block"], r["head"]["id"], r["head"]["digest"]) for r in heads.collect()) if n else []
     spark = df.sparkSession
     guests = [(b, i, d, heads[k - 1][0]) for k, (b, i, d) in enumerate(heads)]
     table = spark.createDataFrame(guests, f"block int, head {kind}, head_digest long, before int")
-    met = placed.join(F.broadcast(table), "block")  # at most MOST_BLOCKS + 1 rows
-    is_head = F.col("id").eqNullSafe(F.col("head")) & (F.col("digest") == F.col("head_digest"))
+    if of_text is not None:
+        first = named.select("id", "digest", "node").distinct().join(of_text, "node")
+        rows = rows.unionByName(first.withColumn("text", F.lit(None).cast("string")))
+    met = rows.select("*", block).join(F.broadcast(table), "block")  # at most MOST_BLOCKS + 1 rows
+    is_head = F.col("text").isNotNull() & F.col("id").eqNullSafe(F.col("head")) & (F.col("digest") == F.col("head_digest"))
     own = F.struct(F.col("block").alias("to"), F.lit(0).alias("guest"))
     guest = F.struct(F.col("before").alias("to"), F.lit(1).alias("guest"))
-    dealt = met.select("id", "digest", "node", "text", F.explode(F.when(is_head, F.array(own, guest)).otherwise(F.array(own))).alias("x"))
-    dealt = dealt.select("x.to", "x.guest", "id", "digest", "node", "text").repartition(max(1, len(heads)), "to")
-    dealt = dealt.sortWithinPartitions("to", "guest", F.col("id").desc(), F.col("digest").desc())
-    return dealt.select("to", "guest", "id", "text", "node").mapInArrow(_compare, f"doc_id {kind}, {_OUT}")
+    targets = F.explode(F.when(is_head, F.array(own, guest)).otherwise(F.array(own))).alias("x")
+    dealt = met.select("id", "digest", "node", "text", "class_id", targets)
+    dealt = dealt.select("x.to", "x.guest", "id", "digest", "node", "text", "class_id").repartition(max(1, len(heads)), "to")
+    order = ["to", "guest", F.col("id").desc(), F.col("digest").desc(), "node", F.col("text").isNotNull()]
+    dealt = dealt.sortWithinPartitions(*order).select("to", "guest", "id", "text", "class_id")
+    return dealt.mapInArrow(_compare, f"doc_id {kind}, {_OUT}, class_id {kind}")
 
 
 def _position(value, marks: list):
@@ -249,15 +289,21 @@ def _position(value, marks: list):
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of block, guests last, and descending id. A row is done when the next one is there."""
-    held: tuple | None = None
+    """Rows in order of block, guests last, and descending id. A row is done when the next one is there.
+
+    A row without a text names the class of the rows behind it.
+    """
+    held, class_id = None, None
     for batch in batches:
-        to, guest, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-        texts = batch.column(3).to_pylist()
-        kind = ids.type
-        rows = list(zip(to, guest, ids.to_pylist(), texts, batch.column(4).to_pylist(), strict=True))
-        if held:
-            rows.insert(0, held)
+        kind = batch.column(2).type
+        rows = [held] if held else []
+        for to, guest, own_id, text, own_class in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if text is None:
+                class_id = own_class
+            else:
+                rows.append((to, guest, own_id, text, class_id))
+        if not rows:
+            continue
         sets = signature_sets(pa.array([r[3] for r in rows], pa.large_string()))
         done = [i for i in range(len(rows) - 1) if not rows[i][1] and rows[i + 1][0] == rows[i][0]]
         edits = [edited(rows[i][3], rows[i + 1][3]) for i in done]
@@ -265,14 +311,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([rows[i][2] for i in done], kind),
-                pa.array([rows[i][4] for i in done], pa.int64()),
                 pa.array([len(rows[i][3]) for i in done], pa.int64()),
                 pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edits], pa.string()),
                 pa.array([written(sets[i]) for i in done], pa.string()),
                 pa.array([written(s) for s in changed], pa.string()),
                 pa.array([likeness(sets[i], s) for i, s in zip(done, changed, strict=True)], pa.float64()),
                 pa.array([likeness(sets[i], sets[i + 1]) for i in done], pa.float64()),
+                pa.array([rows[i][4] for i in done], kind),
             ],
-            ["doc_id", *[x.split()[0] for x in _OUT.split(", ")]],
+            ["doc_id", *[x.split()[0] for x in _OUT.split(", ")], "class_id"],
         )
-        held = rows[-1] if rows else held
+        held = rows[-1]

@@ -33,6 +33,7 @@ al como con de del el ella ellos en es está esta este la las lo los más no par
 CHAIN = 2
 CHUNK_BYTES = 2 << 20
 ROWS_PER_BLOCK, MOST_BLOCKS = 2048, 100_000
+ROWS_AT_ONCE = 512
 SHUFFLES_REMOVED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _U = np.uint64
 _between = np.ones(256, bool)
@@ -146,8 +147,15 @@ def near_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", leas
     return placed.join(of_text, "node").select("doc_id", "class_id")
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ROWS_AT_ONCE rows, as what is made of a batch takes several times its texts' memory."""
     for batch in batches:
+        for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(low, ROWS_AT_ONCE)
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _few_rows(batches):
         sets = signature_sets(batch.column(1))
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         numbers = np.concatenate([np.zeros(0, "<u4"), *sets]).view(np.int32)
@@ -294,7 +302,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A row without a text names the class of the rows behind it.
     """
     held, class_id = None, None
-    for batch in batches:
+    for batch in _few_rows(batches):
         kind = batch.column(2).type
         rows = [held] if held else []
         for to, guest, own_id, text, own_class in zip(*(c.to_pylist() for c in batch.columns), strict=True):
